@@ -49,6 +49,12 @@ STEP_4 = [
 Step = Callable[[Column], Column]
 
 
+def _may_end_in(word: Column, suffixes) -> Column:
+    # a look at the last letters spares most words the search for the whole suffix
+    n = min(map(len, suffixes))
+    return F.right(word, F.lit(n)).isin(sorted({s[-n:] for s in suffixes}))
+
+
 def _ending(word: Column, suffixes) -> Column:
     # searching from the left finds the longest suffix first
     return F.regexp_extract(word, f"(?:{'|'.join(suffixes)})$", 0)
@@ -63,8 +69,8 @@ def _replaced(word: Column, table: dict[str, str], measure: str) -> Column:
     ending = _ending(word, table)
     stem = _cut(word, F.length(ending))
     new = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    hit = word.rlike(f"(?:{'|'.join(table)})$")
-    return F.when(~hit, word).when(stem.rlike(measure), F.concat(stem, new[ending])).otherwise(word)
+    hit = _may_end_in(word, table) & (ending != "")
+    return F.when(hit & stem.rlike(measure), F.concat(stem, new[ending])).otherwise(word)
 
 
 def _plurals(w: Column) -> Column:
@@ -84,7 +90,7 @@ def _past_and_gerund(w: Column) -> Column:
         for suffix in ("ed", "ing")
     ]
     return (
-        F.when(~w.rlike("(?:ed|ing)$"), w)
+        F.when(~(w.endswith("ed") | w.endswith("ing")), w)
         .when(w.endswith("ied") & (F.length(w) == 4), _cut(w, 1))
         .when(w.endswith("ied"), _cut(w, 2))
         .when(w.endswith("eed"), F.when(_cut(w, 3).rlike(M_OVER_0), _cut(w, 1)).otherwise(w))
@@ -99,7 +105,7 @@ def _tidy(marked: Column) -> Column:
     double = (F.length(w) > 1) & (last == before) & w.rlike("[^aeiouy]$|[^aeiouy]yy$")
     return (
         F.when(~marked.endswith("#"), marked)
-        .when(w.rlike("(?:at|bl|iz)$"), F.concat(w, F.lit("e")))
+        .when(F.right(w, F.lit(2)).isin("at", "bl", "iz"), F.concat(w, F.lit("e")))
         .when(double, F.when(last.isin("l", "s", "z"), w).otherwise(_cut(w, 1)))
         .when(w.rlike(M_OVER_0) & ~w.rlike(M_OVER_1) & w.rlike(CVC), F.concat(w, F.lit("e")))
         .otherwise(w)
@@ -109,7 +115,7 @@ def _tidy(marked: Column) -> Column:
 def _final_y(w: Column) -> Column:
     # only after a consonant that is not the first letter
     after_consonant = w.rlike("(?:.[^aeiouy]|[aeiou]y|[^aeiouy]yy)y$")
-    return F.when(after_consonant, F.concat(_cut(w, 1), F.lit("i"))).otherwise(w)
+    return F.when(w.endswith("y") & after_consonant, F.concat(_cut(w, 1), F.lit("i"))).otherwise(w)
 
 
 def _step_2_start(w: Column) -> Column:
@@ -129,8 +135,8 @@ def _step_3(w: Column) -> Column:
 def _step_4(w: Column) -> Column:
     ending = _ending(w, STEP_4)
     stem = _cut(w, F.length(ending))
-    long_enough = stem.rlike(M_OVER_1) & ((ending != "ion") | stem.rlike("[st]$"))
-    return F.when(~w.rlike(f"(?:{'|'.join(STEP_4)})$"), w).when(long_enough, stem).otherwise(w)
+    long_enough = stem.rlike(M_OVER_1) & ((ending != "ion") | stem.endswith("s") | stem.endswith("t"))
+    return F.when(_may_end_in(w, STEP_4) & (ending != "") & long_enough, stem).otherwise(w)
 
 
 def _final_e(w: Column) -> Column:

@@ -2,8 +2,8 @@
 
 The rules are those of Treebank-style word tokenization, reduced to what can survive
 the later alphanumeric filter: a mark that always becomes a token of its own is dropped
-later anyway, so it is replaced by a space at once. A period followed by a space or a
-closing mark ends a sentence; abbreviations are not looked up.
+later anyway, so only words are looked for. A period followed by a space or a closing
+mark ends a sentence; abbreviations are not looked up.
 """
 
 from __future__ import annotations
@@ -31,65 +31,71 @@ ENGLISH_STOP_WORDS = (
     "wasn't weren weren't won won't wouldn wouldn't"
 ).split()
 
-_END = r"([^\p{L}\p{N}_]|$)"
-
-# Pattern and replacement, applied in this order.
-RULES: list[tuple[str, str]] = [
-    # an ellipsis never belongs to a word
-    (r"\.{2,}", " "),
-    # a sentence-final period
-    (r"\.([\s)\";}\]*:@'({\[]|$)", " $1"),
-    # an opening apostrophe before a single character that is no clitic
-    (r"'([^\P{L}mtsdnMTSDN]|[\p{N}_])" + _END, "' $1$2"),
-    # commas and colons, unless a digit follows
-    (r"[:,]([^\p{Nd}])", " $1"),
-    (r"[:,]$", " "),
-    # marks that are always tokens of their own
-    (r"[;@#$%&?!*\"«“‘„`»”’\[\](){}<>]|--|''", " "),
-    # a closing apostrophe
-    (r"'(\s|$)", " $1"),
-    # clitics leave the word they lean on
-    (r"([^'\s])('[sSmMdD]|'ll|'LL|'re|'RE|'ve|'VE|n't|N'T)(\s|$)", "$1 $3"),
-]
+# --- where a token may start and end --------------------------------------------------
+#
+# One pass over the text finds the runs of letters and digits that are tokens of their
+# own, which is all the later filter lets through.
+
+_RUN = r"[\p{L}\p{N}]"
+_WORD = r"[\p{L}\p{N}_]"
+# marks that are always tokens of their own
+_MARK = r";@#$%&?!*\"«“‘„`»”’\[\](){}<>"
+# a period ends a sentence before white space, a closing mark or the end
+_FINAL_PERIOD = r"\.(?=[\s)\";}\]*:@'({\[]|$)"
+# a comma or colon parts words unless a digit follows
+_PLAIN_END = rf"[\s{_MARK}]|$|--|\.\.|[:,](?!\p{{Nd}})|{_FINAL_PERIOD}"
+# clitics leave the word they lean on, as do closing apostrophes
+_CLITIC_END = rf"'(?:[sSmMdD]|ll|LL|re|RE|ve|VE)(?={_PLAIN_END})|'(?={_PLAIN_END})|''"
+# an opening apostrophe before a single character that is no clitic
+_SINGLE = rf"(?:[^\P{{L}}mtsdnMTSDN]|\p{{N}})(?!{_WORD})"
+_END = rf"{_PLAIN_END}|{_CLITIC_END}|'(?:{_SINGLE}|_(?!{_WORD}))"
+
+# dashes, commas and apostrophes pair up from the left, so what precedes must be complete
+_AFTER_MARK = rf"(?<![^\s{_MARK}])"
+_AFTER_DASHES = r"(?<=(?<!-)(?:--){1,8})"
+_AFTER_COMMA = r"(?<=(?<![:,])[:,](?:[:,]{2}){0,8})(?!\p{Nd})"
+_AFTER_QUOTES = r"(?<=(?<!')(?:''){1,8})"
+_START = rf"(?:{_AFTER_MARK}|{_AFTER_DASHES}|(?<=\.\.)|{_AFTER_COMMA}|{_AFTER_QUOTES}|(?<=')(?={_SINGLE}))"
+
+# a negation keeps its "n't" here, so that the rest of the word can be told
+_NEGATION = rf"(?:(?<=n)'t|(?<=N)'T)(?={_PLAIN_END})"
+# the two cheap conditions come first: most positions of a text fail one of them
+TOKEN = rf"(?={_RUN})(?<!{_RUN}){_START}({_RUN}++(?:{_NEGATION})?+)(?={_END})"
 
 # Words written as one that are two tokens.
-FUSED_WORDS = [
-    ("can", "not"), ("d", "'ye"), ("gim", "me"), ("gon", "na"),
-    ("got", "ta"), ("lem", "me"), ("more", "'n"), ("wan", "na"),
-]
+FUSED_WORDS = {
+    "cannot": ("can", "not"), "gimme": ("gim", "me"), "gonna": ("gon", "na"),
+    "gotta": ("got", "ta"), "lemme": ("lem", "me"), "wanna": ("wan", "na"),
+}
 
 
-def split_fused(text: Column) -> Column:
-    # every alternative has two groups of its own; those of the others replace to nothing
-    options = "|".join(f"({a})({b})" for a, b in FUSED_WORDS)
-    n = len(FUSED_WORDS)
-    first = "".join(f"${2 + 2 * i}" for i in range(n))
-    second = "".join(f"${3 + 2 * i}" for i in range(n))
-    pattern = rf"(?i)([^\p{{L}}\p{{N}}_])(?:{options}){_END}"
-    # doubled spaces, so that neighbours do not share the one between them
-    padded = F.concat(F.lit(" "), F.replace(text, F.lit(" "), F.lit("  ")))
-    return F.regexp_replace(padded, pattern, f"$1{first} {second}${2 + 2 * n}")
-
-
-def separated(text: Column) -> Column:
-    """The text with every word standing between white space."""
-    out = F.regexp_replace(text, r"\s+", " ")
-    for pattern, replacement in RULES:
-        out = F.regexp_replace(out, pattern, replacement)
-    return split_fused(out)
+def _split_fused(tokens: Column) -> Column:
+    fused = F.array(*[F.lit(w) for w in FUSED_WORDS])
+    parts = F.create_map(
+        *[x for w, pair in FUSED_WORDS.items() for x in (F.lit(w), F.array(*[F.lit(p) for p in pair]))]
+    )
+    split = F.flatten(F.transform(tokens, lambda t: F.coalesce(F.try_element_at(parts, t), F.array(t))))
+    return F.when(F.arrays_overlap(tokens, fused), split).otherwise(tokens)
 
 
 def words(text: Column) -> Column:
-    """Lower-case alphanumeric tokens in order; everything else is dropped."""
-    # a token counts only as a whole: "5.3" and "well-known" hold other marks and go
-    alphanumeric = r"(?<![^\s])([\p{L}\p{N}]+)(?![^\s])"
-    return F.regexp_extract_all(F.lower(separated(text)), F.lit(alphanumeric), F.lit(1))
+    """Lower-case alphanumeric tokens in order; everything else is dropped.
+
+    A token counts only as a whole: "5.3" and "well-known" hold other marks and go.
+    """
+    found = F.transform(
+        F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1)),
+        lambda t: F.lower(F.when(t.endswith("'t") | t.endswith("'T"), F.substring(t, F.lit(1), F.length(t) - 3)).otherwise(t)),
+    )
+    return bound(found, _split_fused)
 
 
 def content_words(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
     """Tokens without stop words and without tokens that start an address."""
     # filtering keeps repeated tokens, which a set difference would lose
-    return F.filter(words(text), lambda t: ~t.isin(list(stop_words)) & ~t.startswith("http"))
+    return F.filter(
+        words(text), lambda t: (t != "") & ~t.isin(list(stop_words)) & ~t.startswith("http")
+    )
 
 
 def token_counts(tokens: Column) -> Column:
@@ -98,7 +104,7 @@ def token_counts(tokens: Column) -> Column:
     Sorting the document's own tokens puts equal ones side by side; a run's length is
     the distance to the next run.
     """
-    sized = F.struct(F.array_sort(tokens).alias("t"), F.size(tokens).alias("n"))
+    sized = F.struct(F.sort_array(tokens).alias("t"), F.size(tokens).alias("n"))
 
     def runs(doc: Column) -> Column:
         indices = F.when(doc["n"] > 0, F.sequence(F.lit(1), doc["n"])).otherwise(

@@ -1,42 +1,42 @@
-"""Explicit schemas of every table and message. Nothing in the package infers one."""
+"""Explicit schemas, in DDL, of every table and message. Nothing in the package infers one."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-
-def ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
-
-
 # Landing messages: the shapes the feeds deliver.
-NEWS_FEED = ddl(
+NEWS_FEED = (
     "data struct<main:struct<stream:array<struct<content:struct<"
     "title:string,pubDate:string,clickThroughUrl:struct<url:string>,previewUrl:string>>>>>"
 )
-PRICE_FEED = ddl(
+PRICE_FEED = (
     "prices array<struct<date:bigint,open:double,high:double,low:double,close:double,volume:double>>"
 )
 TRADE_LIST_DDL = "array<struct<s:string,p:double,t:bigint,v:double>>"
-TRADE_ENVELOPE = ddl(f"data {TRADE_LIST_DDL}, type string")
+TRADE_ENVELOPE = f"data {TRADE_LIST_DDL}, type string"
 
 # Tables.
-NEWS = ddl("guid string, symbol string, pub_date date, title string, text string")
+NEWS = "guid string, symbol string, pub_date date, title string, text string"
 NEWS_ITEM_DDL = "struct<guid:string,_pubDate:string,_title:string,_symbol:string,_TextNew:string,is_new:int>"
-NEWS_NESTED = ddl(f"symbol string, listOfNews array<{NEWS_ITEM_DDL}>")
-PRICES = ddl(
+NEWS_NESTED = f"symbol string, listOfNews array<{NEWS_ITEM_DDL}>"
+PRICES = (
     "symbol string, bar_date date, open double, high double, low double, close double, volume double"
 )
-DAILY_COUNTS = ddl("symbol string, pos_n bigint, neg_n bigint, pub_date date, batch_id string")
-PROCESSED_NEWS = ddl("guid string, pub_date date, batch_id string")
-MATCHED_DAYS = ddl("symbol string, pub_date date, batch_id string")
-TRADES = ddl("symbol string, ts timestamp, price double, volume double, seq bigint")
-PREDICTIONS = ddl(
+DAILY_COUNTS = "symbol string, pos_n bigint, neg_n bigint, pub_date date, batch_id string"
+CLASSIFIED_NEWS = (
+    "guid string, symbol string, margin double, sentiment string, pub_date date, batch_id string"
+)
+PROCESSED_NEWS = "guid string, pub_date date, batch_id string"
+MATCHED_DAYS = "symbol string, articles bigint, pub_date date, batch_id string"
+TRADES = (
+    "symbol string, ts timestamp, price double, volume double, seq bigint, "
+    "trade_date date, batch_id string"
+)
+MESSAGES = "offset bigint, value string"
+PREDICTIONS = (
     "symbol string, target_date date, high double, low double, close double, volume double"
 )
 
 # The matched dataset as it is exchanged in CSV.
-MATCHED_CSV = ddl(
+MATCHED_CSV = (
     "_pubDate string, symbol string, sentiment string, bullish_indicator double, "
     "bullish_indicator_all_posts double, agreement_indicator double, open double, "
     "high double, low double, close double, volume double"
