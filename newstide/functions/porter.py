@@ -55,22 +55,20 @@ def _may_end_in(word: Column, suffixes) -> Column:
     return F.right(word, F.lit(n)).isin(sorted({s[-n:] for s in suffixes}))
 
 
-def _ending(word: Column, suffixes) -> Column:
-    # searching from the left finds the longest suffix first
-    return F.regexp_extract(word, f"(?:{'|'.join(suffixes)})$", 0)
+def _stem_before(word: Column, suffixes) -> Column:
+    # the shortest stem leaves the longest suffix; empty without any
+    return F.regexp_extract(word, f"^(.*?)(?:{'|'.join(suffixes)})$", 1)
 
 
-def _cut(word: Column, n) -> Column:
-    n = n if isinstance(n, Column) else F.lit(n)
-    return F.substring(word, F.lit(1), F.length(word) - n)
+def _cut(word: Column, n: int) -> Column:
+    return F.substring(word, F.lit(1), F.length(word) - F.lit(n))
 
 
 def _replaced(word: Column, table: dict[str, str], measure: str) -> Column:
-    ending = _ending(word, table)
-    stem = _cut(word, F.length(ending))
     new = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    hit = _may_end_in(word, table) & (ending != "")
-    return F.when(hit & stem.rlike(measure), F.concat(stem, new[ending])).otherwise(word)
+    stem = _stem_before(word, table)
+    rewritten = F.concat(stem, new[F.substring(word, F.length(stem) + F.lit(1), F.length(word))])
+    return F.when(_may_end_in(word, table) & stem.rlike(measure), rewritten).otherwise(word)
 
 
 def _plurals(w: Column) -> Column:
@@ -133,10 +131,8 @@ def _step_3(w: Column) -> Column:
 
 
 def _step_4(w: Column) -> Column:
-    ending = _ending(w, STEP_4)
-    stem = _cut(w, F.length(ending))
-    long_enough = stem.rlike(M_OVER_1) & ((ending != "ion") | stem.endswith("s") | stem.endswith("t"))
-    return F.when(_may_end_in(w, STEP_4) & (ending != "") & long_enough, stem).otherwise(w)
+    stem = _stem_before(w, ["(?<=[st])ion" if s == "ion" else s for s in STEP_4])
+    return F.when(_may_end_in(w, STEP_4) & stem.rlike(M_OVER_1), stem).otherwise(w)
 
 
 def _final_e(w: Column) -> Column:

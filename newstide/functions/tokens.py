@@ -38,12 +38,13 @@ ENGLISH_STOP_WORDS = (
 
 _RUN = r"[\p{L}\p{N}]"
 _WORD = r"[\p{L}\p{N}_]"
+_SPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 # marks that are always tokens of their own
 _MARK = r";@#$%&?!*\"«“‘„`»”’\[\](){}<>"
 # a period ends a sentence before white space, a closing mark or the end
-_FINAL_PERIOD = r"\.(?=[\s)\";}\]*:@'({\[]|$)"
+_FINAL_PERIOD = rf"\.(?=[{_SPACE})\";}}\]*:@'({{\[]|$)"
 # a comma or colon parts words unless a digit follows
-_PLAIN_END = rf"[\s{_MARK}]|$|--|\.\.|[:,](?!\p{{Nd}})|{_FINAL_PERIOD}"
+_PLAIN_END = rf"[{_SPACE}{_MARK}]|$|--|\.\.|[:,](?!\p{{Nd}})|{_FINAL_PERIOD}"
 # clitics leave the word they lean on, as do closing apostrophes
 _CLITIC_END = rf"'(?:[sSmMdD]|ll|LL|re|RE|ve|VE)(?={_PLAIN_END})|'(?={_PLAIN_END})|''"
 # an opening apostrophe before a single character that is no clitic
@@ -51,7 +52,7 @@ _SINGLE = rf"(?:[^\P{{L}}mtsdnMTSDN]|\p{{N}})(?!{_WORD})"
 _END = rf"{_PLAIN_END}|{_CLITIC_END}|'(?:{_SINGLE}|_(?!{_WORD}))"
 
 # dashes, commas and apostrophes pair up from the left, so what precedes must be complete
-_AFTER_MARK = rf"(?<![^\s{_MARK}])"
+_AFTER_MARK = rf"(?<![^{_SPACE}{_MARK}])"
 _AFTER_DASHES = r"(?<=(?<!-)(?:--){1,8})"
 _AFTER_COMMA = r"(?<=(?<![:,])[:,](?:[:,]{2}){0,8})(?!\p{Nd})"
 _AFTER_QUOTES = r"(?<=(?<!')(?:''){1,8})"

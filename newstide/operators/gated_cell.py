@@ -4,9 +4,8 @@ The sequence length is one and the state starts at zero, so the recurrent weight
 the forget gate never act and the network is
 ``h = sigmoid(x Wo + bo) * tanh(sigmoid(x Wi + bi) * tanh(x Wg + bg))``, ``y = h Wd + bd``.
 
-The parameters are a fixed 1,104 numbers. A training step sends them to the tasks,
-every task adds up the gradient of its own rows, and Spark adds up the tasks' gradients;
-rows never leave the executors.
+The parameters are a fixed 1,104 numbers, so only they and the optimizer's state travel
+between the driver and the tasks; rows never leave the executors.
 """
 
 from __future__ import annotations
@@ -27,7 +26,9 @@ N_IN, N_OUT = len(FEATURES), len(TARGETS)
 SHAPES = [(N_IN, UNITS), (UNITS,)] * 3 + [(UNITS, N_OUT), (N_OUT,)]  # gates i, g, o, then the output
 N_PARAMETERS = sum(int(np.prod(s)) for s in SHAPES)
 PARAMETERS = "position int, value double"
-PARTIAL = "position int, value double"
+KEYS = ["symbol", "pub_date"]
+# A task holds its rows in memory while it goes over them again and again.
+ROWS_PER_TASK = 20_000
 
 
 def unpack(flat: np.ndarray) -> list[np.ndarray]:
@@ -72,52 +73,98 @@ def loss_gradient(x: np.ndarray, y: np.ndarray, flat: np.ndarray) -> tuple[float
     return float((error * error).sum() / N_OUT), np.concatenate([p.ravel() for p in parts])
 
 
-def _summed_gradient(rows: DataFrame, flat: np.ndarray) -> tuple[float, np.ndarray]:
-    """Mean loss and mean gradient over all rows; the result has a fixed length."""
-    shared = rows.sparkSession.sparkContext.broadcast(flat)
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(N_PARAMETERS + 2)
-        for batch in batches:
-            x, y = batch[FEATURES].to_numpy(float), batch[TARGETS].to_numpy(float)
-            loss, gradient = loss_gradient(x, y, shared.value)
-            total += np.concatenate([gradient, [loss, len(batch)]])
-        yield pd.DataFrame({"position": np.arange(len(total), dtype="int32"), "value": total})
-
-    sums = rows.mapInPandas(partial, PARTIAL).groupBy("position").agg(F.sum("value").alias("value"))
-    total = np.zeros(N_PARAMETERS + 2)
-    for position, value in sums.collect():  # one number per parameter
+class Adam:
+    """The optimizer's state: parameters, both moments and the number of steps."""
+
+    def __init__(self, flat: np.ndarray, m: np.ndarray, v: np.ndarray, steps: float, rate: float):
+        self.flat, self.m, self.v, self.steps, self.rate = flat, m, v, steps, rate
+
+    def step(self, gradient: np.ndarray) -> None:
+        self.steps += 1
+        self.m = 0.9 * self.m + 0.1 * gradient
+        self.v = 0.999 * self.v + 0.001 * gradient * gradient
+        m, v = self.m / (1 - 0.9**self.steps), self.v / (1 - 0.999**self.steps)
+        self.flat = self.flat - self.rate * m / (np.sqrt(v) + 1e-7)
+
+    def packed(self) -> np.ndarray:
+        return np.concatenate([self.flat, self.m, self.v, [self.steps]])
+
+    @classmethod
+    def unpacked(cls, state: np.ndarray, rate: float) -> Adam:
+        flat, m, v, steps = np.split(state, [N_PARAMETERS, 2 * N_PARAMETERS, 3 * N_PARAMETERS])
+        return cls(flat, m, v, float(steps[0]), rate)
+
+
+def run_epochs(x: np.ndarray, y: np.ndarray, adam: Adam, epochs: int, batch_size: int) -> float:
+    """Pass over the rows in order, one step per batch; the mean loss of the last pass."""
+    loss = 0.0
+    for _ in range(epochs):
+        loss = 0.0
+        for at in range(0, len(x), batch_size):
+            xs, ys = x[at : at + batch_size], y[at : at + batch_size]
+            batch_loss, gradient = loss_gradient(xs, ys, adam.flat)
+            adam.step(gradient / len(xs))
+            loss += batch_loss
+    return loss / max(len(x), 1)
+
+
+def _round(rows: DataFrame, state: np.ndarray, rate: float, epochs: int, batch_size: int) -> np.ndarray:
+    """Train in every task from the same state; the mean state, weighted by rows, and the loss."""
+    shared = rows.sparkSession.sparkContext.broadcast(state)
+    size = len(state) + 2  # state, loss, rows
+
+    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = [b for b in batches if len(b)]  # at most about ROWS_PER_TASK rows
+        if own:
+            table = pd.concat(own).sort_values(KEYS)
+            x, y = table[FEATURES].to_numpy(float), table[TARGETS].to_numpy(float)
+            adam = Adam.unpacked(shared.value.copy(), rate)
+            loss = run_epochs(x, y, adam, epochs, batch_size)
+            total = np.concatenate([adam.packed(), [loss, 1.0]]) * len(x)
+            yield pd.DataFrame({"position": np.arange(size, dtype="int32"), "value": total})
+
+    sums = rows.mapInPandas(local, PARAMETERS).groupBy("position").agg(F.sum("value").alias("value"))
+    total = np.zeros(size)
+    for position, value in sums.collect():  # a fixed number of rows
         total[position] = value
     shared.unpersist()
-    n = max(total[-1], 1.0)
-    return total[-2] / n, total[:-2] / n
+    return total[:-1] / total[-1]
 
 
 def train(
-    rows: DataFrame, path: str, epochs: int = 100, rate: float = 0.001, start: np.ndarray | None = None
+    rows: DataFrame,
+    path: str,
+    epochs: int = 100,
+    epochs_per_round: int = 10,
+    batch_size: int = 1,
+    rate: float = 0.001,
+    start: np.ndarray | None = None,
 ) -> list[float]:
-    """Adam on the mean squared error, one step per epoch over all rows; returns the losses.
+    """Adam on the mean squared error; the loss after every round. The result goes below ``path``.
 
-    ``start`` continues from earlier parameters. The result goes below ``path``.
+    Rows are spread over tasks by their key. In a round every task runs some epochs over
+    its own rows, then the tasks' states are averaged. Data that fits one task is trained
+    as one process would train it. ``start`` continues from earlier parameters.
     """
     spark = rows.sparkSession
     save_ranges(rows, f"{path}/ranges")
-    inputs = scaled(rows, load_ranges(spark, f"{path}/ranges")).select(
-        *[F.col(c).cast("double") for c in FEATURES + TARGETS]
+    tasks = max(1, -(-rows.count() // ROWS_PER_TASK))
+    inputs = (
+        scaled(rows, load_ranges(spark, f"{path}/ranges"))
+        .select(*KEYS, *[F.col(c).cast("double") for c in FEATURES + TARGETS])
+        .repartition(tasks, *KEYS)
+        .persist(StorageLevel.MEMORY_AND_DISK)  # a lost block is computed again
     )
-    inputs = inputs.persist(StorageLevel.MEMORY_AND_DISK)  # a lost block is computed again
-    flat = initial_parameters() if start is None else start.copy()
-    m, v, losses = np.zeros_like(flat), np.zeros_like(flat), []
+    flat = initial_parameters() if start is None else start
+    state, losses = Adam(flat, np.zeros_like(flat), np.zeros_like(flat), 0, rate).packed(), []
     try:
-        for step in range(1, epochs + 1):
-            loss, gradient = _summed_gradient(inputs, flat)
-            losses.append(loss)
-            m = 0.9 * m + 0.1 * gradient
-            v = 0.999 * v + 0.001 * gradient * gradient
-            flat = flat - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-7)
+        for done in range(0, epochs, epochs_per_round):
+            mean = _round(inputs, state, rate, min(epochs_per_round, epochs - done), batch_size)
+            state = mean[:-1]
+            losses.append(float(mean[-1]))
     finally:
         inputs.unpersist()
-    save_parameters(spark, flat, f"{path}/parameters")
+    save_parameters(spark, state[:N_PARAMETERS], f"{path}/parameters")
     return losses
 
 

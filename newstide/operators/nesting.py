@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newstide.operators.rows import exploded
+
 
 def nested(
     frame: DataFrame, keys: list[str], item: Column, spread: Column, name: str, aim: int = 1000
@@ -53,7 +55,7 @@ def open_items(items: Column, run_date: Column) -> Column:
 def flattened(documents: DataFrame) -> DataFrame:
     """Nested documents back to flat news rows, without the flag."""
     n = F.col("n")
-    return documents.select(F.explode("listOfNews").alias("n")).select(
+    return exploded(documents, n=F.col("listOfNews")).select(
         n["guid"].alias("guid"),
         n["_symbol"].alias("symbol"),
         F.try_to_date(n["_pubDate"], "yyyy-MM-dd").alias("pub_date"),

@@ -16,6 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newstide.functions.binding import bound
+from newstide.operators.rows import exploded
+
+DICTIONARY = "word string, freq bigint"
+CORRECTIONS = "token string, corrected string"
 
 # A dictionary up to this many words is sent to every executor (tens of megabytes with
 # its shortened forms); a larger one is joined by shuffling.
@@ -24,7 +28,7 @@ BROADCAST_WORDS = 100_000
 
 def dictionary(tokens: DataFrame, min_count: int = 1) -> DataFrame:
     """``word, freq`` of the a-to-z words in a column ``tokens`` of arrays."""
-    words = tokens.select(F.explode("tokens").alias("word")).where(F.col("word").rlike("^[a-z]+$"))
+    words = exploded(tokens, word=F.col("tokens")).where(F.col("word").rlike("^[a-z]+$"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_count)
 
 
@@ -73,33 +77,29 @@ def _swapped(word: Column) -> Column:
     return F.transform(_positions(word, skip_last=1), swap)
 
 
-def within_edits(a: Column, b: Column, edits: int) -> Column:
-    """Whether one or two edits lead from ``a`` to ``b``.
+def _letters(word: Column) -> Column:
+    return F.array_join(F.array_sort(F.split(word, "")), "")
+
+
+def one_edit(a: Column, b: Column, letters_a: Column, letters_b: Column) -> Column:
+    """Whether one edit leads from ``a`` to ``b``; ``levenshtein`` knows all but the swap."""
+    swap = (letters_a == letters_b) & F.array_contains(_swapped(a), b)
+    return (F.levenshtein(a, b, 1) >= 0) | swap
+
 
-    ``levenshtein`` knows no swaps, so they are tried as the first edit, the last or both.
+def two_edits(a: Column, b: Column, letters_a: Column, letters_b: Column) -> Column:
+    """Whether at most two edits lead from ``a`` to ``b``.
+
+    Swaps are tried as the first edit, the last or both. A swap keeps the letters, so
+    beside it there is one edit in the sorted letters at most (a replaced letter moves and
+    counts twice there), which spares most pairs the trial.
     """
-    if edits == 1:
-        return (F.levenshtein(a, b, 1) >= 0) | F.array_contains(_swapped(a), b)
-    return (
-        (F.levenshtein(a, b, 2) >= 0)
-        | F.exists(_swapped(a), lambda s: F.levenshtein(s, b, 1) >= 0)
+    swaps = (
+        F.exists(_swapped(a), lambda s: F.levenshtein(s, b, 1) >= 0)
         | F.exists(_swapped(b), lambda s: F.levenshtein(a, s, 1) >= 0)
         | F.arrays_overlap(_swapped(a), _swapped(b))
     )
-
-
-def _best(tokens: DataFrame, words: DataFrame, edits: int, broadcast: bool) -> DataFrame:
-    """``token, corrected`` for the tokens with a dictionary word that many edits away."""
-    left = tokens.select("token", F.explode(shortened(F.col("token"), edits)).alias("key"))
-    right = words.select("word", "freq", F.explode(shortened(F.col("word"), edits)).alias("key"))
-    near = F.abs(F.length("token") - F.length("word")) <= edits
-    return (
-        left.join(F.broadcast(right) if broadcast else right, "key")
-        .where(near & within_edits(F.col("token"), F.col("word"), edits))
-        .groupBy("token")
-        .agg(F.max(F.struct("freq", "word")).alias("best"))
-        .select("token", F.col("best.word").alias("corrected"))
-    )
+    return (F.levenshtein(a, b, 2) >= 0) | ((F.levenshtein(letters_a, letters_b, 2) >= 0) & swaps)
 
 
 def corrections(tokens: DataFrame, words: DataFrame) -> DataFrame:
@@ -107,8 +107,7 @@ def corrections(tokens: DataFrame, words: DataFrame) -> DataFrame:
     size, longest = words.agg(F.count(F.lit(1)), F.max(F.length("word"))).first()
     if not size:
         return tokens.select("token", F.col("token").alias("corrected")).where(F.lit(False))
-    small = size <= BROADCAST_WORDS
-    token = F.col("token")
+    spark, token = tokens.sparkSession, F.col("token")
     unknown = (
         tokens.select("token")
         .distinct()
@@ -119,9 +118,21 @@ def corrections(tokens: DataFrame, words: DataFrame) -> DataFrame:
         .where(F.length(F.regexp_replace(token, "[a-z]", "")) <= 2)
         .join(words.select(F.col("word").alias("token")), "token", "left_anti")
     )
-    one = _best(unknown, words, 1, small)
-    two = _best(unknown.join(one.select("token"), "token", "left_anti"), words, 2, small)
-    return one.unionByName(two)
+    # few bytes but much work per token, so a small number of bytes must not end in one task
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    unknown = unknown.repartition(tasks).withColumn("token_letters", _letters(token))
+    left = exploded(unknown, "token", "token_letters", key=shortened(token, 2))
+    word = F.col("word")
+    known = words.withColumn("word_letters", _letters(word))
+    right = exploded(known, "word", "freq", "word_letters", key=shortened(word, 2))
+    pair = [token, word, F.col("token_letters"), F.col("word_letters")]
+    return (
+        left.join(F.broadcast(right) if size <= BROADCAST_WORDS else right, "key")
+        .where((F.abs(F.length(token) - F.length(word)) <= 2) & two_edits(*pair))
+        .groupBy("token")
+        .agg(F.max(F.struct(one_edit(*pair), "freq", "word")).alias("best"))
+        .select("token", F.col("best.word").alias("corrected"))
+    )
 
 
 def corrected_tokens(docs: DataFrame, changes: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -130,7 +141,7 @@ def corrected_tokens(docs: DataFrame, changes: DataFrame, key: str = "doc_id") -
     Only distinct tokens per document travel to the join, and only the few changed ones
     come back, as a map per document.
     """
-    used = docs.select(key, F.explode(F.array_distinct("tokens")).alias("token"))
+    used = exploded(docs, key, token=F.array_distinct("tokens"))
     maps = (
         used.join(changes, "token")
         .groupBy(key)

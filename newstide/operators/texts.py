@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from newstide.functions.porter import stem_words
 from newstide.functions.tokens import ENGLISH_STOP_WORDS, content_words, token_counts
-from newstide.operators.spelling import corrected_tokens, corrections
+from newstide.operators.rows import exploded
+from newstide.operators.spelling import CORRECTIONS, corrected_tokens, corrections
 
 
 def with_tokens(docs: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> DataFrame:
@@ -19,20 +20,30 @@ def with_tokens(docs: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS)
 
 def with_stems(
     docs: DataFrame,
-    words: DataFrame | None = None,
-    key: str = "doc_id",
     stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
 ) -> DataFrame:
-    """Replace ``text`` by cleaned ``tokens``: content words, stemmed, then corrected.
+    """Replace ``text`` by ``tokens``: content words, stemmed."""
+    stems = stem_words(content_words(F.col("text"), stop_words))
+    return docs.withColumn("tokens", stems).drop("text")
+
+
+def with_corrected_stems(docs: DataFrame, words: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
+    """Replace ``text`` by ``tokens``: content words, stemmed, then corrected.
 
-    Without a dictionary the spelling step is left out.
+    Stems and corrections are read several times, so both are written below ``folder``
+    and the texts are worked through once.
     """
-    stems = stem_words(content_words(F.col("text"), stop_words))
-    cleaned = docs.withColumn("tokens", stems).drop("text")
-    if words is None:
-        return cleaned
-    distinct = cleaned.select(F.explode("tokens").alias("token"))
-    return corrected_tokens(cleaned, corrections(distinct, words), key)
+    spark, stemmed = docs.sparkSession, with_stems(docs)
+    stemmed.write.mode("overwrite").parquet(f"{folder}/stems")
+    stemmed = spark.read.schema(stemmed.schema).parquet(f"{folder}/stems")
+    changes = corrections(distinct_tokens(stemmed), words)
+    changes.write.mode("overwrite").parquet(f"{folder}/corrections")
+    changes = spark.read.schema(CORRECTIONS).parquet(f"{folder}/corrections")
+    return corrected_tokens(stemmed, changes, key)
+
+
+def distinct_tokens(docs: DataFrame) -> DataFrame:
+    return exploded(docs, token=F.col("tokens")).distinct()
 
 
 def cleaned_text(docs: DataFrame) -> DataFrame:
@@ -47,7 +58,8 @@ def with_terms(docs: DataFrame) -> DataFrame:
 def term_rows(docs: DataFrame) -> DataFrame:
     """One row per document and term."""
     rest = [c for c in docs.columns if c != "terms"]
-    return docs.select(*rest, F.inline("terms"))
+    rows = exploded(docs, *rest, term=F.col("terms"))
+    return rows.select(*rest, "term.token", "term.n")
 
 
 def bag_of_words(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -89,7 +89,11 @@ def classify_open_news(
         return False
     todo = within(stored, "pub_date", days).join(open_keys, ["guid", "pub_date"], "left_semi")
     docs = todo.select("guid", "symbol", "pub_date", "text")
-    terms = texts.with_terms(texts.with_stems(docs, words, key="guid"))
+    if words is None:
+        tokens = texts.with_stems(docs)
+    else:
+        tokens = texts.with_corrected_stems(docs, words, store.path(f"work/{batch_id}"), "guid")
+    terms = texts.with_terms(tokens)
     scored = naive_bayes.score(terms, model, "guid", "symbol", "pub_date")
     tables.replace_batch(scored, store.path("classified_news"), batch_id, "pub_date")
 

@@ -1 +1,374 @@
-ORACLES = {}
+"""What the registered queries must return, as DuckDB SQL over the same tables.
+
+The texts of the SQL are written on their own: the tokenizer rewrites the text rule by
+rule where the Spark side looks for tokens in one pass, and paragraphs are nested with
+window functions.
+"""
+
+from __future__ import annotations
+
+from newstide.functions.html import ENTITIES
+from newstide.functions.porter import CVC, HAS_VOWEL, IRREGULAR, M_OVER_0, M_OVER_1, STEP_2, STEP_3, STEP_4
+from newstide.functions.tokens import ENGLISH_STOP_WORDS, FUSED_WORDS
+from newstide.schemas import FEATURES, TARGETS
+
+RUN_DAY = "date '2024-01-16'"
+
+
+def text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def listed(values) -> str:
+    return ", ".join(text(v) for v in values)
+
+
+def published(n: str) -> str:
+    return f"cast(date '2024-01-01' + cast({n} % 29 as int) as date)"
+
+
+ARTICLES = f"""
+articles as (
+  select doc_id, sha256(title || '|' || symbol || '|' || strftime(pub_date, '%Y-%m-%d')) as guid,
+         symbol, pub_date, title, text
+  from (select doc_id, source as symbol, {published("doc_id")} as pub_date,
+               split_part(text, chr(10), 1) as title, text
+        from documents))"""
+
+COUNTS = f"""
+classified as (
+  select d.doc_id, d.source as symbol, {published("d.doc_id")} as pub_date, l.quality = 1 as positive
+  from documents d join labels l on d.doc_id = l.doc_id),
+counts as (
+  select symbol, pub_date, cast(count(*) filter (positive) as bigint) as pos_n,
+         cast(count(*) filter (not positive) as bigint) as neg_n
+  from classified group by symbol, pub_date)"""
+
+INDICATORS = """
+daily as (
+  select symbol, pub_date, pos_n, neg_n, b,
+         case when b > 0 then 'positive' when b < 0 then 'negative' else 'neutral' end as sentiment,
+         b * ln(1 + pos_n + neg_n) as b_all, 1 - sqrt(1 - b * b) as agree
+  from (select *, cast(pos_n - neg_n as double) / (pos_n + neg_n) as b from counts))"""
+
+DAILY = f"{COUNTS}, {INDICATORS}"
+ROUNDED = """round(b, 6) as bullish_indicator, round(b_all, 6) as bullish_indicator_all_posts,
+       round(agree, 6) as agreement_indicator"""
+DAILY_ROWS = f"select symbol, pub_date, pos_n, neg_n, sentiment, {ROUNDED} from daily"
+
+TICKS = """
+ticks as (
+  select concat('src', cast(user_id % 20 as varchar)) as symbol, ts, value as price, event_type,
+         cast(json_extract_string(props, '$.k') as double) as volume, event_id as seq
+  from events)"""
+
+
+def bars(source: str = "ticks") -> str:
+    return f"""
+  select symbol, cast(ts as date) as bar_date, arg_min(price, seq) as open, max(price) as high,
+         min(price) as low, arg_max(price, seq) as close, round(sum(volume), 6) as volume
+  from {source} group by 1, 2"""
+
+
+BARS = f"{TICKS}, bars as ({bars()})"
+MATCHED = f"""{DAILY}, {BARS},
+matched as (
+  select d.*, x.open, x.high, x.low, x.close, x.volume
+  from daily d join bars x on d.symbol = x.symbol and d.pub_date + 1 = x.bar_date)"""
+ENCODED = f"""{MATCHED},
+encoded as (
+  select symbol, pub_date, case when sentiment = 'positive' then 1 else 0 end as sentiment,
+         b as bullish_indicator, b_all as bullish_indicator_all_posts, agree as agreement_indicator,
+         open, high, low, close, volume
+  from matched)"""
+
+# --- text ---------------------------------------------------------------------------------
+
+SPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}"
+EDGE = r"([^\p{L}\p{N}_]|$)"
+RULES = [
+    (rf"[{SPACE}]+", " "),
+    (r"\.{2,}", " "),
+    (r"\.([ )\";}\]*:@'({\[]|$)", r" \1"),
+    (r"'([^\P{L}mtsdnMTSDN]|[\p{N}_])" + EDGE, r"' \1\2"),
+    (r"[:,]([^\p{Nd}])", r" \1"),
+    (r"[:,]$", " "),
+    (r"[;@#$%&?!*\"«“‘„`»”’\[\](){}<>]|--|''", " "),
+    (r"'( |$)", r" \1"),
+    (r"([^' ])('[sSmMdD]|'ll|'LL|'re|'RE|'ve|'VE|n't|N'T)( |$)", r"\1 \3"),
+    (r" ", "  "),
+    (r"^|$", " "),
+] + [(rf"(?i) ({a})({b}) ", r" \1  \2 ") for a, b in FUSED_WORDS.values()]
+
+
+def separated(column: str) -> str:
+    for pattern, replacement in RULES:
+        column = f"regexp_replace({column}, {text(pattern)}, {text(replacement)}, 'g')"
+    return column
+
+
+def word_list(column: str) -> str:
+    return f"""list_filter(string_split_regex(lower({separated(column)}), ' +'), lambda w:
+      regexp_full_match(w, '[\\p{{L}}\\p{{N}}]+') and not starts_with(w, 'http')
+      and not list_contains([{listed(ENGLISH_STOP_WORDS)}], w))"""
+
+
+# one row per content word of a document, numbered in order
+WORDS = f"""
+word_lists as (select doc_id, {word_list("text")} as words from documents),
+words as (
+  select doc_id, unnest(words) as token, generate_subscripts(words, 1) as place from word_lists)"""
+
+
+def cut(n) -> str:
+    return f"left(w, len(w) - {n})"
+
+
+def has(expression: str, pattern: str) -> str:
+    return f"regexp_matches({expression}, {text(pattern)})"
+
+
+def table_step(table: dict[str, str], measure: str, first: str = "") -> str:
+    branches = " ".join(
+        f"when ends_with(w, {text(old)}) then case when {has(cut(len(old)), measure)} "
+        f"then {cut(len(old))} || {text(new)} else w end"
+        for old, new in sorted(table.items(), key=lambda kv: -len(kv[0]))
+    )
+    return f"case {first} {branches} else w end"
+
+
+DOUBLE = f"(right(w, 1) = left(right(w, 2), 1) and len(w) > 1 and {has('w', '[^aeiouy]$|[^aeiouy]yy$')})"
+STEM_STEPS = [
+    f"""case when ends_with(w, 'ies') and len(w) = 4 then {cut(1)}
+      when ends_with(w, 'sses') or ends_with(w, 'ies') then {cut(2)}
+      when ends_with(w, 'ss') then w when ends_with(w, 's') then {cut(1)} else w end""",
+    f"""case when ends_with(w, 'ied') then case when len(w) = 4 then {cut(1)} else {cut(2)} end
+      when ends_with(w, 'eed') then case when {has(cut(3), M_OVER_0)} then {cut(1)} else w end
+      when ends_with(w, 'ed') and {has(cut(2), HAS_VOWEL)} then {cut(2)} || '#'
+      when ends_with(w, 'ing') and {has(cut(3), HAS_VOWEL)} then {cut(3)} || '#' else w end""",
+    "case when ends_with(w, '#') then '#' || left(w, len(w) - 1) else w end",
+    f"""case when left(w, 1) <> '#' then w
+      when {has("w", "(at|bl|iz)$")} then substr(w, 2) || 'e'
+      when {DOUBLE} then case when right(w, 1) in ('l', 's', 'z') then substr(w, 2) else substr({cut(1)}, 2) end
+      when {has("substr(w, 2)", M_OVER_0)} and not {has("substr(w, 2)", M_OVER_1)}
+        and {has("substr(w, 2)", CVC)} then substr(w, 2) || 'e' else substr(w, 2) end""",
+    f"case when {has('w', '(.[^aeiouy]|[aeiou]y|[^aeiouy]yy)y$')} then {cut(1)} || 'i' else w end",
+    f"case when ends_with(w, 'alli') and {has(cut(4), M_OVER_0)} then {cut(2)} else w end",
+    table_step(
+        STEP_2,
+        M_OVER_0,
+        f"when ends_with(w, 'logi') then case when {has(cut(3), M_OVER_0)} then {cut(1)} else w end",
+    ),
+    table_step(STEP_3, M_OVER_0),
+    "case "
+    + " ".join(
+        f"when ends_with(w, {text(s)}) then case when {has(cut(len(s)), M_OVER_1)}"
+        + (f" and {has(cut(3), '[st]$')}" if s == "ion" else "")
+        + f" then {cut(len(s))} else w end"
+        for s in sorted(STEP_4, key=lambda s: -len(s))
+    )
+    + " else w end",
+    f"""case when ends_with(w, 'e') and ({has(cut(1), M_OVER_1)}
+      or {has(cut(1), M_OVER_0)} and not {has(cut(1), CVC)}) then {cut(1)} else w end""",
+    f"case when ends_with(w, 'll') and {has(cut(1), M_OVER_1)} then {cut(1)} else w end",
+]
+
+
+def stemmed(source: str) -> str:
+    """CTEs that end in ``stemmed(token, stem)`` for the distinct tokens of a source."""
+    pool = " ".join(f"when {text(k)} then {text(v)}" for k, v in IRREGULAR.items())
+    ctes = [f"s0 as (select distinct token, token as w from {source})"]
+    for i, step in enumerate(STEM_STEPS):
+        ctes.append(f"s{i + 1} as (select token, {step} as w from s{i})")
+    ctes.append(
+        f"stemmed as (select token, case when token in ({listed(IRREGULAR)}) then case token {pool} end "
+        f"when len(token) <= 2 then token else w end as stem from s{len(STEM_STEPS)})"
+    )
+    return ", ".join(ctes)
+
+
+STEMMED = f"{WORDS}, {stemmed('words')}"
+STEM_ROWS = f"""{STEMMED},
+stem_rows as (select doc_id, place, stem as token from words join stemmed using (token))"""
+
+TEXT_DIGEST = """
+  select d.doc_id, len(coalesce(cleaned, '')) as characters, md5(coalesce(cleaned, '')) as digest
+  from documents d left join
+    (select doc_id, string_agg(token, ' ' order by place) as cleaned from {rows} group by doc_id) c
+  on d.doc_id = c.doc_id"""
+
+BAYES = f"""{STEM_ROWS},
+terms as (select doc_id, token, count(*) as n from stem_rows group by 1, 2),
+token_counts as (
+  select token, sum(case when quality = 1 then n else 0 end) as pos_n,
+         sum(case when quality = 1 then 0 else n end) as neg_n
+  from terms join labels using (doc_id) group by token),
+totals as (select sum(pos_n) as pos_t, sum(neg_n) as neg_t, count(*) as v from token_counts),
+classes as (
+  select count(*) filter (quality = 1) as pos_d, count(*) filter (quality <> 1) as neg_d
+  from documents join labels using (doc_id)),
+logs as (
+  select token, ln((pos_n + 1.0) / (pos_t + v)) as pos_log, ln((neg_n + 1.0) / (neg_t + v)) as neg_log
+  from token_counts, totals),
+scored as (
+  select d.doc_id, source as symbol, {published("d.doc_id")} as pub_date,
+         coalesce(m.margin, 0) + ln(pos_d) - ln(neg_d) as margin
+  from documents d cross join classes left join
+    (select doc_id, sum(n * (pos_log - neg_log)) as margin from terms join logs using (token)
+     group by doc_id) m on d.doc_id = m.doc_id)"""
+
+
+# --- pages --------------------------------------------------------------------------------
+
+
+def unescaped(column: str) -> str:
+    # the ampersand itself last, so that what it uncovers is not decoded again
+    for name, char in [*((k, v) for k, v in ENTITIES.items() if k != "amp"), ("amp", "&")]:
+        column = f"replace({column}, '&{name};', {text(char)})"
+    return column
+
+
+PAGE_TEXT = f"""
+inner_html as (
+  select page_id, url, regexp_extract(
+    regexp_replace(html, '(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>', '', 'g'),
+    '(?is)<article\\b[^>]*>(.*?)</article>', 1) as body
+  from pages),
+marked as (
+  select page_id, url, regexp_replace(regexp_replace(regexp_replace(body,
+    '(?i)<p(\\s[^>]*)?>', chr(64976), 'g'), '(?i)</p\\s*>', chr(64977), 'g'), '<[^>]*>', '', 'g') as body
+  from inner_html),
+marks as (
+  select page_id, unnest(regexp_extract_all(body, '[' || chr(64976) || chr(64977) || ']')) as mark,
+         unnest(string_split_regex(body, '[' || chr(64976) || chr(64977) || ']')[2:]) as part,
+         unnest(range(1, len(regexp_extract_all(body, '[' || chr(64976) || chr(64977) || ']')) + 1)) as i
+  from marked),
+sums as (
+  select *, sum(case when mark = chr(64976) then 1 else -1 end)
+              over (partition by page_id order by i) as level
+  from marks),
+depths as (
+  select *, level - least(0, min(level) over (partition by page_id order by i)) as depth from sums),
+spans as (
+  select o.page_id, o.i, coalesce(min(c.i), 1000000) as until
+  from depths o left join depths c
+    on c.page_id = o.page_id and c.i > o.i and c.mark = chr(64977) and c.depth < o.depth
+  where o.mark = chr(64976) group by 1, 2),
+paragraphs as (
+  select s.page_id, s.i, string_agg(m.part, '' order by m.i) as paragraph
+  from spans s join marks m on m.page_id = s.page_id and m.i >= s.i and m.i < s.until group by 1, 2),
+page_texts as (
+  select m.page_id, m.url,
+         coalesce(string_agg({unescaped("paragraph")} || chr(10), '' order by i), '') as text
+  from marked m left join paragraphs p on m.page_id = p.page_id group by 1, 2)"""
+
+NEWS_FEED = f"""
+feed as (
+  select concat('src', cast(page_id % 20 as varchar)) as symbol, page_id,
+         regexp_extract(html, '(?s)<title>(.*?)</title>', 1) as title,
+         case when contains(url, '#top') then null else {published("page_id")} end as pub_date,
+         case when starts_with(url, 'https') then url
+              when contains(url, 'ref=') then null else url end as url,
+         case when contains(url, '#top') then 'no publication day' end as problem
+  from pages)"""
+
+OHLC = "open, high, low, close"
+MILLIS = "epoch_us(ts) // 1000"
+
+ORACLES: dict[str, str] = {
+    "daily_sentiment": f"with {DAILY} {DAILY_ROWS}",
+    "incremental_merge": f"with {DAILY} {DAILY_ROWS}",
+    "stream_daily_sentiment": f"with {DAILY} {DAILY_ROWS}",
+    "symbol_day": f"with {DAILY} {DAILY_ROWS} where symbol = 'src8' and pub_date = date '2024-01-12'",
+    "unmatched_days": f"""with {DAILY}, {BARS}
+        select symbol, pub_date, pos_n + neg_n as articles from daily d where not exists
+          (select 1 from bars x where x.symbol = d.symbol and x.bar_date = d.pub_date + 1)""",
+    "daily_bars": f"with {BARS} select * from bars",
+    "price_feed_rows": f"with {BARS} select * from bars",
+    "latest_open": f"with {BARS} select symbol, max(bar_date) as bar_date, arg_max(open, bar_date) as open from bars group by 1",
+    "missing_previous_day": f"""with {BARS} select symbol, bar_date from bars b where not exists
+          (select 1 from bars x where x.symbol = b.symbol and x.bar_date = b.bar_date - 1)""",
+    "new_price_rows": f"""with {BARS} select symbol, bar_date, {OHLC}, volume from bars b where not exists
+          (select 1 from ticks t where t.event_type = 'purchase' and t.symbol = b.symbol
+           and cast(t.ts as date) = b.bar_date)""",
+    "matched_dataset": f"with {MATCHED} select pub_date, symbol, sentiment, {ROUNDED}, {OHLC}, volume from matched",
+    "matched_csv": f"""with {MATCHED} select strftime(pub_date, '%Y-%m-%d') as _pubDate, symbol, sentiment,
+          {ROUNDED}, {OHLC}, volume from matched""",
+    "encoded_features": f"""with {MATCHED} select symbol, pub_date,
+          case when sentiment = 'positive' then 1 else 0 end as sentiment, {ROUNDED}, {OHLC}, volume from matched""",
+    "feature_ranges": f"with {ENCODED} "
+    + " union all ".join(
+        f"select '{c}' as feature, round(cast(min({c}) as double), 6) as low, round(cast(max({c}) as double), 6) as high from encoded"
+        for c in FEATURES
+    ),
+    "minmax_features": f"with {ENCODED} select symbol, pub_date, "
+    + ", ".join(
+        f"round(case when max({c}) over () > min({c}) over () then cast({c} - min({c}) over () as double) "
+        f"/ (max({c}) over () - min({c}) over ()) else 0.0 end, 6) as {c}"
+        for c in FEATURES
+    )
+    + " from encoded",
+    "serving_features": f"""with {DAILY}, {BARS}
+        select d.symbol, d.pub_date + 1 as target_date,
+               case when sentiment = 'positive' then 1 else 0 end as sentiment, {ROUNDED}, x.open
+        from daily d join bars x on d.symbol = x.symbol and x.bar_date = {RUN_DAY}
+        where d.pub_date = {RUN_DAY} - 1""",
+    "open_high_regression": f"with {MATCHED} select "
+    + ", ".join(
+        f"round(regr_slope({t}, open), 4) as {t}_slope, round(regr_intercept({t}, open), 4) as {t}_intercept"
+        for t in TARGETS
+    )
+    + " from matched",
+    "prediction_points": f"""with {MATCHED} select concat('stock_predictions,symbol=', symbol, ',date=',
+          strftime(pub_date + 1, '%Y-%m-%d'), ' high=', high, ',low=', low, ',close=', close,
+          ',volume=', volume) as value from matched""",
+    "article_guid": f"with {ARTICLES} select guid, count(*) as n from articles group by guid",
+    "distinct_articles": f"""with {ARTICLES} select symbol, count(*) as n, cast(sum(doc_id) as bigint) as doc_ids
+        from (select guid, symbol, min(doc_id) as doc_id from articles group by 1, 2) group by symbol""",
+    "unseen_articles": f"""with {ARTICLES} select guid, symbol, pub_date, len(arg_min(title, (title, text))) as title_length
+        from articles where guid not in (select guid from articles join labels using (doc_id))
+        group by guid, symbol, pub_date""",
+    "open_news": f"""with {ARTICLES} select doc_id, guid, symbol, pub_date from articles
+        where pub_date < {RUN_DAY} and guid not in (select guid from articles join labels using (doc_id))""",
+    "top_n_news": f"""with {ARTICLES} select symbol, cast(rank as int) as rank, doc_id, pub_date from (
+          select *, row_number() over (partition by symbol order by pub_date desc, doc_id) as rank from articles)
+        where rank <= 3""",
+    "nested_news": f"""with {ARTICLES},
+        parts as (select symbol, cast(ceil(count(*) / 20) as bigint) as parts from articles group by 1)
+        select a.symbol, cast('0x' || left(guid, 8) as bigint) % parts as part, count(*) as articles,
+               count(*) filter (l.doc_id is null and pub_date < {RUN_DAY}) as open_articles,
+               min(guid) as first_guid
+        from articles a join parts using (symbol) left join labels l on l.doc_id = a.doc_id group by 1, 2""",
+    "flattened_news": f"with {ARTICLES} select guid, symbol, pub_date, len(text) as text_length from articles",
+    "new_symbols": """select distinct source from documents join labels using (doc_id) where source not in
+          (select source from documents join labels using (doc_id) where toxic = 1)""",
+    "news_feed_rows": f"with {NEWS_FEED} select symbol, title, pub_date, url, problem from feed",
+    "news_feed_rejects": f"""with {NEWS_FEED} select symbol, problem, count(*) as n from feed
+        where problem is not null group by 1, 2""",
+    "news_feed_articles": f"""with {NEWS_FEED}, {PAGE_TEXT}
+        select sha256(title || '|' || symbol || '|' || strftime(pub_date, '%Y-%m-%d')) as guid, symbol, pub_date,
+               len(t.text) as text_length
+        from feed f join page_texts t on f.url = t.url where problem is null""",
+    "chosen_url": """select page_id, case when starts_with(url, 'https') then url
+          when contains(url, 'ref=') then null else url end as chosen from pages""",
+    "page_text": f"with {PAGE_TEXT} select page_id, len(text) as characters, md5(text) as digest from page_texts",
+    "tokens": f"with {WORDS} select doc_id, token, count(*) as n from words group by 1, 2",
+    "stems": f"with {STEMMED} select token, stem from stemmed",
+    "cleaned_text": f"with {STEM_ROWS} {TEXT_DIGEST.format(rows='stem_rows')}",
+    "nb_model": f"with {BAYES} select token, round(pos_log, 6) as pos_log, round(neg_log, 6) as neg_log from logs",
+    "bag_of_words": f"with {BAYES} select doc_id, token, n from terms where token in (select token from token_counts)",
+    "nb_predict": f"""with {BAYES} select doc_id, round(margin, 4) as margin,
+          case when margin > 0 then 'positive' else 'negative' end as sentiment from scored""",
+    "predicted_daily_sentiment": f"""with {BAYES}, counts as (
+          select symbol, pub_date, count(*) filter (margin > 0) as pos_n, count(*) filter (margin <= 0) as neg_n
+          from scored group by 1, 2), {INDICATORS} {DAILY_ROWS}""",
+    "event_json": "select event_id, cast(json_extract(props, '$.k') as int) as k from events",
+    "trades_explode": f"with {TICKS} select symbol, {MILLIS} as t, price, volume from ticks",
+    "stream_trades": f"with {TICKS} select symbol, {MILLIS} as t, arg_max(price, seq) as price, arg_max(volume, seq) as volume from ticks group by 1, 2",
+    "republished_messages": f"""with {TICKS} select seq as "offset", symbol as s, price as p, {MILLIS} as t, volume as v
+        from ticks where event_type <> 'error'""",
+    "last_writes": f"""with {TICKS} select symbol, epoch_ms(date_trunc('hour', ts)) as t, arg_max(price, seq) as price,
+          arg_max(volume, seq) as volume, max(seq) as seq from ticks group by 1, 2""",
+    "trade_points": f"""with {TICKS} select concat('stock_prices,symbol=', symbol, ' price=', price, ',volume=', volume,
+          ' ', {MILLIS}) as value from ticks""",
+}

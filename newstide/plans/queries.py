@@ -30,7 +30,7 @@ from newstide.session import work_folder
 from newstide.sinks import points, tables
 from newstide.sources import fixtures, landing
 from newstide.sources.streams import table_rows
-from newstide.sources.tables import distinct_keys, known, on_day, read_matched_csv, read_table, unknown
+from newstide.sources.tables import distinct_keys, known, on_day, read_matched_csv, read_table, spread, unknown
 from newstide.streaming import ticks as tick_stream
 from newstide.streaming.news import write_daily_counts
 
@@ -351,7 +351,7 @@ def news_feed_rows(spark, sf_dir):
 def news_feed_articles(spark, sf_dir):
     """Feed messages joined with the fetched pages: the rows the news store gets."""
     entries = landing.news_entries(_news_messages(spark, sf_dir))
-    pages = fixtures.table(spark, sf_dir, "pages")
+    pages = spread(fixtures.table(spark, sf_dir, "pages"))
     rows = landing.news_rows(landing.with_article_text(entries, pages, "article", None))
     return rows.select("guid", "symbol", "pub_date", F.length("text").alias("text_length"))
 
@@ -376,7 +376,7 @@ def page_text(spark, sf_dir):
     """Article text of every page, identified by its hash."""
     text = article_text(F.col("html"), "article", None)
     return (
-        fixtures.table(spark, sf_dir, "pages")
+        spread(fixtures.table(spark, sf_dir, "pages"))
         .select("page_id", text.alias("text"))
         .select("page_id", F.length("text").alias("characters"), F.md5("text").alias("digest"))
     )
@@ -386,7 +386,7 @@ def page_text(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    return fixtures.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(fixtures.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query
@@ -398,8 +398,8 @@ def tokens(spark, sf_dir):
 @query
 def stems(spark, sf_dir):
     """Distinct content words and their stems."""
-    every = texts.with_tokens(_documents(spark, sf_dir)).select(F.explode("tokens").alias("token"))
-    return every.distinct().withColumn("stem", stem(F.col("token")))
+    every = texts.distinct_tokens(texts.with_tokens(_documents(spark, sf_dir)))
+    return every.withColumn("stem", stem(F.col("token")))
 
 
 @query
@@ -409,34 +409,27 @@ def cleaned_text(spark, sf_dir):
     return out.select("doc_id", F.length("cleaned").alias("characters"), F.md5("cleaned").alias("digest"))
 
 
-def _dictionary(spark, sf_dir):
-    """Frequent stems, written because both spelling levels read them."""
-    folder = work_folder(spark, "dictionary")
-    stemmed = texts.with_stems(_documents(spark, sf_dir))
-    spelling.dictionary(stemmed, KNOWN_WORD_COUNT).write.parquet(folder)
-    return spark.read.schema("word string, freq bigint").parquet(folder)
-
-
-def _corrections(spark, sf_dir, words):
-    """Changed tokens, written because documents are corrected with them."""
-    folder = work_folder(spark, "corrections")
-    stemmed = texts.with_stems(_documents(spark, sf_dir))
-    distinct = stemmed.select(F.explode("tokens").alias("token")).distinct()
-    spelling.corrections(distinct, words).write.parquet(folder)
-    return spark.read.schema("token string, corrected string").parquet(folder)
+def _written(frame, name):
+    """A table read several times, written once."""
+    spark, folder = frame.sparkSession, work_folder(frame.sparkSession, name)
+    frame.write.parquet(folder)
+    return spark.read.schema(frame.schema).parquet(folder)
 
 
 @query
 def spell(spark, sf_dir):
     """Stems that are no dictionary word and what they are corrected to."""
-    return _corrections(spark, sf_dir, _dictionary(spark, sf_dir))
+    stemmed = _written(texts.with_stems(_documents(spark, sf_dir)), "stems")
+    words = _written(spelling.dictionary(stemmed, KNOWN_WORD_COUNT), "dictionary")
+    return spelling.corrections(texts.distinct_tokens(stemmed), words)
 
 
 @query
 def corrected_text(spark, sf_dir):
     """Documents cleaned, stemmed and corrected."""
-    changes = _corrections(spark, sf_dir, _dictionary(spark, sf_dir))
-    out = spelling.corrected_tokens(texts.with_stems(_documents(spark, sf_dir)), changes)
+    docs = _documents(spark, sf_dir)
+    words = _written(spelling.dictionary(texts.with_stems(docs), KNOWN_WORD_COUNT), "dictionary")
+    out = texts.with_corrected_stems(docs, words, work_folder(spark, "corrected"))
     return texts.cleaned_text(out).select(
         "doc_id", F.length("cleaned").alias("characters"), F.md5("cleaned").alias("digest")
     )
@@ -479,7 +472,7 @@ def nb_predict(spark, sf_dir):
 def predicted_daily_sentiment(spark, sf_dir):
     """From texts to daily sentiment: clean, classify, count."""
     model = _sentiment_model(spark, sf_dir)
-    articles = fixtures.articles(spark, sf_dir).select("doc_id", "symbol", "pub_date", "text")
+    articles = spread(fixtures.articles(spark, sf_dir).select("doc_id", "symbol", "pub_date", "text"))
     docs = texts.with_terms(texts.with_stems(articles))
     scored = naive_bayes.score(docs, model, "doc_id", "symbol", "pub_date")
     return rounded(daily.daily_sentiment(scored), *BULLISH)
@@ -557,8 +550,8 @@ def trade_points(spark, sf_dir):
 def stream_trades(spark, sf_dir):
     """The ticks table streamed through the trade sink."""
     folder = work_folder(spark, "trades")
-    source = f"{sf_dir}/events.parquet"
-    events = table_rows(spark, source, fixtures.table(spark, sf_dir, "events").schema)
+    schema = fixtures.table(spark, sf_dir, "events").schema
+    events = table_rows(spark, sf_dir, schema, "events.parquet")
     trade = F.struct(
         F.col("symbol").alias("s"), F.col("price").alias("p"), F.unix_millis("ts").alias("t"), F.col("volume").alias("v")
     )
@@ -578,8 +571,8 @@ def stream_trades(spark, sf_dir):
 def stream_daily_sentiment(spark, sf_dir):
     """Daily sentiment from documents arriving as a stream."""
     folder = work_folder(spark, "daily")
-    documents = fixtures.table(spark, sf_dir, "documents")
-    arriving = table_rows(spark, f"{sf_dir}/documents.parquet", documents.schema).select(
+    schema = fixtures.table(spark, sf_dir, "documents").schema
+    arriving = table_rows(spark, sf_dir, schema, "documents.parquet").select(
         "doc_id", F.col("source").alias("symbol"), fixtures.published(F.col("doc_id")).alias("pub_date")
     )
     truth = fixtures.true_sentiment(spark, sf_dir)

@@ -29,6 +29,13 @@ def file_messages(spark: SparkSession, path: str, files_per_batch: int = 1000) -
     )
 
 
-def table_rows(spark: SparkSession, path: str, schema, files_per_batch: int = 1000) -> DataFrame:
+def table_rows(
+    spark: SparkSession, folder: str, schema, files: str = "*.parquet", files_per_batch: int = 1000
+) -> DataFrame:
     """Rows of Parquet files as they are added to a folder."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", files)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .parquet(folder)
+    )

@@ -19,6 +19,15 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Use all cores for heavy work on a scan of a few small files.
+
+    A large input has more splits than there are cores and is left as it is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+
+
 def day_range(frame: DataFrame, column: str) -> tuple[dt.date, dt.date] | None:
     """First and last day of a batch: one row, whatever the size of the batch."""
     low, high = frame.agg(F.min(column), F.max(column)).first()
