@@ -1,4 +1,4 @@
-"""Price models: one distributed Spark ML regressor per target, stored and reloaded."""
+"""Price models of Spark ML: one distributed regressor per target, stored and reloaded."""
 
 from __future__ import annotations
 

@@ -148,7 +148,10 @@ def train(
     """
     spark = rows.sparkSession
     save_ranges(rows, f"{path}/ranges")
-    tasks = max(1, -(-rows.count() // ROWS_PER_TASK))
+    n = rows.count()
+    if n == 0:
+        raise ValueError("no rows to train on")
+    tasks = -(-n // ROWS_PER_TASK)
     inputs = (
         scaled(rows, load_ranges(spark, f"{path}/ranges"))
         .select(*KEYS, *[F.col(c).cast("double") for c in FEATURES + TARGETS])

@@ -10,12 +10,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newstide import schemas
-from newstide.operators import daily, features, forecast, matching, naive_bayes, news, prices, texts
+from newstide.operators import daily, features, least_squares, matching, naive_bayes, news, prices, texts
 from newstide.sinks import points, tables
 from newstide.sources import landing
 from newstide.sources.streams import file_messages
@@ -23,6 +24,14 @@ from newstide.sources.tables import day_range, read_table, within
 from newstide.streaming.ticks import last_writes, republished, write_trades
 
 
+class Forecaster(Protocol):
+    """A price model: ``least_squares``, ``forecast`` and ``gated_cell`` are such modules."""
+
+    def train(self, rows: DataFrame, path: str) -> object: ...
+
+    def score(self, rows: DataFrame, path: str) -> DataFrame: ...
+
+
 @dataclass(frozen=True)
 class Store:
     """Places of the tables below one shared folder."""
@@ -132,21 +141,26 @@ def match_prices(spark: SparkSession, store: Store, run_date: dt.date) -> str |
 
 
 def train_on(
-    spark: SparkSession, folder: str, model_path: str, regressor: forecast.Regressor = forecast.linear
+    spark: SparkSession, folder: str, model_path: str, forecaster: Forecaster = least_squares
 ) -> None:
     """Fit on the datasets below a folder: the model goes on learning from all runs."""
     rows = spark.read.schema(schemas.MATCHED_CSV).option("header", True).csv(folder)
     dated = rows.withColumn("pub_date", F.to_date("_pubDate"))
-    forecast.train(features.features_and_targets(dated), model_path, regressor)
+    forecaster.train(features.features_and_targets(dated), model_path)
 
 
 def predict(
-    spark: SparkSession, store: Store, symbols: DataFrame, run_date: dt.date, model_path: str
+    spark: SparkSession,
+    store: Store,
+    symbols: DataFrame,
+    run_date: dt.date,
+    model_path: str,
+    forecaster: Forecaster = least_squares,
 ) -> DataFrame:
     rows = features.serving_rows(
         symbols, daily_sentiment(spark, store), store.read(spark, "prices"), run_date
     )
-    return forecast.score(rows, model_path)
+    return forecaster.score(rows, model_path)
 
 
 def run_day(
@@ -156,7 +170,7 @@ def run_day(
     symbols: DataFrame,
     sentiment_model: naive_bayes.NaiveBayesModel,
     words: DataFrame | None = None,
-    regressor: forecast.Regressor = forecast.linear,
+    forecaster: Forecaster = least_squares,
 ) -> bool:
     """Classify, match, train, predict and publish; later steps only if articles arrived."""
     if not classify_open_news(spark, store, run_date, sentiment_model, words):
@@ -164,9 +178,9 @@ def run_day(
     folder = match_prices(spark, store, run_date)
     model_path = store.path("models/price")
     if folder is not None:
-        train_on(spark, store.path("datasets"), model_path, regressor)
+        train_on(spark, store.path("datasets"), model_path, forecaster)
     if folder is not None or _model_exists(spark, model_path):
-        predictions = predict(spark, store, symbols, run_date, model_path)
+        predictions = predict(spark, store, symbols, run_date, model_path, forecaster)
         day = store.path(f"predictions/run_date={run_date.isoformat()}")
         predictions.write.mode("overwrite").parquet(day)
         written = spark.read.schema(schemas.PREDICTIONS).parquet(day)

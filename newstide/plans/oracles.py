@@ -197,6 +197,39 @@ TEXT_DIGEST = """
     (select doc_id, string_agg(token, ' ' order by place) as cleaned from {rows} group by doc_id) c
   on d.doc_id = c.doc_id"""
 
+
+
+def deletions(column: str) -> str:
+    return (
+        f"list_transform(range(1, len({column}) + 1), "
+        f"lambda i: left({column}, cast(i as int) - 1) || substr({column}, cast(i as int) + 1))"
+    )
+
+
+def nearby_keys(column: str) -> str:
+    twice = deletions(column).replace("lambda i", "lambda k").replace("cast(i ", "cast(k ")
+    return f"list_distinct([{column}] || {twice} || flatten(list_transform({twice}, lambda w: {deletions('w')})))"
+
+
+# Words within two edits share a form with up to two letters removed; the distance decides.
+# It counts bytes, so letters the dictionary does not have are replaced by a digit.
+SPELLED = f"""{STEM_ROWS},
+stem_counts as materialized (select token, count(*) as freq from stem_rows group by token),
+dictionary as materialized (
+  select token as word, freq from stem_counts where freq >= 8 and regexp_full_match(token, '[a-z]+')),
+unknown as materialized (
+  select token, regexp_replace(token, '[^a-z]', '0', 'g') as plain from stem_counts
+  where len(token) > 1 and not regexp_full_match(token, '\\p{{Nd}}+')
+    and len(regexp_replace(token, '[a-z]', '', 'g')) <= 2
+    and token not in (select word from dictionary)),
+token_keys as (select token, plain, unnest({nearby_keys("plain")}) as key from unknown),
+word_keys as (select word, freq, unnest({nearby_keys("word")}) as key from dictionary),
+near as (
+  select token, word, freq, damerau_levenshtein(plain, word) as edits
+  from token_keys join word_keys using (key)),
+corrections as (
+  select token, arg_max(word, (-edits, freq, word)) as corrected from near where edits <= 2 group by token)"""
+
 BAYES = f"""{STEM_ROWS},
 terms as (select doc_id, token, count(*) as n from stem_rows group by 1, 2),
 token_counts as (
@@ -273,6 +306,27 @@ feed as (
   from pages)"""
 
 OHLC = "open, high, low, close"
+
+
+def least_squares() -> str:
+    """Predictions as projections on the features, made orthogonal one after the other."""
+    xs = ["x0", *[f"x{i + 1}" for i in range(len(FEATURES))]]
+    columns = ", ".join(["1.0::double as x0"] + [f"{c}::double as x{i + 1}" for i, c in enumerate(FEATURES)])
+    ctes = [f"o0 as (select symbol, pub_date, {', '.join(TARGETS)}, {columns} from encoded)"]
+    rest = xs + TARGETS
+    for k, x in enumerate(xs):
+        others = [c for c in rest if c not in xs[: k + 1]]
+        # what is left of a feature that depends on earlier ones is noise
+        share = "case when sum({x} * {x}) over () > 1e-9 then sum({c} * {x}) over () / sum({x} * {x}) over () else 0 end"
+        lines = ", ".join(f"{c} - {share.format(x=x, c=c)} * {x} as {c}" for c in others)
+        ctes.append(f"o{k + 1} as (select symbol, pub_date, {lines} from o{k})")
+    fitted = ", ".join(f"round(e.{t} - r.{t}, 4) as {t}" for t in TARGETS)
+    return (
+        f"with {ENCODED}, {', '.join(ctes)} select e.symbol, e.pub_date, {fitted} "
+        f"from encoded e join o{len(xs)} r on e.symbol = r.symbol and e.pub_date = r.pub_date"
+    )
+
+
 MILLIS = "epoch_us(ts) // 1000"
 
 ORACLES: dict[str, str] = {
@@ -319,6 +373,7 @@ ORACLES: dict[str, str] = {
         for t in TARGETS
     )
     + " from matched",
+    "forecast_linear": least_squares(),
     "prediction_points": f"""with {MATCHED} select concat('stock_predictions,symbol=', symbol, ',date=',
           strftime(pub_date + 1, '%Y-%m-%d'), ' high=', high, ',low=', low, ',close=', close,
           ',volume=', volume) as value from matched""",
@@ -355,6 +410,11 @@ ORACLES: dict[str, str] = {
     "tokens": f"with {WORDS} select doc_id, token, count(*) as n from words group by 1, 2",
     "stems": f"with {STEMMED} select token, stem from stemmed",
     "cleaned_text": f"with {STEM_ROWS} {TEXT_DIGEST.format(rows='stem_rows')}",
+    "spell": f"with {SPELLED} select token, corrected from corrections",
+    "corrected_text": f"""with {SPELLED}, final_rows as (
+          select doc_id, place, coalesce(corrected, token) as token
+          from stem_rows left join corrections using (token))
+        {TEXT_DIGEST.format(rows='final_rows')}""",
     "nb_model": f"with {BAYES} select token, round(pos_log, 6) as pos_log, round(neg_log, 6) as neg_log from logs",
     "bag_of_words": f"with {BAYES} select doc_id, token, n from terms where token in (select token from token_counts)",
     "nb_predict": f"""with {BAYES} select doc_id, round(margin, 4) as margin,

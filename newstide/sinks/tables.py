@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -16,7 +17,10 @@ def append(frame: DataFrame, path: str, *partition_by: str) -> int:
     written = Observation()
     counted = frame.observe(written, F.count(F.lit(1)).alias("n"))
     balanced(counted, *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
-    return written.get["n"]
+    try:
+        return written.get["n"]
+    except Py4JJavaError:  # Spark drops the observation of rows it finds out to be none
+        return 0
 
 
 def replace_batch(frame: DataFrame, path: str, batch_id: str, day: str) -> None:

@@ -1,0 +1,108 @@
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from newstide.sinks import points, tables
+from newstide.sources import landing
+from newstide.sources.tables import day_range, known, read_matched_csv, read_table, unknown, within
+from newstide.schemas import PRICES
+
+
+def feed(*contents):
+    return json.dumps({"data": {"main": {"stream": [{"content": c} for c in contents]}}})
+
+
+def entry(title="T", stamp="2024-04-30T23:59:59Z", click="http://c", preview="http://p"):
+    return {"title": title, "pubDate": stamp, "clickThroughUrl": {"url": click}, "previewUrl": preview}
+
+
+def test_news_entries_and_rejects(spark):
+    no_click = {k: v for k, v in entry(title=None).items() if k != "clickThroughUrl"}
+    messages = spark.createDataFrame(
+        [("A", feed(entry(), entry(click=""), no_click)), ("B", "not json"), ("C", feed(entry(stamp="30 April"))), ("D", feed())],
+        "symbol string, message string",
+    )
+    entries = landing.news_entries(messages)
+    rows = sorted((r.symbol, r.url or "", str(r.pub_date), r.problem or "") for r in entries.collect())
+    assert rows == [
+        ("A", "http://c", "2024-04-30", ""),
+        ("A", "http://p", "2024-04-30", ""),
+        ("A", "http://p", "2024-04-30", ""),
+        ("B", "", "None", "unreadable message"),
+        ("C", "http://c", "None", "no publication day"),
+        ("D", "", "None", "unreadable message"),
+    ]
+    assert landing.rejects(entries).count() == 3
+
+
+def test_articles_need_a_page_but_may_be_empty(spark):
+    messages = spark.createDataFrame(
+        [("A", feed(entry(click="u1"), entry(title="U", click="u2"), entry(title="V", click="u3")))], "symbol string, message string"
+    )
+    pages = spark.createDataFrame(
+        [("u1", '<div class="caas-body"><p>x</p></div>'), ("u2", "<p>elsewhere</p>")], "url string, html string"
+    )
+    rows = landing.news_rows(landing.with_article_text(landing.news_entries(messages), pages)).collect()
+    assert sorted((r.title, r.text) for r in rows) == [("T", "x\n"), ("U", "")]
+
+
+def test_price_entries_keep_no_earlier_record(spark):
+    bar = {"date": 1714521599, "open": 1, "high": 2, "low": 0.5, "close": 1.5, "volume": 10}
+    broken = {k: v for k, v in bar.items() if k != "date"}
+    messages = spark.createDataFrame(
+        [("A", json.dumps({"prices": [bar, broken]})), ("B", "{")], "symbol string, message string"
+    )
+    entries = landing.price_entries(messages)
+    rows = landing.price_rows(entries).collect()
+    # one second before midnight UTC still is that day, whatever the machine's zone
+    assert [(r.symbol, r.bar_date, r.open, r.volume) for r in rows] == [("A", dt.date(2024, 4, 30), 1.0, 10.0)]
+    assert sorted(r.problem for r in landing.rejects(entries).collect()) == ["no date", "unreadable message"]
+
+
+def test_append_counts_and_batches_replace_themselves(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))], "n int, day date")
+    assert tables.append(frame, str(tmp_path / "a"), "day") == 2
+    tables.replace_batch(frame, path, "b1", "day")
+    tables.replace_batch(frame.where("n = 1"), path, "b2", "day")
+    tables.replace_batch(frame, path, "b1", "day")
+    assert sorted((r.n, r.batch_id) for r in spark.read.parquet(path).collect()) == [(1, "b1"), (1, "b2"), (2, "b1")]
+
+
+def test_day_filters_reach_the_partitions(spark, tmp_path):
+    path = str(tmp_path / "p")
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    rows = [("A", d, 1.0, 1.0, 1.0, 1.0, 1.0) for d in days]
+    assert read_table(spark, path, PRICES).count() == 0
+    tables.append(spark.createDataFrame(rows, PRICES), path, "bar_date")
+    table = read_table(spark, path, PRICES)
+    picked = within(table, "bar_date", day_range(table.where("bar_date > '2024-01-01'"), "bar_date"))
+    assert picked.count() == 2
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bar_date" in plan
+    assert within(table, "bar_date", day_range(table.where("symbol = 'Z'"), "bar_date")).count() == 0
+
+
+def test_known_and_unknown_split_a_frame(spark):
+    frame = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
+    table = spark.createDataFrame([("b",), ("b",)], "k string")
+    assert known(frame, table, "k").count() == 2 and unknown(frame, table, "k").count() == 1
+
+
+def test_points_escape_tags_and_leave_out_nulls(spark):
+    trades = spark.createDataFrame(
+        [("A B,C=D", dt.datetime(2024, 4, 30, tzinfo=dt.timezone.utc), 1.5, None)], "symbol string, ts timestamp, price double, volume double"
+    )
+    assert points.trade_points(trades).first().value == r"stock_prices,symbol=A\ B\,C\=D price=1.5 1714435200000"
+    predictions = spark.createDataFrame(
+        [("A", dt.date(2024, 5, 1), 2.0, 1.0, 1.5, 9.0)], "symbol string, target_date date, high double, low double, close double, volume double"
+    )
+    want = "stock_predictions,symbol=A,date=2024-05-01 high=2.0,low=1.0,close=1.5,volume=9.0"
+    assert points.prediction_points(predictions).first().value == want
+
+
+def test_empty_csv_is_readable(spark, tmp_path):
+    empty = spark.createDataFrame([], "a string").select(F.lit("x").alias("_pubDate"))
+    tables.write_csv(empty, str(tmp_path / "c"))
+    assert read_matched_csv(spark, str(tmp_path / "c")).count() == 0

@@ -1,0 +1,62 @@
+import random
+import string
+
+from pyspark.sql import functions as F
+
+from newstide.operators import spelling, texts
+
+
+def one_away(word):
+    splits = [(word[:i], word[i:]) for i in range(len(word) + 1)]
+    letters = string.ascii_lowercase
+    return (
+        {a + b[1:] for a, b in splits if b}
+        | {a + b[1] + b[0] + b[2:] for a, b in splits if len(b) > 1}
+        | {a + c + b[1:] for a, b in splits if b for c in letters}
+        | {a + c + b for a, b in splits for c in letters}
+    )
+
+
+def by_hand(token, words):
+    if len(token) == 1 or token.isdigit() or token in words:
+        return token
+    near = one_away(token)
+    best = near & set(words) or {w for e in near for w in one_away(e) & set(words)} or None
+    return max(best, key=lambda w: (words[w], w)) if best else token
+
+
+def test_against_trying_every_edit(spark):
+    rng = random.Random(11)
+    alphabet = "abcdst"
+    word = lambda lo, hi: "".join(rng.choice(alphabet) for _ in range(rng.randint(lo, hi)))
+    words = {word(1, 9): rng.randint(1, 20) for _ in range(120)}
+    tokens = {word(1, 10) for _ in range(90)} | {"1", "42", "7a", "été", "aé", "xyzxyzxyzxyzxyzxyz", "é", "ca"}
+    tokens |= {w[1:] + w[0] for w in list(words)[:30] if w} | {w[::-1] for w in list(words)[:30]}
+    frame = spark.createDataFrame([(t,) for t in tokens], "token string")
+    dictionary = spark.createDataFrame(list(words.items()), "word string, freq bigint")
+    got = {r.token: r.corrected for r in spelling.corrections(frame, dictionary).collect()}
+    wrong = {t: (got.get(t, t), by_hand(t, words)) for t in tokens if got.get(t, t) != by_hand(t, words)}
+    assert wrong == {}
+
+
+def test_swaps_count_once(spark):
+    pairs = [("ca", "ac", 1), ("ca", "abc", 2), ("abc", "ca", 2), ("abcd", "badc", 2), ("abcd", "dcba", None)]
+    frame = spark.createDataFrame(pairs, "a string, b string, edits int")
+    letters = [spelling._letters(F.col(c)) for c in "ab"]
+    args = [F.col("a"), F.col("b"), *letters]
+    for r in frame.select("edits", spelling.one_edit(*args).alias("one"), spelling.two_edits(*args).alias("two")).collect():
+        assert (r.one, r.two) == (r.edits == 1, r.edits is not None)
+
+
+def test_corrected_documents_keep_order_and_repeats(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "Helo wrld helo stocks"), (2, ""), (3, "12 zzzzzz")], "doc_id bigint, text string")
+    words = spark.createDataFrame([("hello", 5), ("world", 9), ("stock", 3), ("help", 1)], "word string, freq bigint")
+    out = texts.cleaned_text(texts.with_corrected_stems(docs, words, str(tmp_path)))
+    got = {r.doc_id: r.cleaned for r in out.collect()}
+    assert got == {1: "hello world hello stock", 2: "", 3: "12 zzzzzz"}
+
+
+def test_empty_dictionary_changes_nothing(spark):
+    tokens = spark.createDataFrame([("abc",)], "token string")
+    words = spark.createDataFrame([], "word string, freq bigint")
+    assert spelling.corrections(tokens, words).collect() == []

@@ -1,0 +1,103 @@
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from newstide.operators import daily
+from newstide.plans.jobs import Store, run_trades
+from newstide.schemas import DAILY_COUNTS, MATCHED_CSV
+from newstide.sources.streams import table_rows
+from newstide.sources.tables import read_table
+from newstide.streaming import ticks
+from newstide.streaming.news import consume_datasets, write_daily_counts
+
+T = 1714435200000
+
+
+def trade(s="A", p=1.0, t=T, v=2.0):
+    return {"s": s, "p": p, "t": t, "v": v}
+
+
+def land(folder, name, messages):
+    folder.mkdir(exist_ok=True)
+    lines = [json.dumps({"offset": o, "value": m if isinstance(m, str) else json.dumps(m)}) for o, m in messages]
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_trades_last_write_wins_over_batches(spark, tmp_path):
+    landed, store = tmp_path / "landed", Store(str(tmp_path / "store"))
+    land(landed, "1.json", [
+        (1, {"data": [trade(p=1.0), trade(p=2.0), trade("B")], "type": "trade"}),
+        (2, {"type": "ping"}),
+        (3, "garbage"),
+    ])
+    assert {(r.symbol, r.price) for r in run_trades(spark, store, str(landed)).collect()} == {("A", 2.0), ("B", 1.0)}
+    land(landed, "2.json", [(4, {"data": [trade(p=3.0), trade(p=4.0, t=T + 1), trade(p="much")]})])
+    got = run_trades(spark, store, str(landed))
+    assert sorted((r.symbol, r.price) for r in got.collect()) == [("A", 3.0), ("A", 4.0), ("B", 1.0)]
+    assert got.first().ts.date() == dt.date(2024, 4, 30)
+    # nothing new: nothing changes
+    assert run_trades(spark, store, str(landed)).count() == 3
+
+
+def test_envelopes(spark):
+    frame = spark.createDataFrame(
+        [(1, json.dumps({"data": [trade()], "type": "trade"})), (2, '{"type":"ping"}'), (3, "{"), (4, '{"data":[]}')],
+        "offset bigint, value string",
+    )
+    assert [r.offset for r in ticks.republished(frame).collect()] == [1, 4]
+    assert [r.offset for r in ticks.not_republished(frame).collect()] == [2, 3]
+    assert json.loads(ticks.republished(frame).first().value) == [trade()]
+
+
+def test_bad_trades_do_not_stop_the_others(spark):
+    broken = [{"p": 1.0, "t": T, "v": 1.0}, {"s": "A", "p": 1.0}, {"s": "A", "t": T}, trade(v=None), trade()]
+    frame = spark.createDataFrame([(1, json.dumps(broken)), (2, "?"), (3, json.dumps({"a": 1}))], "offset bigint, value string")
+    entries = ticks.trade_entries(frame)
+    assert ticks.trade_rows(entries).count() == 2
+    problems = sorted(r.problem for r in ticks.trade_rejects(entries).collect())
+    assert problems.count("no symbol") >= 1 and "no time" in problems and "no price" in problems
+    assert "unreadable message" in problems
+
+
+def test_last_writes_reduce_before_the_shuffle(spark):
+    rows = [("A", dt.datetime(2024, 1, 1), float(i), float(-i), i) for i in range(9)]
+    frame = spark.createDataFrame(rows, "symbol string, ts timestamp, price double, volume double, seq bigint")
+    out = ticks.last_writes(frame)
+    assert [(r.price, r.volume) for r in out.collect()] == [(8.0, -8.0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan and "SortAggregate" not in plan
+
+
+def test_streamed_counts_equal_batch_counts(spark, tmp_path):
+    rows = [(i, f"S{i % 3}", dt.date(2024, 1, 1 + i % 4), "positive" if i % 5 else "negative") for i in range(60)]
+    articles = spark.createDataFrame(rows, "id int, symbol string, pub_date date, sentiment string")
+    folder, table, checkpoint = (str(tmp_path / n) for n in ("in", "counts", "cp"))
+
+    def run():
+        stream = table_rows(spark, folder, articles.schema, files_per_batch=1)
+        write_daily_counts(stream, lambda b: b, table, checkpoint).awaitTermination()
+
+    articles.where("id < 40").repartition(3).write.parquet(folder)
+    run()
+    articles.where("id >= 40").coalesce(1).write.mode("append").parquet(folder)
+    run()
+    run()
+    merged = daily.merged_counts(read_table(spark, table, DAILY_COUNTS))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, daily.daily_counts(articles).collect()))
+
+
+def test_dataset_files_are_consumed_once_and_archived(spark, tmp_path):
+    folder, archive, seen = tmp_path / "in", tmp_path / "archive", []
+    folder.mkdir()
+    header = ",".join(f.split()[0] for f in MATCHED_CSV.split(", "))
+
+    def run():
+        handle = lambda batch: seen.extend(r.symbol for r in batch.select("symbol").collect())
+        consume_datasets(spark, str(folder), str(archive), str(tmp_path / "cp"), handle).awaitTermination()
+
+    for n, symbol in enumerate(["A", "B", "C"]):
+        (folder / f"{n}.csv").write_text(f"{header}\n2024-04-30,{symbol},positive,1,1,1,1,1,1,1,1\n")
+        run()
+    assert seen == ["A", "B", "C"]
+    assert any(archive.rglob("0.csv")) and not (folder / "0.csv").exists()
