@@ -23,8 +23,10 @@ from newstide.schemas import FEATURES, TARGETS
 
 UNITS = 50
 N_IN, N_OUT = len(FEATURES), len(TARGETS)
-SHAPES = [(N_IN, UNITS), (UNITS,)] * 3 + [(UNITS, N_OUT), (N_OUT,)]  # gates i, g, o, then the output
-N_PARAMETERS = sum(int(np.prod(s)) for s in SHAPES)
+# kernel and bias of the three gates side by side (input, candidate, output), then of the output layer
+SHAPES = [(N_IN, 3 * UNITS), (3 * UNITS,), (UNITS, N_OUT), (N_OUT,)]
+ENDS = np.cumsum([int(np.prod(s)) for s in SHAPES])
+N_PARAMETERS = int(ENDS[-1])
 PARAMETERS = "position int, value double"
 KEYS = ["symbol", "pub_date"]
 # A task holds its rows in memory while it goes over them again and again.
@@ -32,59 +34,61 @@ ROWS_PER_TASK = 20_000
 
 
 def unpack(flat: np.ndarray) -> list[np.ndarray]:
-    parts = np.split(flat, np.cumsum([int(np.prod(s)) for s in SHAPES])[:-1])
-    return [p.reshape(s) for p, s in zip(parts, SHAPES)]
+    """Views of the kernels and biases."""
+    return [flat[end - int(np.prod(s)) : end].reshape(s) for s, end in zip(SHAPES, ENDS)]
 
 
 def initial_parameters(seed: int = 7) -> np.ndarray:
     """Glorot-uniform kernels and zero biases."""
     rng = np.random.default_rng(seed)
-
-    def kernel(shape, fan_out):
-        limit = np.sqrt(6.0 / (shape[0] + fan_out))
-        return rng.uniform(-limit, limit, shape).ravel()
-
-    # the gates' kernels are parts of one of four gates, which sets their fan-out
-    fans = [4 * UNITS, None] * 3 + [N_OUT, None]
-    return np.concatenate([kernel(s, f) if f else np.zeros(s) for s, f in zip(SHAPES, fans)])
-
-
-def _sigmoid(z: np.ndarray) -> np.ndarray:
-    return 0.5 * (1.0 + np.tanh(0.5 * z))
+    flat = np.zeros(N_PARAMETERS)
+    gates, _, output, _ = unpack(flat)
+    # the gates are three of four that share a kernel, which sets their fan-out
+    for kernel, fan_out in ((gates, 4 * UNITS), (output, N_OUT)):
+        limit = np.sqrt(6.0 / (kernel.shape[0] + fan_out))
+        kernel[:] = rng.uniform(-limit, limit, kernel.shape)
+    return flat
 
 
 def forward(x: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, tuple]:
-    wi, bi, wg, bg, wo, bo, wd, bd = unpack(flat)
-    i, g, o = _sigmoid(x @ wi + bi), np.tanh(x @ wg + bg), _sigmoid(x @ wo + bo)
+    w, b, wd, bd = unpack(flat)
+    z = x @ w + b
+    i = 0.5 + 0.5 * np.tanh(0.5 * z[:, :UNITS])  # the logistic function
+    g = np.tanh(z[:, UNITS : 2 * UNITS])
+    o = 0.5 + 0.5 * np.tanh(0.5 * z[:, 2 * UNITS :])
     c = np.tanh(i * g)
-    return o * c @ wd + bd, (i, g, o, c)
+    h = o * c
+    return h @ wd + bd, (i, g, o, c, h, wd)
 
 
 def loss_gradient(x: np.ndarray, y: np.ndarray, flat: np.ndarray) -> tuple[float, np.ndarray]:
     """Sum over rows of the squared error, averaged over outputs, and its gradient."""
-    wd = unpack(flat)[6]
-    out, (i, g, o, c) = forward(x, flat)
+    out, (i, g, o, c, h, wd) = forward(x, flat)
     error = out - y
-    d_out = 2.0 * error / N_OUT
+    d_out = error * (2.0 / N_OUT)
     d_h = d_out @ wd.T
     d_s = d_h * o * (1 - c * c)
-    d_gates = [d_s * g * i * (1 - i), d_s * i * (1 - g * g), d_h * c * o * (1 - o)]
-    parts = [p for d in d_gates for p in (x.T @ d, d.sum(0))] + [(o * c).T @ d_out, d_out.sum(0)]
-    return float((error * error).sum() / N_OUT), np.concatenate([p.ravel() for p in parts])
+    d_z = np.hstack([d_s * g * i * (1 - i), d_s * i * (1 - g * g), d_h * c * o * (1 - o)])
+    gradient = np.empty(N_PARAMETERS)
+    w, b, wd, bd = unpack(gradient)
+    w[:], b[:], wd[:], bd[:] = x.T @ d_z, d_z.sum(0), h.T @ d_out, d_out.sum(0)
+    return float((error * error).sum() / N_OUT), gradient
 
 
 class Adam:
     """The optimizer's state: parameters, both moments and the number of steps."""
 
     def __init__(self, flat: np.ndarray, m: np.ndarray, v: np.ndarray, steps: float, rate: float):
-        self.flat, self.m, self.v, self.steps, self.rate = flat, m, v, steps, rate
+        # own copies: steps change them in place
+        self.flat, self.m, self.v = flat.copy(), m.copy(), v.copy()
+        self.steps, self.rate = steps, rate
 
     def step(self, gradient: np.ndarray) -> None:
         self.steps += 1
-        self.m = 0.9 * self.m + 0.1 * gradient
-        self.v = 0.999 * self.v + 0.001 * gradient * gradient
-        m, v = self.m / (1 - 0.9**self.steps), self.v / (1 - 0.999**self.steps)
-        self.flat = self.flat - self.rate * m / (np.sqrt(v) + 1e-7)
+        self.m += 0.1 * (gradient - self.m)
+        self.v += 0.001 * (gradient * gradient - self.v)
+        size = self.rate / (1 - 0.9**self.steps)
+        self.flat -= size * self.m / (np.sqrt(self.v / (1 - 0.999**self.steps)) + 1e-7)
 
     def packed(self) -> np.ndarray:
         return np.concatenate([self.flat, self.m, self.v, [self.steps]])
@@ -118,7 +122,7 @@ def _round(rows: DataFrame, state: np.ndarray, rate: float, epochs: int, batch_s
         if own:
             table = pd.concat(own).sort_values(KEYS)
             x, y = table[FEATURES].to_numpy(float), table[TARGETS].to_numpy(float)
-            adam = Adam.unpacked(shared.value.copy(), rate)
+            adam = Adam.unpacked(shared.value, rate)
             loss = run_epochs(x, y, adam, epochs, batch_size)
             total = np.concatenate([adam.packed(), [loss, 1.0]]) * len(x)
             yield pd.DataFrame({"position": np.arange(size, dtype="int32"), "value": total})

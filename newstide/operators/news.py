@@ -38,6 +38,18 @@ def unseen(articles: DataFrame, store: DataFrame) -> DataFrame:
     return once.join(store.select(keys), keys, "left_anti").select(articles.columns)
 
 
+def open_days(news: DataFrame, processed: DataFrame, run_date: Column) -> DataFrame:
+    """Days before ``run_date`` with more stored than processed articles.
+
+    Counting per day reads the partition column only, so no day that is finished has its
+    articles looked at. Both tables hold an article once.
+    """
+    stored = news.where(F.col("pub_date") < run_date).groupBy("pub_date").agg(F.count(F.lit(1)).alias("stored"))
+    done = processed.groupBy("pub_date").agg(F.count(F.lit(1)).alias("done"))
+    more = F.col("stored") > F.coalesce("done", F.lit(0))
+    return stored.join(done, "pub_date", "left").where(more).select("pub_date")
+
+
 def open_news(news: DataFrame, processed: DataFrame, run_date: Column) -> DataFrame:
     """Articles of days before ``run_date`` that no earlier run has processed."""
     closed = news.where(F.col("pub_date") < run_date)

@@ -12,6 +12,8 @@ below remove cannot be within reach.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,19 +122,35 @@ def corrections(tokens: DataFrame, words: DataFrame) -> DataFrame:
     )
     # few bytes but much work per token, so a small number of bytes must not end in one task
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    small = size <= BROADCAST_WORDS
     unknown = unknown.repartition(tasks).withColumn("token_letters", _letters(token))
-    left = exploded(unknown, "token", "token_letters", key=shortened(token, 2))
-    word = F.col("word")
-    known = words.withColumn("word_letters", _letters(word))
-    right = exploded(known, "word", "freq", "word_letters", key=shortened(word, 2))
-    pair = [token, word, F.col("token_letters"), F.col("word_letters")]
-    return (
-        left.join(F.broadcast(right) if size <= BROADCAST_WORDS else right, "key")
-        .where((F.abs(F.length(token) - F.length(word)) <= 2) & two_edits(*pair))
-        .groupBy("token")
-        .agg(F.max(F.struct(one_edit(*pair), "freq", "word")).alias("best"))
-        .select("token", F.col("best.word").alias("corrected"))
+    known = words.withColumn("word_letters", _letters(F.col("word")))
+
+    one = _with_best(unknown.withColumn("key", shortened(token, 1)), known, 1, one_edit, small)
+    # a token that has its correction looks for none: its key is no shortened form of a word
+    settled = F.array(F.concat(F.lit("="), token))
+    open_keys = F.when(F.col("best_1").isNull(), shortened(token, 2)).otherwise(settled)
+    two = _with_best(one.repartition(tasks).withColumn("key", open_keys), known, 2, two_edits, small)
+    best = F.coalesce("best_1.word", "best_2.word")
+    return two.select("token", best.alias("corrected")).where(F.col("corrected").isNotNull())
+
+
+def _with_best(tokens: DataFrame, known: DataFrame, n: int, check: Callable[..., Column], small: bool) -> DataFrame:
+    """Add ``best_n``, the best dictionary word within ``n`` edits; every token is kept.
+
+    ``tokens`` has the array ``key``; the best of an earlier round is carried along.
+    """
+    keep = [c for c in tokens.columns if c != "key"]
+    left = exploded(tokens, *keep, key=F.col("key"))
+    right = exploded(known, "word", "freq", "word_letters", word_key=shortened(F.col("word"), n))
+    token, word = F.col("token"), F.col("word")
+    fits = (
+        (F.col("key") == F.col("word_key"))
+        & (F.abs(F.length(token) - F.length(word)) <= n)
+        & check(token, word, F.col("token_letters"), F.col("word_letters"))
     )
+    found = F.max(F.when(word.isNotNull(), F.struct("freq", "word"))).alias(f"best_{n}")
+    return left.join(F.broadcast(right) if small else right, fits, "left").groupBy(*keep).agg(found)
 
 
 def corrected_tokens(docs: DataFrame, changes: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -20,7 +20,7 @@ from newstide.operators import daily, features, least_squares, matching, naive_b
 from newstide.sinks import points, tables
 from newstide.sources import landing
 from newstide.sources.streams import file_messages
-from newstide.sources.tables import day_range, read_table, within
+from newstide.sources.tables import days_of, on_days, read_table
 from newstide.streaming.ticks import last_writes, republished, write_trades
 
 
@@ -62,7 +62,7 @@ def ingest_news(
     entries = landing.news_entries(messages)
     articles = landing.news_rows(landing.with_article_text(entries, pages, tag, css_class))
     # only the days of the batch are looked up in the store, and no texts
-    stored = within(store.read(spark, "news"), "pub_date", day_range(entries, "pub_date"))
+    stored = on_days(store.read(spark, "news"), "pub_date", days_of(entries, "pub_date"))
     added = tables.append(news.unseen(articles, stored), store.path("news"), "pub_date")
     bad = landing.rejects(entries).select("symbol", "title", "url", "problem")
     bad.write.mode("overwrite").parquet(store.path(f"news_rejects/batch_id={batch_id}"))
@@ -73,7 +73,7 @@ def ingest_prices(spark: SparkSession, store: Store, messages: DataFrame, batch_
     """Append the bars of landed price messages whose symbol and day are not stored yet."""
     entries = landing.price_entries(messages)
     bars = landing.price_rows(entries).drop("problem")
-    stored = within(store.read(spark, "prices"), "bar_date", day_range(bars, "bar_date"))
+    stored = on_days(store.read(spark, "prices"), "bar_date", days_of(bars, "bar_date"))
     added = tables.append(prices.new_bars(bars, stored), store.path("prices"), "bar_date")
     bad = landing.rejects(entries).select("symbol", "problem")
     bad.write.mode("overwrite").parquet(store.path(f"price_rejects/batch_id={batch_id}"))
@@ -91,12 +91,12 @@ def classify_open_news(
     batch_id = run_date.isoformat()
     stored = store.read(spark, "news")
     done = store.read_other_batches(spark, "processed_news", batch_id)
-    # which articles are open is found out from the keys; texts are read for their days only
-    open_keys = news.open_news(stored.select("guid", "pub_date"), done, F.lit(run_date))
-    days = day_range(open_keys, "pub_date")
-    if days is None:
+    days = days_of(news.open_days(stored, done, F.lit(run_date)), "pub_date")
+    if not days:
         return False
-    todo = within(stored, "pub_date", days).join(open_keys, ["guid", "pub_date"], "left_semi")
+    todo = news.open_news(
+        on_days(stored, "pub_date", days), on_days(done, "pub_date", days), F.lit(run_date)
+    )
     docs = todo.select("guid", "symbol", "pub_date", "text")
     if words is None:
         tokens = texts.with_stems(docs)

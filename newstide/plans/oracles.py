@@ -35,6 +35,8 @@ articles as (
                split_part(text, chr(10), 1) as title, text
         from documents))"""
 
+ONCE = "once as (select * from articles where doc_id in (select min(doc_id) from articles group by guid))"
+
 COUNTS = f"""
 classified as (
   select d.doc_id, d.source as symbol, {published("d.doc_id")} as pub_date, l.quality = 1 as positive
@@ -333,10 +335,11 @@ ORACLES: dict[str, str] = {
     "daily_sentiment": f"with {DAILY} {DAILY_ROWS}",
     "incremental_merge": f"with {DAILY} {DAILY_ROWS}",
     "stream_daily_sentiment": f"with {DAILY} {DAILY_ROWS}",
-    "symbol_day": f"with {DAILY} {DAILY_ROWS} where symbol = 'src8' and pub_date = date '2024-01-12'",
+    "symbol_day": f"with {DAILY} {DAILY_ROWS} where symbol = 'src15' and pub_date = date '2024-01-16'",
     "unmatched_days": f"""with {DAILY}, {BARS}
         select symbol, pub_date, pos_n + neg_n as articles from daily d where not exists
-          (select 1 from bars x where x.symbol = d.symbol and x.bar_date = d.pub_date + 1)""",
+          (select 1 from ticks t where t.event_type = 'purchase' and t.symbol = d.symbol
+           and cast(t.ts as date) = d.pub_date + 1)""",
     "daily_bars": f"with {BARS} select * from bars",
     "price_feed_rows": f"with {BARS} select * from bars",
     "latest_open": f"with {BARS} select symbol, max(bar_date) as bar_date, arg_max(open, bar_date) as open from bars group by 1",
@@ -388,14 +391,14 @@ ORACLES: dict[str, str] = {
     "top_n_news": f"""with {ARTICLES} select symbol, cast(rank as int) as rank, doc_id, pub_date from (
           select *, row_number() over (partition by symbol order by pub_date desc, doc_id) as rank from articles)
         where rank <= 3""",
-    "nested_news": f"""with {ARTICLES},
-        parts as (select symbol, cast(ceil(count(*) / 20) as bigint) as parts from articles group by 1)
+    "nested_news": f"""with {ARTICLES}, {ONCE},
+        parts as (select symbol, cast(ceil(count(*) / 20) as bigint) as parts from once group by 1)
         select a.symbol, cast('0x' || left(guid, 8) as bigint) % parts as part, count(*) as articles,
                count(*) filter (l.doc_id is null and pub_date < {RUN_DAY}) as open_articles,
                min(guid) as first_guid
-        from articles a join parts using (symbol) left join labels l on l.doc_id = a.doc_id group by 1, 2""",
-    "flattened_news": f"with {ARTICLES} select guid, symbol, pub_date, len(text) as text_length from articles",
-    "new_symbols": """select distinct source from documents join labels using (doc_id) where source not in
+        from once a join parts using (symbol) left join labels l on l.doc_id = a.doc_id group by 1, 2""",
+    "flattened_news": f"with {ARTICLES}, {ONCE} select guid, symbol, pub_date, len(text) as text_length from once",
+    "unflagged_sources": """select distinct source from documents join labels using (doc_id) where source not in
           (select source from documents join labels using (doc_id) where toxic = 1)""",
     "news_feed_rows": f"with {NEWS_FEED} select symbol, title, pub_date, url, problem from feed",
     "news_feed_rejects": f"""with {NEWS_FEED} select symbol, problem, count(*) as n from feed

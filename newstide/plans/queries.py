@@ -68,18 +68,18 @@ def daily_sentiment(spark, sf_dir):
 
 @query
 def incremental_merge(spark, sf_dir):
-    """Daily sentiment from the counts of two separate batches."""
+    """Daily sentiment from the counts of two batches: English articles and all others."""
     classified = fixtures.classified_articles(spark, sf_dir)
-    first = daily.daily_counts(classified.where(F.col("doc_id") % 2 == 0))
-    second = daily.daily_counts(classified.where(F.col("doc_id") % 2 == 1))
+    first = daily.daily_counts(classified.where(F.col("lang").eqNullSafe("en")))
+    second = daily.daily_counts(classified.where(~F.col("lang").eqNullSafe("en")))
     return rounded(daily.with_indicators(daily.merged_counts(first, second)), *BULLISH)
 
 
 @query
 def unmatched_days(spark, sf_dir):
-    """Days of news without a bar on the day after."""
+    """Days of news without a bar on the day after, with purchases as the only trades."""
     sentiment = daily.daily_sentiment(fixtures.classified_articles(spark, sf_dir))
-    matched = matching.match_next_day(sentiment, _bars(spark, sf_dir))
+    matched = matching.match_next_day(sentiment, _purchase_bars(spark, sf_dir))
     ledger = matched.select("symbol", "pub_date", (F.col("pos_n") + F.col("neg_n")).alias("articles"))
     return matching.unmatched(sentiment, ledger).select("symbol", "pub_date", "articles")
 
@@ -91,6 +91,11 @@ def _bars(spark, sf_dir):
     return prices.daily_bars(fixtures.ticks(spark, sf_dir))
 
 
+def _purchase_bars(spark, sf_dir):
+    purchases = fixtures.table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    return prices.daily_bars(fixtures.tick_rows(purchases))
+
+
 @query
 def daily_bars(spark, sf_dir):
     return rounded(_bars(spark, sf_dir), "volume")
@@ -109,10 +114,7 @@ def missing_previous_day(spark, sf_dir):
 @query
 def new_price_rows(spark, sf_dir):
     """Bars that a store built from the purchases alone does not have."""
-    stored = prices.daily_bars(
-        fixtures.tick_rows(fixtures.table(spark, sf_dir, "events").where("event_type = 'purchase'"))
-    )
-    return prices.new_bars(_bars(spark, sf_dir), stored)
+    return prices.new_bars(_bars(spark, sf_dir), _purchase_bars(spark, sf_dir))
 
 
 def _price_messages(bars):
@@ -189,7 +191,7 @@ def serving_features(spark, sf_dir):
 def symbol_day(spark, sf_dir):
     """The daily sentiment of one symbol on one day."""
     sentiment = daily.daily_sentiment(fixtures.classified_articles(spark, sf_dir))
-    return rounded(on_day(sentiment, "src8", dt.date(2024, 1, 12)), *BULLISH)
+    return rounded(on_day(sentiment, "src15", dt.date(2024, 1, 16)), *BULLISH)
 
 
 @query
@@ -281,7 +283,9 @@ def top_n_news(spark, sf_dir):
 def _news_documents(spark, sf_dir):
     """Articles nested by symbol; the labelled ones are done, the others are new."""
     labelled = fixtures.table(spark, sf_dir, "labels").select("doc_id", F.lit(0).alias("done"))
-    articles = fixtures.articles(spark, sf_dir).join(labelled, "doc_id", "left")
+    # copies share an identity and so would share a document, however many there are
+    once = news.first_copies(fixtures.articles(spark, sf_dir), "doc_id", "guid")
+    articles = once.join(labelled, "doc_id", "left")
     return nesting.nested(
         articles,
         ["symbol"],
@@ -313,7 +317,7 @@ def flattened_news(spark, sf_dir):
 
 
 @query
-def new_symbols(spark, sf_dir):
+def unflagged_sources(spark, sf_dir):
     """Labelled sources without a flagged article."""
     documents = fixtures.table(spark, sf_dir, "documents")
     labelled = known(documents, fixtures.table(spark, sf_dir, "labels"), "doc_id")

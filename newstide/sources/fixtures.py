@@ -48,12 +48,14 @@ def true_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classified_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, symbol, pub_date, sentiment`` of the labelled articles, no text read."""
+    """``doc_id, symbol, lang, pub_date, sentiment`` of the labelled articles, no text read."""
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id", F.col("source").alias("symbol"), published(F.col("doc_id")).alias("pub_date")
+        "doc_id", "lang", F.col("source").alias("symbol"), published(F.col("doc_id")).alias("pub_date")
     )
     label = F.when(F.col("positive"), "positive").otherwise("negative").alias("sentiment")
-    return docs.join(true_sentiment(spark, sf_dir), "doc_id").select("doc_id", "symbol", "pub_date", label)
+    return docs.join(true_sentiment(spark, sf_dir), "doc_id").select(
+        "doc_id", "symbol", "lang", "pub_date", label
+    )
 
 
 def tick_rows(events: DataFrame) -> DataFrame:

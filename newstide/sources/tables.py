@@ -28,17 +28,14 @@ def spread(frame: DataFrame) -> DataFrame:
     return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
 
 
-def day_range(frame: DataFrame, column: str) -> tuple[dt.date, dt.date] | None:
-    """First and last day of a batch: one row, whatever the size of the batch."""
-    low, high = frame.agg(F.min(column), F.max(column)).first()
-    return None if low is None else (low, high)
+def days_of(frame: DataFrame, column: str) -> list[dt.date]:
+    """The distinct days of a batch: a list no longer than the calendar."""
+    return [r[0] for r in frame.select(column).where(F.col(column).isNotNull()).distinct().collect()]
 
 
-def within(frame: DataFrame, column: str, days: tuple[dt.date, dt.date] | None) -> DataFrame:
-    """Rows of those days; on a table partitioned by the column only those folders are listed."""
-    if days is None:
-        return frame.where(F.lit(False))
-    return frame.where(F.col(column).between(*[F.lit(d) for d in days]))
+def on_days(frame: DataFrame, column: str, days: list[dt.date]) -> DataFrame:
+    """Rows of those days; on a table partitioned by the column only those folders are read."""
+    return frame.where(F.col(column).isin(days) if days else F.lit(False))
 
 
 def read_matched_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from newstide.schemas import TRADE_ENVELOPE, TRADE_LIST_DDL
 from newstide.sinks.tables import replace_batch
@@ -90,7 +91,7 @@ def write_trades(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        entries = trade_entries(batch)
+        entries = trade_entries(batch).persist(StorageLevel.MEMORY_AND_DISK)
         good = last_writes(trade_rows(entries)).withColumn("trade_date", F.to_date("ts"))
         replace_batch(good, table, str(batch_id), "trade_date")
         bad = trade_rejects(entries).withColumn("batch_id", F.lit(str(batch_id)))
@@ -100,6 +101,7 @@ def write_trades(
             .partitionBy("batch_id")
             .parquet(rejects)
         )
+        entries.unpersist()
 
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()

@@ -135,6 +135,13 @@ def test_open_news_leaves_today_and_processed(spark):
     assert [r.guid for r in out] == ["a"]
 
 
+def test_open_days_have_more_articles_than_processed(spark):
+    rows = [("a", "S", day(-1), "t", "x"), ("b", "S", day(-2), "t", "x"), ("c", "S", day(-2), "t", "x"), ("d", "S", day(0), "t", "x")]
+    ledger = spark.createDataFrame([("a", day(-1)), ("b", day(-2))], "guid string, pub_date date")
+    out = news.open_days(spark.createDataFrame(rows, NEWS), ledger, F.lit(DAY)).collect()
+    assert [r.pub_date for r in out] == [day(-2)]
+
+
 def test_newest_per_symbol_limits_before_the_shuffle(spark):
     rows = [(f"{i:03d}", "HOT", day(i % 3), "t", "x") for i in range(50)] + [("z", "S", DAY, "t", "x")]
     out = news.newest_per_symbol(spark.createDataFrame(rows, NEWS), 2)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from newstide.sinks import points, tables
 from newstide.sources import landing
-from newstide.sources.tables import day_range, known, read_matched_csv, read_table, unknown, within
+from newstide.sources.tables import days_of, known, on_days, read_matched_csv, read_table, unknown
 from newstide.schemas import PRICES
 
 
@@ -77,11 +77,11 @@ def test_day_filters_reach_the_partitions(spark, tmp_path):
     assert read_table(spark, path, PRICES).count() == 0
     tables.append(spark.createDataFrame(rows, PRICES), path, "bar_date")
     table = read_table(spark, path, PRICES)
-    picked = within(table, "bar_date", day_range(table.where("bar_date > '2024-01-01'"), "bar_date"))
+    picked = on_days(table, "bar_date", days_of(table.where("bar_date > '2024-01-01'"), "bar_date"))
     assert picked.count() == 2
     plan = picked._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(bar_date" in plan
-    assert within(table, "bar_date", day_range(table.where("symbol = 'Z'"), "bar_date")).count() == 0
+    assert "PartitionFilters: [bar_date" in plan
+    assert on_days(table, "bar_date", days_of(table.where("symbol = 'Z'"), "bar_date")).count() == 0
 
 
 def test_known_and_unknown_split_a_frame(spark):

@@ -79,7 +79,8 @@ def test_boosted_trees_learn_the_targets(spark, tmp_path):
 def test_gated_cell_equals_a_full_cell_with_zero_state():
     rng = np.random.default_rng(1)
     flat, x = rng.normal(size=gated_cell.N_PARAMETERS), rng.normal(size=(6, 5))
-    wi, bi, wg, bg, wo, bo, wd, bd = gated_cell.unpack(flat)
+    w, b, wd, bd = gated_cell.unpack(flat)
+    (wi, wg, wo), (bi, bg, bo) = np.split(w, 3, axis=1), np.split(b, 3)
     sigmoid = lambda z: 1 / (1 + np.exp(-z))
     recurrent, forget = rng.normal(size=(50, 50)), rng.normal(size=(5, 50))
     h = c = np.zeros((6, 50))
