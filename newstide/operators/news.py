@@ -27,15 +27,19 @@ def one_per_guid(articles: DataFrame) -> DataFrame:
     return articles.groupBy("guid").agg(row).select("guid", *[F.col("row")[c].alias(c) for c in rest])
 
 
+def not_stored(articles: DataFrame, store: DataFrame) -> DataFrame:
+    """Articles whose identity is not in the store."""
+    keys = ["guid", "pub_date"]
+    return articles.join(store.select(keys), keys, "left_anti").select(articles.columns)
+
+
 def unseen(articles: DataFrame, store: DataFrame) -> DataFrame:
     """Articles whose identity is not in the store, each once.
 
     Copies are reduced first, so that an article delivered very often does not reach the
     join's one task for its identity in full.
     """
-    keys = ["guid", "pub_date"]
-    once = one_per_guid(articles)
-    return once.join(store.select(keys), keys, "left_anti").select(articles.columns)
+    return not_stored(one_per_guid(articles), store).select(articles.columns)
 
 
 def open_days(news: DataFrame, processed: DataFrame, run_date: Column) -> DataFrame:

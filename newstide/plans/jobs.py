@@ -60,10 +60,13 @@ def ingest_news(
 ) -> int:
     """Append the articles of landed feed messages that are not stored yet."""
     entries = landing.news_entries(messages)
-    articles = landing.news_rows(landing.with_article_text(entries, pages, tag, css_class))
     # only the days of the batch are looked up in the store, and no texts
     stored = on_days(store.read(spark, "news"), "pub_date", days_of(entries, "pub_date"))
-    added = tables.append(news.unseen(articles, stored), store.path("news"), "pub_date")
+    # pages are worked through for articles that are new
+    fresh = news.not_stored(landing.candidates(entries), stored)
+    articles = news.one_per_guid(landing.with_article_text(fresh, pages, tag, css_class))
+    rows = articles.select("guid", "symbol", "title", "text", "pub_date")
+    added = tables.append(rows, store.path("news"), "pub_date")
     bad = landing.rejects(entries).select("symbol", "title", "url", "problem")
     bad.write.mode("overwrite").parquet(store.path(f"news_rejects/batch_id={batch_id}"))
     return added

@@ -403,10 +403,11 @@ ORACLES: dict[str, str] = {
     "news_feed_rows": f"with {NEWS_FEED} select symbol, title, pub_date, url, problem from feed",
     "news_feed_rejects": f"""with {NEWS_FEED} select symbol, problem, count(*) as n from feed
         where problem is not null group by 1, 2""",
-    "news_feed_articles": f"""with {NEWS_FEED}, {PAGE_TEXT}
-        select sha256(title || '|' || symbol || '|' || strftime(pub_date, '%Y-%m-%d')) as guid, symbol, pub_date,
-               len(t.text) as text_length
-        from feed f join page_texts t on f.url = t.url where problem is null""",
+    "news_feed_articles": f"""with {NEWS_FEED}, {PAGE_TEXT}, found as (
+          select sha256(title || '|' || symbol || '|' || strftime(pub_date, '%Y-%m-%d')) as guid, symbol, pub_date,
+                 t.text
+          from feed f join page_texts t on f.url = t.url where problem is null)
+        select guid, symbol, pub_date, len(min(text)) as text_length from found group by 1, 2, 3""",
     "chosen_url": """select page_id, case when starts_with(url, 'https') then url
           when contains(url, 'ref=') then null else url end as chosen from pages""",
     "page_text": f"with {PAGE_TEXT} select page_id, len(text) as characters, md5(text) as digest from page_texts",

@@ -357,8 +357,8 @@ def news_feed_articles(spark, sf_dir):
     """Feed messages joined with the fetched pages: the rows the news store gets."""
     entries = landing.news_entries(_news_messages(spark, sf_dir))
     pages = spread(fixtures.table(spark, sf_dir, "pages"))
-    rows = landing.news_rows(landing.with_article_text(entries, pages, "article", None))
-    return rows.select("guid", "symbol", "pub_date", F.length("text").alias("text_length"))
+    rows = landing.with_article_text(landing.candidates(entries), pages, "article", None)
+    return news.one_per_guid(rows).select("guid", "symbol", "pub_date", F.length("text").alias("text_length"))
 
 
 @query

@@ -44,23 +44,24 @@ def news_entries(messages: DataFrame) -> DataFrame:
     )
 
 
+def candidates(entries: DataFrame) -> DataFrame:
+    """Readable entries with their identity, equal ones once, no text yet."""
+    guid = article_guid(F.col("title"), F.col("symbol"), F.col("pub_date"))
+    readable = entries.where(F.col("problem").isNull() & F.col("url").isNotNull())
+    return readable.select(guid.alias("guid"), "symbol", "pub_date", "title", "url").distinct()
+
+
 def with_article_text(
-    entries: DataFrame, pages: DataFrame, tag: str = "div", css_class: str | None = "caas-body"
+    articles: DataFrame, pages: DataFrame, tag: str = "div", css_class: str | None = "caas-body"
 ) -> DataFrame:
-    """Attach the text of the fetched page ``url, html``; ``text`` is null without a page."""
-    texts = pages.select("url", article_text(F.col("html"), tag, css_class).alias("text"))
-    return entries.join(texts, "url", "left")
-
+    """Replace the address by the text of its fetched page ``url, html``.
 
-def news_rows(entries: DataFrame) -> DataFrame:
-    """Readable articles that have a text; an empty text is kept."""
-    return entries.where(F.col("problem").isNull() & F.col("text").isNotNull()).select(
-        article_guid(F.col("title"), F.col("symbol"), F.col("pub_date")).alias("guid"),
-        "symbol",
-        "pub_date",
-        "title",
-        "text",
-    )
+    Only pages that are asked for are worked through, each once. An article without a
+    page goes; one with an empty text stays.
+    """
+    wanted = pages.where(F.col("html").isNotNull()).join(articles.select("url"), "url", "left_semi")
+    texts = wanted.select("url", article_text(F.col("html"), tag, css_class).alias("text"))
+    return articles.join(texts, "url").drop("url")
 
 
 def rejects(rows: DataFrame) -> DataFrame:

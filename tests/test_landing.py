@@ -43,7 +43,7 @@ def test_articles_need_a_page_but_may_be_empty(spark):
     pages = spark.createDataFrame(
         [("u1", '<div class="caas-body"><p>x</p></div>'), ("u2", "<p>elsewhere</p>")], "url string, html string"
     )
-    rows = landing.news_rows(landing.with_article_text(landing.news_entries(messages), pages)).collect()
+    rows = landing.with_article_text(landing.candidates(landing.news_entries(messages)), pages).collect()
     assert sorted((r.title, r.text) for r in rows) == [("T", "x\n"), ("U", "")]
 
 
