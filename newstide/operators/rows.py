@@ -16,3 +16,14 @@ def exploded(frame: DataFrame, *keep: str, **item: Column) -> DataFrame:
     [(name, array)] = item.items()
     rows = frame.select(*keep, array.alias(name)).withColumn(name, F.explode_outer(name))
     return rows.where(F.col(name).isNotNull())
+
+
+def listed(frame: DataFrame, *keep: str, **item: Column) -> DataFrame:
+    """``keep``, the ``place`` and one row per element of a parsed list ``name=array``.
+
+    A list that could not be parsed gives one row with ``unread`` true; an empty one none.
+    """
+    [(name, array)] = item.items()
+    parsed = frame.select(*keep, array.alias(name))
+    rows = parsed.select(*keep, F.col(name).isNull().alias("unread"), F.posexplode_outer(name).alias("place", name))
+    return rows.where(F.col("unread") | F.col("place").isNotNull())

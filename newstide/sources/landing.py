@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from newstide.functions.html import article_text
 from newstide.functions.identity import article_guid, article_url
+from newstide.operators.rows import listed
 from newstide.schemas import NEWS_FEED, PRICE_FEED
 
 
@@ -31,13 +32,13 @@ def news_entries(messages: DataFrame) -> DataFrame:
     feed = F.from_json("message", NEWS_FEED)
     entry = F.col("entry.content")
     return (
-        messages.select("symbol", F.explode_outer(feed["data"]["main"]["stream"]).alias("entry"))
+        listed(messages, "symbol", entry=feed["data"]["main"]["stream"])
         .select(
             "symbol",
             entry["title"].alias("title"),
             publication_day(entry["pubDate"]).alias("pub_date"),
             article_url(entry["clickThroughUrl"]["url"], entry["previewUrl"]).alias("url"),
-            F.when(entry.isNull(), "unreadable message")
+            F.when(F.col("unread"), "unreadable message")
             .when(publication_day(entry["pubDate"]).isNull(), "no publication day")
             .alias("problem"),
         )
@@ -74,11 +75,11 @@ def price_entries(messages: DataFrame) -> DataFrame:
     bar = F.col("bar")
     # days are counted from the epoch, so the session's time zone plays no part
     day = F.date_from_unix_date(F.floor(bar["date"] / F.lit(86400)).cast("int"))
-    return messages.select("symbol", F.explode_outer(feed["prices"]).alias("bar")).select(
+    return listed(messages, "symbol", bar=feed["prices"]).select(
         "symbol",
         day.alias("bar_date"),
         *[bar[c].alias(c) for c in ("open", "high", "low", "close", "volume")],
-        F.when(bar.isNull(), "unreadable message").when(bar["date"].isNull(), "no date").alias("problem"),
+        F.when(F.col("unread"), "unreadable message").when(bar["date"].isNull(), "no date").alias("problem"),
     )
 
 

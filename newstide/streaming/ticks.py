@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
+from newstide.operators.rows import listed
 from newstide.schemas import TRADE_ENVELOPE, TRADE_LIST_DDL
 from newstide.sinks.tables import replace_batch
 
@@ -44,15 +45,14 @@ def trade_entries(messages: DataFrame) -> DataFrame:
     ``seq`` orders trades by message and by place in it.
     """
     trades = F.from_json("value", TRADE_LIST_DDL)
-    listed = messages.select("offset", "value", F.posexplode_outer(trades).alias("place", "trade"))
     t = F.col("trade")
-    return listed.select(
+    return listed(messages, "offset", "value", trade=trades).select(
         t["s"].alias("symbol"),
         F.timestamp_millis(t["t"]).alias("ts"),
         t["p"].alias("price"),
         t["v"].alias("volume"),
         (F.col("offset") * TRADES_PER_MESSAGE + F.coalesce("place", F.lit(0))).alias("seq"),
-        F.when(t.isNull(), "unreadable message")
+        F.when(F.col("unread"), "unreadable message")
         .when(t["s"].isNull(), "no symbol")
         .when(t["t"].isNull(), "no time")
         .when(t["p"].isNull(), "no price")
