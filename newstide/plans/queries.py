@@ -494,15 +494,7 @@ def event_json(spark, sf_dir):
 
 def _tick_messages(spark, sf_dir):
     """Ticks as messages with a list of trades, one per symbol and hour."""
-    trade = F.struct(
-        F.col("seq"),
-        F.struct(
-            F.col("symbol").alias("s"),
-            F.col("price").alias("p"),
-            F.unix_millis("ts").alias("t"),
-            F.col("volume").alias("v"),
-        ).alias("trade"),
-    )
+    trade = F.struct(F.col("seq"), _trade().alias("trade"))
     ordered = F.transform(F.array_sort(F.collect_list(trade)), lambda x: x["trade"])
     return (
         fixtures.ticks(spark, sf_dir)
@@ -521,21 +513,24 @@ def trades_explode(spark, sf_dir):
     )
 
 
+def _trade():
+    """A tick in the form of a message's trade."""
+    return F.struct(
+        F.col("symbol").alias("s"),
+        F.col("price").alias("p"),
+        F.unix_millis("ts").alias("t"),
+        F.col("volume").alias("v"),
+    )
+
+
 @query
 def republished_messages(spark, sf_dir):
-    """Envelopes with data reduced to their trades; the others are dropped."""
-    trade = F.struct(
-        F.col("symbol").alias("s"), F.col("price").alias("p"), F.unix_millis("ts").alias("t"), F.col("volume").alias("v")
-    )
-    events = fixtures.table(spark, sf_dir, "events")
-    kinds = events.select(F.col("event_id").alias("seq"), "event_type")
-    ticks = fixtures.ticks(spark, sf_dir).join(kinds, "seq")
-    data = F.when(F.col("event_type") != "error", F.array(trade))
+    """Envelopes with data reduced to their trades; those of errors carry none and are dropped."""
+    ticks = fixtures.tick_rows(fixtures.table(spark, sf_dir, "events"), "event_type")
+    data = F.when(F.col("event_type") != "error", F.array(_trade()))
     envelope = F.to_json(F.struct(data.alias("data"), F.col("event_type").alias("type")))
     out = tick_stream.republished(ticks.select(F.col("seq").alias("offset"), envelope.alias("value")))
-    return out.select(
-        "offset", F.inline(F.from_json("value", TRADE_LIST_DDL))
-    )
+    return out.select("offset", F.inline(F.from_json("value", TRADE_LIST_DDL)))
 
 
 @query
@@ -557,11 +552,8 @@ def stream_trades(spark, sf_dir):
     folder = work_folder(spark, "trades")
     schema = fixtures.table(spark, sf_dir, "events").schema
     events = table_rows(spark, sf_dir, schema, "events.parquet")
-    trade = F.struct(
-        F.col("symbol").alias("s"), F.col("price").alias("p"), F.unix_millis("ts").alias("t"), F.col("volume").alias("v")
-    )
     messages = fixtures.tick_rows(events).select(
-        F.col("seq").alias("offset"), F.to_json(F.array(trade)).alias("value")
+        F.col("seq").alias("offset"), F.to_json(F.array(_trade())).alias("value")
     )
     tick_stream.write_trades(
         messages, f"{folder}/trades", f"{folder}/rejects", f"{folder}/checkpoint"

@@ -58,14 +58,15 @@ def classified_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tick_rows(events: DataFrame) -> DataFrame:
-    """Events, batch or streaming, as ticks ``symbol, ts, price, volume, seq``."""
+def tick_rows(events: DataFrame, *extra: str) -> DataFrame:
+    """Events, batch or streaming, as ticks ``symbol, ts, price, volume, seq``, and extra columns."""
     return events.select(
         tick_symbol(F.col("user_id")).alias("symbol"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("value").alias("price"),
         F.get_json_object("props", "$.k").cast("double").alias("volume"),
         F.col("event_id").alias("seq"),
+        *extra,
     )
 
 

@@ -39,6 +39,23 @@ def test_against_trying_every_edit(spark):
     assert wrong == {}
 
 
+def test_a_large_dictionary_is_joined_by_shuffling(spark, monkeypatch):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(2, 7)))
+    tokens = spark.createDataFrame([(word(),) for _ in range(200)], "token string")
+    words = spark.createDataFrame([(w, i % 9) for i, w in enumerate({word() for _ in range(60)})], "word string, freq bigint")
+    small = sorted(map(tuple, spelling.corrections(tokens, words).collect()))
+    monkeypatch.setattr(spelling, "BROADCAST_WORDS", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = spelling.corrections(tokens, words)
+        assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, shuffled.collect())) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_swaps_count_once(spark):
     pairs = [("ca", "ac", 1), ("ca", "abc", 2), ("abc", "ca", 2), ("abcd", "badc", 2), ("abcd", "dcba", None)]
     frame = spark.createDataFrame(pairs, "a string, b string, edits int")
