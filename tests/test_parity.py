@@ -11,7 +11,7 @@ def db(sf_dir):
     return duckdb_tables(sf_dir)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.QUERIES))
 def test_query(spark, sf_dir, db, name):
     frame = entry.queries()[name](spark, sf_dir)
     rows = [tuple(r) for r in frame.collect()]
