@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import simhash
-from newstide.llm.common import table
+from newstide.llm import bpe, languages, packing, simhash
+from newstide.llm.common import fold, table, written
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digest(table(spark, sf_dir, "documents"))
+
+
+def packed_digest(docs: DataFrame) -> DataFrame:
+    """Pieces and places, with a checksum of the ids made before anything is shuffled."""
+    pieces = written(packing.tokenized(docs, WORD_BPE), "pieces")
+    narrow = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    placed = packing.placed(pieces, narrow)
+    return placed.select(
+        "doc_id", "piece", "start", F.col("length").cast("long"), "ids_crc32", "sequence_id", "offset"
+    )
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +32,27 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), BYTE_BPE), BYTE_BPE)
+    return found.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)))
+    filters = languages.learn(docs, ~F.col("held_out"))
+    return languages.predict(docs, filters, "doc_id", "held_out").select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
+    "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
+    "op6_bpe": op6_bpe,
+    "op8_language": op8_language,
 }
 
 ORACLES: dict[str, str] = {}
