@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import bpe, languages, packing, simhash
+from newstide.llm import bpe, languages, packing, quality, simhash
 from newstide.llm.common import fold, table, written
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -48,11 +48,20 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predict(docs, filters, "doc_id", "held_out").select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out)
+    machine = quality.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.score(docs, machine, "doc_id", "held_out")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES = {
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
     "op6_bpe": op6_bpe,
     "op8_language": op8_language,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {}
