@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import bpe, languages, packing, quality, simhash
+from newstide.llm import bpe, edits, languages, packing, quality, simhash
 from newstide.llm.common import fold, table, written
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -56,11 +56,29 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op9_edit_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stretches = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = edits.followed(table(spark, sf_dir, "documents"), stretches)
+    half = F.floor(F.length("text") / 2).cast("int")
+    kept, put = F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half)
+    docs = docs.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", F.concat(kept, put))
+    docs = docs.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    prints = edits.fingerprints(
+        docs,
+        {"fingerprint": "text", "edited_fingerprint": "edited", "next_fingerprint": "next_text"},
+        {"near_edited": ("fingerprint", "edited_fingerprint"), "near_next": ("fingerprint", "next_fingerprint")},
+        "doc_id", "n_chars", "edited_sha256",
+    )
+    prints = written(prints.drop("next_fingerprint"), "prints")
+    return prints.join(edits.near_groups(prints.select("doc_id", "fingerprint")), "fingerprint")
+
+
 QUERIES = {
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
     "op6_bpe": op6_bpe,
     "op8_language": op8_language,
+    "op9_edit_prints": op9_edit_prints,
     "op10_quality": op10_quality,
 }
 
