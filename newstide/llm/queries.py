@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import bpe, edits, languages, packing, quality, simhash
+from newstide.llm import bpe, edits, languages, packing, quality, simhash, vectors
 from newstide.llm.common import fold, table, written
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -73,13 +73,47 @@ def op9_edit_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prints.join(edits.near_groups(prints.select("doc_id", "fingerprint")), "fingerprint")
 
 
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
+    "op5_vectors": op5_vectors,
     "op6_bpe": op6_bpe,
     "op8_language": op8_language,
     "op9_edit_prints": op9_edit_prints,
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+#: every pair of equally labelled vectors, and the links followed from each vector
+VECTORS_SQL = """
+WITH RECURSIVE
+given AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+usable AS (
+    SELECT vec_id, label, e FROM given
+    WHERE label IS NOT NULL AND e IS NOT NULL
+      AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND list_dot_product(e, e) > 0
+),
+links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y
+    FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reached AS (
+    SELECT x, x AS y FROM links
+    UNION
+    SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x
+),
+parts AS (SELECT x, min(y) AS component FROM reached GROUP BY x),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id,
+       coalesce(n, 0)::BIGINT AS n_links,
+       coalesce(component, vec_id)::BIGINT AS component_id,
+       vec_id = coalesce(component, vec_id) AS kept
+FROM given LEFT JOIN parts ON vec_id = parts.x LEFT JOIN counts ON vec_id = counts.x
+"""
+
+ORACLES: dict[str, str] = {"op5_vectors": VECTORS_SQL}
