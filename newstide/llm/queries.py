@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import bpe, edits, languages, packing, quality, simhash, vectors
+from newstide.llm import bpe, edits, languages, packing, quality, simhash, surrogates, vectors
 from newstide.llm.common import fold, table, written
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -77,7 +77,19 @@ def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def surrogate_key(spark: SparkSession) -> bytes:
+    """The key of stand-ins, a secret of the session; without one, a key for trials."""
+    return spark.conf.get("newstide.surrogate.key", "for trials only").encode()
+
+
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.surrogates(table(spark, sf_dir, "documents"), surrogate_key(spark))
+    entities = F.coalesce(F.size("_spans"), F.lit(0)).alias("n_entities")
+    return found.select("doc_id", "text", entities, F.col("_spans").alias("entities"))
+
+
 QUERIES = {
+    "op2_surrogates": op2_surrogates,
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
     "op5_vectors": op5_vectors,
