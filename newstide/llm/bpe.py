@@ -39,7 +39,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _BLANKS = re.compile(r"\s{%d}" % LEAF)
 
 
-def _bytes_of_letters() -> dict[str, int]:
+def bytes_of_letters() -> dict[str, int]:
     """The printable letter that byte-level vocabularies write for each byte, reversed."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in plain]
@@ -59,7 +59,7 @@ class Codec:
         """Ranks are the file's merges in order, which its ids follow."""
         with open(path, encoding="utf-8") as file:
             found = json.load(file)
-        letters = _bytes_of_letters()
+        letters = bytes_of_letters()
         special = {t["content"]: t["id"] for t in found["added_tokens"]}
         vocabulary = {t: i for t, i in found["model"]["vocab"].items() if t not in special}
         ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items()}
@@ -112,9 +112,7 @@ class Codec:
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text; the names of special tokens in it are those tokens."""
         if not any(name in text for name in self.special):
-            if _unsplit(text):
-                return np.array(self._ordinary(text), dtype="<u4")
-            return self.split.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+            return np.array(self._ordinary(text), dtype="<u4")
         ids: list[int] = []
         for part in re.split("(" + "|".join(map(re.escape, self.special)) + ")", text):
             ids += [self.special[part]] if part in self.special else self._ordinary(part)

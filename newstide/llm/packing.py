@@ -17,31 +17,50 @@ their ids are written once and never shuffled; only narrow rows are joined.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from bisect import bisect_left, insort
 from dataclasses import dataclass
 
 import numpy as np
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newstide.llm.bpe import bytes_of_letters
 from newstide.llm.common import by_batch, texts, written
 
-#: words whose ids a worker remembers
-CACHE = 250_000
 #: the token that ends a document
 END = 0
-# separators that Python splits at and the tokenizers library does not
-_ODD = re.compile("[\x1c-\x1f]")
+#: stands for the end of a word while merging; texts that hold it take the other way
+_STOP = "\0"
+# characters that the quick way knows: their letters, digits and case are beyond doubt
+_LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
+_UNKNOWN = re.compile(rf"[^\t-\r -~¡£§©«°»¿{_LETTERS}–—‘’“”„•…€]")
+# the split of the vocabulary's public description, for those characters
+_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
+
+
+def _merged(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """Merges in order of rank, as the vocabulary defines them."""
+    while len(symbols) > 1:
+        rank, at = min((ranks.get(pair, len(ranks)), i) for i, pair in enumerate(zip(symbols, symbols[1:])))
+        if rank == len(ranks):
+            break
+        symbols = [*symbols[:at], symbols[at] + symbols[at + 1], *symbols[at + 2 :]]
+    return symbols
 
 
 class WordEncoder:
-    """Ids of whole texts by a tokenizers file whose words never reach over white space.
+    """Ids of whole texts by a tokenizers file that merges within lower-cased words.
 
-    The file must drop white space before it merges, as word_bpe_49k.json does: then the
-    runs between white space are encoded independently, and each is encoded once.
+    Texts of common characters are split here and merged by tiktoken, with the end of a word
+    as a byte of its own that joins the last letter first. tiktoken merges any neighbours
+    whose concatenation is a token, the file only the pairs it lists. The two are the same
+    where every token comes out of merging its own text; tokens that do not are never made by
+    the file's pairs, and are left out. All other texts are encoded by the library.
     """
 
     def __init__(self, path: str):
@@ -51,23 +70,32 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, runs: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(runs, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        with open(path, encoding="utf-8") as file:
+            found = json.load(file)
+        self.special = [t["content"] for t in found["added_tokens"]]
+        model, end = found["model"], found["model"]["end_of_word_suffix"]
+        merges = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
+        letters = bytes_of_letters()
+        ranks = {}
+        for token, number in model["vocab"].items():
+            body = token.removesuffix(end)
+            if token in self.special:
+                continue
+            symbols = [*body[:-1], body[-1] + end] if token.endswith(end) else list(body)
+            if _merged(symbols, merges) == [token]:
+                ranks[bytes(letters[c] for c in body) + (_STOP.encode() if body != token else b"")] = number
+        self.words = tiktoken.Encoding(
+            "words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}
+        )
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if _ODD.search(text):
-            return self._ids([text])[0]
-        runs = text.split()
-        new = list(set(runs).difference(self.known))
-        if len(self.known) + len(new) > CACHE:
-            self.known, new = {}, list(set(runs))
-        if new:
-            self.known.update(zip(new, self._ids(new)))
-        return b"".join(map(self.known.__getitem__, runs))
+        if _UNKNOWN.search(text) or any(name in text for name in self.special):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.array(ids, dtype="<u4").tobytes()
+        words = _WORDS.findall(text.lower())
+        words.append("")
+        return np.array(self.words.encode_ordinary(_STOP.join(words)), dtype="<u4").tobytes()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
