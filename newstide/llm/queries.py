@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import bpe, edits, languages, packing, quality, simhash, surrogates, vectors
+from newstide.llm import bpe, edits, languages, licences, packing, quality, simhash, surrogates, vectors
 from newstide.llm.common import fold, table, written
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digest(table(spark, sf_dir, "documents"))
 
@@ -89,6 +93,7 @@ def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licences": op1_licences,
     "op2_surrogates": op2_surrogates,
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
