@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import bpe, edits, languages, licences, packing, quality, simhash, surrogates, vectors
+from newstide.llm import bpe, edits, languages, licences, packing, pseudo_likelihood, quality, simhash, surrogates, vectors
 from newstide.llm.common import fold, table, written
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -46,6 +46,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pseudo_likelihood.score(docs, pseudo_likelihood.learn(docs))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)))
     filters = languages.learn(docs, ~F.col("held_out"))
@@ -99,6 +104,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_vectors": op5_vectors,
     "op6_bpe": op6_bpe,
+    "op7_pseudo_likelihood": op7_pseudo_likelihood,
     "op8_language": op8_language,
     "op9_edit_prints": op9_edit_prints,
     "op10_quality": op10_quality,
