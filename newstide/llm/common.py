@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,9 +35,10 @@ def by_batch(
 ) -> DataFrame:
     """``mapInArrow`` for a function that gives a dict of columns for each batch it reads.
 
-    Batches are cut to ``BATCH_ROWS`` first, so that many long texts never stand in
-    memory together.
+    Batches hold ``BATCH_ROWS`` at most, so that many long texts never stand in memory
+    together, in Python or in the JVM.
     """
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     fields = frame.sparkSession.createDataFrame([], schema).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,6 +53,17 @@ def by_batch(
     return frame.mapInArrow(run, fields)
 
 
+def filtered(frame: DataFrame, judge: Callable[[list[str]], Iterable[bool]]) -> DataFrame:
+    """The rows whose ``text`` (null: empty) the judge accepts, with all their columns."""
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([bool(ok) for ok in judge(texts(batch))], pa.bool_()))
+
+    return frame.mapInArrow(run, frame.schema)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

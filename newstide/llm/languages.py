@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newstide.llm.common import by_batch, texts
+from newstide.llm.common import by_batch, filtered, texts
 
 UNKNOWN = "und"
 #: lengths of the n-grams, in characters of a text whose non-letters are blanks
@@ -36,6 +36,8 @@ SAMPLE_GRAMS = 12_000
 LEAST_SHARE = 0.01
 #: bits of a slot
 MOST_LANGUAGES = 64
+#: share of a text's n-grams that its language must hold for the text to be accepted
+LEAST_COVERAGE = 0.3
 #: characters worked on at once
 STRETCH = 1 << 19
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -205,3 +207,18 @@ def predict(docs: DataFrame, filters: Filters, *keep: str) -> DataFrame:
     return by_batch(
         docs.select(*dict.fromkeys([*keep, "text"])), ddl + "lang_pred string, score double, coverage double", work
     )
+
+
+def accepted(docs: DataFrame, filters: Filters, least: float = LEAST_COVERAGE) -> DataFrame:
+    """The rows, with all columns, whose text is in a learned language.
+
+    Rejected are texts that are null or without letters, and texts of whose n-grams no
+    learned language holds the share ``least``. Repeated rows are judged alike.
+    """
+
+    def judge(own: list[str]) -> list[bool]:
+        chance = filters.chance
+        found = [filters.predict(t, chance) for t in own]
+        return [language != UNKNOWN and coverage >= least for language, _, coverage in found]
+
+    return filtered(docs, judge)

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newstide.llm.common import by_batch, crc_hash, texts
+from newstide.llm.common import by_batch, crc_hash, filtered, texts
 
 BUCKETS = 1 << 14
 RANK = 8
@@ -215,6 +215,12 @@ def learn(docs: DataFrame, labels: DataFrame, learned: Column | None = None) ->
     return train([tuple(np.array(r[c]) for c in ("buckets", "weights", "statistics")) for r in rows], labels_seen, weights)
 
 
+def _scored(machine: Machine, own: list[str]) -> np.ndarray:
+    """Scores of texts, some hundred at a time."""
+    found = [machine.scores([features(t) for t in own[i : i + 256]]) for i in range(0, len(own), 256)]
+    return np.concatenate(found) if found else np.empty(0)
+
+
 def score(docs: DataFrame, machine: Machine, *keep: str) -> DataFrame:
     """The ``keep`` columns and ``score``, the probability of label 1, of every row.
 
@@ -224,10 +230,13 @@ def score(docs: DataFrame, machine: Machine, *keep: str) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            own = texts(batch)
-            found = [machine.scores([features(t) for t in own[i : i + 256]]) for i in range(0, len(own), 256)]
-            yield {k: batch.column(k) for k in keep} | {"score": np.concatenate(found) if found else []}
+            yield {k: batch.column(k) for k in keep} | {"score": _scored(machine, texts(batch))}
 
     kept = docs.select(*keep)
     ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema)
     return by_batch(docs.select(*dict.fromkeys([*keep, "text"])), ddl + "score double", work)
+
+
+def accepted(docs: DataFrame, machine: Machine, least: float = 0.5) -> DataFrame:
+    """The rows, with all columns, whose text scores ``least`` or more; null counts as empty."""
+    return filtered(docs, lambda own: _scored(machine, own) >= least)

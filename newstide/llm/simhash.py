@@ -243,16 +243,17 @@ def links(classes: DataFrame, distance: int = 3) -> DataFrame:
     )
 
 
-def grouped(prints: DataFrame, distance: int = 3, order: Column | None = None) -> DataFrame:
-    """``fp`` and ``component``, the smallest ``doc_id`` reachable over links, per fingerprint.
+def grouped(prints: DataFrame, distance: int = 3) -> DataFrame:
+    """``fp``, ``root`` and ``component``, the smallest ``doc_id`` reachable over links.
 
     ``prints`` has ``doc_id`` and ``fp``; null ids only count where a component has no other.
+    ``root`` is the same for the fingerprints of a component.
     """
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     roots = components(links(classes, distance)).withColumnRenamed("node", "fp")
     rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    return rooted.join(least, "root").select("fp", "component")
+    return rooted.join(least, "root").select("fp", "root", "component")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
@@ -268,3 +269,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> Dat
         prints.join(grouped(prints, distance), "fp")
         .select("doc_id", "fp", F.col("component").alias("component_id"))
     )
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """The rows, with all columns, that stand for their group of near-duplicates: one of each.
+
+    The row with the smallest ``doc_id`` stays (a null id only where all are null; then, and
+    among rows of one id, the smallest hash of the text). Of rows that are equal in id and
+    text, one stays.
+    """
+    hashed = F.xxhash64("text").alias("hash")
+    prints = written(fingerprints(docs.select("doc_id", "text", hashed), shingle, "doc_id", "hash"), "prints")
+    classes = grouped(prints.withColumn("doc_id", F.col("doc_id").cast("long")), distance)
+    # null ids come after all others
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+    first = prints.join(classes.select("fp", "root"), "fp").groupBy("root", "doc_id", "hash").agg(F.count("*").alias("n"))
+    first = first.groupBy("root").agg(F.min_by(F.struct("doc_id", "hash", "n"), order).alias("w"))
+    winners = written(first.select("w.doc_id", "w.hash", "w.n"), "winners")
+    parts = []
+    for repeated in (False, True):
+        # stored apart, so that the few repeated rows are known to be few
+        chosen = written(winners.where((F.col("n") > 1) == repeated).drop("n"), "winners")
+        chosen = chosen.select(F.col("doc_id").alias("_winner"), F.col("hash").alias("_winner_hash"))
+        own = F.xxhash64(docs["text"])
+        met = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_winner")) & (own == F.col("_winner_hash")))
+        met = met.dropDuplicates(["_winner", "_winner_hash"]) if repeated else met
+        parts.append(met.select(*(docs[c] for c in docs.columns)))
+    return parts[0].unionByName(parts[1])
