@@ -44,25 +44,37 @@ _MARK = r";@#$%&?!*\"«“‘„`»”’\[\](){}<>"
 # a period ends a sentence before white space, a closing mark or the end
 _FINAL_PERIOD = rf"\.(?=[{_SPACE})\";}}\]*:@'({{\[]|$)"
 # a comma or colon parts words unless a digit follows
-_PLAIN_END = rf"[{_SPACE}{_MARK}]|$|--|\.\.|[:,](?!\p{{Nd}})|{_FINAL_PERIOD}"
-# clitics leave the word they lean on, as do closing apostrophes
-_CLITIC_END = rf"'(?:[sSmMdD]|ll|LL|re|RE|ve|VE)(?={_PLAIN_END})|'(?={_PLAIN_END})|''"
-# an opening apostrophe before a single character that is no clitic
-_SINGLE = rf"(?:[^\P{{L}}mtsdnMTSDN]|\p{{N}})(?!{_WORD})"
-_END = rf"{_PLAIN_END}|{_CLITIC_END}|'(?:{_SINGLE}|_(?!{_WORD}))"
-
-# dashes, commas and apostrophes pair up from the left, so what precedes must be complete
+_PLAIN_END = rf"[{_SPACE}{_MARK}]|$|\.\.|[:,](?!\p{{Nd}})|{_FINAL_PERIOD}"
+# clitics leave the word they lean on, also before a closing apostrophe
+_CLOSED = rf"(?={_PLAIN_END}|'(?:{_PLAIN_END}))"
+_END = rf"{_PLAIN_END}|'(?={_PLAIN_END})|'(?:[sSmMdD]|ll|LL|re|RE|ve|VE){_CLOSED}"
+
 _AFTER_MARK = rf"(?<![^{_SPACE}{_MARK}])"
-_AFTER_DASHES = r"(?<=(?<!-)(?:--){1,8})"
-_AFTER_COMMA = r"(?<=(?<![:,])[:,](?:[:,]{2}){0,8})(?!\p{Nd})"
-_AFTER_QUOTES = r"(?<=(?<!')(?:''){1,8})"
-_START = rf"(?:{_AFTER_MARK}|{_AFTER_DASHES}|(?<=\.\.)|{_AFTER_COMMA}|{_AFTER_QUOTES}|(?<=')(?={_SINGLE}))"
+_START = rf"(?:{_AFTER_MARK}|(?<=\.\.)|(?<=[:,])(?!\p{{Nd}}))"
 
 # a negation keeps its "n't" here, so that the rest of the word can be told
-_NEGATION = rf"(?:(?<=n)'t|(?<=N)'T)(?={_PLAIN_END})"
+_NEGATION = rf"(?:(?<=n)'t|(?<=N)'T){_CLOSED}"
 # the two cheap conditions come first: most positions of a text fail one of them
 TOKEN = rf"(?={_RUN})(?<!{_RUN}){_START}({_RUN}++(?:{_NEGATION})?+)(?={_END})"
 
+# A Unicode non-character: it cannot occur in interchanged text, parts no words and is no letter.
+_ATTACHED = "\ufdd2"
+
+
+def _paired(text: Column) -> Column:
+    """Marks that pair up from the left, written as single ones that do the same.
+
+    Two dashes and two apostrophes part words like other marks, the apostrophes also after
+    a sentence's period. Of two commas or colons the first parts words and the second
+    clings to what follows. What is left of an odd run is an ordinary mark again.
+    """
+    # an apostrophe opens a single character that is no clitic
+    opened = F.regexp_replace(text, rf"'([^\P{{L}}mtsdnMTSDN]|[\p{{N}}_])([^\p{{L}}\p{{N}}_]|\z)", "' $1$2")
+    dashes = F.replace(opened, F.lit("--"), F.lit("&"))
+    quotes = F.replace(dashes, F.lit("''"), F.lit('"'))
+    return F.regexp_replace(quotes, "([:,])[:,]", f"$1{_ATTACHED}")
+
+
 # Words written as one that are two tokens.
 FUSED_WORDS = {
     "cannot": ("can", "not"), "gimme": ("gim", "me"), "gonna": ("gon", "na"),
@@ -85,7 +97,7 @@ def words(text: Column) -> Column:
     A token counts only as a whole: "5.3" and "well-known" hold other marks and go.
     """
     found = F.transform(
-        F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1)),
+        F.regexp_extract_all(_paired(text), F.lit(TOKEN), F.lit(1)),
         lambda t: F.lower(F.when(t.endswith("'t") | t.endswith("'T"), F.substring(t, F.lit(1), F.length(t) - 3)).otherwise(t)),
     )
     return bound(found, _split_fused)

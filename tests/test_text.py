@@ -1,10 +1,12 @@
 import random
 
+import duckdb
 import pytest
 from porter_by_hand import stem as stem_by_hand
 from pyspark.sql import functions as F
 
 from newstide.functions import html, porter, tokens
+from newstide.plans.oracles import word_list
 
 
 def one(spark, value, expr, kind="string"):
@@ -32,6 +34,23 @@ def test_content_words(spark, text, expected):
     assert one(spark, text, tokens.content_words) == expected
 
 
+def test_runs_of_marks_and_anything_else_part_words_as_the_rules_say(spark):
+    """The rules rewrite a text one after the other, in the SQL the queries are held against."""
+    draw = random.Random(1)
+    marks = ["a", "bc", "profit", "x", "5", "42", "'", "-", ",", ":", ".", ". ", " ", "''", "--", ";", '"', "(", ")", "n't", "can't", "'s", "_", "é", "*"]
+    rows = ["".join(draw.choice(marks) for _ in range(draw.randint(1, 14))) for _ in range(3000)]
+    shapes = ("%s profit rose", "%sprofit rose", "profit%srose 5", "a %s5 b", "x.%sprofit y", "profit.%s")
+    rows += [shape % (m * n) for n in [1, 2, *range(15, 22), 40, 41] for m in "-',:" for shape in shapes]
+    rows = list(enumerate(rows))
+    db = duckdb.connect()
+    db.execute("create table documents(doc_id bigint, text varchar)")
+    db.executemany("insert into documents values (?, ?)", rows)
+    want = dict(db.execute(f"select doc_id, {word_list('text')} from documents").fetchall())
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.w for r in frame.select("doc_id", tokens.content_words(F.col("text")).alias("w")).collect()}
+    assert [(t, got[i], want[i]) for i, t in rows if got[i] != want[i]] == []
+
+
 def test_token_counts_need_no_shuffle(spark):
     frame = spark.createDataFrame([(["b", "a", "b", "b"],), ([],)], "t array<string>")
     out = frame.select(tokens.token_counts(F.col("t")).alias("c"))
