@@ -23,6 +23,11 @@ def features_and_targets(matched: DataFrame) -> DataFrame:
     )
 
 
+def complete_rows(rows: DataFrame) -> DataFrame:
+    """Rows that have every feature and every target: what a model may be trained on."""
+    return rows.dropna(subset=[*FEATURES, *TARGETS])
+
+
 def feature_ranges(features: DataFrame) -> DataFrame:
     """``feature, low, high``: five rows from one pass."""
     bounds = [f(c).cast("double").alias(f"{k}_{c}") for c in FEATURES for k, f in (("low", F.min), ("high", F.max))]

@@ -11,7 +11,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newstide.operators.features import load_ranges, save_ranges, scaled
+from newstide.operators.features import complete_rows, load_ranges, save_ranges, scaled
 from newstide.schemas import FEATURES, TARGETS
 
 Regressor = Callable[[str], Estimator]
@@ -34,8 +34,12 @@ def boosted_trees(target: str, rounds: int = 20, depth: int = 3) -> Estimator:
     )
 
 
-def train(rows: DataFrame, path: str, regressor: Regressor = linear) -> None:
-    """Fit on ``FEATURES`` and ``TARGETS`` and store ranges and models below ``path``."""
+def train(rows: DataFrame, path: str, previous: str | None = None, regressor: Regressor = linear) -> None:
+    """Fit on the complete rows and store ranges and models below ``path``.
+
+    A regressor starts anew on all rows, whatever model is at ``previous``.
+    """
+    rows = complete_rows(rows)
     save_ranges(rows, f"{path}/ranges")
     inputs = scaled(rows, load_ranges(rows.sparkSession, f"{path}/ranges"))
     stages = [VectorAssembler(inputCols=FEATURES, outputCol="features"), *map(regressor, TARGETS)]

@@ -1,11 +1,12 @@
-"""A gated recurrent cell over one time step, trained data-parallel.
+"""A gated recurrent cell over one time step: scored as a column expression, trained by gradients.
 
 The sequence length is one and the state starts at zero, so the recurrent weights and
 the forget gate never act and the network is
 ``h = sigmoid(x Wo + bo) * tanh(sigmoid(x Wi + bi) * tanh(x Wg + bg))``, ``y = h Wd + bd``.
 
-The parameters are a fixed 1,104 numbers, so only they and the optimizer's state travel
-between the driver and the tasks; rows never leave the executors.
+The parameters are a fixed 1,104 numbers. A training step adds up the gradient over all
+rows, one partial sum per task, and the driver moves the parameters: the same steps for
+every number of rows or tasks, and rows never leave the executors.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from newstide.operators.features import load_ranges, save_ranges, scaled
+from newstide.operators.features import complete_rows, load_ranges, save_ranges, scaled
 from newstide.schemas import FEATURES, TARGETS
 
 UNITS = 50
@@ -28,9 +29,6 @@ SHAPES = [(N_IN, 3 * UNITS), (3 * UNITS,), (UNITS, N_OUT), (N_OUT,)]
 ENDS = np.cumsum([int(np.prod(s)) for s in SHAPES])
 N_PARAMETERS = int(ENDS[-1])
 PARAMETERS = "position int, value double"
-KEYS = ["symbol", "pub_date"]
-# A task holds its rows in memory while it goes over them again and again.
-ROWS_PER_TASK = 20_000
 
 
 def unpack(flat: np.ndarray) -> list[np.ndarray]:
@@ -76,12 +74,11 @@ def loss_gradient(x: np.ndarray, y: np.ndarray, flat: np.ndarray) -> tuple[float
 
 
 class Adam:
-    """The optimizer's state: parameters, both moments and the number of steps."""
+    """Parameters with the optimizer's moments."""
 
-    def __init__(self, flat: np.ndarray, m: np.ndarray, v: np.ndarray, steps: float, rate: float):
-        # own copies: steps change them in place
-        self.flat, self.m, self.v = flat.copy(), m.copy(), v.copy()
-        self.steps, self.rate = steps, rate
+    def __init__(self, flat: np.ndarray, rate: float):
+        self.flat, self.rate, self.steps = flat.copy(), rate, 0
+        self.m, self.v = np.zeros_like(flat), np.zeros_like(flat)
 
     def step(self, gradient: np.ndarray) -> None:
         self.steps += 1
@@ -90,88 +87,50 @@ class Adam:
         size = self.rate / (1 - 0.9**self.steps)
         self.flat -= size * self.m / (np.sqrt(self.v / (1 - 0.999**self.steps)) + 1e-7)
 
-    def packed(self) -> np.ndarray:
-        return np.concatenate([self.flat, self.m, self.v, [self.steps]])
-
-    @classmethod
-    def unpacked(cls, state: np.ndarray, rate: float) -> Adam:
-        flat, m, v, steps = np.split(state, [N_PARAMETERS, 2 * N_PARAMETERS, 3 * N_PARAMETERS])
-        return cls(flat, m, v, float(steps[0]), rate)
-
-
-def run_epochs(x: np.ndarray, y: np.ndarray, adam: Adam, epochs: int, batch_size: int) -> float:
-    """Pass over the rows in order, one step per batch; the mean loss of the last pass."""
-    loss = 0.0
-    for _ in range(epochs):
-        loss = 0.0
-        for at in range(0, len(x), batch_size):
-            xs, ys = x[at : at + batch_size], y[at : at + batch_size]
-            batch_loss, gradient = loss_gradient(xs, ys, adam.flat)
-            adam.step(gradient / len(xs))
-            loss += batch_loss
-    return loss / max(len(x), 1)
-
-
-def _round(rows: DataFrame, state: np.ndarray, rate: float, epochs: int, batch_size: int) -> np.ndarray:
-    """Train in every task from the same state; the mean state, weighted by rows, and the loss."""
-    shared = rows.sparkSession.sparkContext.broadcast(state)
-    size = len(state) + 2  # state, loss, rows
-
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = [b for b in batches if len(b)]  # at most about ROWS_PER_TASK rows
-        if own:
-            table = pd.concat(own).sort_values(KEYS)
-            x, y = table[FEATURES].to_numpy(float), table[TARGETS].to_numpy(float)
-            adam = Adam.unpacked(shared.value, rate)
-            loss = run_epochs(x, y, adam, epochs, batch_size)
-            total = np.concatenate([adam.packed(), [loss, 1.0]]) * len(x)
-            yield pd.DataFrame({"position": np.arange(size, dtype="int32"), "value": total})
-
-    sums = rows.mapInPandas(local, PARAMETERS).groupBy("position").agg(F.sum("value").alias("value"))
-    total = np.zeros(size)
+
+def _summed(rows: DataFrame, flat: np.ndarray) -> tuple[float, np.ndarray, float]:
+    """Loss and gradient over all rows, and their number: one partial sum per task."""
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(N_PARAMETERS + 2)
+        for batch in batches:
+            x, y = batch[FEATURES].to_numpy(float), batch[TARGETS].to_numpy(float)
+            loss, gradient = loss_gradient(x, y, flat)
+            total += np.concatenate([gradient, [loss, len(x)]])
+        yield pd.DataFrame({"position": np.arange(len(total), dtype="int32"), "value": total})
+
+    sums = rows.mapInPandas(partial, PARAMETERS).groupBy("position").agg(F.sum("value").alias("value"))
+    total = np.zeros(N_PARAMETERS + 2)
     for position, value in sums.collect():  # a fixed number of rows
         total[position] = value
-    shared.unpersist()
-    return total[:-1] / total[-1]
+    return float(total[-2]), total[:N_PARAMETERS], float(total[-1])
 
 
 def train(
-    rows: DataFrame,
-    path: str,
-    epochs: int = 100,
-    epochs_per_round: int = 10,
-    batch_size: int = 1,
-    rate: float = 0.001,
-    start: np.ndarray | None = None,
+    rows: DataFrame, path: str, previous: str | None = None, steps: int = 100, rate: float = 0.05
 ) -> list[float]:
-    """Adam on the mean squared error; the loss after every round. The result goes below ``path``.
+    """Adam on the mean squared error of the complete rows; the loss before every step.
 
-    Rows are spread over tasks by their key. In a round every task runs some epochs over
-    its own rows, then the tasks' states are averaged. Data that fits one task is trained
-    as one process would train it. ``start`` continues from earlier parameters.
+    The result goes below ``path``. Training goes on from the parameters of the model at
+    ``previous``, if there is one.
     """
-    spark = rows.sparkSession
+    spark, rows = rows.sparkSession, complete_rows(rows)
     save_ranges(rows, f"{path}/ranges")
-    n = rows.count()
-    if n == 0:
-        raise ValueError("no rows to train on")
-    tasks = -(-n // ROWS_PER_TASK)
-    inputs = (
-        scaled(rows, load_ranges(spark, f"{path}/ranges"))
-        .select(*KEYS, *[F.col(c).cast("double") for c in FEATURES + TARGETS])
-        .repartition(tasks, *KEYS)
-        .persist(StorageLevel.MEMORY_AND_DISK)  # a lost block is computed again
-    )
-    flat = initial_parameters() if start is None else start
-    state, losses = Adam(flat, np.zeros_like(flat), np.zeros_like(flat), 0, rate).packed(), []
+    columns = [F.col(c).cast("double") for c in FEATURES + TARGETS]
+    inputs = scaled(rows, load_ranges(spark, f"{path}/ranges")).select(*columns)
+    inputs = inputs.persist(StorageLevel.MEMORY_AND_DISK)  # a lost block is computed again
+    start = initial_parameters() if previous is None else load_parameters(spark, f"{previous}/parameters")
+    adam, losses = Adam(start, rate), []
     try:
-        for done in range(0, epochs, epochs_per_round):
-            mean = _round(inputs, state, rate, min(epochs_per_round, epochs - done), batch_size)
-            state = mean[:-1]
-            losses.append(float(mean[-1]))
+        for _ in range(steps):
+            loss, gradient, number = _summed(inputs, adam.flat)
+            if not number:
+                raise ValueError("no complete rows to train on")
+            losses.append(loss / number)
+            adam.step(gradient / number)
     finally:
         inputs.unpersist()
-    save_parameters(spark, state[:N_PARAMETERS], f"{path}/parameters")
+    save_parameters(spark, adam.flat, f"{path}/parameters")
     return losses
 
 
@@ -187,16 +146,36 @@ def load_parameters(spark: SparkSession, path: str) -> np.ndarray:
     return flat
 
 
+def outputs(x: list[Column], flat: np.ndarray) -> Column:
+    """The array of predictions from scaled features: a sum over the units, in the JVM."""
+    w, b, wd, bd = unpack(flat)
+    units = F.lit([[*w[:, u :: UNITS].T.ravel().tolist(), *b[u::UNITS].tolist(), *wd[u].tolist()] for u in range(UNITS)])
+    bias = 3 * N_IN
+
+    def gate(unit: Column, number: int) -> Column:
+        terms = [F.get(unit, F.lit(number * N_IN + k)) * x[k] for k in range(N_IN)]
+        return sum(terms, F.get(unit, F.lit(bias + number)))
+
+    def logistic(z: Column) -> Column:
+        return 1 / (1 + F.exp(-z))
+
+    def state(unit: Column) -> Column:
+        return logistic(gate(unit, 2)) * F.tanh(logistic(gate(unit, 0)) * F.tanh(gate(unit, 1)))
+
+    def shares(unit: Column) -> Column:
+        return F.transform(F.slice(unit, bias + 4, N_OUT), lambda share: share * state(unit))
+
+    def added(totals: Column, unit: Column) -> Column:
+        return F.zip_with(totals, shares(unit), lambda a, b: a + b)
+
+    return F.aggregate(units, F.lit(bd.tolist()), added)
+
+
 def score(rows: DataFrame, path: str) -> DataFrame:
-    """Add the four predictions to feature rows, in Arrow batches."""
+    """Add the four predictions to feature rows; the stored model is only read."""
     spark = rows.sparkSession
     keys = [c for c in rows.columns if c not in FEATURES and c not in TARGETS]
-    inputs = scaled(rows, load_ranges(spark, f"{path}/ranges")).select(*keys, *FEATURES)
-    shared = spark.sparkContext.broadcast(load_parameters(spark, f"{path}/parameters"))
-
-    @F.pandas_udf("struct<high:double,low:double,close:double,volume:double>")
-    def predict(batch: pd.DataFrame) -> pd.DataFrame:
-        out, _ = forward(batch[FEATURES].to_numpy(float), shared.value)
-        return pd.DataFrame(out, columns=TARGETS)
-
-    return inputs.select(*keys, predict(F.struct(*FEATURES)).alias("p")).select(*keys, "p.*")
+    inputs = scaled(rows, load_ranges(spark, f"{path}/ranges"))
+    found = outputs([F.col(c).cast("double") for c in FEATURES], load_parameters(spark, f"{path}/parameters"))
+    each = inputs.select(*keys, found.alias("found"))
+    return each.select(*keys, *[F.get("found", F.lit(i)).alias(t) for i, t in enumerate(TARGETS)])

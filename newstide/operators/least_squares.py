@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newstide.operators.features import load_ranges, save_ranges, scaled
+from newstide.operators.features import complete_rows, load_ranges, save_ranges, scaled
 from newstide.schemas import FEATURES, TARGETS
 
 WEIGHTS = "target string, weights array<double>"
@@ -23,17 +23,18 @@ def _terms() -> list[Column]:
     return [F.lit(1.0), *[F.col(c).cast("double") for c in FEATURES]]
 
 
-def train(rows: DataFrame, path: str) -> None:
-    """Fit on ``FEATURES`` and ``TARGETS`` and store ranges and weights below ``path``.
+def train(rows: DataFrame, path: str, previous: str | None = None) -> None:
+    """Fit on the complete rows and store ranges and weights below ``path``.
 
-    Features that depend on each other share the weight of what they say in common.
+    Features that depend on each other share the weight of what they say in common. The
+    fit is exact, so an earlier model at ``previous`` has nothing to add to its rows.
     """
-    spark = rows.sparkSession
+    spark, rows = rows.sparkSession, complete_rows(rows)
     save_ranges(rows, f"{path}/ranges")
     inputs = scaled(rows, load_ranges(spark, f"{path}/ranges"))
     terms, targets = _terms(), [F.col(t).cast("double") for t in TARGETS]
     pairs = [(i, j) for i in range(N_TERMS) for j in range(i, N_TERMS)]
-    sums = inputs.where(" and ".join(f"{t} is not null" for t in TARGETS)).agg(
+    sums = inputs.agg(
         *[F.sum(terms[i] * terms[j]) for i, j in pairs], *[F.sum(x * y) for x in terms for y in targets]
     )
     numbers = np.array([x or 0.0 for x in sums.first()])

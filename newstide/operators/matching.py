@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newstide.schemas import BAR
+
 INDICATORS = ["sentiment", "bullish_indicator", "bullish_indicator_all_posts", "agreement_indicator"]
-BAR = ["open", "high", "low", "close", "volume"]
 
 
 def unmatched(daily: DataFrame, matched_days: DataFrame) -> DataFrame:
@@ -36,5 +37,16 @@ def matched_csv_rows(matched: DataFrame) -> DataFrame:
     )
 
 
+def last_matched(rows: DataFrame) -> DataFrame:
+    """The newest copy of every symbol and day: a day is matched again when articles come late.
+
+    Ordered by the run that matched it and, for a repeated run, by the batch that took it in.
+    """
+    keys = ["_pubDate", "symbol"]
+    values = F.struct(*INDICATORS, *BAR)
+    newest = F.max_by(values, F.struct("run_date", "batch_id")).alias("row")
+    return rows.groupBy(*keys).agg(newest).select(*keys, "row.*")
+
+
 def next_day_dataset(daily: DataFrame, bars: DataFrame) -> DataFrame:
     return match_next_day(daily, bars).select("pub_date", "symbol", *INDICATORS, *BAR)

@@ -21,13 +21,14 @@ from newstide.sinks import points, tables
 from newstide.sources import landing
 from newstide.sources.streams import file_messages
 from newstide.sources.tables import days_of, on_days, read_table
-from newstide.streaming.ticks import last_writes, republished, write_trades
+from newstide.streaming.news import consume_datasets
+from newstide.streaming.ticks import compact, last_writes, write_trades
 
 
 class Forecaster(Protocol):
     """A price model: ``least_squares``, ``forecast`` and ``gated_cell`` are such modules."""
 
-    def train(self, rows: DataFrame, path: str) -> object: ...
+    def train(self, rows: DataFrame, path: str, previous: str | None = None) -> object: ...
 
     def score(self, rows: DataFrame, path: str) -> DataFrame: ...
 
@@ -143,13 +144,46 @@ def match_prices(spark: SparkSession, store: Store, run_date: dt.date) -> str |
     return folder
 
 
+def take_in_datasets(spark: SparkSession, store: Store) -> None:
+    """Add matched files that no run has taken in to the training rows, and archive them.
+
+    A file is taken in once and moved by the run after.
+    """
+
+    def keep(rows: DataFrame, batch_id: int) -> None:
+        tables.replace_batch(rows, store.path("training_rows"), f"{batch_id:09d}", "run_date")
+
+    consume_datasets(
+        spark, store.path("datasets"), store.path("archive"), store.path("checkpoints/datasets"), keep
+    ).awaitTermination()
+
+
+def training_rows(spark: SparkSession, store: Store, run_date: dt.date) -> DataFrame:
+    """One row per symbol and day: the last one matched by the runs up to ``run_date``."""
+    taken = store.read(spark, "training_rows").where(F.col("run_date") <= F.lit(run_date))
+    return features.features_and_targets(matching.last_matched(taken).withColumn("pub_date", F.to_date("_pubDate")))
+
+
+def last_model(spark: SparkSession, store: Store, run_date: dt.date, own: bool = True) -> str | None:
+    """Where the newest finished model of the runs up to (or, not ``own``, before) ``run_date`` is."""
+    known = store.read(spark, "trained_models")
+    until = F.col("run_date") <= F.lit(run_date) if own else F.col("run_date") < F.lit(run_date)
+    newest = known.where(until).agg(F.max_by("path", "run_date").alias("path")).first()
+    return newest["path"]
+
+
 def train_on(
-    spark: SparkSession, folder: str, model_path: str, forecaster: Forecaster = least_squares
+    spark: SparkSession, store: Store, run_date: dt.date, forecaster: Forecaster = least_squares
 ) -> None:
-    """Fit on the datasets below a folder: the model goes on learning from all runs."""
-    rows = spark.read.schema(schemas.MATCHED_CSV).option("header", True).csv(folder)
-    dated = rows.withColumn("pub_date", F.to_date("_pubDate"))
-    forecaster.train(features.features_and_targets(dated), model_path)
+    """Fit on the rows so far, going on from the model before, into a folder of this run.
+
+    The model counts once it is entered as trained, so a failure leaves the one before.
+    """
+    path = store.path(f"models/price/run_date={run_date.isoformat()}")
+    previous = last_model(spark, store, run_date, own=False)
+    forecaster.train(training_rows(spark, store, run_date), path, previous=previous)
+    entry = spark.createDataFrame([(path, run_date)], "path string, run_date date")
+    tables.replace_batch(entry, store.path("trained_models"), run_date.isoformat(), "run_date")
 
 
 def predict(
@@ -179,10 +213,11 @@ def run_day(
     if not classify_open_news(spark, store, run_date, sentiment_model, words):
         return False
     folder = match_prices(spark, store, run_date)
-    model_path = store.path("models/price")
     if folder is not None:
-        train_on(spark, store.path("datasets"), model_path, forecaster)
-    if folder is not None or _model_exists(spark, model_path):
+        take_in_datasets(spark, store)
+        train_on(spark, store, run_date, forecaster)
+    model_path = last_model(spark, store, run_date)
+    if model_path is not None:
         predictions = predict(spark, store, symbols, run_date, model_path, forecaster)
         day = store.path(f"predictions/run_date={run_date.isoformat()}")
         predictions.write.mode("overwrite").parquet(day)
@@ -191,10 +226,6 @@ def run_day(
     return True
 
 
-def _model_exists(spark: SparkSession, path: str) -> bool:
-    return not read_table(spark, f"{path}/ranges", features.RANGES).isEmpty()
-
-
 def run_trades(
     spark: SparkSession,
     store: Store,
@@ -202,9 +233,31 @@ def run_trades(
     source: Callable[[SparkSession, str], DataFrame] = file_messages,
 ) -> DataFrame:
     """Take in all trade messages there are now; the trades so far, last write per key."""
-    messages = republished(source(spark, landed))
     query = write_trades(
-        messages, store.path("trades"), store.path("trade_rejects"), store.path("checkpoints/trades")
+        source(spark, landed),
+        store.path("trades"),
+        store.path("trade_rejects"),
+        store.path("checkpoints/trades"),
+        enveloped=True,
+        points=store.path("trade_points"),
     )
     query.awaitTermination()
-    return last_writes(store.read(spark, "trades"))
+    return trades(spark, store)
+
+
+def compact_trades(spark: SparkSession, store: Store, before: dt.date) -> None:
+    """Gather the batches of days before ``before`` into one table of days, each key once.
+
+    Late trades of such a day are taken in when it is compacted again.
+    """
+    compact(store.read(spark, "trades").where(F.col("trade_date") < F.lit(before)), store.path("trade_days"))
+
+
+def trades(spark: SparkSession, store: Store) -> DataFrame:
+    """All trades, last write per key: finished days as compacted, later ones from their batches."""
+    days = store.read(spark, "trade_days")
+    # one number per compacted day reaches the driver, read from the partitions alone
+    last = days.agg(F.max("trade_date")).first()[0]
+    raw = store.read(spark, "trades")
+    rest = last_writes(raw if last is None else raw.where(F.col("trade_date") > F.lit(last)))
+    return days.select(rest.columns).unionByName(rest)

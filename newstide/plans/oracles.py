@@ -330,6 +330,46 @@ def least_squares() -> str:
 
 
 MILLIS = "epoch_us(ts) // 1000"
+STORED = "day(b.bar_date) % 3 <> 0 and b.symbol not in ('src3', 'src11')"
+
+
+def gated() -> str:
+    """The closed form of the gated cell, one row per day and unit; parameters follow from their position."""
+    count, inputs = 50, len(FEATURES)
+
+    def parameter(position: str) -> str:
+        return f"((({position}) * 37) % 101 - 50) / 100.0::double"
+
+    scaled = ", ".join(
+        f"case when max({c}) over () > min({c}) over () then ({c} - min({c}) over ())::double "
+        f"/ (max({c}) over () - min({c}) over ()) else 0.0 end as x{k}"
+        for k, c in enumerate(FEATURES)
+    )
+    bias = inputs * 3 * count
+    gates = [
+        " + ".join(
+            [parameter(f"{bias} + {g * count} + u")]
+            + [f"x{k} * {parameter(f'{k * 3 * count} + {g * count} + u')}" for k in range(inputs)]
+        )
+        for g in range(3)
+    ]
+    output = bias + 3 * count
+    sums = ", ".join(
+        f"sum(h * {parameter(f'{output} + u * {len(TARGETS)} + {t}')}) "
+        f"+ {parameter(str(output + count * len(TARGETS) + t))} as {name}"
+        for t, name in enumerate(TARGETS)
+    )
+    return f"""
+scaled as (select symbol, pub_date, {scaled} from encoded),
+units as (
+  select symbol, pub_date, u, {gates[0]} as zi, {gates[1]} as zg, {gates[2]} as zo
+  from scaled, range({count}) as n(u)),
+states as (
+  select symbol, pub_date, u, tanh(tanh(zg) / (1 + exp(-zi))) / (1 + exp(-zo)) as h from units),
+outputs as (select symbol, pub_date, {sums} from states group by symbol, pub_date)"""
+
+
+GATED = gated()
 
 ORACLES: dict[str, str] = {
     "daily_sentiment": f"with {DAILY} {DAILY_ROWS}",
@@ -338,16 +378,44 @@ ORACLES: dict[str, str] = {
     "symbol_day": f"with {DAILY} {DAILY_ROWS} where symbol = 'src15' and pub_date = date '2024-01-16'",
     "unmatched_days": f"""with {DAILY}, {BARS}
         select symbol, pub_date, pos_n + neg_n as articles from daily d where not exists
-          (select 1 from ticks t where t.event_type = 'purchase' and t.symbol = d.symbol
-           and cast(t.ts as date) = d.pub_date + 1)""",
+          (select 1 from bars b where b.symbol = d.symbol and b.bar_date = d.pub_date + 1 and {STORED})""",
     "daily_bars": f"with {BARS} select * from bars",
     "price_feed_rows": f"with {BARS} select * from bars",
     "latest_open": f"with {BARS} select symbol, max(bar_date) as bar_date, arg_max(open, bar_date) as open from bars group by 1",
     "missing_previous_day": f"""with {BARS} select symbol, bar_date from bars b where not exists
           (select 1 from bars x where x.symbol = b.symbol and x.bar_date = b.bar_date - 1)""",
-    "new_price_rows": f"""with {BARS} select symbol, bar_date, {OHLC}, volume from bars b where not exists
-          (select 1 from ticks t where t.event_type = 'purchase' and t.symbol = b.symbol
-           and cast(t.ts as date) = b.bar_date)""",
+    "new_price_rows": f"with {BARS} select symbol, bar_date, {OHLC}, volume from bars b where not ({STORED})",
+    "stored_bars": f"with {BARS} select count(*) as first, cast(0 as bigint) as again, count(*) as stored from bars",
+    "price_feed_rejects": f"""with {BARS} select symbol, bar_date,
+          case when day(bar_date) % 7 = 0 then 'no open' else 'no volume' end as problem
+        from bars where day(bar_date) % 7 = 0 or day(bar_date) % 5 = 0""",
+    "training_rows": f"""with {DAILY}, {BARS},
+        early_counts as (
+          select symbol, pub_date, cast(count(*) filter (positive) as bigint) as pos_n,
+                 cast(count(*) filter (not positive) as bigint) as neg_n
+          from classified where doc_id % 3 <> 0 group by symbol, pub_date),
+        early as (
+          select symbol, pub_date, b,
+                 case when b > 0 then 'positive' when b < 0 then 'negative' else 'neutral' end as sentiment,
+                 b * ln(1 + pos_n + neg_n) as b_all, 1 - sqrt(1 - b * b) as agree
+          from (select *, (pos_n - neg_n) / cast(pos_n + neg_n as double) as b from early_counts)),
+        runs as (
+          select symbol, pub_date, sentiment, b, b_all, agree, 1 as run from early
+          union all select symbol, pub_date, sentiment, b, b_all, agree, 2 from daily where symbol < 'src5'),
+        newest as (select * from runs qualify row_number() over (partition by symbol, pub_date order by run desc) = 1)
+        select strftime(pub_date, '%Y-%m-%d') as _pubDate, d.symbol, sentiment, {ROUNDED}, {OHLC}, volume
+        from newest d join bars x on d.symbol = x.symbol and d.pub_date + 1 = x.bar_date""",
+    "forecast_gbt": f"with {MATCHED} " + " union all ".join(
+        f"select '{t}' as target, count(*) as days, true as better from matched" for t in TARGETS
+    ),
+    "gated_scores": f"with {ENCODED}, {GATED} select symbol, pub_date, "
+    + ", ".join(f"round({t}, 6) as {t}" for t in TARGETS) + " from outputs",
+    "envelope_rejects": f"""with {TICKS} select seq as "offset",
+          case when seq % 50 = 0 then 'unreadable envelope' else 'no data' end as problem
+        from ticks where event_type = 'error' or seq % 50 = 0""",
+    "compacted_trades": f"with {TICKS} select symbol, {MILLIS} as t, arg_max(price, seq) as price, arg_max(volume, seq) as volume from ticks group by 1, 2",
+    "open_days": f"""with {ARTICLES}, {ONCE} select pub_date from once left join labels using (doc_id)
+        where pub_date < {RUN_DAY} group by pub_date having count(*) filter (quality is null) > 0""",
     "matched_dataset": f"with {MATCHED} select pub_date, symbol, sentiment, {ROUNDED}, {OHLC}, volume from matched",
     "matched_csv": f"""with {MATCHED} select strftime(pub_date, '%Y-%m-%d') as _pubDate, symbol, sentiment,
           {ROUNDED}, {OHLC}, volume from matched""",
@@ -377,9 +445,9 @@ ORACLES: dict[str, str] = {
     )
     + " from matched",
     "forecast_linear": least_squares(),
-    "prediction_points": f"""with {MATCHED} select concat('stock_predictions,symbol=', symbol, ',date=',
+    "prediction_points": f"""select concat('stock_predictions,symbol=', symbol, ',date=',
           strftime(pub_date + 1, '%Y-%m-%d'), ' high=', high, ',low=', low, ',close=', close,
-          ',volume=', volume) as value from matched""",
+          ',volume=', volume) as value from ({least_squares()})""",
     "article_guid": f"with {ARTICLES} select guid, count(*) as n from articles group by guid",
     "distinct_articles": f"""with {ARTICLES} select symbol, count(*) as n, cast(sum(doc_id) as bigint) as doc_ids
         from (select guid, symbol, min(doc_id) as doc_id from articles group by 1, 2) group by symbol""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,9 +78,9 @@ def incremental_merge(spark, sf_dir):
 
 @query
 def unmatched_days(spark, sf_dir):
-    """Days of news without a bar on the day after, with purchases as the only trades."""
+    """Days of news without a bar on the day after, with bars that are not stored yet missing."""
     sentiment = daily.daily_sentiment(fixtures.classified_articles(spark, sf_dir))
-    matched = matching.match_next_day(sentiment, _purchase_bars(spark, sf_dir))
+    matched = matching.match_next_day(sentiment, _stored_bars(spark, sf_dir))
     ledger = matched.select("symbol", "pub_date", (F.col("pos_n") + F.col("neg_n")).alias("articles"))
     return matching.unmatched(sentiment, ledger).select("symbol", "pub_date", "articles")
 
@@ -91,9 +92,10 @@ def _bars(spark, sf_dir):
     return prices.daily_bars(fixtures.ticks(spark, sf_dir))
 
 
-def _purchase_bars(spark, sf_dir):
-    purchases = fixtures.table(spark, sf_dir, "events").where("event_type = 'purchase'")
-    return prices.daily_bars(fixtures.tick_rows(purchases))
+def _stored_bars(spark, sf_dir):
+    """All bars but those of every third day and of two symbols."""
+    bars = _bars(spark, sf_dir)
+    return bars.where((F.dayofmonth("bar_date") % 3 != 0) & ~F.col("symbol").isin("src3", "src11"))
 
 
 @query
@@ -113,8 +115,20 @@ def missing_previous_day(spark, sf_dir):
 
 @query
 def new_price_rows(spark, sf_dir):
-    """Bars that a store built from the purchases alone does not have."""
-    return prices.new_bars(_bars(spark, sf_dir), _purchase_bars(spark, sf_dir))
+    """Bars that a store with gaps does not have."""
+    return prices.new_bars(_bars(spark, sf_dir), _stored_bars(spark, sf_dir))
+
+
+@query
+def stored_bars(spark, sf_dir):
+    """Bars appended twice to a table: how many rows each time added, and how many it has."""
+    folder = work_folder(spark, "prices")
+    added = []
+    for _ in range(2):
+        stored = read_table(spark, folder, schemas.PRICES)
+        added.append(tables.append(prices.new_bars(_bars(spark, sf_dir), stored), folder, "bar_date"))
+    counts = read_table(spark, folder, schemas.PRICES).agg(F.count(F.lit(1)).alias("stored"))
+    return counts.select(F.lit(added[0]).alias("first"), F.lit(added[1]).alias("again"), "stored")
 
 
 def _price_messages(bars):
@@ -135,6 +149,17 @@ def price_feed_rows(spark, sf_dir):
     return landing.price_rows(entries)
 
 
+@query
+def price_feed_rejects(spark, sf_dir):
+    """Price records without a figure: every seventh day has no opening price, every fifth no volume."""
+    day = F.dayofmonth("bar_date")
+    bars = _bars(spark, sf_dir).withColumns(
+        {"open": F.when(day % 7 != 0, F.col("open")), "volume": F.when(day % 5 != 0, F.col("volume"))}
+    )
+    entries = landing.price_entries(_price_messages(bars))
+    return landing.rejects(entries).select("symbol", "bar_date", "problem")
+
+
 # --- matched dataset, features, models --------------------------------------------------
 
 
@@ -157,6 +182,19 @@ def matched_csv(spark, sf_dir):
     return rounded(read_matched_csv(spark, folder), *BULLISH)
 
 
+@query
+def training_rows(spark, sf_dir):
+    """Matched days of two runs, the second with more articles: the newest row of each day."""
+    sentiment = daily.daily_sentiment(fixtures.classified_articles(spark, sf_dir))
+    early = fixtures.classified_articles(spark, sf_dir).where("doc_id % 3 <> 0")
+    runs = []
+    for number, rows in enumerate((daily.daily_sentiment(early), sentiment.where("symbol < 'src5'"))):
+        matched = matching.match_next_day(rows, _bars(spark, sf_dir))
+        run_date = F.lit(RUN_DATE + dt.timedelta(days=number)).alias("run_date")
+        runs.append(matching.matched_csv_rows(matched).select("*", run_date, F.lit("0").alias("batch_id")))
+    return rounded(matching.last_matched(runs[0].unionByName(runs[1])), *BULLISH)
+
+
 @query
 def encoded_features(spark, sf_dir):
     return rounded(features.features_and_targets(_matched(spark, sf_dir)), *BULLISH)
@@ -219,25 +257,40 @@ def forecast_linear(spark, sf_dir):
 
 @query
 def forecast_gbt(spark, sf_dir):
-    """Boosted trees of Spark ML, fitted, stored, loaded and applied."""
-    folder, rows = _stored_rows(spark, sf_dir, "trees")
-    forecast.train(rows, folder, lambda t: forecast.boosted_trees(t, rounds=5))
-    return rounded(forecast.score(rows, folder), *TARGETS, digits=4)
+    """Boosted trees of Spark ML, fitted, stored, loaded and applied: what must hold of any such fit.
 
-
-@query
-def forecast_gated(spark, sf_dir):
-    """The gated cell trained for 100 epochs and applied to its training days."""
+    Per target the days forecast, and whether the squared error is below that of the mean.
+    """
+    folder, rows = _stored_rows(spark, sf_dir, "trees")
+    forecast.train(rows, folder, regressor=lambda t: forecast.boosted_trees(t, rounds=5))
+    guesses = [F.col(t).alias(f"guess_{t}") for t in TARGETS]
+    both = forecast.score(rows, folder).select("symbol", "pub_date", *guesses).join(rows, ["symbol", "pub_date"])
+    facts = [
+        F.struct(
+            F.lit(t).alias("target"),
+            F.count(f"guess_{t}").alias("days"),
+            (F.avg(F.pow(F.col(f"guess_{t}") - F.col(t), 2)) < F.var_pop(t)).alias("better"),
+        )
+        for t in TARGETS
+    ]
+    return both.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
+
+
+@query
+def gated_scores(spark, sf_dir):
+    """The gated cell applied to matched days, with parameters made by a rule of their position."""
     folder, rows = _stored_rows(spark, sf_dir, "gated")
-    gated_cell.train(rows, folder)
-    return rounded(gated_cell.score(rows, folder), *TARGETS, digits=4)
+    features.save_ranges(rows, f"{folder}/ranges")
+    parameters = [(n * 37 % 101 - 50) / 100 for n in range(gated_cell.N_PARAMETERS)]
+    gated_cell.save_parameters(spark, np.array(parameters), f"{folder}/parameters")
+    return rounded(gated_cell.score(rows, folder), *TARGETS)
 
 
 @query
 def prediction_points(spark, sf_dir):
-    """Forecasts as time-series points: the bar's own figures stand in for a model."""
-    out = _matched(spark, sf_dir).withColumn("target_date", F.date_add("pub_date", 1))
-    return points.prediction_points(out)
+    """The default model's forecasts as time-series points."""
+    forecasts = forecast_linear(spark, sf_dir)
+    return points.prediction_points(forecasts.withColumn("target_date", F.date_add("pub_date", 1)))
 
 
 # --- news ingest ------------------------------------------------------------------------
@@ -273,6 +326,14 @@ def open_news(spark, sf_dir):
     return news.open_news(every, processed, F.lit(RUN_DATE))
 
 
+@query
+def open_days(spark, sf_dir):
+    """Closed days with articles that are not processed: a run goes on only if there are any."""
+    once = news.first_copies(fixtures.articles(spark, sf_dir), "doc_id", "guid").select("doc_id", "guid", "pub_date")
+    processed = known(once, fixtures.table(spark, sf_dir, "labels"), "doc_id")
+    return news.open_days(once, processed, F.lit(RUN_DATE))
+
+
 @query
 def top_n_news(spark, sf_dir):
     """The three newest articles of every symbol."""
@@ -533,6 +594,17 @@ def republished_messages(spark, sf_dir):
     return out.select("offset", F.inline(F.from_json("value", TRADE_LIST_DDL)))
 
 
+@query
+def envelope_rejects(spark, sf_dir):
+    """Envelopes that give no trades: those of errors have no data, every fiftieth is cut off."""
+    ticks = fixtures.tick_rows(fixtures.table(spark, sf_dir, "events"), "event_type")
+    data = F.when(F.col("event_type") != "error", F.array(_trade()))
+    envelope = F.to_json(F.struct(data.alias("data"), F.col("event_type").alias("type")))
+    cut = F.when(F.col("seq") % 50 == 0, F.substring(envelope, 1, 12)).otherwise(envelope)
+    rejects = tick_stream.envelope_rejects(ticks.select(F.col("seq").alias("offset"), cut.alias("value")))
+    return rejects.select(F.col("seq.offset").alias("offset"), "problem")
+
+
 @query
 def last_writes(spark, sf_dir):
     """One trade per symbol and hour-long key: the one written last."""
@@ -546,9 +618,8 @@ def trade_points(spark, sf_dir):
     return points.trade_points(fixtures.ticks(spark, sf_dir))
 
 
-@query
-def stream_trades(spark, sf_dir):
-    """The ticks table streamed through the trade sink."""
+def _streamed_trades(spark, sf_dir):
+    """The trades table the ticks make when they are streamed through the trade sink."""
     folder = work_folder(spark, "trades")
     schema = fixtures.table(spark, sf_dir, "events").schema
     events = table_rows(spark, sf_dir, schema, "events.parquet")
@@ -558,10 +629,23 @@ def stream_trades(spark, sf_dir):
     tick_stream.write_trades(
         messages, f"{folder}/trades", f"{folder}/rejects", f"{folder}/checkpoint"
     ).awaitTermination()
-    written = read_table(spark, f"{folder}/trades", schemas.TRADES)
-    return tick_stream.last_writes(written).select(
-        "symbol", F.unix_millis("ts").alias("t"), "price", "volume"
-    )
+    return folder, read_table(spark, f"{folder}/trades", schemas.TRADES)
+
+
+@query
+def stream_trades(spark, sf_dir):
+    """The ticks table streamed through the trade sink."""
+    _, written = _streamed_trades(spark, sf_dir)
+    return tick_stream.last_writes(written).select("symbol", F.unix_millis("ts").alias("t"), "price", "volume")
+
+
+@query
+def compacted_trades(spark, sf_dir):
+    """Streamed trades gathered into one table of days."""
+    folder, written = _streamed_trades(spark, sf_dir)
+    tick_stream.compact(written, f"{folder}/days")
+    days = read_table(spark, f"{folder}/days", schemas.TRADE_DAYS)
+    return days.select("symbol", F.unix_millis("ts").alias("t"), "price", "volume")
 
 
 @query

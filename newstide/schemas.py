@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Landing messages: the shapes the feeds deliver.
+# The shapes in which the feeds deliver their messages.
 NEWS_FEED = (
     "data struct<main:struct<stream:array<struct<content:struct<"
     "title:string,pubDate:string,clickThroughUrl:struct<url:string>,previewUrl:string>>>>>"
@@ -16,7 +16,6 @@ TRADE_ENVELOPE = f"data {TRADE_LIST_DDL}, type string"
 # Tables.
 NEWS = "guid string, symbol string, pub_date date, title string, text string"
 NEWS_ITEM_DDL = "struct<guid:string,_pubDate:string,_title:string,_symbol:string,_TextNew:string,is_new:int>"
-NEWS_NESTED = f"symbol string, listOfNews array<{NEWS_ITEM_DDL}>"
 PRICES = (
     "symbol string, bar_date date, open double, high double, low double, close double, volume double"
 )
@@ -25,17 +24,25 @@ CLASSIFIED_NEWS = (
     "guid string, symbol string, margin double, sentiment string, pub_date date, batch_id string"
 )
 PROCESSED_NEWS = "guid string, pub_date date, batch_id string"
+TRAINED_MODELS = "path string, run_date date, batch_id string"
 MATCHED_DAYS = "symbol string, articles bigint, pub_date date, batch_id string"
+# a trade's position in the stream: when its message was sent, its part of the topic, its
+# number there, and the trade's place in the message
+POSITION = "struct<timestamp:timestamp,partition:int,offset:bigint,place:int>"
 TRADES = (
-    "symbol string, ts timestamp, price double, volume double, seq bigint, "
+    f"symbol string, ts timestamp, price double, volume double, seq {POSITION}, "
     "trade_date date, batch_id string"
 )
-MESSAGES = "offset bigint, value string"
+TRADE_DAYS = f"symbol string, ts timestamp, price double, volume double, seq {POSITION}, trade_date date"
+LANDED_MESSAGES = "timestamp timestamp, partition int, offset bigint, value string"
 PREDICTIONS = (
     "symbol string, target_date date, high double, low double, close double, volume double"
 )
 
-# The matched dataset as it is exchanged in CSV.
+# A bar's figures.
+BAR = ["open", "high", "low", "close", "volume"]
+
+# The matched dataset as it is exchanged in CSV, and what models read and predict.
 MATCHED_CSV = (
     "_pubDate string, symbol string, sentiment string, bullish_indicator double, "
     "bullish_indicator_all_posts double, agreement_indicator double, open double, "
@@ -50,3 +57,6 @@ FEATURES = [
     "open",
 ]
 TARGETS = ["high", "low", "close", "volume"]
+
+# Matched rows as they were taken in for training, by the run that matched them.
+TRAINING_ROWS = f"{MATCHED_CSV}, run_date date, batch_id string"

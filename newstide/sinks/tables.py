@@ -13,14 +13,20 @@ def balanced(frame: DataFrame, *partition_by: str) -> DataFrame:
 
 
 def append(frame: DataFrame, path: str, *partition_by: str) -> int:
-    """Append rows and return how many; counted while writing, not by a second pass."""
+    """Append rows and return how many; counted while writing, not by a second pass.
+
+    Spark drops the counter together with a plan it finds out to give no rows. Only then is
+    the frame asked again whether it is empty; any other failure is raised.
+    """
     written = Observation()
     counted = frame.observe(written, F.count(F.lit(1)).alias("n"))
     balanced(counted, *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
     try:
         return written.get["n"]
-    except Py4JJavaError:  # Spark drops the observation of rows it finds out to be none
-        return 0
+    except Py4JJavaError:
+        if frame.isEmpty():
+            return 0
+        raise
 
 
 def replace_batch(frame: DataFrame, path: str, batch_id: str, day: str) -> None:
@@ -35,6 +41,11 @@ def replace_batch(frame: DataFrame, path: str, batch_id: str, day: str) -> None:
     )
 
 
+def replace_lines(frame: DataFrame, path: str, batch_id: str) -> None:
+    """Write one batch's lines of text into a folder of its own; a rerun replaces them."""
+    frame.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+
+
 def write_csv(frame: DataFrame, path: str) -> None:
     """CSV files with a header, replacing what the folder held."""
     frame.write.mode("overwrite").option("header", True).csv(path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newstide.functions.html import article_text
 from newstide.functions.identity import article_guid, article_url
 from newstide.operators.rows import listed
-from newstide.schemas import NEWS_FEED, PRICE_FEED
+from newstide.schemas import BAR, NEWS_FEED, PRICE_FEED
 
 
 def publication_day(stamp: Column) -> Column:
@@ -70,16 +70,22 @@ def rejects(rows: DataFrame) -> DataFrame:
 
 
 def price_entries(messages: DataFrame) -> DataFrame:
-    """``symbol, message`` to daily bars with a ``problem`` column, one row per record."""
+    """``symbol, message`` to daily bars with a ``problem`` column, one row per record.
+
+    A record without a date or without one of its figures, such as a dividend, is no bar.
+    """
     feed = F.from_json("message", PRICE_FEED)
     bar = F.col("bar")
     # days are counted from the epoch, so the session's time zone plays no part
     day = F.date_from_unix_date(F.floor(bar["date"] / F.lit(86400)).cast("int"))
+    problem = F.when(F.col("unread"), "unreadable message").when(bar["date"].isNull(), "no date")
+    for column in BAR:
+        problem = problem.when(bar[column].isNull(), f"no {column}")
     return listed(messages, "symbol", bar=feed["prices"]).select(
         "symbol",
         day.alias("bar_date"),
-        *[bar[c].alias(c) for c in ("open", "high", "low", "close", "volume")],
-        F.when(F.col("unread"), "unreadable message").when(bar["date"].isNull(), "no date").alias("problem"),
+        *[bar[c].alias(c) for c in BAR],
+        problem.alias("problem"),
     )
 
 

@@ -1,11 +1,11 @@
-"""Message streams as ``offset, value`` rows, from a topic or from landed files."""
+"""Message streams as ``timestamp, partition, offset, value`` rows, from a topic or landed files."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.schemas import MESSAGES
+from newstide.schemas import LANDED_MESSAGES
 
 
 def topic_messages(
@@ -18,15 +18,13 @@ def topic_messages(
         .option("subscribe", topic)
         .option("startingOffsets", starting)
         .load()
-        .select("offset", F.col("value").cast("string").alias("value"))
+        .select("timestamp", "partition", "offset", F.col("value").cast("string").alias("value"))
     )
 
 
 def file_messages(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Messages landed as JSON lines ``{"offset": …, "value": "…"}``."""
-    return (
-        spark.readStream.schema(MESSAGES).option("maxFilesPerTrigger", files_per_batch).json(path)
-    )
+    """Messages landed as JSON lines ``{"offset": …, "value": "…"}``, with or without the other fields."""
+    return spark.readStream.schema(LANDED_MESSAGES).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
 def table_rows(

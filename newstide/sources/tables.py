@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +13,15 @@ from newstide.schemas import MATCHED_CSV
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet table, empty when it has not been written yet."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
+    table = spark.read.schema(schema)
+    try:
+        found = table.parquet(path)
+        found.schema  # a remote session looks for the folder only now
+        return found
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
 
 
 def spread(frame: DataFrame) -> DataFrame:

@@ -75,6 +75,16 @@ def test_ingest_is_idempotent(spark, tmp_path):
     assert store.read(spark, "prices").count() == 5
 
 
+def test_a_bar_without_prices_does_not_block_the_real_one(spark, tmp_path):
+    store = Store(str(tmp_path))
+    symbol, text = prices_message("A", [0])
+    for batch, message in enumerate([text.replace("10.0", "null", 1), text]):
+        frame = spark.createDataFrame([(symbol, message)], "symbol string, message string")
+        assert jobs.ingest_prices(spark, store, frame, str(batch)) == batch
+    assert [r.open for r in store.read(spark, "prices").collect()] == [10.0]
+    assert [r.problem for r in spark.read.parquet(store.path("price_rejects")).collect()] == ["no open"]
+
+
 def test_days_run_in_order_and_again(spark, tmp_path, model):
     store = Store(str(tmp_path))
     ingest(spark, store, "1", FIRST)
@@ -103,6 +113,20 @@ def test_days_run_in_order_and_again(spark, tmp_path, model):
     assert snapshot(spark, store)[0] == ("A", day(0), 2, 1)
     late = spark.read.option("header", True).csv(store.path(f"datasets/run_date={day(2)}"))
     assert [r.symbol for r in late.collect()] == ["A"]
+    # the day is trained on once, with its newest figures; an earlier run sees the earlier ones
+    rows = {(r.symbol, r.pub_date): r.bullish_indicator for r in jobs.training_rows(spark, store, day(2)).collect()}
+    assert len(rows) == jobs.training_rows(spark, store, day(2)).count() == 2
+    assert rows["A", day(0)] == pytest.approx(1 / 3)
+    early = {(r.symbol, r.pub_date): r.bullish_indicator for r in jobs.training_rows(spark, store, day(1)).collect()}
+    assert early == {("A", day(0)): 0.0, ("B", day(0)): -1.0}
+    # each run has a model of its own, and the files of the first were archived by the second
+    assert jobs.last_model(spark, store, day(1)).endswith(f"run_date={day(1)}")
+    assert jobs.last_model(spark, store, day(2)).endswith(f"run_date={day(2)}")
+    assert jobs.last_model(spark, store, day(1), own=False) is None
+    taken = store.read(spark, "training_rows").count()
+    jobs.take_in_datasets(spark, store)
+    assert store.read(spark, "training_rows").count() == taken
+    assert any((tmp_path / "archive").rglob("*.csv"))
 
     # the article that waited
     assert jobs.run_day(spark, store, day(3), symbols(spark), model)

@@ -49,14 +49,19 @@ def test_articles_need_a_page_but_may_be_empty(spark):
 def test_price_entries_keep_no_earlier_record(spark):
     bar = {"date": 1714521599, "open": 1, "high": 2, "low": 0.5, "close": 1.5, "volume": 10}
     broken = {k: v for k, v in bar.items() if k != "date"}
+    dividend = {"date": 1714521599, "type": "DIVIDEND", "amount": 0.2}
+    unread = {**bar, "open": "n/a"}
     messages = spark.createDataFrame(
-        [("A", json.dumps({"prices": [bar, broken]})), ("B", "{")], "symbol string, message string"
+        [("A", json.dumps({"prices": [bar, broken]})), ("B", "{"), ("C", json.dumps({"prices": [dividend, unread, {**bar, "volume": None}]}))],
+        "symbol string, message string",
     )
     entries = landing.price_entries(messages)
     rows = landing.price_rows(entries).collect()
     # one second before midnight UTC still is that day, whatever the machine's zone
     assert [(r.symbol, r.bar_date, r.open, r.volume) for r in rows] == [("A", dt.date(2024, 4, 30), 1.0, 10.0)]
-    assert sorted(r.problem for r in landing.rejects(entries).collect()) == ["no date", "unreadable message"]
+    assert sorted(r.problem for r in landing.rejects(entries).collect()) == [
+        "no date", "no open", "no open", "no volume", "unreadable message",
+    ]
 
 
 def test_append_counts_and_batches_replace_themselves(spark, tmp_path):

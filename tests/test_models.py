@@ -68,7 +68,7 @@ def test_linear_forecast_equals_least_squares(spark, tmp_path, model):
 
 def test_boosted_trees_learn_the_targets(spark, tmp_path):
     frame, rows = sample(spark)
-    forecast.train(frame, str(tmp_path), lambda t: forecast.boosted_trees(t, rounds=3))
+    forecast.train(frame, str(tmp_path), regressor=lambda t: forecast.boosted_trees(t, rounds=3))
     scored = forecast.score(frame, str(tmp_path)).select("symbol", "pub_date", F.col("high").alias("predicted"))
     error, spread = scored.join(frame, ["symbol", "pub_date"]).agg(
         F.avg(F.abs(F.col("predicted") - F.col("high"))), F.stddev("high")
@@ -102,20 +102,36 @@ def test_gated_gradient_is_the_slope_of_the_loss():
         assert slope == pytest.approx(gradient[i], abs=1e-5)
 
 
-def test_gated_training_in_one_task_is_plain_training(spark, tmp_path, monkeypatch):
+def test_gated_training_takes_the_same_steps_for_any_number_of_tasks(spark, tmp_path):
     frame, rows = sample(spark, 24)
-    losses = gated_cell.train(frame, str(tmp_path / "a"), epochs=6, epochs_per_round=3)
-    x = np.array([r[2:7] for r in sorted(rows, key=lambda r: r[:2])], float)
-    y = np.array([r[7:] for r in sorted(rows, key=lambda r: r[:2])])
-    x = (x - x.min(0)) / (x.max(0) - x.min(0))
-    zero = np.zeros(gated_cell.N_PARAMETERS)
-    adam = gated_cell.Adam(gated_cell.initial_parameters(), zero, zero, 0, 0.001)
-    gated_cell.run_epochs(x, y, adam, 6, 1)
+    losses = gated_cell.train(frame, str(tmp_path / "a"), steps=6)
+    x = np.array([r[2:7] for r in rows], float)
+    x, y = (x - x.min(0)) / (x.max(0) - x.min(0)), np.array([r[7:] for r in rows])
+    adam = gated_cell.Adam(gated_cell.initial_parameters(), 0.05)
+    for _ in range(6):
+        adam.step(gated_cell.loss_gradient(x, y, adam.flat)[1] / len(x))
     learned = gated_cell.load_parameters(spark, str(tmp_path / "a/parameters"))
-    assert np.allclose(learned, adam.flat) and losses[1] < losses[0]
-    # going on from there, over several tasks, goes on learning
-    monkeypatch.setattr(gated_cell, "ROWS_PER_TASK", 7)
-    more = gated_cell.train(frame, str(tmp_path / "b"), epochs=6, epochs_per_round=3, start=learned)
-    assert more[-1] < losses[-1]
-    scored = gated_cell.score(frame.drop(*TARGETS), str(tmp_path / "b"))
-    assert scored.columns == ["symbol", "pub_date", *TARGETS] and scored.count() == 24
+    assert np.allclose(learned, adam.flat) and losses[-1] < losses[0]
+    gated_cell.train(frame.repartition(5), str(tmp_path / "b"), steps=6)
+    assert np.allclose(gated_cell.load_parameters(spark, str(tmp_path / "b/parameters")), learned)
+    # going on from there goes on learning
+    more = gated_cell.train(frame, str(tmp_path / "c"), previous=str(tmp_path / "a"), steps=3)
+    assert more[0] < losses[-1]
+    scored = gated_cell.score(frame.drop(*TARGETS), str(tmp_path / "a"))
+    assert scored.columns == ["symbol", "pub_date", *TARGETS]
+    got = {(r[0], r[1]): r[2:] for r in map(tuple, scored.collect())}
+    want, _ = gated_cell.forward(x, learned)
+    assert all(np.allclose(got[r[0], r[1]], w) for r, w in zip(rows, want))
+
+
+@pytest.mark.parametrize("model", [least_squares, forecast, gated_cell])
+def test_incomplete_rows_are_not_trained_on(spark, tmp_path, model):
+    frame, _ = sample(spark, 30)
+    holes = frame.limit(4).withColumns({"open": F.lit(None).cast("double"), "volume": F.lit(None).cast("double")})
+    model.train(frame, str(tmp_path / "a"))
+    model.train(frame.unionByName(holes), str(tmp_path / "b"))
+    a, b = (
+        {(r.symbol, r.pub_date): [r[t] for t in TARGETS] for r in model.score(frame, str(tmp_path / n)).collect()}
+        for n in "ab"
+    )
+    assert all(np.allclose(a[k], b[k]) and np.isfinite(a[k]).all() for k in a)

@@ -4,7 +4,7 @@ import json
 from pyspark.sql import functions as F
 
 from newstide.operators import daily
-from newstide.plans.jobs import Store, run_trades
+from newstide.plans.jobs import Store, compact_trades, run_trades, trades
 from newstide.schemas import DAILY_COUNTS, MATCHED_CSV
 from newstide.sources.streams import table_rows
 from newstide.sources.tables import read_table
@@ -38,6 +38,37 @@ def test_trades_last_write_wins_over_batches(spark, tmp_path):
     assert got.first().ts.date() == dt.date(2024, 4, 30)
     # nothing new: nothing changes
     assert run_trades(spark, store, str(landed)).count() == 3
+    rejects = spark.read.parquet(store.path("trade_rejects"))
+    assert sorted((r.seq.offset, r.problem, r.value) for r in rejects.where("problem <> 'no price'").collect()) == [
+        (2, "no data", '{"type": "ping"}'), (3, "unreadable envelope", "garbage"),
+    ]
+    assert rejects.where("problem = 'no price'").count() == 1
+    points = [r.value for r in spark.read.text(store.path("trade_points")).collect()]
+    assert sorted(p.split(" ")[0] for p in points) == ["stock_prices,symbol=A"] * 3 + ["stock_prices,symbol=B"]
+
+
+def test_order_of_trades_over_the_parts_of_a_topic(spark):
+    at = lambda s: dt.datetime(2024, 4, 30, 0, 0, s)
+    rows = [
+        (at(5), 0, 7, json.dumps([trade(p=1.0), trade(p=2.0)])),
+        (at(9), 1, 7, json.dumps([trade(p=3.0)])),  # the same number in another part, sent later
+        (at(9), 0, 900, json.dumps([trade(p=4.0)])),  # sent at the same time: the part decides
+        (at(5), 1, 901, json.dumps([trade(p=5.0)])),  # a large number, but sent early
+    ]
+    frame = spark.createDataFrame(rows, "timestamp timestamp, partition int, offset bigint, value string")
+    out = ticks.last_writes(ticks.trade_rows(ticks.trade_entries(frame))).collect()
+    assert [(r.price, r.seq.partition, r.seq.offset) for r in out] == [(3.0, 1, 7)]
+
+
+def test_compacted_days_and_later_batches(spark, tmp_path):
+    landed, store = tmp_path / "landed", Store(str(tmp_path / "store"))
+    day_ms = 86_400_000
+    for n, (price, t) in enumerate([(1.0, T), (2.0, T), (3.0, T + day_ms), (4.0, T + day_ms)]):
+        land(landed, f"{n}.json", [(n, {"data": [trade(p=price, t=t)], "type": "trade"})])
+        before = sorted(map(tuple, run_trades(spark, store, str(landed)).collect()))
+    compact_trades(spark, store, dt.date(2024, 5, 1))
+    assert store.read(spark, "trade_days").count() == 1
+    assert sorted(map(tuple, trades(spark, store).collect())) == before and [r[2] for r in before] == [2.0, 4.0]
 
 
 def test_envelopes(spark):
@@ -92,7 +123,7 @@ def test_dataset_files_are_consumed_once_and_archived(spark, tmp_path):
     header = ",".join(f.split()[0] for f in MATCHED_CSV.split(", "))
 
     def run():
-        handle = lambda batch: seen.extend(r.symbol for r in batch.select("symbol").collect())
+        handle = lambda batch, _: seen.extend(r.symbol for r in batch.select("symbol").collect())
         consume_datasets(spark, str(folder), str(archive), str(tmp_path / "cp"), handle).awaitTermination()
 
     for n, symbol in enumerate(["A", "B", "C"]):
