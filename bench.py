@@ -20,7 +20,7 @@ HEADLINES = [
     "new_price_rows", "matched_dataset", "unmatched_days", "minmax_features", "serving_features",
     "open_high_regression", "forecast_linear", "article_guid", "distinct_articles", "unseen_articles",
     "open_news", "top_n_news", "nested_news", "news_feed_articles", "page_text", "tokens", "stems",
-    "cleaned_text", "spell", "nb_model", "bag_of_words", "nb_predict", "predicted_daily_sentiment",
+    "cleaned_text", "spell", "corrected_text", "nb_model", "bag_of_words", "nb_predict", "predicted_daily_sentiment",
     "trades_explode", "last_writes", "stream_trades", "stream_daily_sentiment",
 ]
 

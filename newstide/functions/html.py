@@ -8,6 +8,9 @@ unclosed paragraph runs to the end of the container.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,18 +19,20 @@ from newstide.functions.binding import bound
 # Unicode non-characters: they cannot occur in interchanged text, so they can stand for tags.
 OPEN, CLOSE = "\ufdd0", "\ufdd1"
 
-# Named character references and the characters they stand for.
-ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
-    "copy": "©", "reg": "®", "trade": "™", "middot": "·", "bull": "•", "hellip": "…",
-    "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
-    "laquo": "«", "raquo": "»", "euro": "€", "pound": "£", "yen": "¥", "cent": "¢",
-    "sect": "§", "deg": "°", "times": "×", "frac12": "½",
-    "agrave": "à", "aacute": "á", "acirc": "â", "auml": "ä", "ccedil": "ç",
-    "egrave": "è", "eacute": "é", "ecirc": "ê", "euml": "ë", "icirc": "î", "iuml": "ï",
-    "ntilde": "ñ", "oacute": "ó", "ocirc": "ô", "ouml": "ö", "szlig": "ß",
-    "ugrave": "ù", "uacute": "ú", "ucirc": "û", "uuml": "ü",
-}
+#: names of character references that need no semicolon, the longest first
+_BARE = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+_REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+def _windows(code: int) -> str:
+    """What a reference to a control code from 128 on is read as: the Windows-1252 character."""
+    try:
+        return bytes([code]).decode("cp1252")
+    except UnicodeDecodeError:
+        return chr(code)
+
+
+_WINDOWS = "".join(map(_windows, range(128, 160)))
 
 
 def drop_hidden(html: Column) -> Column:
@@ -62,28 +67,51 @@ def container(html: Column, tag: str, css_class: str | None = None) -> Column:
     return F.when(found, bound(F.regexp_extract(html, rf"(?is){wanted}(.*)", 1), inner))
 
 
-def unescape(text: Column) -> Column:
-    """Decode named and numeric character references."""
-    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+def _character(number: Column) -> Column:
+    """The character of a numeric reference, as HTML reads it; null numbers are too large."""
+    surrogate = number.between(0xD800, 0xDFFF)
+    last_two = (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE) | number.between(0xFDD0, 0xFDEF)
+    control = number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127)
+    replaced = number.isNull() | (number > 0x10FFFF) | (number == 0) | surrogate
+    return (
+        F.when(replaced, "\ufffd")
+        .when(number.between(128, 159), F.substr(F.lit(_WINDOWS), number.cast("int") - 127, F.lit(1)))
+        .when(last_two | control, "")
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+    )
 
-    def code_point(digits: Column, base: int) -> Column:
-        number = F.conv(digits, base, 10).cast("bigint")
-        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise("�")
 
-    def piece(part: Column, i: Column) -> Column:
-        ref = F.regexp_extract(part, r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);", 1)
-        rest = F.substring(part, F.length(ref) + F.lit(2), F.length(part))
-        decoded = (
-            F.when(ref.rlike("^#[0-9]"), code_point(F.regexp_extract(ref, "^#(.+)$", 1), 10))
-            .when(ref.rlike("^#[xX]"), code_point(F.regexp_extract(ref, "^#.(.+)$", 1), 16))
-            .otherwise(F.try_element_at(names, ref))
-        )
-        whole = F.concat(F.lit("&"), part)
-        return F.when(i == 0, part).when(ref == "", whole).otherwise(
-            F.coalesce(F.concat(decoded, rest), whole)
+def unescape(text: Column) -> Column:
+    """Decode character references as HTML does: by number, by name, by a name it begins with."""
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    bare = "^(" + "|".join(_BARE) + ")"
+
+    def number(reference: Column) -> Column:
+        hexadecimal = F.regexp_extract(reference, "^#[xX]0*([0-9a-fA-F]*)", 1)
+        decimal = F.regexp_extract(reference, "^#0*([0-9]*)", 1)
+        digits = F.when(reference.rlike("^#[xX]"), hexadecimal).otherwise(decimal)
+        value = F.when(reference.rlike("^#[xX]"), F.conv(hexadecimal, 16, 10)).otherwise(F.conv(decimal, 10, 10))
+        return F.when(digits == "", F.lit(0)).when(F.length(digits) <= 8, value.cast("bigint"))
+
+    def named(reference: Column) -> Column:
+        begins = F.regexp_extract(reference, bare, 1)
+        rest = F.substring(reference, F.length(begins) + F.lit(1), F.length(reference))
+        return F.coalesce(
+            F.try_element_at(names, reference),
+            F.when(begins != "", F.concat(F.try_element_at(names, begins), rest)),
+            F.concat(F.lit("&"), reference),
         )
 
+    def piece(part: Column, i: Column) -> Column:
+        def decoded(reference: Column) -> Column:
+            rest = F.substring(part, F.length(reference) + F.lit(1), F.length(part))
+            value = F.when(reference == "", F.lit("&")).when(
+                reference.startswith("#"), _character(number(reference))
+            )
+            return F.concat(value.otherwise(named(reference)), rest)
+
+        return F.when(i == 0, part).otherwise(bound(F.regexp_extract(part, _REFERENCE, 1), decoded))
+
     pieces = F.transform(F.split(text, "&"), piece)
     return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
 
@@ -96,10 +124,23 @@ def marked_paragraphs(inner: Column) -> Column:
 
 
 def paragraphs(marked: Column) -> Column:
-    """Array of paragraph texts, in the order the paragraphs open."""
-    # nesting depth after each mark, written as fixed-width numbers so that the end of a
-    # paragraph is a plain substring search
-    width = 7
+    """Array of paragraph texts, in the order the paragraphs open.
+
+    Where every paragraph is closed before the next one opens, each is what stands between
+    its two marks. Otherwise the marks are nested first.
+    """
+    parts = F.split(marked, OPEN)
+    plain = F.transform(
+        F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda part: F.substring_index(part, CLOSE, 1)
+    )
+    return F.when(marked.rlike(f"{OPEN}[^{CLOSE}]*{OPEN}"), nested_paragraphs(marked)).otherwise(plain)
+
+
+def nested_paragraphs(marked: Column) -> Column:
+    """Paragraph texts where an open paragraph holds those that open in it."""
+    # nesting depth after each mark, written as numbers as wide as any array index, so that
+    # the end of a paragraph is a plain substring search
+    width = 11
 
     def number(n: Column) -> Column:
         return F.concat(F.lit(","), F.lpad(n.cast("string"), width - 1, "0"))
@@ -134,7 +175,7 @@ def article_text(html: Column, tag: str = "div", css_class: str | None = "caas-b
 
     A page without the container gives the empty string, a missing page gives null.
     """
-    inner = container(drop_hidden(html), tag, css_class)
+    inner = bound(drop_hidden(html), lambda page: container(page, tag, css_class))
     texts = bound(marked_paragraphs(inner), paragraphs)
     lines = F.transform(texts, lambda p: F.concat(unescape(p), F.lit("\n")))
     return F.when(html.isNotNull(), F.coalesce(F.array_join(lines, ""), F.lit("")))

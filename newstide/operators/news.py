@@ -16,15 +16,21 @@ def first_copies(articles: DataFrame, order: str, *keys: str) -> DataFrame:
     return articles.join(keep, order, "left_semi")
 
 
-def one_per_guid(articles: DataFrame) -> DataFrame:
-    """One row per identity, for rows that have no number to order by.
+def text_number(text: Column) -> Column:
+    """A number that stands for a text: to choose among texts without sorting them."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
-    The texts of equal identities may differ; the smallest is kept so that a rerun
-    gives the same row.
+
+def one_address(candidates: DataFrame, pages: DataFrame) -> DataFrame:
+    """Candidates whose page was fetched, one address per identity: the one of smallest number.
+
+    No text takes part: an identity delivered under many addresses is one row per task
+    before the shuffle. Candidates and pages hold an address once.
     """
-    rest = [c for c in articles.columns if c != "guid"]
-    row = F.min(F.struct(*rest)).alias("row")
-    return articles.groupBy("guid").agg(row).select("guid", *[F.col("row")[c].alias(c) for c in rest])
+    fetched = candidates.join(pages.where(F.col("html").isNotNull()).select("url"), "url", "left_semi")
+    numbered = fetched.withColumn("number", text_number(F.col("url")))
+    least = numbered.groupBy("guid").agg(F.min("number").alias("number"))
+    return numbered.join(least, ["guid", "number"], "left_semi").select(candidates.columns)
 
 
 def not_stored(articles: DataFrame, store: DataFrame) -> DataFrame:
@@ -33,13 +39,14 @@ def not_stored(articles: DataFrame, store: DataFrame) -> DataFrame:
     return articles.join(store.select(keys), keys, "left_anti").select(articles.columns)
 
 
-def unseen(articles: DataFrame, store: DataFrame) -> DataFrame:
-    """Articles whose identity is not in the store, each once.
+def unseen(articles: DataFrame, store: DataFrame, order: str) -> DataFrame:
+    """Articles whose identity is not in the store, each once: the copy with the smallest ``order``.
 
-    Copies are reduced first, so that an article delivered very often does not reach the
-    join's one task for its identity in full.
+    Copies are reduced to a number per identity, then the store is looked up, and only then
+    the chosen rows are read with their texts.
     """
-    return not_stored(one_per_guid(articles), store).select(articles.columns)
+    first = articles.groupBy("guid", "pub_date").agg(F.min(order).alias(order))
+    return articles.join(not_stored(first, store).select(order), order, "left_semi")
 
 
 def open_days(news: DataFrame, processed: DataFrame, run_date: Column) -> DataFrame:

@@ -6,8 +6,11 @@ ones the alphabetically last. An edit deletes, inserts or replaces a letter or s
 neighbours, and the letters it brings in are a to z, as are those of the dictionary.
 
 Two words within ``k`` edits become equal after at most ``k`` deletions from each, so
-those shortened forms are the join key. No candidate is left out: what the conditions
-below remove cannot be within reach.
+those shortened forms are the join key. Words of more than ``LONG`` letters have too many
+of them: an edit touches at most two neighbouring parts of a word cut in ``2k + 1``, so one
+part is found whole in the other word, moved by at most ``k``; long words are joined by
+their parts. No candidate is left out, and a pair is checked once however many keys it
+shares.
 """
 
 from __future__ import annotations
@@ -23,12 +26,11 @@ from newstide.operators.rows import exploded
 DICTIONARY = "word string, freq bigint"
 CORRECTIONS = "token string, corrected string"
 
-# A dictionary up to this many words is sent to every executor (tens of megabytes with
-# its shortened forms); a larger one is joined by shuffling.
-BROADCAST_WORDS = 100_000
+#: letters beyond which words are joined by parts
+LONG = 16
 
 
-def dictionary(tokens: DataFrame, min_count: int = 1) -> DataFrame:
+def dictionary(tokens: DataFrame, min_count: float = 1) -> DataFrame:
     """``word, freq`` of the a-to-z words in a column ``tokens`` of arrays."""
     words = exploded(tokens, word=F.col("tokens")).where(F.col("word").rlike("^[a-z]+$"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_count)
@@ -104,10 +106,32 @@ def two_edits(a: Column, b: Column, letters_a: Column, letters_b: Column) -> Col
     return (F.levenshtein(a, b, 2) >= 0) | ((F.levenshtein(letters_a, letters_b, 2) >= 0) & swaps)
 
 
+def _parts(word: Column, n: int) -> Column:
+    """The word cut in ``2n + 1``: keys that name the part, the word's length and its letters."""
+    return F.flatten(F.transform(F.array(F.length(word)), lambda length: _pieces(word, length, n, 0)))
+
+
+def _moved_parts(word: Column, n: int) -> Column:
+    """What the parts of words of nearby length would be here, moved by up to ``n`` letters."""
+    lengths = F.sequence(F.length(word) - n, F.length(word) + n)
+    return F.array_distinct(F.flatten(F.transform(lengths, lambda length: _pieces(word, length, n, n))))
+
+
+def _pieces(word: Column, length: Column, n: int, reach: int) -> Column:
+    parts, keys = 2 * n + 1, []
+    for k in range(parts):
+        start, end = F.floor(length * k / parts).cast("int"), F.floor(length * (k + 1) / parts).cast("int")
+        for move in range(-reach, reach + 1):
+            at = start + move
+            piece = F.when(at >= 0, F.substring(word, at + 1, end - start))
+            keys.append(F.concat_ws("|", F.lit(str(k)), length.cast("string"), piece))
+    return F.array(*keys)
+
+
 def corrections(tokens: DataFrame, words: DataFrame) -> DataFrame:
     """``token, corrected`` for the distinct tokens that change."""
-    size, longest = words.agg(F.count(F.lit(1)), F.max(F.length("word"))).first()
-    if not size:
+    longest = words.agg(F.max(F.length("word"))).first()[0]
+    if longest is None:
         return tokens.select("token", F.col("token").alias("corrected")).where(F.lit(False))
     spark, token = tokens.sparkSession, F.col("token")
     unknown = (
@@ -122,35 +146,30 @@ def corrections(tokens: DataFrame, words: DataFrame) -> DataFrame:
     )
     # few bytes but much work per token, so a small number of bytes must not end in one task
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    small = size <= BROADCAST_WORDS
-    unknown = unknown.repartition(tasks).withColumn("token_letters", _letters(token))
-    known = words.withColumn("word_letters", _letters(F.col("word")))
-
-    one = _with_best(unknown.withColumn("key", shortened(token, 1)), known, 1, one_edit, small)
-    # a token that has its correction looks for none: its key is no shortened form of a word
-    settled = F.array(F.concat(F.lit("="), token))
-    open_keys = F.when(F.col("best_1").isNull(), shortened(token, 2)).otherwise(settled)
-    two = _with_best(one.repartition(tasks).withColumn("key", open_keys), known, 2, two_edits, small)
-    best = F.coalesce("best_1.word", "best_2.word")
-    return two.select("token", best.alias("corrected")).where(F.col("corrected").isNotNull())
+    unknown = unknown.repartition(tasks, "token")
+    one = _best(unknown, words, 1, one_edit)
+    # only tokens without a correction look further
+    two = _best(unknown.join(one, "token", "left_anti"), words, 2, two_edits)
+    return one.unionByName(two)
 
 
-def _with_best(tokens: DataFrame, known: DataFrame, n: int, check: Callable[..., Column], small: bool) -> DataFrame:
-    """Add ``best_n``, the best dictionary word within ``n`` edits; every token is kept.
-
-    ``tokens`` has the array ``key``; the best of an earlier round is carried along.
-    """
-    keep = [c for c in tokens.columns if c != "key"]
-    left = exploded(tokens, *keep, key=F.col("key"))
-    right = exploded(known, "word", "freq", "word_letters", word_key=shortened(F.col("word"), n))
+def _best(tokens: DataFrame, words: DataFrame, n: int, check: Callable[..., Column]) -> DataFrame:
+    """``token, corrected``: the best dictionary word within ``n`` edits, where there is one."""
     token, word = F.col("token"), F.col("word")
-    fits = (
-        (F.col("key") == F.col("word_key"))
-        & (F.abs(F.length(token) - F.length(word)) <= n)
-        & check(token, word, F.col("token_letters"), F.col("word_letters"))
+    none = F.array().cast("array<string>")
+    # a pair meets by shortened forms if the token is short, else by parts
+    token_keys = F.when(F.length(token) > LONG, _moved_parts(token, n)).otherwise(shortened(token, n))
+    word_keys = F.concat(
+        F.when(F.length(word) <= LONG + n, shortened(word, n)).otherwise(none),
+        F.when(F.length(word) > LONG - n, _parts(word, n)).otherwise(none),
     )
-    found = F.max(F.when(word.isNotNull(), F.struct("freq", "word"))).alias(f"best_{n}")
-    return left.join(F.broadcast(right) if small else right, fits, "left").groupBy(*keep).agg(found)
+    left = exploded(tokens, "token", key=token_keys)
+    right = exploded(words, "word", "freq", key=word_keys)
+    near = F.abs(F.length(token) - F.length(word)) <= n
+    pairs = left.join(right, "key").where(near).select("token", "word", "freq").distinct()
+    fits = pairs.where(check(token, word, _letters(token), _letters(word)))
+    best = F.max(F.struct("freq", "word"))["word"]
+    return fits.groupBy("token").agg(best.alias("corrected"))
 
 
 def corrected_tokens(docs: DataFrame, changes: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -64,8 +64,8 @@ def ingest_news(
     # only the days of the batch are looked up in the store, and no texts
     stored = on_days(store.read(spark, "news"), "pub_date", days_of(entries, "pub_date"))
     # pages are worked through for articles that are new
-    fresh = news.not_stored(landing.candidates(entries), stored)
-    articles = news.one_per_guid(landing.with_article_text(fresh, pages, tag, css_class))
+    fresh = news.one_address(news.not_stored(landing.candidates(entries), stored), pages)
+    articles = landing.with_article_text(fresh, pages, tag, css_class)
     rows = articles.select("guid", "symbol", "title", "text", "pub_date")
     added = tables.append(rows, store.path("news"), "pub_date")
     bad = landing.rejects(entries).select("symbol", "title", "url", "problem")

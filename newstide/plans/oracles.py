@@ -7,7 +7,6 @@ window functions.
 
 from __future__ import annotations
 
-from newstide.functions.html import ENTITIES
 from newstide.functions.porter import CVC, HAS_VOWEL, IRREGULAR, M_OVER_0, M_OVER_1, STEP_2, STEP_3, STEP_4
 from newstide.functions.tokens import ENGLISH_STOP_WORDS, FUSED_WORDS
 from newstide.schemas import FEATURES, TARGETS
@@ -118,7 +117,7 @@ def word_list(column: str) -> str:
 # one row per content word of a document, numbered in order
 WORDS = f"""
 word_lists as (select doc_id, {word_list("text")} as words from documents),
-words as (
+words as materialized (
   select doc_id, unnest(words) as token, generate_subscripts(words, 1) as place from word_lists)"""
 
 
@@ -183,7 +182,7 @@ def stemmed(source: str) -> str:
     for i, step in enumerate(STEM_STEPS):
         ctes.append(f"s{i + 1} as (select token, {step} as w from s{i})")
     ctes.append(
-        f"stemmed as (select token, case when token in ({listed(IRREGULAR)}) then case token {pool} end "
+        f"stemmed as materialized (select token, case when token in ({listed(IRREGULAR)}) then case token {pool} end "
         f"when len(token) <= 2 then token else w end as stem from s{len(STEM_STEPS)})"
     )
     return ", ".join(ctes)
@@ -191,7 +190,7 @@ def stemmed(source: str) -> str:
 
 STEMMED = f"{WORDS}, {stemmed('words')}"
 STEM_ROWS = f"""{STEMMED},
-stem_rows as (select doc_id, place, stem as token from words join stemmed using (token))"""
+stem_rows as materialized (select doc_id, place, stem as token from words join stemmed using (token))"""
 
 TEXT_DIGEST = """
   select d.doc_id, len(coalesce(cleaned, '')) as characters, md5(coalesce(cleaned, '')) as digest
@@ -218,7 +217,8 @@ def nearby_keys(column: str) -> str:
 SPELLED = f"""{STEM_ROWS},
 stem_counts as materialized (select token, count(*) as freq from stem_rows group by token),
 dictionary as materialized (
-  select token as word, freq from stem_counts where freq >= 8 and regexp_full_match(token, '[a-z]+')),
+  select token as word, freq from stem_counts
+  where freq * 125 >= (select count(*) from documents) and regexp_full_match(token, '[a-z]+')),
 unknown as materialized (
   select token, regexp_replace(token, '[^a-z]', '0', 'g') as plain from stem_counts
   where len(token) > 1 and not regexp_full_match(token, '\\p{{Nd}}+')
@@ -233,7 +233,7 @@ corrections as (
   select token, arg_max(word, (-edits, freq, word)) as corrected from near where edits <= 2 group by token)"""
 
 BAYES = f"""{STEM_ROWS},
-terms as (select doc_id, token, count(*) as n from stem_rows group by 1, 2),
+terms as materialized (select doc_id, token, count(*) as n from stem_rows group by 1, 2),
 token_counts as (
   select token, sum(case when quality = 1 then n else 0 end) as pos_n,
          sum(case when quality = 1 then 0 else n end) as neg_n
@@ -256,6 +256,16 @@ scored as (
 # --- pages --------------------------------------------------------------------------------
 
 
+# The named character references that pages hold, and their characters.
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "©", "reg": "®", "trade": "™",
+    "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
+    "euro": "€", "pound": "£", "agrave": "à", "aacute": "á", "auml": "ä", "ccedil": "ç", "egrave": "è",
+    "eacute": "é", "ecirc": "ê", "iacute": "í", "ntilde": "ñ", "oacute": "ó", "ouml": "ö", "szlig": "ß",
+    "uacute": "ú", "uuml": "ü", "amp": "&",
+}
+
+
 def unescaped(column: str) -> str:
     # the ampersand itself last, so that what it uncovers is not decoded again
     for name, char in [*((k, v) for k, v in ENTITIES.items() if k != "amp"), ("amp", "&")]:
@@ -473,9 +483,10 @@ ORACLES: dict[str, str] = {
         where problem is not null group by 1, 2""",
     "news_feed_articles": f"""with {NEWS_FEED}, {PAGE_TEXT}, found as (
           select sha256(title || '|' || symbol || '|' || strftime(pub_date, '%Y-%m-%d')) as guid, symbol, pub_date,
-                 t.text
+                 t.text, t.url
           from feed f join page_texts t on f.url = t.url where problem is null)
-        select guid, symbol, pub_date, len(min(text)) as text_length from found group by 1, 2, 3""",
+        select guid, symbol, pub_date, len(arg_min(text, cast('0x' || left(md5(url), 15) as bigint))) as text_length
+        from found group by 1, 2, 3""",
     "chosen_url": """select page_id, case when starts_with(url, 'https') then url
           when contains(url, 'ref=') then null else url end as chosen from pages""",
     "page_text": f"with {PAGE_TEXT} select page_id, len(text) as characters, md5(text) as digest from page_texts",

@@ -39,8 +39,9 @@ from newstide.streaming.news import write_daily_counts
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Words that occur this often in the documents are taken as spelled correctly.
-KNOWN_WORD_COUNT = 8
+# Words that occur at least once in so many documents are taken as spelled correctly: the
+# dictionary does not grow with a corpus that is more of the same.
+KNOWN_WORD_DOCUMENTS = 125
 # The day the daily jobs are run for.
 RUN_DATE = dt.date(2024, 1, 16)
 
@@ -314,7 +315,7 @@ def unseen_articles(spark, sf_dir):
     """Articles a store holding the labelled ones has not seen, each once."""
     every = fixtures.articles(spark, sf_dir)
     store = known(every, fixtures.table(spark, sf_dir, "labels"), "doc_id")
-    fresh = news.unseen(every.drop("doc_id"), store)
+    fresh = news.unseen(every, store, "doc_id")
     return fresh.select("guid", "symbol", "pub_date", F.length("title").alias("title_length"))
 
 
@@ -418,8 +419,9 @@ def news_feed_articles(spark, sf_dir):
     """Feed messages joined with the fetched pages: the rows the news store gets."""
     entries = landing.news_entries(_news_messages(spark, sf_dir))
     pages = spread(fixtures.table(spark, sf_dir, "pages"))
-    rows = landing.with_article_text(landing.candidates(entries), pages, "article", None)
-    return news.one_per_guid(rows).select("guid", "symbol", "pub_date", F.length("text").alias("text_length"))
+    once = news.one_address(landing.candidates(entries), pages)
+    rows = landing.with_article_text(once, pages, "article", None)
+    return rows.select("guid", "symbol", "pub_date", F.length("text").alias("text_length"))
 
 
 @query
@@ -486,15 +488,19 @@ def _written(frame, name):
 def spell(spark, sf_dir):
     """Stems that are no dictionary word and what they are corrected to."""
     stemmed = _written(texts.with_stems(_documents(spark, sf_dir)), "stems")
-    words = _written(spelling.dictionary(stemmed, KNOWN_WORD_COUNT), "dictionary")
-    return spelling.corrections(texts.distinct_tokens(stemmed), words)
+    return spelling.corrections(texts.distinct_tokens(stemmed), _known_words(spark, sf_dir, stemmed))
+
+
+def _known_words(spark, sf_dir, stemmed):
+    least = fixtures.table(spark, sf_dir, "documents").count() / KNOWN_WORD_DOCUMENTS
+    return _written(spelling.dictionary(stemmed, least), "dictionary")
 
 
 @query
 def corrected_text(spark, sf_dir):
     """Documents cleaned, stemmed and corrected."""
     docs = _documents(spark, sf_dir)
-    words = _written(spelling.dictionary(texts.with_stems(docs), KNOWN_WORD_COUNT), "dictionary")
+    words = _known_words(spark, sf_dir, texts.with_stems(docs))
     out = texts.with_corrected_stems(docs, words, work_folder(spark, "corrected"))
     return texts.cleaned_text(out).select(
         "doc_id", F.length("cleaned").alias("characters"), F.md5("cleaned").alias("digest")

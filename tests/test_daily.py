@@ -122,10 +122,11 @@ NEWS = "guid string, symbol string, pub_date date, title string, text string"
 
 def test_unseen_is_distinct_in_the_batch_too(spark):
     batch = spark.createDataFrame(
-        [("a", "S", DAY, "t", "x"), ("a", "S", DAY, "t", "y"), ("b", "S", DAY, "t", ""), ("c", "S", DAY, "t", "z")], NEWS
+        [(3, "a", "S", DAY, "t", "x"), (4, "a", "S", DAY, "t", "y"), (1, "b", "S", DAY, "t", ""), (2, "c", "S", DAY, "t", "z")],
+        "n int, " + NEWS,
     )
     store = spark.createDataFrame([("c", "S", DAY, "t", "z")], NEWS)
-    assert sorted((r.guid, r.text) for r in news.unseen(batch, store).collect()) == [("a", "x"), ("b", "")]
+    assert sorted((r.guid, r.text) for r in news.unseen(batch, store, "n").collect()) == [("a", "x"), ("b", "")]
 
 
 def test_open_news_leaves_today_and_processed(spark):

@@ -28,3 +28,9 @@ def test_every_sql_has_its_query():
 
 def test_flagship(spark):
     assert entry.entry(spark).count() == 61
+
+
+@pytest.mark.parametrize("name", ["unseen_articles", "news_feed_articles"])
+def test_copies_are_told_without_sorting(spark, sf_dir, name):
+    plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

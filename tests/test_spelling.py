@@ -39,13 +39,37 @@ def test_against_trying_every_edit(spark):
     assert wrong == {}
 
 
-def test_a_large_dictionary_is_joined_by_shuffling(spark, monkeypatch):
+def test_long_words_are_joined_by_their_parts(spark, monkeypatch):
+    """Words beyond the limit, across it, with edits and swaps anywhere; then short ones by parts as well."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    words = {word(rng.randint(13, 26)): rng.randint(1, 9) for _ in range(60)}
+    tokens = set()
+    for w in words:
+        for _ in range(3):
+            edited = w
+            for _ in range(rng.randint(1, 3)):
+                edited = rng.choice(sorted(one_away(edited)))
+            tokens.add(edited)
+    frame = spark.createDataFrame([(t,) for t in tokens], "token string")
+    dictionary = spark.createDataFrame(list(words.items()), "word string, freq bigint")
+    for limit in (spelling.LONG, 3):
+        monkeypatch.setattr(spelling, "LONG", limit)
+        got = {r.token: r.corrected for r in spelling.corrections(frame, dictionary).collect()}
+        assert {t: got.get(t, t) for t in tokens} == {t: by_hand(t, words) for t in tokens}
+
+
+def test_keys_of_a_long_word_are_few(spark):
+    frame = spark.createDataFrame([("ab" * 200,)], "w string")
+    assert frame.select(F.size(spelling._moved_parts(F.col("w"), 2))).first()[0] <= 125
+
+
+def test_joins_may_shuffle(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(2, 7)))
     tokens = spark.createDataFrame([(word(),) for _ in range(200)], "token string")
     words = spark.createDataFrame([(w, i % 9) for i, w in enumerate({word() for _ in range(60)})], "word string, freq bigint")
     small = sorted(map(tuple, spelling.corrections(tokens, words).collect()))
-    monkeypatch.setattr(spelling, "BROADCAST_WORDS", 0)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

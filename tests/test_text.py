@@ -1,4 +1,6 @@
+import html as standard_html
 import random
+import time
 
 import duckdb
 import pytest
@@ -107,7 +109,7 @@ def article(body):
         (article("<div><p>In</p></div><p>After</p>"), "In\nAfter\n"),
         (article("<p>a<p>b</p>c"), "abc\nb\n"),  # an unclosed paragraph holds the next one
         (article("<pre>x</pre></p><p>y"), "y\n"),
-        (article("<p>A &amp; B &lt;b&gt; &#233;&#x20AC; &nope; &amp;amp; &amp</p>"), "A & B <b> é€ &nope; &amp; &amp\n"),
+        (article("<p>A &amp; B &lt;b&gt; &#233;&#x20AC; &nope; &amp;amp; &amp</p>"), "A & B <b> é€ &nope; &amp; &\n"),
         (article("<!-- <p>gone</p> --><p></p>"), "\n"),
         ('<div class="caas-body-more"><p>x</p></div>', ""),
         ("<p>no container</p>", ""),
@@ -122,3 +124,30 @@ def test_article_text(spark, page, expected):
 def test_article_text_other_container(spark):
     page = "<article><h1>T</h1><p>x</p></article><article><p>second</p></article>"
     assert one(spark, page, lambda c: html.article_text(c, "article", None)) == "x\n"
+
+
+def test_character_references_are_those_of_html(spark):
+    """Names with and without semicolon, numbers of control codes, and what is none."""
+    draw = random.Random(2)
+    pieces = (
+        "&amp; &amp &copy 2024|&#146;|&#x80;|&AMP;|&Eacute;|&para;|&frac14;|&iexcl;|&alpha;|&notit;|&notin;|&ampx|&#0;|"
+        "&#xD800;|&#99999999999999;|&#x110000;|&#13;|&#11;|&#xFFFE;|&#64976;|&|& |&;|&#;|&#x;|&unknown;|x| |&lt;p&gt;|"
+        "&&amp;|&#65|&#x41 |&NotEqualTilde;|&fjlig;|&CounterClockwiseContourIntegral;|&#00065;|&#128512;"
+    ).split("|")
+    rows = list(enumerate("".join(draw.choice(pieces) for _ in range(draw.randint(1, 6))) for _ in range(800)))
+    frame = spark.createDataFrame(rows, "i int, t string")
+    got = {r.i: r.u for r in frame.select("i", html.unescape(F.col("t")).alias("u")).collect()}
+    assert [(t, got[i]) for i, t in rows if got[i] != standard_html.unescape(t)] == []
+
+
+def test_many_paragraphs_take_linear_time(spark):
+    def seconds(n):
+        page = '<div class="caas-body">' + "".join(f"<p>para {i} &amp; text</p>" for i in range(n)) + "</div>"
+        frame = spark.createDataFrame([(page,)], "h string").select(html.article_text(F.col("h")).alias("t"))
+        start = time.perf_counter()
+        text = frame.first().t
+        assert text.count("\n") == n and text.startswith("para 0 & text\n")
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(32_000) < 2 * seconds(16_000) + 2
