@@ -187,7 +187,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float =
         *columns, F.lit(True).alias("other"),
         F.explode(F.sequence(F.lit(0), F.col("n_homes") - 1)).alias("row"), (turn % F.col("n_all")).alias("column"),
     )
-    compared = homes.unionByName(others).groupBy(*place, "row", "column")
+    # dealt out by block: else the blocks of a crowded cell would follow their cell into one task
+    keys = [*place, "row", "column"]
+    compared = homes.unionByName(others).repartition(*keys).groupBy(*keys)
     found = written(compared.applyInArrow(_compared(cosine), "id bigint, links bigint, root bigint"), "cosines")
     counts = found.groupBy("id").agg((F.sum("links") - 1).alias("n_links"))
     roots = components(found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
