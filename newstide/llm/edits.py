@@ -245,7 +245,8 @@ def followed(docs: DataFrame, stretches: int) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     # equal ids are spread by the hash as far as a double tells fractions of an id
     own = own.withColumn("hash", hashed).withColumn("place", place + F.pmod("hash", F.lit(1024)) / 1024)
-    cuts = own.select("place").approxQuantile("place", [i / stretches for i in range(1, stretches)], 0.2 / stretches)
+    shares = [i / stretches for i in range(1, stretches)]
+    cuts = own.select("place").approxQuantile("place", shares, 0.2 / stretches) if shares else []
     cuts = sorted(set(cuts))
     own = own.withColumn("stretch", _stretch(F.col("place"), cuts))
     tops = own.groupBy("stretch").agg(F.max(F.struct("place", "doc_id", "hash")).alias("top"))

@@ -56,30 +56,28 @@ def _points(text: str) -> np.ndarray:
     return np.where(_letters()[points], points, np.uint32(32))
 
 
-def _grams(points: np.ndarray) -> Iterator[np.ndarray]:
-    """Hashes of n-grams of each size; those that span a blank inside are left out."""
-    letter = points != 32
-    for size in SIZES:
-        if len(points) < size:
-            continue
-        last = len(points) - size + 1
-        keep = np.ones(last, dtype=bool)
-        for i in range(size):
-            if 0 < i < size - 1 or size == 2:
-                keep &= letter[i : last + i]
-        at = np.flatnonzero(keep)
-        value = np.full(len(at), size, dtype=np.uint64)
-        for i in range(size):
-            value = value * _FACTOR + points[at + i]
-        for step, factor in zip((30, 27), _MIX):
-            value = (value ^ (value >> np.uint64(step))) * factor
-        yield value ^ (value >> np.uint64(31))
+def _hashes(points: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the n-grams of a size; those that span a blank inside are left out."""
+    last = len(points) - size + 1
+    if last < 1:
+        return np.empty(0, dtype=np.uint64)
+    letter, keep = points != 32, np.ones(last, dtype=bool)
+    for i in range(size):
+        if 0 < i < size - 1 or size == 2:
+            keep &= letter[i : last + i]
+    at = np.flatnonzero(keep)
+    value = np.full(len(at), size, dtype=np.uint64)
+    for i in range(size):
+        value = value * _FACTOR + points[at + i]
+    for step, factor in zip((30, 27), _MIX):
+        value = (value ^ (value >> np.uint64(step))) * factor
+    return value ^ (value >> np.uint64(31))
 
 
 def grams(text: str) -> np.ndarray:
     """The hashes of all n-grams of a text, repeats included."""
-    found = list(_grams(_points(text)))
-    return np.concatenate(found) if found else np.empty(0, dtype=np.uint64)
+    points = _points(text)
+    return np.concatenate([_hashes(points, size) for size in SIZES])
 
 
 def _slots(hashes: np.ndarray) -> Iterator[np.ndarray]:
@@ -124,11 +122,12 @@ class Filters:
         """How many n-grams each language holds, and how many there are."""
         total, number = np.zeros(len(self.languages), dtype=np.int64), 0
         points = _points(text)
-        for start in range(0, len(points), STRETCH):  # n-grams over an edge are seen once
-            for hashes in _grams(points[start : start + STRETCH + max(SIZES) - 1]):
-                masks = self.found(hashes)
+        for size in SIZES:
+            for start in range(0, len(points), STRETCH):  # an n-gram belongs to where it begins
+                masks = self.found(_hashes(points[start : start + STRETCH + size - 1], size))
                 number += len(masks)
-                total += [int(np.count_nonzero(masks & np.uint64(1 << b))) for b in range(len(total))]
+                for bit in range(len(total)):
+                    total[bit] += np.count_nonzero(masks & np.uint64(1 << bit))
         return total, number
 
     def predict(self, text: str, chance: np.ndarray) -> tuple[str, float, float]:
