@@ -5,8 +5,9 @@ occur in it, known by their hashes. A multinomial logistic regression with a spa
 penalty, trained on variations of public notices and on a bounded sample of ordinary lines,
 tells licence families and an ``unknown`` class. Its probabilities are calibrated on examples
 held back from training: one temperature, and the least probability that lets next to no
-ordinary line pass as a licence. Neighbouring lines of one family are one paragraph, which
-the family's templates have to confirm by shared three-word shingles.
+ordinary line pass as a licence. Neighbouring licence lines settle on a family together; those
+of one family are one paragraph, which the family's templates have to confirm by shared
+three-word shingles.
 
 Scoring is DataFrame work only. A family can only win against the intercept of the unknown
 class with enough weight; the n-grams without which none can are the model's anchors. Lines
@@ -34,6 +35,8 @@ SAMPLE_LINES = 2500
 VARIATIONS = 24
 #: shingles a paragraph and a template must share, as a share of the smaller one's
 CONFIRMED = 0.6
+#: how much a neighbouring line's evidence counts beside a line's own
+NEIGHBOUR = 0.75
 #: ordinary lines held back that may pass, at most
 PASSING = 0.002
 
@@ -179,9 +182,9 @@ def examples() -> list[tuple[str, str]]:
             made += [(family, template)] * 4
             for _ in range(VARIATIONS):
                 kept = [w for w in own if draw.random() > 0.08] if len(own) > 8 else own
-                if len(kept) > 12:  # a line of a notice set in narrow columns
-                    start = draw.randrange(len(kept) - 8)
-                    kept = kept[start : start + draw.randrange(8, len(kept) - start + 1)]
+                if len(kept) > 10:  # a line of a notice set in narrow columns
+                    start = draw.randrange(len(kept) - 7)
+                    kept = kept[start : start + draw.randrange(7, min(18, len(kept) - start) + 1)]
                 before = [draw.choice(filler) for _ in range(draw.choice((0, 0, 1, 3)))]
                 after = [draw.choice(filler) for _ in range(draw.choice((0, 0, 1, 3)))]
                 made.append((family, " ".join(before + kept + after)))
@@ -263,7 +266,7 @@ def train(docs: DataFrame) -> Model:
         inputCol="grams", outputCol="features", binary=True, vocabSize=VOCABULARY, minDF=3.0
     ).fit(rows.where("label > 0 and not held"))
     vectors = vocabulary.transform(rows).select("label", "grams", "features", "held").coalesce(4).persist()
-    regression = LogisticRegression(maxIter=50, tol=1e-4, regParam=0.002, elasticNetParam=0.7, family="multinomial")
+    regression = LogisticRegression(maxIter=60, tol=1e-4, regParam=3e-4, elasticNetParam=0.6, family="multinomial")
     fitted = regression.fit(vectors.where("not held"))
     scored = fitted.transform(vectors.where("held")).select("label", "rawPrediction").collect()
     seen = vectors.where("label = 0").select(F.explode("grams").alias("gram")).groupBy("gram").count()
@@ -282,7 +285,7 @@ def train(docs: DataFrame) -> Model:
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
-    """``row``, ``doc_id``, ``line``, ``words``, ``family`` and ``probability`` of likely licence lines."""
+    """``row``, ``doc_id``, ``line``, ``words``, ``family``, ``probability`` and ``margins`` of licence lines."""
     spark = docs.sparkSession
     own = lines(docs).select("row", "doc_id", "line", words(F.col("text")).alias("words"))
     likely = own.where(F.arrays_overlap(_grams(F.col("words")), F.lit(model.anchors)))
@@ -299,13 +302,28 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     chance = 1 / F.aggregate(
         F.transform("margins", lambda m: F.exp(m - F.col("top"))), F.lit(0.0), lambda a, x: a + x
     )
-    totals = totals.select("row", "doc_id", "line", "words", best.alias("best"), chance.alias("probability"))
+    totals = totals.select("row", "doc_id", "line", "words", "margins", best.alias("best"), chance.alias("probability"))
     family = F.element_at(F.lit(model.families), F.col("best")).alias("family")
     return totals.where((F.col("best") > 1) & (F.col("probability") >= model.least)).select(
-        "row", "doc_id", "line", "words", family, "probability"
+        "row", "doc_id", "line", "words", family, "probability", "margins"
     )
 
 
+def settled(hits: DataFrame, families: list[str]) -> DataFrame:
+    """Licence lines with the family that their own margins and their neighbours' speak for.
+
+    A line of a longer notice may fit several families; the lines beside it tell which.
+    """
+    order, total = Window.partitionBy("row").orderBy("line"), F.col("margins")
+    for beside, step in ((F.lag, -1), (F.lead, 1)):
+        near = beside("line").over(order) == F.col("line") + step
+        other = F.when(near, beside("margins").over(order))
+        total = F.coalesce(F.zip_with(total, other, lambda a, b: a + NEIGHBOUR * b), total)
+    own = hits.withColumn("total", F.slice(total, 2, len(families)))
+    best = F.array_position("total", F.array_max("total")).cast("int") + 1
+    return own.withColumn("family", F.element_at(F.lit(families), best)).drop("total", "margins")
+
+
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Licence notices: one row per paragraph of neighbouring lines of one predicted family.
 
@@ -318,7 +336,7 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     empty result.
     """
     model = model or train(docs)
-    hits = predicted(docs, model)
+    hits = settled(predicted(docs, model), model.families)
     order = Window.partitionBy("row").orderBy("line")
     runs = hits.withColumn(
         "opens",
