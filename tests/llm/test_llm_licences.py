@@ -1,0 +1,118 @@
+import math
+import random
+import re
+
+import pytest
+from llm_cases import documents, empty
+from pyspark.sql import functions as F
+
+from newstide.llm import licences, queries
+
+
+@pytest.fixture(scope="module")
+def model(spark, sf_dir):
+    return licences.train(spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet"))
+
+
+def hashes(spark, rows):
+    """xxhash64 of word tuples, as Spark computes it."""
+    wide = spark.createDataFrame(sorted(rows, key=lambda r: [x or "" for x in r]), "a string, b string")
+    value = F.when(F.col("b").isNull(), F.xxhash64("a")).otherwise(F.xxhash64("a", "b"))
+    return {(r.a, r.b): r.h for r in wide.select("a", "b", value.alias("h")).collect()}
+
+
+def words(line):
+    return re.findall(r"[a-z0-9]+(?:[.][0-9]+)*", line.lower())
+
+
+def by_hand(spark, text, model):
+    """(line, family, probability) of a text's licence lines: all weights of all lines, no anchors."""
+    lines = re.split("\r?\n", text)
+    grams = [{(w, None) for w in words(x)} | set(zip(words(x), words(x)[1:])) for x in lines]
+    known = hashes(spark, set().union(*grams, {("x", None)}))
+    found = []
+    for number, own in enumerate(grams):
+        margins = list(model.intercepts)
+        for gram in own:
+            for i, w in enumerate(model.weights.get(known[gram], ())):
+                margins[i] += w
+        chances = [math.exp((m - max(margins)) / model.temperature) for m in margins]
+        best = max(range(len(margins)), key=lambda i: (margins[i], -i))
+        if best and chances[best] / sum(chances) >= model.least:
+            found.append((number, model.families[best], chances[best] / sum(chances)))
+    return found
+
+
+TEXT = """A river and the sea under the old bridge.
+Released under the MIT License.
+Nothing here but the version 2.0 of a story, licensed to nobody, public as the general.
+This program is free software: you can redistribute it and/or modify it
+under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License.
+LICENSED UNDER THE APACHE LICENSE, VERSION 2.0.
+
+He lost his driving license near the MIT in Boston.
+Licensed*** under&&& CC%%% BY-NC### 4.0."""
+
+
+def test_scores_equal_the_sum_of_all_weights(spark, model):
+    rows = [(1, TEXT), (2, TEXT.replace("\n", "\r\n")), (3, " ".join(TEXT.split())), (4, "no licence at all")]
+    found = {}
+    for r in licences.predicted(documents(spark, rows), model).collect():
+        found.setdefault(r.doc_id, []).append((r.line, r.family, pytest.approx(r.probability)))
+    for doc_id, text in rows:
+        assert by_hand(spark, text, model) == sorted(found.get(doc_id, []), key=lambda x: x[0])
+
+
+def test_families_paragraphs_and_confirmation(spark, model):
+    both = TEXT + "\nReleased under the MIT License.\nLicensed under CC BY 4.0."
+    found = {r.line: r for r in licences.scan(documents(spark, [(1, both)]), model).collect() if r.confirmed}
+    assert {n: (r.family, r.n_lines) for n, r in found.items()} == {
+        1: ("mit", 1), 3: ("gpl", 3), 6: ("apache-2.0", 1), 9: ("cc-by-nc", 1), 10: ("mit", 1), 11: ("cc-by", 1),
+    }
+    assert all(r.confirmed and r.similarity >= licences.CONFIRMED and r.probability > 0.5 for r in found.values())
+
+
+def test_what_only_sounds_alike_is_no_licence(spark, model):
+    rows = list(enumerate(licences.ALIKE)) + [(99, "The license of the software is under the version of the public and the terms.")]
+    assert [r for r in licences.scan(documents(spark, rows), model).collect() if r.family != "unknown"] == []
+
+
+def test_every_template_is_told(spark, model):
+    rows = [(i, t) for i, (_, t) in enumerate((f, t) for f, own in licences.TEMPLATES.items() for t in own)]
+    want = {i: f for i, f in enumerate(f for f, own in licences.TEMPLATES.items() for _ in own)}
+    found = {r.doc_id: r.family for r in licences.scan(documents(spark, rows), model).collect()}
+    assert sum(found.get(i) == f for i, f in want.items()) >= 0.95 * len(want)
+
+
+def test_anchors_leave_nothing_out():
+    draw = random.Random(2)
+    for _ in range(200):
+        weights = {g: [draw.uniform(-1, 0), draw.uniform(-1, 3), draw.uniform(-1, 3)] for g in range(8)}
+        intercepts = [draw.uniform(0, 4), draw.uniform(-2, 0), draw.uniform(-2, 0)]
+        needed = set(licences.anchors(weights, intercepts, {g: draw.randint(0, 5) for g in weights}))
+        free = [g for g in weights if g not in needed]
+        for chosen in range(2 ** len(free)):
+            own = [g for i, g in enumerate(free) if chosen >> i & 1]
+            margins = [b + sum(weights[g][i] for g in own) for i, b in enumerate(intercepts)]
+            assert margins[0] >= max(margins[1:]) - 1e-9
+
+
+def test_odd_rows(spark, model):
+    rows = [(1, None), (2, ""), (None, "Released under the MIT License."), (3, "Released under the MIT License."), (3, "Released under the MIT License."), (4, "\n\n..\n"), (5, "word " * 50_000)]
+    found = licences.scan(documents(spark, rows), model).collect()
+    assert sorted((r.doc_id or 0, r.family) for r in found) == [(0, "mit"), (3, "mit"), (3, "mit")]
+    assert licences.scan(empty(spark), model).collect() == []
+    assert licences.scan(empty(spark)).collect() == []  # trains on its templates alone
+
+
+def test_main_path_is_native(spark, model, sf_dir):
+    plan = licences.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"), model)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|ExistingRDD", plan)
+
+
+def test_query_finds_every_notice(spark, sf_dir):
+    rows = queries.op1_licences(spark, sf_dir.replace("0.001", "0.01")).collect()
+    pattern = re.compile(r"licensed under (the apache|cc by-nc)|released under the mit|gnu general public", re.I)
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text").collect()
+    assert {r.doc_id for r in rows if r.confirmed} == {d.doc_id for d in docs if pattern.search(d.text)}

@@ -1,0 +1,182 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from llm_cases import ROWS, documents, empty
+
+from newstide.llm import queries, simhash
+from newstide.llm.components import components
+
+
+def plain(text):
+    """The fingerprint bit by bit."""
+    words = [w for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in text).translate(
+        {c: " " for c in range(9, 14)}).split(" ") if w]
+    grams = [words] if 0 < len(words) < 3 else [words[i : i + 3] for i in range(len(words) - 2)]
+    hashes = [xxhash.xxh64_intdigest(" ".join(g).encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(ids, prints):
+    """Component of each place by comparing all with all."""
+    parent = list(range(len(prints)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    least = {}
+    for i, own in enumerate(ids):
+        if own is not None:
+            least[root(i)] = min(own, least.get(root(i), own))
+    return [least.get(root(i)) for i in range(len(prints))]
+
+
+def near_texts(seed, number):
+    """Texts, copies, and copies with a few words changed."""
+    draw, texts = random.Random(seed), []
+    for _ in range(number):
+        if texts and draw.random() < 0.7:
+            words = draw.choice(texts[-12:]).split(" ")
+            for _ in range(draw.choice((0, 1, 1, 2))):
+                words[draw.randrange(len(words))] = f"w{draw.randint(0, 99)}"
+            texts.append(" ".join(words))
+        else:
+            texts.append(" ".join(f"w{draw.randint(0, 2000)}" for _ in range(draw.randint(1, 300))))
+    return texts
+
+
+def test_fingerprints():
+    for text in [t or "" for _, t in ROWS] + near_texts(1, 40) + ["", "a", "A b", "É É x\x1cy z\x0bq"]:
+        assert simhash.fingerprint(text) == plain(text)
+
+
+def test_groups_equal_brute_force(spark):
+    texts = near_texts(5, 500)
+    rows = [(1000 - i, t) for i, t in enumerate(texts)]
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(spark, rows).repartition(4)).collect()}
+    want = groups([i for i, _ in rows], [plain(t) for t in texts])
+    assert [found[i] for i, _ in rows] == want and len(set(want)) < len(want) - 50
+
+
+def test_nulls_repeats_and_empty_table(spark):
+    found = simhash.near_duplicates(documents(spark)).collect()
+    want = groups([i for i, _ in ROWS], [plain(t or "") for _, t in ROWS])
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] is None, x[1] or 0)
+    assert sorted(((r.doc_id, r.component_id) for r in found), key=key) == sorted(
+        ((i, c) for (i, _), c in zip(ROWS, want)), key=key
+    )
+    assert simhash.near_duplicates(empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_a_pair_within_the_distance_shares_a_key_and_keeps_its_chain(spark, seed):
+    draw = random.Random(seed)
+    a = draw.getrandbits(64)
+    b = a
+    for bit in draw.sample(range(64), 3):
+        b ^= 1 << bit
+    segment = lambda x, i: x >> 8 * (i % 8) & 255
+    keeps = []
+    for start in range(8):
+        alive = bool(simhash.ring_match(np.array([a ^ b], dtype=np.uint64), start)[0])
+        sums = np.cumsum([(segment(a, start + i) ^ segment(b, start + i)).bit_count() for i in range(8)])
+        assert alive == all(s <= 3 * (i + 1) // 8 for i, s in enumerate(sums))
+        shared = any(
+            all(segment(a, start + s) == segment(b, start + s) for s in (0, 1, *pair)) for pair in simhash._CHOICES
+        )
+        assert shared or not alive
+        keeps.append(alive)
+    assert any(keeps)
+
+
+def test_a_hot_bucket_is_dealt_out_without_losing_links():
+    """All members agree in 32 bits; whoever is within the distance shares a second key."""
+    draw = random.Random(3)
+    base = draw.getrandbits(64)
+    members = np.array(
+        [base ^ sum(draw.getrandbits(1) << (8 * p + draw.randrange(8)) for p in (3, 5, 6, 7)) for _ in range(300)],
+        dtype=np.uint64,
+    )
+    members = np.unique(members)
+    buckets = {}
+    for keys, own in simhash._second_keys(members, 7, 0, 1):  # segments 0, 1, 2 and 4 are fixed
+        for key, member in zip(keys.tolist(), own.tolist()):
+            buckets.setdefault(key, []).append(member)
+    links = [x for b in buckets.values() for x in simhash.bucket_links(np.array(b, dtype=np.uint64), None)]
+    want = groups(list(range(len(members))), members.tolist())
+    place = {m: i for i, m in enumerate(members.tolist())}
+    forest = simhash.Forest(len(members))
+    for a, b in links:
+        assert (a ^ b).bit_count() <= 3
+        forest.join(place[a], place[b])
+    assert [forest.root(i) for i in range(len(members))] == want
+
+
+def test_streamed_buckets_over_batches_and_limits(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(simhash, "HOT", 5)
+    draw = random.Random(9)
+    base, start = draw.getrandbits(64), 0
+    fps = sorted({base ^ (1 << draw.randrange(40, 64)) ^ (draw.getrandbits(1) << draw.randrange(40, 64)) for _ in range(40)})
+    small = [draw.getrandbits(64) for _ in range(6)]
+    rows = [(1 << 40, f) for f in small[:1]] + [(2 << 40, f) for f in fps] + [(3 << 40, small[1]), (3 << 40, small[1] ^ 1)]
+    rows += [(4 << 40, f) for f in small[2:3]]
+    for size in (1, 2, 7, 100):
+        batches = [rows[i : i + size] for i in range(0, len(rows), size)]
+        made = (
+            pa.record_batch([pa.array([k for k, _ in b], pa.int64()), pa.array(np.array([f for _, f in b], dtype=np.uint64).view(np.int64))], ["key", "fp"])
+            for b in batches
+        )
+        found = {}
+        for key, members, closed in simhash._groups(made):
+            found.setdefault(key, []).append((members.tolist(), closed))
+        assert {k: [m for own, _ in v for m in own] for k, v in found.items()} == {2 << 40: fps, 3 << 40: [small[1], small[1] ^ 1]}
+        assert all([c for _, c in v] == [False] * (len(v) - 1) + [True] for v in found.values())
+
+
+def test_components(spark):
+    draw = random.Random(2)
+    pairs = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(1, 30)] + [(5, 5)]
+    pairs += [(draw.randint(200, 400), draw.randint(200, 400)) for _ in range(150)] + [(101, 100)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    parent = {x: x for p in pairs for x in p}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    linked = {x for a, b in pairs if a != b for x in (a, b)}
+    assert found == {x: root(x) for x in linked}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_of_each(spark):
+    texts = near_texts(7, 120)
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])] * 2 + [(None, "only here, without any number"), (900, None)]
+    docs = documents(spark, rows)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    want = groups([i for i, _ in rows], [plain(t or "") for _, t in rows])
+    assert sorted(i for i, _ in found if i is not None) == sorted({c for c in want if c is not None})
+    assert len(found) == len({c for c in want}) and (None, "only here, without any number") in found
+
+
+def test_query(spark, sf_dir):
+    rows = queries.op4_simhash(spark, sf_dir).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert {r.doc_id: r.fingerprint for r in rows} == {i: f"{plain(t or ''):016x}" for i, t in texts.items()}
+    ids = list(texts)
+    want = dict(zip(ids, groups(ids, [plain(texts[i] or "") for i in ids])))
+    assert {r.doc_id: r.component_id for r in rows} == want
