@@ -13,7 +13,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from newstide.plans.queries import QUERIES  # noqa: E402
-from newstide.session import local_session  # noqa: E402
+from newstide.session import local_session, release  # noqa: E402
 
 HEADLINES = [
     "daily_sentiment", "incremental_merge", "daily_bars", "latest_open", "missing_previous_day",
@@ -28,7 +28,9 @@ HEADLINES = [
 def timed(spark, sf_dir, name):
     start = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    took = time.perf_counter() - start
+    release(spark)
+    return took
 
 
 def main():

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from newstide import schemas
 from newstide.operators import daily, features, least_squares, matching, naive_bayes, news, prices, texts
+from newstide.session import remove_folder
 from newstide.sinks import points, tables
 from newstide.sources import landing
 from newstide.sources.streams import file_messages
@@ -109,6 +110,8 @@ def classify_open_news(
     terms = texts.with_terms(tokens)
     scored = naive_bayes.score(terms, model, "guid", "symbol", "pub_date")
     tables.replace_batch(scored, store.path("classified_news"), batch_id, "pub_date")
+    if words is not None:
+        remove_folder(spark, store.path(f"work/{batch_id}"))
 
     # the texts are worked through once: counts and ledger come from what was written
     written = store.read(spark, "classified_news").where(F.col("batch_id") == batch_id)

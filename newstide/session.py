@@ -43,6 +43,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
+#: work folders of this process that have not been released
+_FOLDERS: list[str] = []
+
+
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="newstide-")
@@ -59,4 +63,18 @@ def work_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         root = _local_root()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _FOLDERS.append(folder)
+    return folder
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it is stored; one that is not there is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the work folders made so far: when all results that read them are stored."""
+    while _FOLDERS:
+        remove_folder(spark, _FOLDERS.pop())

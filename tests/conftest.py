@@ -5,13 +5,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from newstide.session import local_session  # noqa: E402
+from newstide.session import local_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(cores=8, shuffle_partitions=8)
     yield session
+    release(session)
     session.stop()
 
 

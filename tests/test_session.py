@@ -1,8 +1,9 @@
+import os
 from types import SimpleNamespace
 
 import pytest
 
-from newstide.session import work_folder
+from newstide.session import release, work_folder
 
 
 def session(master, folder=None):
@@ -19,3 +20,12 @@ def test_only_a_local_session_may_use_a_temporary_folder():
     assert work_folder(session("local[2]"), "x") != work_folder(session("local[2]"), "x")
     with pytest.raises(ValueError):
         work_folder(session("yarn"), "x")
+
+
+def test_released_folders_are_gone(spark):
+    folder = work_folder(spark, "release")
+    spark.range(3).write.parquet(folder)
+    assert spark.read.parquet(folder).count() == 3
+    release(spark)
+    assert not os.path.exists(folder)
+    release(spark)
