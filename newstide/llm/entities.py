@@ -48,9 +48,9 @@ _NUMERIC = re.compile(
   | (?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
   | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
   | (?P<phone>
-        (?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\w)
-      | (?<!\w)\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)
-      | (?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w.-]))
+        (?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,5}(?!\w)
+      | (?<!\w)(?:1[ .-])?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)
+      | (?<![\w.-])(?:1[.-])?\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]|\.\d))
   | (?P<card>(?<![\w.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w))
     """,
     re.VERBOSE | re.ASCII,

@@ -21,6 +21,7 @@ def found(text):
         ("write to Ann.Lee99@mail7.example.com.", [("email", "Ann.Lee99@mail7.example.com")]),
         ("call +1 (974) 555-3436 or (974) 555-3436", [("phone", "+1 (974) 555-3436"), ("phone", "(974) 555-3436")]),
         ("974-555-3436, +49 30 1234567", [("phone", "974-555-3436"), ("phone", "+49 30 1234567")]),
+        ("+33 1 23 45 67 89 or 1-800-555-0199.", [("phone", "+33 1 23 45 67 89"), ("phone", "1-800-555-0199")]),
         ("card 4111 1111 1111 1111 and 9807915762804490.", [("card", "4111 1111 1111 1111"), ("card", "9807915762804490")]),
         ("97.51.17.173 10.0.0.5, not 1.2.3 or 1.2.3.4.5 or 300.1.1.1", [("ipv4", "97.51.17.173"), ("ipv4", "10.0.0.5")]),
         ("2001:0db8:85a3:0000:0000:8a2e:0370:7334", [("ipv6", "2001:0db8:85a3:0000:0000:8a2e:0370:7334")]),
