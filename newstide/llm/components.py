@@ -18,12 +18,13 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Each larger neighbour of a node is linked to the node's smallest neighbour, or the node."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = written(least, "least")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(links.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
@@ -32,10 +33,11 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """``node`` and ``root``, the smallest node it is connected with, for every linked node.
 
     ``links`` has long columns ``a`` and ``b``; order, repeats and loops do not matter.
-    A node without links to others has no row. Each round reads a stored table, joins on
-    node (a node with very many links is split by adaptive execution, because its smallest
-    neighbour is a partial minimum joined back) and stores the next one; the number of
-    rounds grows with the logarithm of the longest chain.
+    A node without links to others has no row. Each round reads a stored table and stores
+    the next one; the number of rounds grows with the logarithm of the longest chain. The
+    smallest neighbours are partial minima, stored before they are joined back: both sides
+    of the join are then plain shuffles, and adaptive execution splits a node with very many
+    links over tasks.
     """
     current = written(_lower(links), "links")
     for _ in range(rounds):
