@@ -208,11 +208,12 @@ def learn(docs: DataFrame, labels: DataFrame, learned: Column | None = None) ->
 
     ddl = "hash bigint, quality int, buckets array<bigint>, weights array<double>, statistics array<double>"
     wanted = sample.select("hash", F.col("quality").cast("int"), "text")
-    rows = sorted(by_batch(wanted, ddl, work).collect(), key=lambda r: (r["hash"], r["quality"]))
-    labels_seen = np.array([r["quality"] for r in rows], dtype=float)
+    rows = by_batch(wanted, ddl, work).toArrow().sort_by([("hash", "ascending"), ("quality", "ascending")]).combine_chunks()
+    labels_seen = rows["quality"].to_numpy().astype(float)
     share = {label: number / sum(sizes.values()) for label, number in sizes.items()}
     weights = np.array([share[int(y)] / (labels_seen == y).mean() for y in labels_seen])
-    return train([tuple(np.array(r[c]) for c in ("buckets", "weights", "statistics")) for r in rows], labels_seen, weights)
+    columns = [rows[c].combine_chunks() for c in ("buckets", "weights", "statistics")]
+    return train([tuple(c[i].values.to_numpy() for c in columns) for i in range(len(rows))], labels_seen, weights)
 
 
 def _scored(machine: Machine, own: list[str]) -> np.ndarray:
