@@ -106,7 +106,8 @@ def _assigned(classes: DataFrame, fitted: dict[int, np.ndarray], margin: float)
                     "home": home[row] == cell,
                 }
 
-    ddl = "id bigint, label string, dim int, mult bigint, embedding array<double>, cell int, home boolean"
+    kind = classes.schema["embedding"].dataType.simpleString()
+    ddl = f"id bigint, label string, dim int, mult bigint, embedding {kind}, cell int, home boolean"
     return by_batch(classes.select("id", "label", "dim", "mult", "embedding"), ddl, work)
 
 
@@ -155,10 +156,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float =
     length are never linked. Repeated rows are each other's links; a null id stays null, its
     component is the smallest id reachable, if any. An empty table gives an empty result.
     """
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
     own = vectors.select(
         F.col("vec_id").cast("long"),
         F.col("label").cast("string").alias("label"),
-        F.col("embedding").cast("array<double>").alias("embedding"),
+        # floats stay floats while they are moved
+        F.col("embedding").cast(kind).alias("embedding"),
     )
     good = F.col("label").isNotNull() & usable(F.col("embedding"))
     # two independent hashes tell classes apart without moving vectors again
@@ -195,7 +199,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float =
     roots = components(found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
     rooted = classes.select("id", "h1", "h2", "first").join(roots.withColumnRenamed("node", "id"), "id", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "id"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # stored before it is joined back, so that a large component is split over tasks
+    least = written(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     known = rooted.join(least, "root").join(counts, "id").select("h1", "h2", "n_links", "component_id")
     joined = keyed.select("vec_id", "h1", "h2").join(known, ["h1", "h2"], "left")
     component = F.coalesce("component_id", "vec_id")
