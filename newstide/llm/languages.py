@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newstide.llm.common import by_batch, filtered, texts
+from newstide.llm.common import by_batch, filtered, texts, written
 
 UNKNOWN = "und"
 #: lengths of the n-grams, in characters of a text whose non-letters are blanks
@@ -175,6 +175,7 @@ def learn(docs: DataFrame, learned: Column | None = None) -> Filters:
     counted = by_batch(sample.select("lang", "text"), "lang string, gram bigint", _gram_rows).groupBy("lang", "gram").count()
     share = F.create_map(*(F.lit(x) for l, n in sizes.items() for x in (l, LEAST_SHARE * min(n, SAMPLE_TEXTS))))
     often = counted.where((F.col("count") >= share[F.col("lang")]) & ((F.col("count") > 1) | (share[F.col("lang")] < 1)))
+    often = written(often, "grams")
     members = {}
     for language in sorted(sizes):
         top = often.where(F.col("lang") == language).orderBy(F.desc("count"), "gram").limit(SAMPLE_GRAMS)
