@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from newstide.session import work_folder
 
-#: texts handed to Python at once; a batch of long documents must fit a worker
+#: rows, and bytes, handed to Python at once; a batch of long documents must fit a worker
 BATCH_ROWS = 2000
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,15 +31,20 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def by_batch(
     frame: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[str, object]]]
 ) -> DataFrame:
     """``mapInArrow`` for a function that gives a dict of columns for each batch it reads.
 
-    Batches hold ``BATCH_ROWS`` at most, so that many long texts never stand in memory
+    Batches are bounded in rows and bytes, so that many long texts never stand in memory
     together, in Python or in the JVM.
     """
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    _bound_batches(frame.sparkSession)
     fields = frame.sparkSession.createDataFrame([], schema).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,7 +61,7 @@ def by_batch(
 
 def filtered(frame: DataFrame, judge: Callable[[list[str]], Iterable[bool]]) -> DataFrame:
     """The rows whose ``text`` (null: empty) the judge accepts, with all their columns."""
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    _bound_batches(frame.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
