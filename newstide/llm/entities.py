@@ -22,12 +22,16 @@ GIVEN = {
     ("latin", "m"): (
         "James John Robert Michael William David Richard Joseph Thomas Charles Daniel Matthew Mark Paul Steven "
         "Andrew Kevin Brian George Edward Peter Klaus Jürgen Wolfgang Dieter Günther Pierre Jacques François "
-        "Philippe Carlos José Miguel Javier Pablo Diego"
+        "Philippe Carlos José Miguel Javier Pablo Diego Christopher Anthony Donald Joshua Kenneth Timothy Jason "
+        "Jeffrey Ryan Jacob Gary Nicholas Stephen Jonathan Scott Benjamin Samuel Gregory Patrick Frank Raymond Jack "
+        "Dennis Henry Walter Oliver Lukas Felix Antoine Louis Luis Fernando"
     ).split(),
     ("latin", "f"): (
         "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Margaret Emily Michelle "
         "Amanda Melissa Deborah Laura Rebecca Sharon Ursula Claudia Sabine Brigitte Sophie Camille Isabelle "
-        "Françoise Monique Lucía María Carmen Dolores Pilar Julia Olivia"
+        "Françoise Monique Lucía María Carmen Dolores Pilar Julia Olivia Alice Emma Grace Dorothy Ashley Kimberly "
+        "Donna Carol Stephanie Cynthia Kathleen Amy Angela Shirley Brenda Pamela Nicole Samantha Katherine Christine "
+        "Rachel Carolyn Janet Victoria Diane Joyce Sophia Martha Gloria Chloé Charlotte Hannah Lena"
     ).split(),
     ("cyrillic", "m"): "Иван Дмитрий Сергей Алексей Николай Михаил Андрей Владимир Павел Юрий".split(),
     ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Татьяна Екатерина Ирина Светлана Юлия".split(),
@@ -38,6 +42,8 @@ SOUNDS = {
     "cyrillic": ("б в г д ж з к л м н п р с т в х".split(), "а е и о у я".split()),
     "greek": ("β γ δ ζ θ κ λ μ ν π ρ τ φ χ".split(), "α ε η ι ο υ ω".split()),
 }
+#: words after which a name is given
+CUES = "name is|named|called|Name:|Contact:|Author:|Sincerely,|Regards,|Signed,|Dear".split("|")
 _GENDER = {name: gender for (_, gender), names in GIVEN.items() for name in names}
 _TITLE = {title: gender for gender, titles in TITLES.items() for title in titles}
 
@@ -67,6 +73,9 @@ _DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Z
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _LONGEST_LOCAL = 64
 _CAPITALS = re.compile(r"(?<![\w'-])([^\W\d_][\w'-]*)(\.?) ((?:[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][\w'’-]+)(?: [A-ZÀ-ÖØ-ÞΑ-ΩА-Я][\w'’-]+)?)")
+_CUE = re.compile(
+    "(?:" + "|".join(map(re.escape, CUES)) + r")\s+([A-ZÀ-ÖØ-ÞΑ-ΩА-Я][\w'’-]+)(?: ([A-ZÀ-ÖØ-ÞΑ-ΩА-Я][\w'’-]+))(?![\w'’-])"
+)
 _DIGIT = re.compile(r"[0-9]")
 
 
@@ -152,6 +161,18 @@ def _named(text: str) -> list[Mention]:
     return found
 
 
+def _introduced(text: str) -> list[Mention]:
+    """A given name and a surname after words that introduce one; the ending tells an unknown name's gender."""
+    found = []
+    for match in _CUE.finditer(text):
+        first, last = match.groups()
+        if first not in _TITLE:
+            gender = _GENDER.get(first, "f" if first[-1] in "aа" else "m")
+            found.append(Mention(*match.span(1), f"given_{gender}", first.lower()))
+            found.append(Mention(*match.span(2), "surname", last.lower()))
+    return found
+
+
 def mentions(text: str) -> list[Mention]:
     """The entities named in a text, in order and without overlaps."""
     found = []
@@ -170,6 +191,8 @@ def mentions(text: str) -> list[Mention]:
                 found.append(Mention(*match.span(), kind, normal))
     found += _emails(text)
     found += _named(text)
+    if any(cue in text for cue in CUES):
+        found += _introduced(text)
     found.sort(key=lambda m: (m.start, -m.end))
     kept: list[Mention] = []
     for mention in found:

@@ -32,6 +32,7 @@ def found(text):
         ("DE89 3704 0044 0532 0130 00, not DE89 3704 0044 0532 0130 01", [("iban", "DE89 3704 0044 0532 0130 00")]),
         ("Mr. John Smith met Mary Jones.", [("given_m", "John"), ("surname", "Smith"), ("given_f", "Mary"), ("surname", "Jones")]),
         ("Frau Weber und Herr Klaus Meier", [("surname", "Weber"), ("given_m", "Klaus"), ("surname", "Meier")]),
+        ("My name is Xenia Quill. Dear Mr. Brook, the river named after him.", [("given_f", "Xenia"), ("surname", "Quill"), ("surname", "Brook")]),
         ("Иван Петров", [("given_m", "Иван"), ("surname", "Петров")]),
         ("In. The of 2024-01-02 at 12:30, version 2.0, 3.14159 or 1,000,000; a@b; @x; Page 12-14.", []),
         ("He met the Queen. Anna. The end.", []),
