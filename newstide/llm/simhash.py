@@ -252,7 +252,8 @@ def grouped(prints: DataFrame, distance: int = 3) -> DataFrame:
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     roots = components(links(classes, distance)).withColumnRenamed("node", "fp")
     rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component"))
+    # stored before it is joined back, so that a large component is split over tasks
+    least = written(rooted.groupBy("root").agg(F.min("first").alias("component")), "least")
     return rooted.join(least, "root").select("fp", "root", "component")
 
 
