@@ -1,7 +1,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from newstide.operators import daily
 from newstide.plans.jobs import Store, compact_trades, run_trades, trades
