@@ -204,9 +204,12 @@ def learn(docs: DataFrame, labels: DataFrame, learned: Column | None = None) ->
         for batch in batches:
             found = [features(t) for t in texts(batch)]
             columns = {c: batch.column(c) for c in ("hash", "quality")}
-            yield columns | {n: [f[i] for f in found] for i, n in enumerate(("buckets", "weights", "statistics"))}
+            columns["buckets"] = [buckets.astype(np.int32) for buckets, _, _ in found]
+            columns["weights"] = [weights.astype(np.float32) for _, weights, _ in found]
+            columns["statistics"] = [statistics for _, _, statistics in found]
+            yield columns
 
-    ddl = "hash bigint, quality int, buckets array<bigint>, weights array<double>, statistics array<double>"
+    ddl = "hash bigint, quality int, buckets array<int>, weights array<float>, statistics array<double>"
     wanted = sample.select("hash", F.col("quality").cast("int"), "text")
     rows = by_batch(wanted, ddl, work).toArrow().sort_by([("hash", "ascending"), ("quality", "ascending")]).combine_chunks()
     labels_seen = rows["quality"].to_numpy().astype(float)
