@@ -190,27 +190,42 @@ def fingerprints(frame: DataFrame, of: dict[str, str], alike: dict[str, tuple[st
     return by_batch(frame.select(*dict.fromkeys([*keep, *of.values()])), ", ".join(ddl), work)
 
 
+@cache
+def _picked(scale: int) -> np.ndarray:
+    """Which of a scale's samples make each band: from steps that a text of the scale reaches."""
+    early = int(np.searchsorted(steps(scale), 1 << scale))
+    return np.random.default_rng(scale).integers(0, max(1, early), (BANDS, DIGITS))
+
+
+def band_keys(print_: str) -> list[str]:
+    """The band keys of a text at its own scale and, if it nearly fills it, the next.
+
+    A band that reaches past the text's end says little, and is left out unless the text is
+    of the least scale. A text that is near one of the next scale has at least 0.7 times the
+    characters of its own, and so has walked on at close to half of the samples.
+    """
+    own, keys = int(print_[:2], 16), []
+    reached = sum(d != "0" for d in print_[2:]) / max(1, len(print_) - 2)
+    for scale in (own, own + 1) if reached >= 0.45 else (own,):
+        for band, digits in enumerate(digits_at(print_, scale)[_picked(scale)]):
+            if scale == LEAST_SCALE or (digits != _PAST).all():
+                keys.append(f"{scale}.{band}.{digits.tobytes().decode()}")
+    return keys
+
+
 def _bands(batches):
     for batch in batches:
-        keys, ids = [], []
-        for number, own in zip(batch.column("id").to_pylist(), batch.column("fingerprint").to_pylist()):
-            for scale in (int(own[:2], 16), int(own[:2], 16) + 1):
-                digits = digits_at(own, scale)
-                early = digits[steps(scale) < 1 << scale]
-                draw = np.random.default_rng(scale)
-                for band in range(BANDS):
-                    picked = draw.integers(0, max(1, len(early)), DIGITS)
-                    keys.append(f"{scale}.{band}." + (early[picked].tobytes().decode() if len(early) else ""))
-                    ids.append(number)
-        yield {"key": keys, "id": ids}
+        found = [band_keys(p) for p in batch.column("fingerprint").to_pylist()]
+        ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), [len(k) for k in found])
+        yield {"key": [k for own in found for k in own], "id": ids}
 
 
 def near_groups(prints: DataFrame, near: float = NEAR) -> DataFrame:
     """``fingerprint`` and ``group_id``, the smallest ``doc_id`` connected by near texts.
 
     ``prints`` has ``doc_id`` and ``fingerprint``. Equal fingerprints are one class. A class
-    goes under its bands at its own and the next scale; whoever shares a band key is compared
-    with the key's smallest class, so the work is linear in the size of a key.
+    goes under its band keys; whoever shares one is compared with the key's smallest class,
+    so the work is linear in the size of a key.
     """
     classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
     classes = written(classes.withColumn("id", F.xxhash64("fingerprint")), "classes")
@@ -229,7 +244,8 @@ def near_groups(prints: DataFrame, near: float = NEAR) -> DataFrame:
 
     roots = components(by_batch(both, "a bigint, b bigint", verify)).withColumnRenamed("node", "id")
     rooted = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("group_id"))
+    # stored before it is joined back, so that a large group is split over tasks
+    least = written(rooted.groupBy("root").agg(F.min("first").alias("group_id")), "least")
     return rooted.join(least, "root").select("fingerprint", "group_id")
 
 
