@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from newstide.llm.common import written
 
 
+def _kept(links: DataFrame, name: str) -> DataFrame:
+    """A table of a round, in about two files a core: rounds write many tables, and most are small."""
+    return written(links.coalesce(2 * links.sparkSession.sparkContext.defaultParallelism), name)
+
+
 def _lower(links: DataFrame) -> DataFrame:
     """Every link once, from its larger to its smaller end."""
     pairs = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -18,13 +23,13 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Each larger neighbour of a node is linked to the node's smallest neighbour, or the node."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    least = written(least, "least")
+    least = _kept(least, "least")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    least = written(links.groupBy("a").agg(F.min("b").alias("m")), "least")
+    least = _kept(links.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
@@ -39,9 +44,9 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     of the join are then plain shuffles, and adaptive execution splits a node with very many
     links over tasks.
     """
-    current = written(_lower(links), "links")
+    current = _kept(_lower(links), "links")
     for _ in range(rounds):
-        nxt = written(_lower(_small_star(_lower(_large_star(current)))), "links")
+        nxt = _kept(_lower(_small_star(_lower(_large_star(current)))), "links")
         # a star per component: no node is both an inner and an outer end
         settled = nxt.select("a").intersect(nxt.select("b")).isEmpty()
         single = settled and nxt.groupBy("a").count().where("count > 1").isEmpty()

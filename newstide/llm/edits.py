@@ -18,6 +18,7 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -249,6 +250,15 @@ def near_groups(prints: DataFrame, near: float = NEAR) -> DataFrame:
     return rooted.join(least, "root").select("fingerprint", "group_id")
 
 
+def _in_stretches(frame: DataFrame, cuts: list[float]) -> DataFrame:
+    """``stretch``, the number of cuts at or below ``place``, by binary search."""
+    if not cuts:
+        return frame.withColumn("stretch", F.lit(0))
+    splits = [-float("inf"), *cuts, float("inf")]
+    found = Bucketizer(splits=splits, inputCol="place", outputCol="stretch").transform(frame)
+    return found.withColumn("stretch", F.col("stretch").cast("int"))
+
+
 def followed(docs: DataFrame, stretches: int) -> DataFrame:
     """``doc_id``, ``text`` and ``next_text``, the text after it by descending ``doc_id``.
 
@@ -264,7 +274,7 @@ def followed(docs: DataFrame, stretches: int) -> DataFrame:
     shares = [i / stretches for i in range(1, stretches)]
     cuts = own.select("place").approxQuantile("place", shares, 0.2 / stretches) if shares else []
     cuts = sorted(set(cuts))
-    own = own.withColumn("stretch", _stretch(F.col("place"), cuts))
+    own = _in_stretches(own, cuts)
     tops = own.groupBy("stretch").agg(F.max(F.struct("place", "doc_id", "hash")).alias("top"))
     found = sorted(tops.collect())  # a row per stretch
     above = {r["stretch"]: found[(i + 1) % len(found)]["stretch"] for i, r in enumerate(found)}
@@ -276,12 +286,3 @@ def followed(docs: DataFrame, stretches: int) -> DataFrame:
     dealt = marked.select("doc_id", "text", "hash", "place", F.posexplode(targets).alias("copy", "in_stretch"))
     order = Window.partitionBy("in_stretch").orderBy("copy", F.desc("place"), F.desc_nulls_last("doc_id"), F.desc("hash"))
     return dealt.withColumn("next_text", F.lead("text").over(order)).where("copy = 0").drop("copy", "hash", "place", "in_stretch")
-
-
-def _stretch(place, cuts: list[float]):
-    """The number of cuts at or below a place, by halving."""
-    if not cuts:
-        return F.lit(0)
-    middle = len(cuts) // 2
-    above = _stretch(place, cuts[middle + 1 :]) + (middle + 1)
-    return F.when(place >= cuts[middle], above).otherwise(_stretch(place, cuts[:middle])).cast("int")
