@@ -36,9 +36,14 @@ def with_corrected_stems(docs: DataFrame, words: DataFrame, folder: str, key: st
     spark, stemmed = docs.sparkSession, with_stems(docs)
     stemmed.write.mode("overwrite").parquet(f"{folder}/stems")
     stemmed = spark.read.schema(stemmed.schema).parquet(f"{folder}/stems")
+    return corrected_stems(stemmed, words, folder, key)
+
+
+def corrected_stems(stemmed: DataFrame, words: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
+    """Correct the ``tokens`` of a stored table; the corrections are written below ``folder``."""
     changes = corrections(distinct_tokens(stemmed), words)
     changes.write.mode("overwrite").parquet(f"{folder}/corrections")
-    changes = spark.read.schema(CORRECTIONS).parquet(f"{folder}/corrections")
+    changes = stemmed.sparkSession.read.schema(CORRECTIONS).parquet(f"{folder}/corrections")
     return corrected_tokens(stemmed, changes, key)
 
 

@@ -499,9 +499,9 @@ def _known_words(spark, sf_dir, stemmed):
 @query
 def corrected_text(spark, sf_dir):
     """Documents cleaned, stemmed and corrected."""
-    docs = _documents(spark, sf_dir)
-    words = _known_words(spark, sf_dir, texts.with_stems(docs))
-    out = texts.with_corrected_stems(docs, words, work_folder(spark, "corrected"))
+    stemmed = _written(texts.with_stems(_documents(spark, sf_dir)), "stems")
+    words = _known_words(spark, sf_dir, stemmed)
+    out = texts.corrected_stems(stemmed, words, work_folder(spark, "corrected"))
     return texts.cleaned_text(out).select(
         "doc_id", F.length("cleaned").alias("characters"), F.md5("cleaned").alias("digest")
     )
