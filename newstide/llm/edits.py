@@ -9,8 +9,9 @@ a hex digit that hashes the character (0: past the end). The steps chosen for a
 are among those of a shorter one, so that texts of any two lengths can be compared.
 
 Near texts are found by banding: digits of sampled steps make a band key, texts that share
-a key are compared with one leader of the key, and a pair counts when the likeness of the
-whole fingerprints is high enough.
+a key are compared, and a pair counts when the likeness of the whole fingerprints is high
+enough. All of a key are compared with its leader first; where that does not connect them,
+every pair of the key that is not connected yet is compared too.
 """
 
 from __future__ import annotations
@@ -18,12 +19,15 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newstide.llm.common import by_batch, texts, written
 from newstide.llm.components import components
+from newstide.llm.simhash import Forest
 
 SAMPLES = 128
 LEAST_SCALE = 4
@@ -35,7 +39,10 @@ NEAR = 0.8
 PERIOD = 1 << 13
 #: walkers below which a walk goes on by itself
 FEW = 8
+#: classes of a block that are compared at once
+BLOCK = 256
 _PAST = ord("0")
+_DIGITS = np.frombuffer(b"123456789abcdef", dtype=np.uint8)
 
 
 @cache
@@ -221,18 +228,92 @@ def _bands(batches):
         yield {"key": [k for own in found for k in own], "id": ids}
 
 
+def _by_digit(digits: np.ndarray) -> np.ndarray:
+    """A one for each digit that is not past the end: products count equal digits."""
+    return (digits[:, :, None] == _DIGITS).astype(np.float32).reshape(len(digits), -1)
+
+
+def near_pairs(prints: list[str], others: list[str], near: float) -> np.ndarray:
+    """Which of ``prints`` (rows) are near which of ``others``, as ``likeness`` has it."""
+    found = np.zeros((len(prints), len(others)), dtype=bool)
+    by_scale = [{}, {}]
+    for side, own in zip(by_scale, (prints, others)):
+        for i, p in enumerate(own):
+            side.setdefault(int(p[:2], 16), []).append(i)
+    for s, rows in by_scale[0].items():
+        for t, columns in by_scale[1].items():
+            x = np.stack([digits_at(prints[i], max(s, t)) for i in rows])
+            y = np.stack([digits_at(others[j], max(s, t)) for j in columns])
+            past = (x == _PAST).astype(np.float32) @ (y == _PAST).astype(np.float32).T
+            same, live = (_by_digit(x) @ _by_digit(y).T).astype(np.float64), x.shape[1] - past.astype(np.float64)
+            found[np.ix_(rows, columns)] = np.divide(same, live, out=np.zeros_like(same), where=live > 0) >= near
+    return found
+
+
+def _blocks(near: float):
+    def work(group: pa.Table) -> pa.Table:
+        """Links between the groups of one block, those that connect groups not connected yet."""
+        rows = group.filter(pc.invert(group["other"]))
+        columns = group.filter(group["other"])
+        root, other_root = rows["root"].to_pylist(), columns["root"].to_pylist()
+        number = {r: i for i, r in enumerate(dict.fromkeys([*root, *other_root]))}
+        forest, links = Forest(len(number)), []
+        for i, j in np.argwhere(near_pairs(rows["fingerprint"].to_pylist(), columns["fingerprint"].to_pylist(), near)):
+            if forest.join(number[root[i]], number[other_root[j]]):
+                links.append((root[i], other_root[j]))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return work
+
+
+def _beyond_leaders(keyed: DataFrame, leaders: DataFrame, roots: DataFrame, own: DataFrame, near: float) -> DataFrame:
+    """Links (``a``, ``b``) between roots: pairs that share a key and are not connected by leaders.
+
+    Of two members of a key in different groups, one at least is not in the leader's group:
+    those are compared with all members of the key, in blocks, so that a crowded key is many
+    tasks. Keys whose members are all connected, or that have the leader and one other, are done.
+    """
+    crowded = leaders.where("members > 2").select("key", "leader")
+    root = F.coalesce("root", "id").alias("root")
+    members = keyed.join(crowded, "key").join(roots, "id", "left").select("key", "leader", "id", root)
+    members = written(members, "members")
+    of_leader = members.where("id = leader").select("key", F.col("root").alias("leading"))
+    apart = members.join(of_leader, "key").withColumn("minor", F.col("root") != F.col("leading"))
+    sizes = apart.groupBy("key").agg(F.count_if("minor").alias("minors"), F.count("*").alias("all")).where("minors > 0")
+    blocks = [F.ceil(F.col(c) / BLOCK).cast("int").alias(f"n_{c}") for c in ("minors", "all")]
+    # stored, so that their sizes are known when the joins with the fingerprints are planned
+    placed = written(apart.join(sizes.select("key", *blocks), "key").where("id <> leader"), "apart")
+    placed = placed.join(own, "id")
+    turn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)).cast("int")
+    columns = ["key", "root", "fingerprint"]
+    minors = placed.where("minor").select(
+        *columns, F.lit(False).alias("other"), (turn % F.col("n_minors")).alias("row"),
+        F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)).alias("column"),
+    )
+    others = placed.select(
+        *columns, F.lit(True).alias("other"),
+        F.explode(F.sequence(F.lit(0), F.col("n_minors") - 1)).alias("row"), (turn % F.col("n_all")).alias("column"),
+    )
+    # dealt out by block: else the blocks of a crowded key would follow their key into one task
+    place = ["key", "row", "column"]
+    compared = minors.unionByName(others).repartition(*place).groupBy(*place)
+    return written(compared.applyInArrow(_blocks(near), "a bigint, b bigint"), "beyond")
+
+
 def near_groups(prints: DataFrame, near: float = NEAR) -> DataFrame:
     """``fingerprint`` and ``group_id``, the smallest ``doc_id`` connected by near texts.
 
     ``prints`` has ``doc_id`` and ``fingerprint``. Equal fingerprints are one class. A class
     goes under its band keys; whoever shares one is compared with the key's smallest class,
-    so the work is linear in the size of a key.
+    and then every pair of a key that this has not connected. The work is linear in the size
+    of a key of near texts, and grows with the number of those unlike its leader.
     """
     classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
     classes = written(classes.withColumn("id", F.xxhash64("fingerprint")), "classes")
     banded = by_batch(classes.select("id", "fingerprint"), "key string, id bigint", _bands)
     keyed = written(banded.select(F.xxhash64("key").alias("key"), "id"), "bands")
-    leaders = keyed.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("most")).where("leader < most")
+    sizes = F.min("id").alias("leader"), F.max("id").alias("most"), F.count("*").alias("members")
+    leaders = written(keyed.groupBy("key").agg(*sizes).where("leader < most").drop("most"), "leaders")
     pairs = keyed.join(leaders.select("key", "leader"), "key").where("id <> leader").select("id", "leader").distinct()
     own = classes.select("id", "fingerprint")
     both = pairs.join(own, "id").join(own.select(F.col("id").alias("leader"), F.col("fingerprint").alias("other")), "leader")
@@ -244,7 +325,11 @@ def near_groups(prints: DataFrame, near: float = NEAR) -> DataFrame:
             yield {"a": [a for a, _ in links], "b": [b for _, b in links]}
 
     roots = components(by_batch(both, "a bigint, b bigint", verify)).withColumnRenamed("node", "id")
+    beyond = _beyond_leaders(keyed, leaders, roots, own, near)
     rooted = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    if not beyond.isEmpty():
+        joined = components(beyond).select(F.col("node").alias("root"), F.col("root").alias("joint"))
+        rooted = rooted.join(joined, "root", "left").withColumn("root", F.coalesce("joint", "root")).drop("joint")
     # stored before it is joined back, so that a large group is split over tasks
     least = written(rooted.groupBy("root").agg(F.min("first").alias("group_id")), "least")
     return rooted.join(least, "root").select("fingerprint", "group_id")

@@ -101,6 +101,47 @@ def test_near_groups(spark):
     assert edits.near_groups(frame.where("false")).collect() == []
 
 
+def sharing_one_key(draw):
+    """Two near fingerprints that share the first band's key only, and unlike ones that share it too."""
+    n, first = len(edits.steps(10)), edits._picked(10)[0]
+    written = lambda digits: "0a" + "".join(digits)
+    shared = lambda a, b: set(edits.band_keys(written(a))) & set(edits.band_keys(written(b)))
+    near = [draw.choice("123456789abcdef") for _ in range(n)]
+    other = list(near)
+    while len(shared(near, other)) > 1:
+        changed = [[*other[:i], "1" if near[i] != "1" else "2", *other[i + 1 :]] for i in range(n) if i not in first]
+        other = min(changed, key=lambda c: len(shared(near, c)))
+    unlike = [[draw.choice("123456789abcdef") for _ in range(n)] for _ in range(40)]
+    for i in first:
+        for u in unlike:
+            u[i] = near[i]
+    return [written(x) for x in (near, other, *unlike)]
+
+
+@pytest.mark.parametrize("block", [5, 256])
+def test_near_texts_meet_whatever_the_leader_of_their_key(spark, block, monkeypatch):
+    monkeypatch.setattr(edits, "BLOCK", block, raising=False)
+    draw, rows = random.Random(11), []
+    for family in range(5):
+        rows += [(100 * family + n, p) for n, p in enumerate(sharing_one_key(draw))]
+    prints = dict(rows)
+    group = {r.fingerprint: r.group_id for r in edits.near_groups(spark.createDataFrame(rows, "doc_id bigint, fingerprint string")).collect()}
+    for i, p in rows:
+        assert group[p] == (i - 1 if i % 100 == 1 else i)
+    for family in range(0, 500, 100):
+        assert edits.likeness(prints[family], prints[family + 1]) >= 0.8
+
+
+def test_near_pairs_of_blocks_equal_single_ones():
+    draw = random.Random(12)
+    texts = ["".join(draw.choice("ab") for _ in range(draw.choice([0, 1, 17, 30, 35, 60, 70]))) for _ in range(40)]
+    prints = [edits.fingerprint(t) for t in texts]
+    want = [[edits.likeness(a, b) >= 0.5 for b in prints[7:]] for a in prints[:30] if edits.digits_at(a, 4).any()]
+    found = edits.near_pairs(prints[:30], prints[7:], 0.5)
+    empty_ones = np.array([[a == b for b in prints[7:]] for a in prints[:30]])  # equal ones are one class
+    assert ((found | empty_ones) == np.array(want)).all()
+
+
 def test_query(spark, sf_dir):
     rows = queries.op9_edit_prints(spark, sf_dir).collect()
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
