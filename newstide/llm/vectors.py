@@ -1,11 +1,10 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosines, one kept per group.
 
 Only vectors of equal label are compared. A vector is at home in the cell of its nearest
-centroid, and a guest in every other cell whose border is within ``MARGIN`` of it, so that a
+centroid, and a guest in every other cell whose border is within a margin of it, so that a
 pair parted by a border still meets: each vector is compared with all vectors of its home
-cell. Two unit vectors with cosine c are at most sqrt(2 - 2c) apart, and that margin is
-exact; a displacement in many dimensions hardly ever points straight at a border, and the
-default of four tenths of it found every link of the test tables (README).
+cell. Two unit vectors with cosine c are at most sqrt(2 - 2c) apart, and that margin, the
+default, loses no pair.
 
 Equal vectors are one class first. A cell is compared in blocks of at most ``BLOCK`` by
 ``BLOCK`` classes, so that a crowded cell is many tasks; a block gives counts and a spanning
@@ -23,7 +22,8 @@ from newstide.llm.common import by_batch, written
 from newstide.llm.components import components
 
 COSINE = 0.98
-MARGIN = 0.08
+#: the distance of unit vectors of that cosine: no pair is lost at a border
+MARGIN = (2 - 2 * COSINE) ** 0.5
 BLOCK = 256
 #: about how many vectors the centroids are fitted on, and rounds of the fit
 SAMPLE = 20_000
@@ -147,7 +147,7 @@ def _compared(cosine: float):
     return work
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float = MARGIN) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float | None = None) -> DataFrame:
     """One row per row of ``vectors``: ``vec_id``, ``n_links``, ``component_id`` and ``kept``.
 
     Needs columns ``vec_id``, ``embedding`` (numbers) and ``label``; others are not read.
@@ -155,7 +155,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float =
     a label, link with nothing: they are their own component and kept. Vectors of different
     length are never linked. Repeated rows are each other's links; a null id stays null, its
     component is the smallest id reachable, if any. An empty table gives an empty result.
+    The margin is that of the cosine, at which every pair meets, unless another is given.
     """
+    margin = max(0.0, 2 - 2 * cosine) ** 0.5 if margin is None else margin
     kind = vectors.schema["embedding"].dataType.simpleString()
     kind = kind if kind == "array<float>" else "array<double>"
     own = vectors.select(

@@ -66,6 +66,12 @@ def test_links_equal_brute_force(spark, margin):
     assert sum(n for n, _, _ in found.values()) >= 0.97 * links > 500
 
 
+def test_default_finds_every_link_in_few_dimensions(spark):
+    rows = sampled(1500, seed=5, dim=4)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(table(spark, rows)).collect()}
+    assert found == {r[0]: b for r, b in zip(rows, brute_force(rows))}
+
+
 def test_crowded_cells_and_copies(spark):
     draw = np.random.default_rng(8)
     base = draw.normal(size=16)
