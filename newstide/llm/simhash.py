@@ -32,6 +32,8 @@ from newstide.llm.components import components
 SEED = 42
 WIDTH = 64
 SEGMENTS = 8
+#: the largest distance whose pairs are sure to share a key
+FARTHEST = 3
 #: classes of a bucket that are compared at once; a larger bucket is dealt out again
 HOT = 4096
 #: rows of a block of pairs
@@ -229,8 +231,11 @@ def _compare_all(distance: int):
 def links(classes: DataFrame, distance: int = 3) -> DataFrame:
     """Links (``a``, ``b``) that connect what lies within the distance, from different ``fp``.
 
-    Not every pair: a bucket gives a spanning forest, which keeps every connection.
+    Not every pair: a bucket gives a spanning forest, which keeps every connection. The keys
+    hold for a distance of at most ``FARTHEST``; a larger one raises an error.
     """
+    if distance > FARTHEST:
+        raise ValueError(f"distance {distance}: the keys find every pair up to {FARTHEST} only")
     keyed = classes.select(F.explode(ring_keys(F.col("fp"))).alias("key"), "fp")
     sorted_keys = keyed.repartition("key").sortWithinPartitions("key", "fp")
     found = written(by_batch(sorted_keys, "key bigint, a bigint, b bigint", _compare(distance)), "ring")

@@ -180,3 +180,9 @@ def test_query(spark, sf_dir):
     ids = list(texts)
     want = dict(zip(ids, groups(ids, [plain(texts[i] or "") for i in ids])))
     assert {r.doc_id: r.component_id for r in rows} == want
+
+
+@pytest.mark.parametrize("operator", [simhash.near_duplicates, simhash.one_of_each])
+def test_a_distance_that_the_keys_do_not_cover_is_refused(spark, operator):
+    with pytest.raises(ValueError, match="distance 4"):
+        operator(documents(spark), distance=4)
