@@ -205,19 +205,36 @@ def _picked(scale: int) -> np.ndarray:
     return np.random.default_rng(scale).integers(0, max(1, early), (BANDS, DIGITS))
 
 
+@cache
+def _border(scale: int) -> tuple[int, int, np.ndarray]:
+    """For texts about as long as a scale's shortest: how many live samples they have, and bands of those.
+
+    The walk of a text of 2^(scale - 1) characters ends near step 2^scale. Of two near texts
+    the shorter has 0.8 times the live samples of the longer; 0.7 leaves room for how walks
+    vary. The bands are of samples that every text of that many live samples reaches.
+    """
+    full = int(np.searchsorted(steps(scale), 1 << scale))
+    least, most = int(0.7 * full), int(np.ceil(full / 0.7))
+    draw = np.random.default_rng([scale, 1])
+    return least, most, np.stack([draw.permutation(max(DIGITS, least))[:DIGITS] for _ in range(BANDS)])
+
+
 def band_keys(print_: str) -> list[str]:
-    """The band keys of a text at its own scale and, if it nearly fills it, the next.
+    """The band keys of a text at its own scale, and at a border of scales that it is near.
 
-    A band that reaches past the text's end says little, and is left out unless the text is
-    of the least scale. A text that is near one of the next scale has at least 0.7 times the
-    characters of its own, and so has walked on at close to half of the samples.
+    A band that reaches past the text's end says little. At its own scale it is left out,
+    unless that is the least one; a text that has such bands is near its scale's lower
+    border, where all bands are of steps that the texts on both sides of it reach.
     """
     own, keys = int(print_[:2], 16), []
-    reached = sum(d != "0" for d in print_[2:]) / max(1, len(print_) - 2)
-    for scale in (own, own + 1) if reached >= 0.45 else (own,):
-        for band, digits in enumerate(digits_at(print_, scale)[_picked(scale)]):
-            if scale == LEAST_SCALE or (digits != _PAST).all():
-                keys.append(f"{scale}.{band}.{digits.tobytes().decode()}")
+    for band, digits in enumerate(digits_at(print_, own)[_picked(own)]):
+        if own == LEAST_SCALE or (digits != _PAST).all():
+            keys.append(f"{own}.{band}.{digits.tobytes().decode()}")
+    for scale in (own, own + 1):
+        least, most, bands = _border(scale)
+        found = digits_at(print_, scale)
+        if scale > LEAST_SCALE and least <= np.count_nonzero(found != _PAST) <= most:
+            keys += [f"{scale}-{band}.{digits.tobytes().decode()}" for band, digits in enumerate(found[bands])]
     return keys
 
 

@@ -132,6 +132,24 @@ def test_near_texts_meet_whatever_the_leader_of_their_key(spark, block, monkeypa
         assert edits.likeness(prints[family], prints[family + 1]) >= 0.8
 
 
+def test_texts_near_the_threshold_meet_across_scales():
+    draw, met = random.Random(13), []
+    letters = lambda number: [draw.choice("abcdefgh ") for _ in range(number)]
+    for _ in range(1500):
+        border = 1 << draw.choice([8, 9, 10])
+        text = letters(int(border * draw.uniform(0.93, 0.99)))
+        longer = text + letters(int(border * 1.01) - len(text) + 1)
+        for _ in range(draw.randint(border // 100, border // 16)):
+            longer[draw.randrange(len(longer))] = draw.choice("xyz")
+        text = "".join(text)
+        a, b = edits.fingerprint(text), edits.fingerprint("".join(longer))
+        if 0.8 <= edits.likeness(a, b) < 0.9:
+            shared = [k for k in edits.band_keys(a) if k.startswith(f"{int(b[:2], 16)}-")]
+            assert len(shared) == edits.BANDS and not any(k.endswith("0") for k in shared)
+            met.append(bool(set(edits.band_keys(a)) & set(edits.band_keys(b))))
+    assert len(met) > 100 and np.mean(met) > 0.96
+
+
 def test_near_pairs_of_blocks_equal_single_ones():
     draw = random.Random(12)
     texts = ["".join(draw.choice("ab") for _ in range(draw.choice([0, 1, 17, 30, 35, 60, 70]))) for _ in range(40)]
