@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import base64
 from array import array
-from itertools import chain, islice
+from itertools import islice
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ NO_PAIR = 1 << 62
 #: bytes above which a piece's tree is kept in packed arrays, four times smaller and a little slower
 PACKED = 1 << 12
 #: pieces of at most so many bytes are remembered, so many in either half of the memory
-SHORT, REMEMBERED = 48, 250_000
+SHORT, REMEMBERED = 48, 400_000
 #: pieces of a text that are split at once
 SPLIT = 1 << 16
 
@@ -37,7 +38,7 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     lower bits: the least of such numbers is the least rank, of equal ones the leftmost.
     """
     n = len(piece)
-    bits = n.bit_length()
+    bits = max(n - 2, 0).bit_length()
     size, here, rank_of = 1 << bits, (1 << bits) - 1, ranks.get
     # where the token that starts at a position ends, and where the token that ends there starts
     end, start = list(range(1, n + 2)), list(range(-1, n + 1))
@@ -54,21 +55,24 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     while (top := nodes[1]) != NO_PAIR:
         at = top & here
         swallowed = end[at]
-        stop = end[swallowed]
-        end[at] = stop
+        stop = end[at] = end[swallowed]
         start[stop] = at
-        grown = rank_of(piece[at : end[stop]]) if stop < n else None
-        points = [(swallowed, NO_PAIR), (at, NO_PAIR if grown is None else grown << bits | at)]
+        if stop < n:
+            grown = rank_of(piece[at : end[stop]])
+            points = ((swallowed, NO_PAIR), (at, NO_PAIR if grown is None else grown << bits | at))
+        else:  # the last token is in no pair
+            points = ((at, NO_PAIR),)
         if at:
             before = start[at]
             grown = rank_of(piece[before:stop])
-            points.append((before, NO_PAIR if grown is None else grown << bits | before))
-        for place, value in points:
-            node = size + place
-            nodes[node] = value
+            points += ((before, NO_PAIR if grown is None else grown << bits | before),)
+        for node, least in points:
+            node += size
+            nodes[node] = least
             while node > 1:
-                left, right = nodes[node], nodes[node ^ 1]
-                least = left if left < right else right
+                other = nodes[node ^ 1]
+                if other < least:
+                    least = other
                 node >>= 1
                 if nodes[node] == least:
                     break
@@ -81,7 +85,7 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
 
 
 class Vocabulary(dict):
-    """Ranks of a tiktoken file; as a mapping, the ids of pieces, those of short ones remembered."""
+    """Ranks of a tiktoken file; as a mapping, the ids of pieces in 32 bits each, those of short ones remembered."""
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
@@ -89,15 +93,15 @@ class Vocabulary(dict):
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.by_id = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self._older: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, bytes] = {}
 
     def merged(self, piece: bytes) -> tuple[int, ...]:
         """The ids of a piece; one that is a token as it stands is that token."""
         whole = self.ranks.get(piece)
         return merged(piece, self.ranks) if whole is None else (whole,)
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self._older.get(piece) or self.merged(piece.encode())
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._older.get(piece) or array("i", self.merged(piece.encode())).tobytes()
         if len(piece) <= SHORT:
             if len(self) >= REMEMBERED:
                 self._older = dict(self)
@@ -105,15 +109,16 @@ class Vocabulary(dict):
             self[piece] = ids
         return ids
 
-    def encode(self, text: str) -> array:
+    def encode(self, text: str) -> np.ndarray:
         """The ids of a text, split a stretch at a time."""
-        ids, pieces = array("i"), (m.group() for m in self.pattern.finditer(text))
         if len(text) <= SPLIT:
-            ids.extend(chain.from_iterable(map(self.__getitem__, self.pattern.findall(text))))
-            return ids
-        while stretch := list(islice(pieces, SPLIT)):
-            ids.extend(chain.from_iterable(map(self.__getitem__, stretch)))
-        return ids
+            found = b"".join(map(self.__getitem__, self.pattern.findall(text)))
+        else:
+            pieces, stretches = (m.group() for m in self.pattern.finditer(text)), []
+            while stretch := list(islice(pieces, SPLIT)):
+                stretches.append(b"".join(map(self.__getitem__, stretch)))
+            found = b"".join(stretches)
+        return np.frombuffer(found, dtype=np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.by_id.__getitem__, ids))
