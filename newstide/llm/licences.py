@@ -11,8 +11,10 @@ three-word shingles.
 
 Scoring is DataFrame work only. A family can only win against the intercept of the unknown
 class with enough weight; the n-grams without which none can are the model's anchors. Lines
-that hold an anchor have their n-grams exploded, joined with the weighted ones (the model's
-size is bounded, so they are broadcast) and summed; all others are unknown.
+that hold an anchor have their weighted n-grams exploded, joined with the weights (the model's
+size is bounded, so they are broadcast) and summed; all others are unknown. N-grams that ordinary
+lines use, too, speak for no licence and get no weight, so that no common word becomes an
+anchor, however many lines are sampled.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import random
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ UNKNOWN = "unknown"
 VOCABULARY = 4096
 SAMPLE_TEXTS = 600
 SAMPLE_LINES = 2500
+#: share of the sampled ordinary lines (and number, at least) above which an n-gram gets no weight
+COMMON, FEW = 0.002, 3
 #: variations made of each template
 VARIATIONS = 24
 #: shingles a paragraph and a template must share, as a share of the smaller one's
@@ -257,21 +261,27 @@ def train(docs: DataFrame) -> Model:
     ordinary = ordinary.where(~F.arrays_overlap(_shingles(words(F.col("text"))), F.lit(shingles)))
     ordinary = ordinary.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_LINES)
     made = _local(spark, examples(), "family string, text string")
-    rows = made.unionByName(ordinary.select(F.lit(UNKNOWN).alias("family"), "text"))
+    rows = made.withColumn("sampled", F.lit(False)).unionByName(
+        ordinary.select(F.lit(UNKNOWN).alias("family"), "text", F.lit(True).alias("sampled"))
+    )
     families = [UNKNOWN, *TEMPLATES]
     label = F.array_position(F.lit(families), F.col("family")).cast("double") - 1
     grams = F.transform(F.array_distinct(_grams(words(F.col("text")))), lambda g: g.cast("string"))
-    rows = rows.select(label.alias("label"), grams.alias("grams"), (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("held"))
-    vocabulary = CountVectorizer(
-        inputCol="grams", outputCol="features", binary=True, vocabSize=VOCABULARY, minDF=3.0
-    ).fit(rows.where("label > 0 and not held"))
-    vectors = vocabulary.transform(rows).select("label", "grams", "features", "held").coalesce(4).persist()
+    held = (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("held")
+    rows = rows.select(label.alias("label"), grams.alias("grams"), held, "sampled").coalesce(4).persist()
+    names = {"inputCol": "grams", "outputCol": "features", "binary": True}
+    every = CountVectorizer(vocabSize=VOCABULARY, minDF=3.0, **names).fit(rows.where("label > 0 and not held")).vocabulary
+    seen = rows.where("label = 0").select("sampled", F.explode("grams").alias("gram")).where(F.col("gram").isin(every))
+    seen = seen.groupBy("gram").agg(F.count("*").alias("n"), F.count_if("sampled").alias("sampled")).collect()
+    allowed = max(FEW, COMMON * rows.where("sampled").count())
+    common = {r["gram"] for r in seen if r["sampled"] > allowed}
+    vocabulary = CountVectorizerModel.from_vocabulary([g for g in every if g not in common], **names)
+    vectors = vocabulary.transform(rows).select("label", "features", "held").persist()
     regression = LogisticRegression(maxIter=60, tol=1e-4, regParam=3e-4, elasticNetParam=0.6, family="multinomial")
     fitted = regression.fit(vectors.where("not held"))
     scored = fitted.transform(vectors.where("held")).select("label", "rawPrediction").collect()
-    seen = vectors.where("label = 0").select(F.explode("grams").alias("gram")).groupBy("gram").count()
-    seen = seen.where(F.col("gram").isin(vocabulary.vocabulary)).collect()
     vectors.unpersist()
+    rows.unpersist()
     matrix = fitted.coefficientMatrix.toArray()
     weights = {
         int(gram): [float(x) for x in matrix[:, i]]
@@ -280,7 +290,7 @@ def train(docs: DataFrame) -> Model:
     }
     held = [(int(r["label"]), list(r["rawPrediction"])) for r in scored]
     intercepts = [float(b) for b in fitted.interceptVector]
-    needed = anchors(weights, intercepts, {int(r["gram"]): r["count"] for r in seen})
+    needed = anchors(weights, intercepts, {int(r["gram"]): r["n"] for r in seen})
     return Model(families, weights, intercepts, needed, *_calibrated(held, 0))
 
 
@@ -289,7 +299,8 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     own = lines(docs).select("row", "doc_id", "line", words(F.col("text")).alias("words"))
     likely = own.where(F.arrays_overlap(_grams(F.col("words")), F.lit(model.anchors)))
-    found = likely.select("*", F.explode(F.array_distinct(_grams(F.col("words")))).alias("gram"))
+    weighted = F.filter(F.array_distinct(_grams(F.col("words"))), lambda gram: gram.isin(list(model.weights)))
+    found = likely.select("*", F.explode(weighted).alias("gram"))
     table = spark.range(0, 1, 1, 1).select(
         F.explode(F.map_from_arrays(F.lit(list(model.weights)), F.lit(list(model.weights.values())))).alias("gram", "w")
     )
