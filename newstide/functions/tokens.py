@@ -3,7 +3,7 @@
 The rules are those of Treebank-style word tokenization, reduced to what can survive
 the later alphanumeric filter: a mark that always becomes a token of its own is dropped
 later anyway, so only words are looked for. A period followed by a space or a closing
-mark ends a sentence; abbreviations are not looked up.
+mark ends a sentence, unless it belongs to one of the abbreviations given.
 """
 
 from __future__ import annotations
@@ -82,6 +82,18 @@ FUSED_WORDS = {
 }
 
 
+def abbreviated(text: Column, abbreviations: Sequence[str], mark: str = _ATTACHED) -> Column:
+    """The text with the period of known abbreviations replaced by a mark that ends nothing.
+
+    ``abbreviations`` are lower-case types, tried at the start of a word only; periods at the
+    end of a text or before anything but white space are left.
+    """
+    if not abbreviations:
+        return text
+    types = "|".join(rf"\Q{t}\E" for t in sorted(abbreviations, key=lambda t: (-len(t), t)))
+    return F.regexp_replace(text, rf"(?iu)(?<![\p{{L}}\p{{N}}.])({types})\.(?=[{_SPACE}])", f"$1{mark}")
+
+
 def _split_fused(tokens: Column) -> Column:
     fused = F.array(*[F.lit(w) for w in FUSED_WORDS])
     parts = F.create_map(
@@ -91,23 +103,26 @@ def _split_fused(tokens: Column) -> Column:
     return F.when(F.arrays_overlap(tokens, fused), split).otherwise(tokens)
 
 
-def words(text: Column) -> Column:
+def words(text: Column, abbreviations: Sequence[str] = ()) -> Column:
     """Lower-case alphanumeric tokens in order; everything else is dropped.
 
-    A token counts only as a whole: "5.3" and "well-known" hold other marks and go.
+    A token counts only as a whole: "5.3" and "well-known" hold other marks and go, and so
+    does "Inc." where "inc" is one of ``abbreviations``.
     """
     found = F.transform(
-        F.regexp_extract_all(_paired(text), F.lit(TOKEN), F.lit(1)),
+        F.regexp_extract_all(_paired(abbreviated(text, abbreviations)), F.lit(TOKEN), F.lit(1)),
         lambda t: F.lower(F.when(t.endswith("'t") | t.endswith("'T"), F.substring(t, F.lit(1), F.length(t) - 3)).otherwise(t)),
     )
     return bound(found, _split_fused)
 
 
-def content_words(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
+def content_words(
+    text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, abbreviations: Sequence[str] = ()
+) -> Column:
     """Tokens without stop words and without tokens that start an address."""
     # filtering keeps repeated tokens, which a set difference would lose
     return F.filter(
-        words(text), lambda t: (t != "") & ~t.isin(list(stop_words)) & ~t.startswith("http")
+        words(text, abbreviations), lambda t: (t != "") & ~t.isin(list(stop_words)) & ~t.startswith("http")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newstide.functions.indicators import min_max_scaled, sentiment_flag
-from newstide.operators.matching import INDICATORS
+from newstide.operators.matching import INDICATORS, next_bars
 from newstide.schemas import FEATURES, TARGETS
 
 RANGES = "feature string, low double, high double"
@@ -70,3 +70,23 @@ def serving_rows(symbols: DataFrame, daily: DataFrame, bars: DataFrame, run_date
         .withColumn("sentiment", sentiment_flag(F.col("sentiment")))
         .select("symbol", F.date_add("pub_date", 1).alias("target_date"), *INDICATORS, "open")
     )
+
+
+def serving_rows_of_next_bar(
+    symbols: DataFrame, daily: DataFrame, bars: DataFrame, run_date: dt.date, max_gap: int
+) -> DataFrame:
+    """The newest sentiment since each symbol's bar before ``run_date``, and that day's opening price.
+
+    These are the days that training pairs with the bar of ``run_date`` when it takes the next bar.
+    """
+    recent = bars.where(F.col("bar_date").between(F.lit(run_date - dt.timedelta(days=max_gap)), F.lit(run_date)))
+    led = next_bars(recent, max_gap).where(F.col("bar_date") == F.lit(run_date))
+    known = daily.join(symbols.select("symbol"), "symbol", "left_semi").join(led, ["symbol", "pub_date"])
+    newest = known.groupBy("symbol", "bar_date").agg(F.max_by(F.struct(*INDICATORS), "pub_date").alias("day"))
+    opens = bars.where(F.col("bar_date") == F.lit(run_date)).select("symbol", "open")
+    return (
+        newest.select("symbol", F.col("bar_date").alias("target_date"), "day.*")
+        .join(opens, "symbol")
+        .withColumn("sentiment", sentiment_flag(F.col("sentiment")))
+        .select("symbol", "target_date", *INDICATORS, "open")
+    )

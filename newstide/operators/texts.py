@@ -21,19 +21,22 @@ def with_tokens(docs: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS)
 def with_stems(
     docs: DataFrame,
     stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
+    abbreviations: Sequence[str] = (),
 ) -> DataFrame:
     """Replace ``text`` by ``tokens``: content words, stemmed."""
-    stems = stem_words(content_words(F.col("text"), stop_words))
+    stems = stem_words(content_words(F.col("text"), stop_words, abbreviations))
     return docs.withColumn("tokens", stems).drop("text")
 
 
-def with_corrected_stems(docs: DataFrame, words: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
+def with_corrected_stems(
+    docs: DataFrame, words: DataFrame, folder: str, key: str = "doc_id", abbreviations: Sequence[str] = ()
+) -> DataFrame:
     """Replace ``text`` by ``tokens``: content words, stemmed, then corrected.
 
     Stems and corrections are read several times, so both are written below ``folder``
     and the texts are worked through once.
     """
-    spark, stemmed = docs.sparkSession, with_stems(docs)
+    spark, stemmed = docs.sparkSession, with_stems(docs, abbreviations=abbreviations)
     stemmed.write.mode("overwrite").parquet(f"{folder}/stems")
     stemmed = spark.read.schema(stemmed.schema).parquet(f"{folder}/stems")
     return corrected_stems(stemmed, words, folder, key)

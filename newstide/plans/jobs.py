@@ -8,8 +8,10 @@ or is simply repeated ends with the same tables.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,6 +93,7 @@ def classify_open_news(
     run_date: dt.date,
     model: naive_bayes.NaiveBayesModel,
     words: DataFrame | None = None,
+    abbreviations: Sequence[str] = (),
 ) -> bool:
     """Classify unprocessed articles of closed days; whether there were any."""
     batch_id = run_date.isoformat()
@@ -104,9 +107,9 @@ def classify_open_news(
     )
     docs = todo.select("guid", "symbol", "pub_date", "text")
     if words is None:
-        tokens = texts.with_stems(docs)
+        tokens = texts.with_stems(docs, abbreviations=abbreviations)
     else:
-        tokens = texts.with_corrected_stems(docs, words, store.path(f"work/{batch_id}"), "guid")
+        tokens = texts.with_corrected_stems(docs, words, store.path(f"work/{batch_id}"), "guid", abbreviations)
     terms = texts.with_terms(tokens)
     scored = naive_bayes.score(terms, model, "guid", "symbol", "pub_date")
     tables.replace_batch(scored, store.path("classified_news"), batch_id, "pub_date")
@@ -128,12 +131,17 @@ def daily_sentiment(spark: SparkSession, store: Store) -> DataFrame:
     return daily.with_indicators(daily.merged_counts(store.read(spark, "daily_counts")))
 
 
-def match_prices(spark: SparkSession, store: Store, run_date: dt.date) -> str | None:
-    """Write the dataset of newly matched days as CSV; its folder, or nothing to match."""
+def match_prices(spark: SparkSession, store: Store, run_date: dt.date, max_gap: int = 1) -> str | None:
+    """Write the dataset of newly matched days as CSV; its folder, or nothing to match.
+
+    A day is matched with the bar of the day after or, for a larger ``max_gap``, with the next
+    bar so many days later at most. A day without such a bar stays open until one arrives.
+    """
     batch_id = run_date.isoformat()
     done = store.read_other_batches(spark, "matched_days", batch_id)
     todo = matching.unmatched(daily_sentiment(spark, store), done)
-    matched = matching.match_next_day(todo, store.read(spark, "prices"))
+    bars = store.read(spark, "prices")
+    matched = matching.match_next_day(todo, bars) if max_gap == 1 else matching.match_next_bar(todo, bars, max_gap)
     if matched.isEmpty():
         return None
     folder = store.path(f"datasets/run_date={batch_id}")
@@ -196,10 +204,13 @@ def predict(
     run_date: dt.date,
     model_path: str,
     forecaster: Forecaster = least_squares,
+    max_gap: int = 1,
 ) -> DataFrame:
-    rows = features.serving_rows(
-        symbols, daily_sentiment(spark, store), store.read(spark, "prices"), run_date
-    )
+    sentiment, bars = daily_sentiment(spark, store), store.read(spark, "prices")
+    if max_gap == 1:
+        rows = features.serving_rows(symbols, sentiment, bars, run_date)
+    else:
+        rows = features.serving_rows_of_next_bar(symbols, sentiment, bars, run_date, max_gap)
     return forecaster.score(rows, model_path)
 
 
@@ -211,17 +222,19 @@ def run_day(
     sentiment_model: naive_bayes.NaiveBayesModel,
     words: DataFrame | None = None,
     forecaster: Forecaster = least_squares,
+    max_gap: int = 1,
+    abbreviations: Sequence[str] = (),
 ) -> bool:
     """Classify, match, train, predict and publish; later steps only if articles arrived."""
-    if not classify_open_news(spark, store, run_date, sentiment_model, words):
+    if not classify_open_news(spark, store, run_date, sentiment_model, words, abbreviations):
         return False
-    folder = match_prices(spark, store, run_date)
+    folder = match_prices(spark, store, run_date, max_gap)
     if folder is not None:
         take_in_datasets(spark, store)
         train_on(spark, store, run_date, forecaster)
     model_path = last_model(spark, store, run_date)
     if model_path is not None:
-        predictions = predict(spark, store, symbols, run_date, model_path, forecaster)
+        predictions = predict(spark, store, symbols, run_date, model_path, forecaster, max_gap)
         day = store.path(f"predictions/run_date={run_date.isoformat()}")
         predictions.write.mode("overwrite").parquet(day)
         written = spark.read.schema(schemas.PREDICTIONS).parquet(day)
@@ -251,16 +264,37 @@ def run_trades(
 def compact_trades(spark: SparkSession, store: Store, before: dt.date) -> None:
     """Gather the batches of days before ``before`` into one table of days, each key once.
 
-    Late trades of such a day are taken in when it is compacted again.
+    The days are entered with the last batch they hold, after their data. Later trades of such
+    a day are read from their batches until it is compacted again.
     """
-    compact(store.read(spark, "trades").where(F.col("trade_date") < F.lit(before)), store.path("trade_days"))
+    raw = store.read(spark, "trades").withColumn("batch", F.col("batch_id").cast("bigint"))
+    through = raw.agg(F.max("batch")).first()[0]
+    if through is None:
+        return
+    finished = raw.where((F.col("trade_date") < F.lit(before)) & (F.col("batch") <= through)).drop("batch")
+    compact(finished, store.path("trade_days"))
+    days = finished.select("trade_date").distinct().select(F.lit(through).alias("through"), "trade_date")
+    tables.replace_batch(days, store.path("compacted_days"), "newest", "trade_date")
 
 
 def trades(spark: SparkSession, store: Store) -> DataFrame:
-    """All trades, last write per key: finished days as compacted, later ones from their batches."""
+    """All trades, last write per key: finished days as compacted, and what their batches have since.
+
+    Batches that a compacted day holds are not read again. Only days with later batches are
+    reduced anew, together with their compacted trades.
+    """
+    raw = store.read(spark, "trades").withColumn("batch", F.col("batch_id").cast("bigint"))
     days = store.read(spark, "trade_days")
-    # one number per compacted day reaches the driver, read from the partitions alone
-    last = days.agg(F.max("trade_date")).first()[0]
-    raw = store.read(spark, "trades")
-    rest = last_writes(raw if last is None else raw.where(F.col("trade_date") > F.lit(last)))
-    return days.select(rest.columns).unionByName(rest)
+    # a number per compacted day reaches the driver, from the partitions and a column of counts
+    held: dict[int, list[dt.date]] = {}
+    for day, through in store.read(spark, "compacted_days").select("trade_date", "through").collect():
+        held.setdefault(through, []).append(day)
+    known = [F.col("trade_date").isin(own) & (F.col("batch") <= through) for through, own in held.items()]
+    newer = raw.where(~reduce(or_, known)) if known else raw
+    finished = [day for own in held.values() for day in own]
+    reopened = days_of(on_days(newer, "trade_date", finished), "trade_date")
+    again = days.where(F.col("trade_date").isin(reopened) if reopened else F.lit(False))
+    settled = days.where(F.col("trade_date").isin([d for d in finished if d not in set(reopened)]) if finished else F.lit(False))
+    columns = ["symbol", "ts", "price", "volume", "seq"]
+    rest = last_writes(newer.select(columns).unionByName(again.select(columns)))
+    return settled.select(rest.columns).unionByName(rest)

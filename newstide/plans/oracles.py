@@ -381,6 +381,61 @@ outputs as (select symbol, pub_date, {sums} from states group by symbol, pub_dat
 
 GATED = gated()
 
+WEEK_BARS = f"{BARS}, week_bars as (select * from bars where isodow(bar_date) < 6)"
+
+# the first bar after a day, found among all of the symbol's bars
+NEXT_BAR = f"""{DAILY}, {WEEK_BARS},
+led as (
+  select d.symbol, d.pub_date, min(x.bar_date) as bar_date
+  from daily d join week_bars x on d.symbol = x.symbol and x.bar_date > d.pub_date
+  group by 1, 2 having min(x.bar_date) - d.pub_date <= 4),
+next_bar as (select d.*, bar_date, open, high, low, close, volume
+  from daily d join led using (symbol, pub_date) join week_bars using (symbol, bar_date))"""
+
+ABBREVIATIONS = r"""
+type_rows as (
+  select unnest(regexp_extract_all(text, '\p{L}+(?:\.\p{L}+)*\.?')) as word from documents),
+types as (
+  select lower(case when ends_with(word, '.') then left(word, len(word) - 1) else word end) as type,
+         count(*) as n, count(*) filter (ends_with(word, '.')) as k
+  from type_rows group by 1),
+shares as (select sum(k) / sum(n) as p from types),
+type_scores as (
+  select type, n, k as n_period,
+         -2 * (k * ln(p) + (n - k) * ln(1 - p) - k * ln(0.99) - (n - k) * ln(0.01))
+           * exp(-len(replace(type, '.', ''))) * (len(type) - len(replace(type, '.', '')) + 1)
+           * pow(len(replace(type, '.', '')), -(n - k)) as score
+  from types, shares where k > 0),
+abbreviations as (select * from type_scores where score >= 0.3)"""
+
+# Words are parted from the white space before them, one by one, and put together again: a
+# sentence ends with a word that has an end mark and is no abbreviation, or at an empty line.
+SENTENCES = rf"""{ABBREVIATIONS},
+best as (select type from abbreviations order by score desc, type limit 500),
+chunks as (
+  select doc_id, unnest(regexp_extract_all(text, '[ \t\n\x{{0b}}\f\r]*[^ \t\n\x{{0b}}\f\r]+')) as chunk,
+         generate_subscripts(regexp_extract_all(text, '[ \t\n\x{{0b}}\f\r]*[^ \t\n\x{{0b}}\f\r]+'), 1) as place
+  from documents),
+parted as (
+  select doc_id, place, regexp_extract(chunk, '^[ \t\n\x{{0b}}\f\r]*') as gap,
+         regexp_extract(chunk, '[^ \t\n\x{{0b}}\f\r]+$') as word
+  from chunks),
+judged as (
+  select *, regexp_matches(word, '[.!?]["''”’)\]]{{0,2}}$')
+            and not coalesce(lower(regexp_extract(word, '(?:^|[^\p{{L}}\p{{N}}.])(\p{{L}}+(?:\.\p{{L}}+)*)\.$', 1)) in (select type from best), false) as ends
+  from parted),
+opened as (
+  select *, coalesce(lag(ends) over (partition by doc_id order by place), false)
+            or len(regexp_replace(gap, '[^\n]', '', 'g')) > 1 as opens
+  from judged),
+numbered as (
+  select *, sum(opens::int) over (partition by doc_id order by place) as number from opened),
+sentence_rows as (
+  select doc_id, number, string_agg(case when place = first_place then word else gap || word end, '' order by place) as sentence
+  from (select *, min(place) over (partition by doc_id, number) as first_place from numbered) group by 1, 2),
+sentence_texts as (
+  select doc_id, count(*) as n, string_agg(sentence, chr(10) order by number) as joined from sentence_rows group by 1)"""
+
 ORACLES: dict[str, str] = {
     "daily_sentiment": f"with {DAILY} {DAILY_ROWS}",
     "incremental_merge": f"with {DAILY} {DAILY_ROWS}",
@@ -499,7 +554,30 @@ ORACLES: dict[str, str] = {
           from stem_rows left join corrections using (token))
         {TEXT_DIGEST.format(rows='final_rows')}""",
     "nb_model": f"with {BAYES} select token, round(pos_log, 6) as pos_log, round(neg_log, 6) as neg_log from logs",
-    "bag_of_words": f"with {BAYES} select doc_id, token, n from terms where token in (select token from token_counts)",
+    "bag_of_words": f"""with {STEM_ROWS},
+        labelled as materialized (
+          select distinct token from stem_rows where doc_id in (select l.doc_id from labels l)),
+        numbered as (
+          select token, cast('0x' || left(md5(token), 8) as bigint) as number from labelled)
+        select doc_id, count(distinct token) as terms, count(*) as occurrences, cast(sum(number) as bigint) as checksum
+        from stem_rows join numbered using (token) group by doc_id""",
+    "abbreviations": f"with {ABBREVIATIONS} select type, n, n_period, round(score, 6) as score from abbreviations",
+    "sentences": f"""with {SENTENCES} select d.doc_id, cast(coalesce(n, 0) as int) as n_sentences,
+          md5(coalesce(joined, '')) as digest
+        from documents d left join sentence_texts s on d.doc_id = s.doc_id""",
+    "next_bar_match": f"""with {NEXT_BAR}
+        select symbol, pub_date, bar_date, sentiment, {ROUNDED}, {OHLC}, volume from next_bar""",
+    "next_bar_serving": f"""with {NEXT_BAR} select symbol, bar_date as target_date,
+          case when sentiment = 'positive' then 1 else 0 end as sentiment, {ROUNDED}, open
+        from next_bar where bar_date = date '2024-01-15'
+        qualify row_number() over (partition by symbol order by pub_date desc) = 1""",
+    "stream_bars": f"""with {TICKS} select symbol, epoch_ms(date_trunc('hour', ts)) as t, arg_min(price, seq) as open,
+          max(price) as high, min(price) as low, arg_max(price, seq) as close, round(sum(volume), 6) as volume,
+          count(*) as trades
+        from ticks group by 1, 2""",
+    "settled_trades": f"""with {TICKS} select symbol, {MILLIS} as t, arg_max(price, seq) as price,
+          arg_max(volume, seq) as volume from ticks group by 1, 2
+        having {MILLIS} <= (select max({MILLIS}) from ticks) - 86400000""",
     "nb_predict": f"""with {BAYES} select doc_id, round(margin, 4) as margin,
           case when margin > 0 then 'positive' else 'negative' end as sentiment from scored""",
     "predicted_daily_sentiment": f"""with {BAYES}, counts as (

@@ -24,6 +24,7 @@ from newstide.operators import (
     nesting,
     news,
     prices,
+    sentences as sentence_steps,
     spelling,
     texts,
 )
@@ -33,6 +34,7 @@ from newstide.sinks import points, tables
 from newstide.sources import fixtures, landing
 from newstide.sources.streams import table_rows
 from newstide.sources.tables import distinct_keys, known, on_day, read_matched_csv, read_table, spread, unknown
+from newstide.streaming import bars as bar_stream
 from newstide.streaming import ticks as tick_stream
 from newstide.streaming.news import write_daily_counts
 
@@ -44,6 +46,11 @@ QUERIES: dict[str, Query] = {}
 KNOWN_WORD_DOCUMENTS = 125
 # The day the daily jobs are run for.
 RUN_DATE = dt.date(2024, 1, 16)
+MONDAY = dt.date(2024, 1, 15)
+# How far ahead of a bar its news may be.
+NEXT_BAR_DAYS = 4
+# Event-time windows of trades, and how late a trade may come.
+BAR_WINDOW, TRADE_DELAY = "1 hour", "1 day"
 
 
 def query(function: Query) -> Query:
@@ -175,6 +182,28 @@ def matched_dataset(spark, sf_dir):
     return rounded(_matched(spark, sf_dir), *BULLISH)
 
 
+def _week_bars(spark, sf_dir):
+    """Bars as an exchange has them: none on Saturdays and Sundays."""
+    return _bars(spark, sf_dir).where(~F.dayofweek("bar_date").isin(1, 7))
+
+
+@query
+def next_bar_match(spark, sf_dir):
+    """A day's sentiment with the symbol's next bar: Friday's and the weekend's with Monday's."""
+    sentiment = daily.daily_sentiment(fixtures.classified_articles(spark, sf_dir))
+    matched = matching.match_next_bar(sentiment, _week_bars(spark, sf_dir), NEXT_BAR_DAYS)
+    return rounded(matched.select("symbol", "pub_date", "bar_date", *matching.INDICATORS, *schemas.BAR), *BULLISH)
+
+
+@query
+def next_bar_serving(spark, sf_dir):
+    """The newest sentiment since the bar before, and the open, of a Monday."""
+    sentiment = daily.daily_sentiment(fixtures.classified_articles(spark, sf_dir))
+    bars = _week_bars(spark, sf_dir)
+    symbols = distinct_keys(bars, "symbol")
+    return rounded(features.serving_rows_of_next_bar(symbols, sentiment, bars, MONDAY, NEXT_BAR_DAYS), *BULLISH)
+
+
 @query
 def matched_csv(spark, sf_dir):
     """The matched dataset written to CSV and read again."""
@@ -457,6 +486,26 @@ def _documents(spark, sf_dir):
     return spread(fixtures.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def abbreviations(spark, sf_dir):
+    """Types that are followed by a period as only abbreviations are, learned from all documents."""
+    return rounded(sentence_steps.abbreviations(fixtures.table(spark, sf_dir, "documents")), "score")
+
+
+@query
+def sentences(spark, sf_dir):
+    """Sentences of every document, without breaks at the learned abbreviations."""
+    folder = work_folder(spark, "abbreviations")
+    sentence_steps.save_abbreviations(sentence_steps.abbreviations(fixtures.table(spark, sf_dir, "documents")), folder)
+    known = sentence_steps.load_abbreviations(spark, folder)
+    own = sentence_steps.sentences(F.col("text"), known)
+    return (
+        _documents(spark, sf_dir)
+        .select("doc_id", own.alias("own"))
+        .select("doc_id", F.size("own").alias("n_sentences"), F.md5(F.array_join("own", "\n")).alias("digest"))
+    )
+
+
 @query
 def tokens(spark, sf_dir):
     """Content words of every document with their counts."""
@@ -526,10 +575,18 @@ def nb_model(spark, sf_dir):
 
 @query
 def bag_of_words(spark, sf_dir):
-    """Term counts of all documents within the model's vocabulary."""
+    """Term counts of all documents within the model's vocabulary, added up per document.
+
+    The checksum is a sum over the terms of a number made from the token, times its count.
+    """
     model = _sentiment_model(spark, sf_dir)
     docs = texts.with_terms(texts.with_stems(_documents(spark, sf_dir)))
-    return texts.bag_of_words(docs, model.tokens).select("doc_id", "token", "n")
+    number = F.conv(F.substring(F.md5("token"), 1, 8), 16, 10).cast("bigint")
+    return (
+        texts.bag_of_words(docs, model.tokens)
+        .groupBy("doc_id")
+        .agg(F.count("*").alias("terms"), F.sum("n").alias("occurrences"), F.sum(number * F.col("n")).alias("checksum"))
+    )
 
 
 @query
@@ -645,6 +702,32 @@ def stream_trades(spark, sf_dir):
     return tick_stream.last_writes(written).select("symbol", F.unix_millis("ts").alias("t"), "price", "volume")
 
 
+@query
+def settled_trades(spark, sf_dir):
+    """Streamed trades that are final, each key written once as it leaves the state."""
+    folder = work_folder(spark, "settled")
+    schema = fixtures.table(spark, sf_dir, "events").schema
+    ticks = fixtures.tick_rows(table_rows(spark, sf_dir, schema, "events.parquet"))
+    messages = ticks.select(F.col("seq").alias("offset"), F.to_json(F.array(_trade())).alias("value"))
+    tick_stream.settle_trades(messages, f"{folder}/trades", f"{folder}/checkpoint", TRADE_DELAY).awaitTermination()
+    written = read_table(spark, f"{folder}/trades", schemas.TRADES)
+    return written.select("symbol", F.unix_millis("ts").alias("t"), "price", "volume")
+
+
+@query
+def stream_bars(spark, sf_dir):
+    """Bars of event-time windows from ticks arriving as a stream."""
+    folder = work_folder(spark, "window-bars")
+    schema = fixtures.table(spark, sf_dir, "events").schema
+    ticks = fixtures.tick_rows(table_rows(spark, sf_dir, schema, "events.parquet"))
+    bar_stream.write_window_bars(
+        ticks, f"{folder}/bars", f"{folder}/checkpoint", BAR_WINDOW, TRADE_DELAY
+    ).awaitTermination()
+    written = read_table(spark, f"{folder}/bars", schemas.WINDOW_BARS)
+    bars = bar_stream.current_bars(written).withColumn("t", F.unix_millis("start")).drop("start")
+    return rounded(bars, "volume")
+
+
 @query
 def compacted_trades(spark, sf_dir):
     """Streamed trades gathered into one table of days."""

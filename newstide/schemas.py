@@ -34,6 +34,12 @@ TRADES = (
     "trade_date date, batch_id string"
 )
 TRADE_DAYS = f"symbol string, ts timestamp, price double, volume double, seq {POSITION}, trade_date date"
+# batches of trades that a day's compacted trades hold
+COMPACTED_DAYS = "through bigint, trade_date date, batch_id string"
+WINDOW_BARS = (
+    "symbol string, start timestamp, open double, high double, low double, close double, volume double, "
+    "trades bigint, bar_date date, batch_id string"
+)
 LANDED_MESSAGES = "timestamp timestamp, partition int, offset bigint, value string"
 PREDICTIONS = (
     "symbol string, target_date date, high double, low double, close double, volume double"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -142,6 +144,49 @@ def write_trades(
     return writer.trigger(availableNow=True).start() if available_now else writer.start()
 
 
+def settle_trades(
+    messages: DataFrame, table: str, checkpoint: str, delay: str, enveloped: bool = False, available_now: bool = True
+) -> StreamingQuery:
+    """Write each trade's last write once, when no other can come any more.
+
+    The state has the last write so far of every symbol and millisecond that is not ``delay``
+    older than the newest trade; an older one leaves the state and is written, so the table needs
+    no reduction when it is read and the state holds ``delay``'s worth of keys. A later write for
+    a key that has been written is dropped. A replayed batch starts from the state before it
+    and replaces its own rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        replace_batch(batch.withColumn("trade_date", F.to_date("ts")), table, f"{batch_id:09d}", "trade_date")
+
+    entries = trade_entries(republished(messages) if enveloped else messages)
+    writer = (
+        last_writes(trade_rows(entries).withWatermark("ts", delay))
+        .writeStream.outputMode("append")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+    )
+    return writer.trigger(availableNow=True).start() if available_now else writer.start()
+
+
+def stop_when_idle(query: StreamingQuery, silence: float, poll: float = 0.2) -> bool:
+    """Wait until a continuous query has read nothing for ``silence`` seconds and stop it.
+
+    False if the query ended by itself. Batches without rows count as silence; a batch that is
+    running does not. The checkpoint says where a query started again goes on.
+    """
+    batch, since = None, time.monotonic()
+    while not query.awaitTermination(poll):
+        progress = query.lastProgress
+        last = progress["batchId"] if progress and progress["numInputRows"] else batch
+        if last != batch or query.status["isTriggerActive"] and query.status["isDataAvailable"]:
+            batch, since = last, time.monotonic()
+        elif time.monotonic() - since >= silence:
+            query.stop()
+            return True
+    return False
+
+
 def compact(trades: DataFrame, path: str) -> None:
     """Write the trades of finished days, each key once, by day; a rerun replaces those days."""
     finished = last_writes(trades).withColumn("trade_date", F.to_date("ts"))
