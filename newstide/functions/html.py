@@ -83,7 +83,11 @@ def _character(number: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Decode character references as HTML does: by number, by name, by a name it begins with."""
-    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    # a map is searched from its start: names are kept apart by their first two letters
+    heads: dict[str, dict[str, str]] = {}
+    for name, characters in html5.items():
+        heads.setdefault(name[:2], {})[name] = characters
+    names = F.from_json(F.lit(json.dumps(heads)), "map<string,map<string,string>>")
     bare = "^(" + "|".join(_BARE) + ")"
 
     def number(reference: Column) -> Column:
@@ -93,12 +97,15 @@ def unescape(text: Column) -> Column:
         value = F.when(reference.rlike("^#[xX]"), F.conv(hexadecimal, 16, 10)).otherwise(F.conv(decimal, 10, 10))
         return F.when(digits == "", F.lit(0)).when(F.length(digits) <= 8, value.cast("bigint"))
 
+    def known(name: Column) -> Column:
+        return F.try_element_at(F.try_element_at(names, F.substring(name, 1, 2)), name)
+
     def named(reference: Column) -> Column:
         begins = F.regexp_extract(reference, bare, 1)
         rest = F.substring(reference, F.length(begins) + F.lit(1), F.length(reference))
         return F.coalesce(
-            F.try_element_at(names, reference),
-            F.when(begins != "", F.concat(F.try_element_at(names, begins), rest)),
+            known(reference),
+            F.when(begins != "", F.concat(known(begins), rest)),
             F.concat(F.lit("&"), reference),
         )
 
@@ -177,5 +184,6 @@ def article_text(html: Column, tag: str = "div", css_class: str | None = "caas-b
     """
     inner = bound(drop_hidden(html), lambda page: container(page, tag, css_class))
     texts = bound(marked_paragraphs(inner), paragraphs)
-    lines = F.transform(texts, lambda p: F.concat(unescape(p), F.lit("\n")))
-    return F.when(html.isNotNull(), F.coalesce(F.array_join(lines, ""), F.lit("")))
+    # a reference does not reach over a line break, so all paragraphs are decoded at once
+    lines = F.array_join(F.transform(texts, lambda p: F.concat(p, F.lit("\n"))), "")
+    return F.when(html.isNotNull(), F.coalesce(bound(lines, unescape), F.lit("")))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newstide import schemas
-from newstide.operators import daily, features, least_squares, matching, naive_bayes, news, prices, texts
+from newstide.operators import daily, features, increments, least_squares, matching, naive_bayes, news, prices, texts
 from newstide.session import remove_folder
 from newstide.sinks import points, tables
 from newstide.sources import landing
@@ -70,7 +70,7 @@ def ingest_news(
     fresh = news.one_address(news.not_stored(landing.candidates(entries), stored), pages)
     articles = landing.with_article_text(fresh, pages, tag, css_class)
     rows = articles.select("guid", "symbol", "title", "text", "pub_date")
-    added = tables.append(rows, store.path("news"), "pub_date")
+    added = tables.append(rows, store.path("news"), "pub_date", cluster=["symbol"], identities=["guid"])
     bad = landing.rejects(entries).select("symbol", "title", "url", "problem")
     bad.write.mode("overwrite").parquet(store.path(f"news_rejects/batch_id={batch_id}"))
     return added
@@ -87,6 +87,17 @@ def ingest_prices(spark: SparkSession, store: Store, messages: DataFrame, batch_
     return added
 
 
+def stored_articles(
+    spark: SparkSession, store: Store, guids: Sequence[str], days: Sequence[dt.date] = ()
+) -> DataFrame:
+    """The stored articles of a few identities, on given days or all.
+
+    Row groups whose Bloom filter has none of them are passed by unread.
+    """
+    stored = store.read(spark, "news")
+    return tables.with_identity(on_days(stored, "pub_date", list(days)) if days else stored, "guid", guids)
+
+
 def classify_open_news(
     spark: SparkSession,
     store: Store,
@@ -197,6 +208,26 @@ def train_on(
     tables.replace_batch(entry, store.path("trained_models"), run_date.isoformat(), "run_date")
 
 
+def train_from_sums(spark: SparkSession, store: Store, run_date: dt.date) -> list[dt.date]:
+    """Fit from per-day sums, replacing those of the days this run has matched; which days they are.
+
+    The rows of other days are not read: a run's files hold its own days, and the condition on the
+    day passes by the files of other runs. The model is stored and entered as by ``train_on``.
+    """
+    taken = store.read(spark, "training_rows").where(F.col("run_date") <= F.lit(run_date))
+    own = taken.where(F.col("run_date") == F.lit(run_date)).select(F.to_date("_pubDate").alias("pub_date"))
+    days = days_of(own, "pub_date")
+    changed = taken.where(F.col("_pubDate").isin([d.isoformat() for d in days]) if days else F.lit(False))
+    rows = matching.last_matched(changed).withColumn("pub_date", F.to_date("_pubDate"))
+    increments.update(features.features_and_targets(rows), store.path("day_sums"), run_date.isoformat())
+    path = store.path(f"models/price/run_date={run_date.isoformat()}")
+    sums = store.read(spark, "day_sums").where(F.col("batch_id") <= F.lit(run_date.isoformat()))
+    increments.train(sums, path)
+    entry = spark.createDataFrame([(path, run_date)], "path string, run_date date")
+    tables.replace_batch(entry, store.path("trained_models"), run_date.isoformat(), "run_date")
+    return days
+
+
 def predict(
     spark: SparkSession,
     store: Store,
@@ -224,14 +255,21 @@ def run_day(
     forecaster: Forecaster = least_squares,
     max_gap: int = 1,
     abbreviations: Sequence[str] = (),
+    from_sums: bool = False,
 ) -> bool:
-    """Classify, match, train, predict and publish; later steps only if articles arrived."""
+    """Classify, match, train, predict and publish; later steps only if articles arrived.
+
+    ``from_sums`` fits the default model from sums per day instead of all rows.
+    """
     if not classify_open_news(spark, store, run_date, sentiment_model, words, abbreviations):
         return False
     folder = match_prices(spark, store, run_date, max_gap)
     if folder is not None:
         take_in_datasets(spark, store)
-        train_on(spark, store, run_date, forecaster)
+        if from_sums:
+            train_from_sums(spark, store, run_date)
+        else:
+            train_on(spark, store, run_date, forecaster)
     model_path = last_model(spark, store, run_date)
     if model_path is not None:
         predictions = predict(spark, store, symbols, run_date, model_path, forecaster, max_gap)

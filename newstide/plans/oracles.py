@@ -510,6 +510,14 @@ ORACLES: dict[str, str] = {
     )
     + " from matched",
     "forecast_linear": least_squares(),
+    "forecast_incremental": least_squares(),
+    "day_sums": f"""with {ENCODED} select pub_date, count(*) as n, min(open) as low, max(open) as high,
+          round(sum(open * close), 4) as open_close from encoded group by pub_date""",
+    "stored_articles": f"""with {ARTICLES}, {ONCE},
+        ends as (
+          select unnest([arg_min(guid, doc_id), replace(arg_max(guid, doc_id), '0', 'f')]) as guid
+          from once where symbol in ('src1', 'src7', 'src19') group by symbol)
+        select guid, symbol, doc_id, pub_date from once where guid in (select guid from ends)""",
     "prediction_points": f"""select concat('stock_predictions,symbol=', symbol, ',date=',
           strftime(pub_date + 1, '%Y-%m-%d'), ' high=', high, ',low=', low, ',close=', close,
           ',volume=', volume) as value from ({least_squares()})""",

@@ -18,6 +18,7 @@ from newstide.operators import (
     features,
     forecast,
     gated_cell,
+    increments,
     least_squares,
     matching,
     naive_bayes,
@@ -285,6 +286,30 @@ def forecast_linear(spark, sf_dir):
     return rounded(least_squares.score(rows, folder), *TARGETS, digits=4)
 
 
+@query
+def forecast_incremental(spark, sf_dir):
+    """The default model from sums per day, of two runs: the second replaces a day that was incomplete."""
+    folder, rows = _stored_rows(spark, sf_dir, "incremental")
+    early = (F.col("pub_date") < F.lit(RUN_DATE)) | ((F.col("pub_date") == F.lit(RUN_DATE)) & (F.col("symbol") < "src5"))
+    increments.update(rows.where(early), f"{folder}/sums", "1")
+    increments.update(rows.where(F.col("pub_date") >= F.lit(RUN_DATE)), f"{folder}/sums", "2")
+    increments.train(read_table(spark, f"{folder}/sums", schemas.DAY_SUMS), folder)
+    return rounded(least_squares.score(rows, folder), *TARGETS, digits=4)
+
+
+@query
+def day_sums(spark, sf_dir):
+    """What a fit needs of each day: rows, range of the opening price, its sum of products with the close."""
+    _, rows = _stored_rows(spark, sf_dir, "sums")
+    column = {name: i for i, name in enumerate(FEATURES)}["open"]
+    place = len(increments.PAIRS) + (column + 1) * len(TARGETS) + TARGETS.index("close")
+    out = increments.day_sums(rows).select(
+        "pub_date", "n", F.col("lows")[column].alias("low"), F.col("highs")[column].alias("high"),
+        F.col("sums")[place].alias("open_close"),
+    )
+    return rounded(out, "open_close", digits=4)
+
+
 @query
 def forecast_gbt(spark, sf_dir):
     """Boosted trees of Spark ML, fitted, stored, loaded and applied: what must hold of any such fit.
@@ -348,6 +373,20 @@ def unseen_articles(spark, sf_dir):
     return fresh.select("guid", "symbol", "pub_date", F.length("title").alias("title_length"))
 
 
+@query
+def stored_articles(spark, sf_dir):
+    """Six identities looked up in a store: those of the first and last document of three sources, changed or not."""
+    folder = work_folder(spark, "articles")
+    every = news.first_copies(fixtures.articles(spark, sf_dir), "doc_id", "guid").select("guid", "symbol", "doc_id", "pub_date")
+    tables.append(every, folder, "pub_date", cluster=["symbol"], identities=["guid"])
+    stored = read_table(spark, folder, "guid string, symbol string, doc_id bigint, pub_date date")
+    ends = stored.where(F.col("symbol").isin("src1", "src7", "src19")).groupBy("symbol").agg(
+        F.min_by("guid", "doc_id").alias("first"), F.max_by("guid", "doc_id").alias("last")
+    )
+    asked = [g for row in ends.collect() for g in (row["first"], row["last"].replace("0", "f"))]
+    return tables.with_identity(stored, "guid", asked)
+
+
 @query
 def open_news(spark, sf_dir):
     """Articles of closed days that are not in the ledger of processed ones."""

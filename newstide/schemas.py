@@ -25,6 +25,7 @@ CLASSIFIED_NEWS = (
 )
 PROCESSED_NEWS = "guid string, pub_date date, batch_id string"
 TRAINED_MODELS = "path string, run_date date, batch_id string"
+DAY_SUMS = "n bigint, lows array<double>, highs array<double>, sums array<double>, pub_date date, batch_id string"
 MATCHED_DAYS = "symbol string, articles bigint, pub_date date, batch_id string"
 # a trade's position in the stream: when its message was sent, its part of the topic, its
 # number there, and the trade's place in the message
