@@ -451,6 +451,14 @@ ORACLES: dict[str, str] = {
           (select 1 from bars x where x.symbol = b.symbol and x.bar_date = b.bar_date - 1)""",
     "new_price_rows": f"with {BARS} select symbol, bar_date, {OHLC}, volume from bars b where not ({STORED})",
     "stored_bars": f"with {BARS} select count(*) as first, cast(0 as bigint) as again, count(*) as stored from bars",
+    "feed_drift": f"""with {BARS},
+        messages as (
+          select distinct symbol, cast(substr(symbol, 4) as int) as number, date_trunc('month', bar_date) as month from bars),
+        problems as (
+          select '$.prices' as path, 'text instead of list' as problem from messages where number % 7 = 0
+          union all select '$.prices[*].split', 'unknown field' from messages where number % 7 <> 0 and number % 3 = 0
+          union all select '$.prices[*].volume', 'text instead of number' from messages where number % 7 <> 0 and number % 4 = 0)
+        select path, problem, count(*) as messages from problems group by 1, 2""",
     "price_feed_rejects": f"""with {BARS} select symbol, bar_date,
           case when day(bar_date) % 7 = 0 then 'no open' else 'no volume' end as problem
         from bars where day(bar_date) % 7 = 0 or day(bar_date) % 5 = 0""",
@@ -598,6 +606,8 @@ ORACLES: dict[str, str] = {
         from ticks where event_type <> 'error'""",
     "last_writes": f"""with {TICKS} select symbol, epoch_ms(date_trunc('hour', ts)) as t, arg_max(price, seq) as price,
           arg_max(volume, seq) as volume, max(seq) as seq from ticks group by 1, 2""",
+    "committed_points": f"""with {TICKS} select concat('stock_prices,symbol=', symbol, ' price=', price, ',volume=', volume,
+          ' ', {MILLIS}) as value from ticks""",
     "trade_points": f"""with {TICKS} select concat('stock_prices,symbol=', symbol, ' price=', price, ',volume=', volume,
           ' ', {MILLIS}) as value from ticks""",
 }

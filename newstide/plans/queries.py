@@ -31,8 +31,8 @@ from newstide.operators import (
 )
 from newstide.schemas import FEATURES, TARGETS, TRADE_LIST_DDL
 from newstide.session import work_folder
-from newstide.sinks import points, tables
-from newstide.sources import fixtures, landing
+from newstide.sinks import committed, points, tables
+from newstide.sources import drift, fixtures, landing
 from newstide.sources.streams import table_rows
 from newstide.sources.tables import distinct_keys, known, on_day, read_matched_csv, read_table, spread, unknown
 from newstide.streaming import bars as bar_stream
@@ -158,6 +158,33 @@ def price_feed_rows(spark, sf_dir):
     return landing.price_rows(entries)
 
 
+@query
+def feed_drift(spark, sf_dir):
+    """Price messages that are stored whole and compared with the feed's schema.
+
+    Every third symbol sends a field more, every fourth its volumes as text, every seventh no list.
+    """
+    symbol = F.substring("symbol", 4, 9).cast("int")
+    seconds = F.unix_date("bar_date").cast("bigint") * 86400
+    figures = [seconds.alias("date"), "open", "high", "low", "close"]
+    volume = F.col("volume").cast("bigint").alias("volume")
+    # fields of one message are of one kind: to_json leaves out the null ones
+    record = F.to_json(F.struct(*figures, F.when(symbol % 4 != 0, volume).alias("volume"),
+                                F.when(symbol % 3 == 0, F.lit(2)).alias("split")))
+    as_text = F.regexp_replace(record, "}$", F.concat(F.lit(',"volume":"'), volume.cast("string"), F.lit('"}')))
+    one = F.when(symbol % 4 == 0, as_text).otherwise(record).alias("record")
+    listed = (
+        _bars(spark, sf_dir)
+        .groupBy("symbol", symbol.alias("number"), F.trunc("bar_date", "month").alias("month"))
+        .agg(F.array_join(F.collect_list(one), ",").alias("records"))
+    )
+    whole = F.concat(F.lit('{"prices":['), "records", F.lit("]}"))
+    messages = listed.select("symbol", F.when(F.col("number") % 7 == 0, '{"prices":"none"}').otherwise(whole).alias("message"))
+    folder = work_folder(spark, "documents")
+    drift.documents(messages).write.parquet(folder)
+    return drift.drift(read_table(spark, folder, drift.DOCUMENTS), schemas.PRICE_FEED)
+
+
 @query
 def price_feed_rejects(spark, sf_dir):
     """Price records without a figure: every seventh day has no opening price, every fifth no volume."""
@@ -715,6 +742,17 @@ def last_writes(spark, sf_dir):
     return out.select("symbol", F.unix_millis("ts").alias("t"), "price", "volume", "seq")
 
 
+@query
+def committed_points(spark, sf_dir):
+    """Ticks as points through the sink that commits, a batch written twice, and read again."""
+    folder = work_folder(spark, "committed")
+    every = fixtures.ticks(spark, sf_dir)
+    committed.write_lines(points.trade_points(every.where("seq % 2 = 0")), folder, "even")
+    for _ in range(2):
+        committed.write_lines(points.trade_points(every.where("seq % 2 = 1")), folder, "odd")
+    return committed.read_lines(spark, folder)
+
+
 @query
 def trade_points(spark, sf_dir):
     return points.trade_points(fixtures.ticks(spark, sf_dir))
