@@ -160,52 +160,129 @@ def test_the_network_predicts_from_both_sides(spark):
     shuffled = [" ".join(random.Random(i).sample(t.split(), len(t.split()))) for i, t in enumerate(texts)]
     right, wrong = (model.score([pseudo_likelihood.buckets(t) for t in own]) for own in (texts, shuffled))
     assert (right > wrong).mean() > 0.95
-    # each word's probabilities over all classes sum to one
-    assert np.allclose(np.exp(model.logs.astype(float)).sum(1), 1, atol=1e-3)
-    # words of a class share its mass
+    # the probabilities of all words at a place sum to one
+    every = np.arange(len(model.vocabulary))
+    for sides in ([0, 1, 2, 3], [len(every)] * 4, [5, 5, len(every), 200]):
+        assert np.exp(model.network.logs(np.tile(sides, (len(every), 1)), every)).sum() == pytest.approx(1, abs=1e-3)
     counts = pseudo_likelihood.word_counts(documents(spark, list(enumerate(texts))))
     assert counts.sum() == sum(len(t.split()) for t in texts)
 
 
+def two_rare_words():
+    """Texts with two words of equal frequency, each of which stands beside words of its own."""
+    draw, common = random.Random(3), [f"common{i}" for i in range(40)]
+    texts = []
+    for i in range(400):
+        own = draw.choices(common, k=20)
+        own[10:10] = ["north", "rarea", "south"] if i % 2 else ["east", "rareb", "west"]
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_exchanging_rare_words_of_equal_frequency_changes_the_score(spark):
+    texts = two_rare_words()
+    model = pseudo_likelihood.learn(documents(spark, list(enumerate(texts))))
+    exchange = {"rarea": "rareb", "rareb": "rarea"}
+    exchanged = [" ".join(exchange.get(w, w) for w in t.split()) for t in texts]
+    right, wrong = (model.score([pseudo_likelihood.buckets(t) for t in own]) for own in (texts, exchanged))
+    assert (right > wrong + 1).all()
+
+
+def test_several_trainers_learn_together(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "TRAINER", 3000)
+    texts = two_rare_words()
+    docs = documents(spark, list(enumerate(texts)))
+    vocabulary = pseudo_likelihood.Vocabulary.of(pseudo_likelihood.word_counts(docs))
+    start, network = pseudo_likelihood.Network(vocabulary.counts), pseudo_likelihood.trained(docs, vocabulary)
+    sides, own = vocabulary.contexts([pseudo_likelihood.buckets(t) for t in texts])
+    assert network.logs(sides, own).mean() > start.logs(sides, own).mean() + 0.05
+    model, exchange = pseudo_likelihood.Model(vocabulary, network), {"rarea": "rareb", "rareb": "rarea"}
+    exchanged = [" ".join(exchange.get(w, w) for w in t.split()) for t in texts]
+    right, wrong = (model.score([pseudo_likelihood.buckets(t) for t in own]) for own in (texts, exchanged))
+    assert (right > wrong).mean() > 0.95
+
+
+def test_positions_grow_with_the_corpus(spark, monkeypatch):
+    texts = structured(200)
+    docs = documents(spark, [*enumerate(texts), (900, None), (901, "")])
+    words = sum(len(t.split()) for t in texts)
+    vocabulary = pseudo_likelihood.Vocabulary.of(pseudo_likelihood.word_counts(docs))
+    found = [tuple(r.place) for r in pseudo_likelihood.positions(docs, vocabulary).collect()]
+    end, want = len(vocabulary), []
+    for text in texts:
+        ids = [end, end, *vocabulary.ids(pseudo_likelihood.buckets(text)).tolist(), end, end]
+        want += [(*ids[i - 2 : i], *ids[i + 1 : i + 3], ids[i]) for i in range(2, len(ids) - 2)]
+    assert sorted(found) == sorted(want) and len(found) == words
+    monkeypatch.setattr(pseudo_likelihood, "LEAST", 100)
+    monkeypatch.setattr(pseudo_likelihood, "SHARE", 4)
+    assert pseudo_likelihood.positions(docs, vocabulary).count() == pytest.approx(words / 4, rel=0.2)
+
+
+def test_vocabulary():
+    counts = np.zeros(pseudo_likelihood.MOST, dtype=np.int64)
+    counts[[5, 300, 700, 261]] = [3, 9, 1, 4]
+    small = pseudo_likelihood.Vocabulary.of(counts)
+    # 5 and 261 share a bucket of 256
+    assert len(small) == 256 and small.counts[:3].tolist() == [9, 7, 1] and small.ids(np.array([300, 261, 5]))[1:].tolist() == [1, 1]
+    assert len(pseudo_likelihood.Vocabulary.of(np.ones(pseudo_likelihood.MOST, dtype=np.int64))) == pseudo_likelihood.MOST
+
+
 def test_scores_by_hand(spark):
-    rows = [*ROWS, *((50 + i, t) for i, t in enumerate(structured(20)))]
+    rows = [*ROWS[:7], *ROWS[8:], *((50 + i, t) for i, t in enumerate(structured(20)))]
     docs = documents(spark, rows)
     model = pseudo_likelihood.learn(docs)
     found = pseudo_likelihood.score(docs.repartition(3), model).collect()
-    want = []
+    vectors, words, groups, inner = (m.astype(float) for m in model.network.parts(model.network.own))
+    softmax = lambda x: x - np.log(np.exp(x).sum())
+    end, want = len(model.vocabulary), []
     for doc_id, text in rows:
-        own = [int(b) for b in pseudo_likelihood.buckets(text or "")]
-        classes, total = [0, 0, *(int(model.classes[b]) for b in own), 0, 0], 0.0
-        for i, bucket in enumerate(own):
-            code = 0
-            for offset in (-2, -1, 1, 2):
-                code = code * pseudo_likelihood.CLASSES + classes[i + 2 + offset]
-            total += float(model.logs[code, classes[i + 2]]) + float(model.shares[bucket])
-        want.append((doc_id or 0, len(own), total))
+        ids, total = model.vocabulary.ids(pseudo_likelihood.buckets(text or "")).tolist(), 0.0
+        around = [end, end, *ids, end, end]
+        for i, own in enumerate(ids):
+            seen = np.concatenate([vectors[around[i + 2 + o]] for o in (-2, -1, 1, 2)])
+            hidden = np.tanh(seen @ inner[:-1] + inner[-1])
+            group = own // pseudo_likelihood.GROUP
+            members = words[group * pseudo_likelihood.GROUP : (group + 1) * pseudo_likelihood.GROUP]
+            total += softmax(groups[:, :-1] @ hidden + groups[:, -1])[group]
+            total += softmax(members[:, :-1] @ hidden + members[:, -1])[own % pseudo_likelihood.GROUP]
+        want.append((doc_id or 0, len(ids), total))
     got = sorted((r.doc_id or 0, r.n_tokens, r.log_likelihood) for r in found)
     assert [g[:2] for g in got] == [w[:2] for w in sorted(want)]
-    assert np.allclose([g[2] for g in got], [w[2] for w in sorted(want)], rtol=1e-4)
+    assert np.allclose([g[2] for g in got], [w[2] for w in sorted(want)], rtol=1e-4, atol=1e-4)
+
+
+def test_long_texts_and_empty_tables(spark, monkeypatch):
+    docs = documents(spark)
+    model = pseudo_likelihood.learn(docs)
+    whole = {r.doc_id: r.log_likelihood for r in pseudo_likelihood.score(docs, model).collect()}
+    assert whole[3] == 0 and whole[5] < 0
+    monkeypatch.setattr(pseudo_likelihood, "SCORED", 1000)
+    monkeypatch.setattr(pseudo_likelihood, "BLOCK", 7)
+    own = [pseudo_likelihood.buckets(dict(ROWS)[5])]
+    assert model.score(own)[0] == pytest.approx(whole[5], rel=1e-3)
     assert pseudo_likelihood.score(empty(spark), pseudo_likelihood.learn(empty(spark))).collect() == []
 
 
 def test_gradient_is_the_slope_of_the_loss():
-    network, draw = pseudo_likelihood.Network(), np.random.default_rng(2)
-    codes = draw.integers(0, pseudo_likelihood.CLASSES**4, 40)
-    counts = draw.integers(0, 5, (40, pseudo_likelihood.CLASSES)).astype(float)
-    sides = network.sides(codes)
-
-    def loss():
-        return -(network.forward(sides)[2] * counts).sum() / counts.sum()
-
-    before = {k: v.copy() for k, v in network.own.items()}
-    network.step(sides, counts)  # after one step, the first moment is a tenth of the slope
-    slopes = {k: v * 10 for k, v in network.first.items()}
-    network.own = {k: v.copy() for k, v in before.items()}
-    for name, slope in slopes.items():
-        for _ in range(6):
-            at = tuple(draw.integers(0, n) for n in slope.shape)
-            network.own[name][at] += 1e-6
-            up = loss()
-            network.own[name][at] -= 2e-6
-            assert (up - loss()) / 2e-6 == pytest.approx(slope[at], abs=1e-5)
-            network.own[name][at] += 1e-6
+    draw = np.random.default_rng(2)
+    network = pseudo_likelihood.Network(draw.integers(0, 50, 512))
+    network.own = network.own.astype(np.float64)
+    sides, own = draw.integers(0, 513, (60, 4)), draw.integers(0, 512, 60)
+    slope = network.slopes(sides, own)
+    chosen = np.flatnonzero(slope)
+    for at in [*draw.choice(chosen, 40), *range(slope.size - pseudo_likelihood.WIDTH * 3, slope.size, 9)]:
+        at = np.unravel_index(at, slope.shape)
+        values = []
+        for step in (1e-4, -1e-4):
+            network.own[at] += step
+            _, words, groups, _ = network.parts(network.own)
+            hidden = network.hidden(sides)[1]
+            scores = hidden @ groups[:, :-1].T + groups[:, -1]
+            total = (scores[np.arange(60), own // 256] - np.log(np.exp(scores).sum(1))).sum()
+            for i, w in enumerate(own):
+                members = words[w // 256 * 256 :][:256]
+                scores = members[:, :-1] @ hidden[i] + members[:, -1]
+                total += scores[w % 256] - np.log(np.exp(scores).sum())
+            values.append(-total)
+            network.own[at] -= step
+        assert (values[0] - values[1]) / 2e-4 == pytest.approx(slope[at], abs=1e-3, rel=1e-3)
