@@ -26,7 +26,7 @@ NO_PAIR = 1 << 62
 #: bytes above which a piece's tree is kept in packed arrays, four times smaller and a little slower
 PACKED = 1 << 12
 #: pieces of at most so many bytes are remembered, so many in either half of the memory
-SHORT, REMEMBERED = 48, 400_000
+SHORT, REMEMBERED = 48, 250_000
 #: pieces of a text that are split at once
 SPLIT = 1 << 16
 
@@ -42,16 +42,15 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     size, here, rank_of = 1 << bits, (1 << bits) - 1, ranks.get
     # where the token that starts at a position ends, and where the token that ends there starts
     end, start = list(range(1, n + 2)), list(range(-1, n + 1))
-    nodes = [NO_PAIR] * (2 * size)
+    level = [NO_PAIR if (r := rank_of(piece[i : i + 2])) is None else r << bits | i for i in range(n - 1)]
+    level += [NO_PAIR] * (size - len(level))
+    nodes = level
+    while len(level) > 1:
+        level = list(map(min, level[::2], level[1::2]))
+        nodes = level + nodes
+    nodes = [NO_PAIR, *nodes]
     if n > PACKED:
         end, start, nodes = array("q", end), array("q", start), array("q", nodes)
-    for at in range(n - 1):
-        rank = rank_of(piece[at : at + 2])
-        if rank is not None:
-            nodes[size + at] = rank << bits | at
-    for node in range(size - 1, 0, -1):
-        left, right = nodes[2 * node], nodes[2 * node + 1]
-        nodes[node] = left if left < right else right
     while (top := nodes[1]) != NO_PAIR:
         at = top & here
         swallowed = end[at]
