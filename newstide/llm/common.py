@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(frame: DataFrame, name: str) -> str:
+    """A column name the frame lacks, for a helper column that stands beside its own."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(frame: DataFrame, name: str) -> DataFrame:
     """The frame stored in a fresh folder all executors share, and read again.
 

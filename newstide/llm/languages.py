@@ -34,8 +34,8 @@ SAMPLE_TEXTS = 500
 SAMPLE_GRAMS = 12_000
 #: an n-gram belongs to a language if so many of its sampled texts hold it
 LEAST_SHARE = 0.01
-#: bits of a slot
-MOST_LANGUAGES = 64
+#: bits of a word of a slot; a slot has as many words as the languages need
+BITS = 64
 #: share of a text's n-grams that its language must hold for the text to be accepted
 LEAST_COVERAGE = 0.3
 #: characters worked on at once
@@ -96,26 +96,24 @@ class Filters:
     @classmethod
     def of(cls, members: dict[str, np.ndarray]) -> Filters:
         languages = sorted(members)
-        if len(languages) > MOST_LANGUAGES:
-            raise ValueError(f"{len(languages)} languages; a slot has {MOST_LANGUAGES} bits")
-        slots = np.zeros(SLOTS, dtype=np.uint64)
+        slots = np.zeros((max(1, -(-len(languages) // BITS)), SLOTS), dtype=np.uint64)
         for bit, language in enumerate(languages):
             for at in _slots(members[language]):
-                slots[at] |= np.uint64(1 << bit)
+                slots[bit // BITS, at] |= np.uint64(1 << bit % BITS)
         return cls(languages, slots)
 
     @property
     def chance(self) -> np.ndarray:
         """The probability that an n-gram a language lacks is found in it."""
-        bits = [(self.slots >> np.uint64(b)) & np.uint64(1) for b in range(len(self.languages))]
+        bits = [(self.slots[b // BITS] >> np.uint64(b % BITS)) & np.uint64(1) for b in range(len(self.languages))]
         return np.array([float(b.mean()) for b in bits]) ** HASHES
 
     def found(self, hashes: np.ndarray) -> np.ndarray:
-        """The languages of each n-gram, as bits."""
+        """The languages of each n-gram, as bits of one or more words."""
         first, *rest = _slots(hashes)
-        masks = self.slots[first]
+        masks = self.slots.take(first, axis=1)
         for at in rest:
-            masks &= self.slots[at]
+            masks &= self.slots.take(at, axis=1)
         return masks
 
     def counts(self, text: str) -> tuple[np.ndarray, int]:
@@ -125,9 +123,9 @@ class Filters:
         for size in SIZES:
             for start in range(0, len(points), STRETCH):  # an n-gram belongs to where it begins
                 masks = self.found(_hashes(points[start : start + STRETCH + size - 1], size))
-                number += len(masks)
+                number += masks.shape[1]
                 for bit in range(len(total)):
-                    total[bit] += np.count_nonzero(masks & np.uint64(1 << bit))
+                    total[bit] += np.count_nonzero(masks[bit // BITS] & np.uint64(1 << bit % BITS))
         return total, number
 
     def predict(self, text: str, chance: np.ndarray) -> tuple[str, float, float]:
@@ -136,9 +134,11 @@ class Filters:
         The score is the best share against the second best. A text without letters, or a
         filter without languages, gives ``und`` with score 0; ties go to the first language.
         """
+        if not self.languages or not any(map(str.isalpha, text)):  # marks alone are no letter
+            return UNKNOWN, 0.0, 0.0
         counts, number = self.counts(text)
-        if not number or not self.languages:
-            return UNKNOWN if not _letters()[_points(text)].any() or not self.languages else self.languages[0], 0.0, 0.0
+        if not number:
+            return self.languages[0], 0.0, 0.0
         share = np.clip((counts / number - chance) / (1 - chance), 0, 1)
         best = int(share.argmax())
         rest = np.delete(share, best).max(initial=0)
@@ -167,8 +167,6 @@ def learn(docs: DataFrame, learned: Column | None = None) -> Filters:
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")).collect()}
     if not sizes:
         return Filters.of({})
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"{len(sizes)} languages; a slot has {MOST_LANGUAGES} bits")
     scale = 1 << 30
     limit = F.create_map(*(F.lit(x) for l, n in sizes.items() for x in (l, min(scale, scale * SAMPLE_TEXTS // n))))
     sample = known.where(F.pmod("hash", F.lit(scale)) < limit[F.col("lang")]).dropDuplicates(["lang", "hash"])

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newstide.llm.common import by_batch, texts, written
+from newstide.llm.common import by_batch, fresh, texts, written
 from newstide.llm.components import components
 
 SEED = 42
@@ -292,13 +292,13 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
     first = prints.join(classes.select("fp", "root"), "fp").groupBy("root", "doc_id", "hash").agg(F.count("*").alias("n"))
     first = first.groupBy("root").agg(F.min_by(F.struct("doc_id", "hash", "n"), order).alias("w"))
     winners = written(first.select("w.doc_id", "w.hash", "w.n"), "winners")
-    parts = []
+    parts, winner, winner_hash = [], fresh(docs, "_winner"), fresh(docs, "_winner_hash")
     for repeated in (False, True):
         # stored apart, so that the few repeated rows are known to be few
         chosen = written(winners.where((F.col("n") > 1) == repeated).drop("n"), "winners")
-        chosen = chosen.select(F.col("doc_id").alias("_winner"), F.col("hash").alias("_winner_hash"))
+        chosen = chosen.select(F.col("doc_id").alias(winner), F.col("hash").alias(winner_hash))
         own = F.xxhash64(docs["text"])
-        met = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_winner")) & (own == F.col("_winner_hash")))
-        met = met.dropDuplicates(["_winner", "_winner_hash"]) if repeated else met
+        met = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col(winner)) & (own == F.col(winner_hash)))
+        met = met.dropDuplicates([winner, winner_hash]) if repeated else met
         parts.append(met.select(*(docs[c] for c in docs.columns)))
     return parts[0].unionByName(parts[1])

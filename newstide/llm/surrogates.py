@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newstide.llm.common import by_batch, texts, written
+from newstide.llm.common import by_batch, fresh, texts, written
 from newstide.llm.entities import listed, mentions, rendered, stand_in
 
 #: rounds after which names of a format are given up for lost
@@ -100,16 +100,17 @@ def surrogates(docs: DataFrame, key: bytes) -> DataFrame:
     found = written(entities(docs), "mentions")
     later = assigned(found, key).where("attempt > 0").select("kind", "normal", "attempt")
     affected = found.distinct().join(later, ["kind", "normal"])
-    retried = F.collect_list(F.struct("kind", "normal", "attempt")).alias("_later")
+    hashed, tried = fresh(docs, "_hash"), fresh(docs, "_later")
+    retried = F.collect_list(F.struct("kind", "normal", "attempt")).alias(tried)
     # stored, so that its size is known when the join with the texts is planned
-    retries = written(affected.groupBy(F.col("hash").alias("_hash")).agg(retried), "retries")
-    plain = docs.drop("_spans").withColumn("_hash", F.xxhash64("text")).join(retries, "_hash", "left").drop("_hash")
-    columns = [c for c in plain.columns if c not in ("text", "_later")]
+    retries = written(affected.groupBy(F.col("hash").alias(hashed)).agg(retried), "retries")
+    plain = docs.drop("_spans").withColumn(hashed, F.xxhash64("text")).join(retries, hashed, "left").drop(hashed)
+    columns = [c for c in plain.columns if c not in ("text", tried)]
 
     def work(batches):
         for batch in batches:
             new, spans = [], []
-            for text, again in zip(*(batch.column(c).to_pylist() for c in ("text", "_later"))):
+            for text, again in zip(*(batch.column(c).to_pylist() for c in ("text", tried))):
                 tries = {(r["kind"], r["normal"]): r["attempt"] for r in again or ()}
                 made = (None, None) if text is None else _replaced(text, key, tries)
                 new.append(made[0])

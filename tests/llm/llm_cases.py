@@ -16,7 +16,7 @@ ROWS = [
 ]
 
 #: names that operators use inside, or give to results
-CLASHING = "score ids length part rank fp hash root key component_id fingerprint row attempt held_out lang_pred".split()
+CLASHING = "_winner _winner_hash _hash _later score ids length part rank fp hash root key component_id fingerprint row attempt held_out lang_pred".split()
 
 
 def documents(spark, rows=ROWS):

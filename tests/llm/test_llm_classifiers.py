@@ -42,6 +42,23 @@ def test_grams_by_hand():
         assert len(set(languages.grams(text).tolist())) == len(set(by_hand(text)))
 
 
+def test_more_languages_than_bits_of_a_word():
+    draw = np.random.default_rng(1)
+    members = {f"l{i:03d}": draw.integers(0, 2**63, 300, dtype=np.uint64) for i in range(130)}
+    members["l129"] = languages.grams("the quick brown fox jumps over the lazy dog")
+    filters = languages.Filters.of(members)
+    assert filters.slots.shape[0] == 3 and len(filters.chance) == 130
+    for bit, own in enumerate(members.values()):
+        assert (filters.found(own)[bit // 64] >> np.uint64(bit % 64) & np.uint64(1)).all()
+    assert filters.predict("the brown dog", filters.chance)[0] == "l129"
+
+
+def test_marks_alone_are_no_letter():
+    filters = languages.Filters.of({"a": languages.grams("the quick brown fox")})
+    assert filters.predict("\u0301\u0302 \u0301", filters.chance) == ("und", 0.0, 0.0)
+    assert filters.predict("e\u0301", filters.chance)[0] == "a"
+
+
 def test_counts_of_long_texts_in_stretches(monkeypatch):
     filters = languages.Filters.of({"a": languages.grams("the quick brown fox"), "b": languages.grams("der schnelle fuchs")})
     text = "the quick fuchs and der brown fox. " * 30
