@@ -10,7 +10,9 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
+from ipaddress import AddressValueError, IPv6Address
 
 # Titles by gender, and common given names by script and gender.
 TITLES = {
@@ -42,15 +44,38 @@ SOUNDS = {
     "cyrillic": ("б в г д ж з к л м н п р с т в х".split(), "а е и о у я".split()),
     "greek": ("β γ δ ζ θ κ λ μ ν π ρ τ φ χ".split(), "α ε η ι ο υ ω".split()),
 }
-#: words after which a name is given
-CUES = "name is|named|called|Name:|Contact:|Author:|Sincerely,|Regards,|Signed,|Dear".split("|")
+#: words after which a name is given; whom the words are about must be told where they also introduce things
+CUES = "name is|Name:|Contact:|Author:|Sincerely,|Regards,|Signed,".split("|")
+PERSONS = "man|woman|boy|girl|person|someone|somebody|guy|lady|friend|colleague|neighbour|neighbor|brother|sister|son|daughter".split("|")
+# Capitalised words that follow a given name, or an introduction, in names of things, places and days.
+ORDINARY = frozenset(
+    "Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June July August September "
+    "October November December Spring Summer Autumn Winter Christmas Easter "
+    "The A An And Or But Of In On At To For From With By As Is Was Are Were Has Had Have Will Would Can Could Then When "
+    "He She It They We You I His Her Its Their Our Your This That These Those There Here Not No Yes If So "
+    "Sir Madam All Everyone Customer Reader Team Friends Colleagues New Old Great Big Little Blue Red Green Black Golden Royal "
+    "Street Road Avenue Lane Drive Square Park Garden Gardens Station Airport Bridge Tower House Hall Castle Palace Church "
+    "Cathedral Abbey Chapel School College University Institute Academy Hospital Clinic Hotel Theatre Theater Museum Library "
+    "Stadium Centre Center City Town Village County State Province Island Islands Lake River Creek Falls Bay Beach Harbour "
+    "Harbor Cape Coast Mountain Mount Hill Hills Valley Forest Canyon Desert Point Peak Line Cross Period Award Prize Cup "
+    "Company Corporation Inc Ltd Bank Group Foundation Press Records Day Week Act Law Case Effect Theorem Syndrome Disease".split()
+)
+#: capital letters that stand for names; each is replaced by one of its own line
+INITIALS = [
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ",
+    "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЭЮЯ",
+    "ЪЫЬ",
+    "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+]
 _GENDER = {name: gender for (_, gender), names in GIVEN.items() for name in names}
 _TITLE = {title: gender for gender, titles in TITLES.items() for title in titles}
 
 _NUMERIC = re.compile(
     r"""
     (?P<iban>\b[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?\b)
-  | (?P<ipv6>(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:]))
+  | (?P<ipv6>(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}
+        |[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?!\w|:\w))
   | (?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
   | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
   | (?P<phone>
@@ -72,10 +97,17 @@ _DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Z
 #: characters of the part before an @, and how many there may be
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _LONGEST_LOCAL = 64
-_CAPITALS = re.compile(r"(?<![\w'-])([^\W\d_][\w'-]*)(\.?) ((?:[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][\w'’-]+)(?: [A-ZÀ-ÖØ-ÞΑ-ΩА-Я][\w'’-]+)?)")
+_CAPITAL = "A-ZÀ-ÖØ-ÞΑ-ΩА-Я"
+_NAME = rf"[{_CAPITAL}][\w'’-]+"
+_ITEM = rf"(?:[{_CAPITAL}]\.|{_NAME})"
+_CAPITALS = re.compile(rf"(?<![\w'-])([^\W\d_][\w'-]*)(\.?) ({_ITEM}(?: {_ITEM}){{0,3}})")
 _CUE = re.compile(
-    "(?:" + "|".join(map(re.escape, CUES)) + r")\s+([A-ZÀ-ÖØ-ÞΑ-ΩА-Я][\w'’-]+)(?: ([A-ZÀ-ÖØ-ÞΑ-ΩА-Я][\w'’-]+))(?![\w'’-])"
+    rf"(?:(?:{'|'.join(map(re.escape, CUES))}|\b(?:{'|'.join(PERSONS)})\s+(?:named|called))\s+"
+    rf"({_NAME}(?: [{_CAPITAL}]\.){{0,2}} {_NAME})(?![\w'’-])"
+    rf"|\bDear ({_NAME}(?: [{_CAPITAL}]\.){{0,2}} {_NAME})(?=\s?[,:!\n]))"
 )
+_WORD = re.compile(r"[^\W\d_](?:[\w'’-]*\w)?")
+_CARD_CUE = re.compile(r"(?i:\b(?:card|visa|mastercard|amex|credit|debit)\b[^\n]{0,32})\Z")
 _DIGIT = re.compile(r"[0-9]")
 
 
@@ -110,7 +142,10 @@ def _normal(kind: str, text: str) -> str:
     if kind == "iban":
         return text.replace(" ", "")
     if kind == "ipv6":
-        return text.lower()
+        try:
+            return IPv6Address(text).exploded
+        except AddressValueError:
+            return ""
     if kind == "secret" and re.fullmatch(r"[0-9A-Fa-f]+", text):
         return text.lower()
     return text
@@ -133,48 +168,105 @@ def _emails(text: str) -> list[Mention]:
     return found
 
 
+def _person(items: list[tuple[int, str]], gender: str) -> list[Mention]:
+    """The parts of a name: given names and initials, the last word the surname; a word alone is a surname."""
+    cut = [(start, word if word.endswith(".") else re.sub("['’](?:s)?$", "", word)) for start, word in items]
+    words = [i for i, (_, word) in enumerate(cut) if not word.endswith(".")]
+    gender = _GENDER.get(cut[words[0]][1], gender) if len(words) > 1 else gender
+    found = []
+    for i, (start, word) in enumerate(cut):
+        if word.endswith("."):
+            kind, word = "initial", word[:-1]
+        else:
+            kind = "surname" if i == words[-1] else "given_" + _GENDER.get(word, gender or "m")
+        found.append(Mention(start, start + len(word), kind, word.lower()))
+    return found
+
+
+def _name_items(items: list[tuple[int, str]], titled: bool) -> list[tuple[int, str]]:
+    """The leading items that make up a name: up to three words, none an ordinary one, initials before the last."""
+    taken, words = [], 0
+    for start, word in items:
+        initial = word.endswith(".")
+        if word in ORDINARY or words == 3 or (initial and words >= 2):
+            break
+        # a third word goes with a known given name, in front of two others
+        if not initial and words == 2 and next(w for _, w in taken if not w.endswith(".")) not in _GENDER:
+            break
+        taken.append((start, word))
+        words += not initial
+    while taken and taken[-1][1].endswith("."):
+        taken.pop()
+    return taken if words >= (1 if titled else 2) else []
+
+
 def _named(text: str) -> list[Mention]:
-    """Given names and surnames, each word an entity of its own, told by a title or a given name."""
+    """Given names, initials and surnames, each an entity of its own, told by a title or a given name."""
     found, at = [], 0
     while match := _CAPITALS.search(text, at):
         at = match.start(3)
         first, dot, rest = match.groups()
-        words = [(m.start(), m.group()) for m in re.finditer(r"\S+", rest)]
-        if first in _TITLE:
-            gender = _TITLE[first]
-            if len(words) == 2:
-                gender = _GENDER.get(words[0][1], gender)
-                kinds = ["given_" + (gender or "m"), "surname"]
-            else:
-                kinds = ["surname"]
-        elif first in _GENDER and not dot:
-            found.append(Mention(match.start(1), match.end(1), "given_" + _GENDER[first], first.lower()))
-            kinds, words = ["surname"], words[:1] if words[0][1] not in _GENDER or len(words) < 2 else words
-            if len(words) == 2:  # two given names
-                kinds = ["given_" + _GENDER[words[0][1]], "surname"]
-        else:
+        titled = first in _TITLE
+        if not titled and (dot or first not in _GENDER):
             continue
-        for kind, (start, word) in zip(kinds, words):
-            found.append(Mention(at + start, at + start + len(word), kind, word.lower()))
-            end = at + start + len(word)
-        at = end
+        items = [(at + m.start(), m.group()) for m in re.finditer(r"\S+", rest)]
+        items = _name_items(items if titled else [(match.start(1), first), *items], titled)
+        if items:
+            found += _person(items, _TITLE.get(first, ""))
+            at = found[-1].end
     return found
 
 
 def _introduced(text: str) -> list[Mention]:
-    """A given name and a surname after words that introduce one; the ending tells an unknown name's gender."""
+    """A name after words that introduce one; the ending tells an unknown given name's gender."""
     found = []
     for match in _CUE.finditer(text):
-        first, last = match.groups()
-        if first not in _TITLE:
-            gender = _GENDER.get(first, "f" if first[-1] in "aа" else "m")
-            found.append(Mention(*match.span(1), f"given_{gender}", first.lower()))
-            found.append(Mention(*match.span(2), "surname", last.lower()))
+        group = match.lastindex
+        items = [(match.start(group) + m.start(), m.group()) for m in re.finditer(r"\S+", match.group(group))]
+        first, last = items[0][1], items[-1][1]
+        if first not in _TITLE and not (group == 2 and (first in ORDINARY or last in ORDINARY)):
+            found += _person(items, "f" if first[-1] in "aа" else "m")
     return found
 
 
+def _repeated(text: str, found: list[Mention]) -> list[Mention]:
+    """Further places where a name stands that the text told to be one: whole capitalised words outside other entities."""
+    names: dict[str, str] = {}
+    for m in found:
+        if m.kind == "surname" or m.kind.startswith("given_"):
+            names.setdefault(m.normal, m.kind)
+    starts, more = [m.start for m in found], []
+    for match in _WORD.finditer(text) if names else ():
+        word = re.sub("['’]s$", "", match.group())
+        if word[0].isupper() and word.lower() in names:
+            start, end = match.start(), match.start() + len(word)
+            place = bisect_right(starts, start)
+            if (not place or found[place - 1].end <= start) and (place == len(found) or end <= starts[place]):
+                more.append(Mention(start, end, names[word.lower()], word.lower()))
+    return more
+
+
+def _is_number(text: str, kind: str, match: re.Match, normal: str) -> bool:
+    """Whether digits of an entity's shape are one, as far as check digits and the words before them tell.
+
+    Digits in one run are a card only if their check digit is right or a word for a card stands before
+    them; digits in a card's groups are one as they are.
+    """
+    if kind == "iban":
+        return int("".join(str(int(c, 36)) for c in normal[4:] + normal[:4])) % 97 == 1
+    if kind == "ipv6":
+        return normal != "" and _DIGIT.search(match.group()) is not None
+    if kind == "card" and match.group().isdigit():
+        return _luhn(normal) or _CARD_CUE.search(text, max(0, match.start() - 40), match.start()) is not None
+    return True
+
+
 def mentions(text: str) -> list[Mention]:
-    """The entities named in a text, in order and without overlaps."""
+    """The entities named in a text, in order and without overlaps.
+
+    A person is told once, by a title, a given name or an introduction; the parts of the name are then
+    found wherever they stand in the text.
+    """
     found = []
     low = text.lower()
     if any(w in low for w in _SECRET_WORDS) or _DIGIT.search(text):
@@ -187,18 +279,18 @@ def mentions(text: str) -> list[Mention]:
     if _DIGIT.search(text):
         for match in _NUMERIC.finditer(text):
             kind, normal = match.lastgroup, _normal(match.lastgroup, match.group())
-            if kind != "iban" or int("".join(str(int(c, 36)) for c in normal[4:] + normal[:4])) % 97 == 1:
+            if _is_number(text, kind, match, normal):
                 found.append(Mention(*match.span(), kind, normal))
     found += _emails(text)
     found += _named(text)
-    if any(cue in text for cue in CUES):
+    if any(cue in text for cue in (*CUES, "named", "called", "Dear ")):
         found += _introduced(text)
     found.sort(key=lambda m: (m.start, -m.end))
     kept: list[Mention] = []
     for mention in found:
         if not kept or mention.start >= kept[-1].end:
             kept.append(mention)
-    return kept
+    return sorted(kept + _repeated(text, kept), key=lambda m: m.start)
 
 
 class _Draw:
@@ -235,17 +327,63 @@ def _name(draw: _Draw, script: str, ending: str, attempt: int) -> str:
     return made + (draw.of(vowels[:2]) if ending == "f" else draw.of(consonants[:16]))
 
 
-def _ipv4(draw: _Draw, normal: str) -> str:
-    a, b, *_ = map(int, normal.split("."))
-    free = [draw.below(256) for _ in range(3)]
-    if a in (10, 127):
-        return ".".join(map(str, [a, *free]))
-    if (a, b) == (192, 168):
-        return ".".join(map(str, [a, b, *free[1:]]))
-    if a == 172 and 16 <= b < 32:
-        return ".".join(map(str, [a, 16 + free[0] % 16, *free[1:]]))
+def _ipv4(draw: _Draw) -> str:
     public = [n for n in range(1, 224) if n not in (10, 127, 172, 192)]
-    return ".".join(map(str, [draw.of(public), *free]))
+    return ".".join(map(str, [draw.of(public), *(draw.below(256) for _ in range(3))]))
+
+
+def _private_bits(normal: str) -> int:
+    """The free bits of an address in a private network or on the own machine; 0 for public ones."""
+    a, b, *_ = map(int, normal.split("."))
+    return 24 if a in (10, 127) else 16 if (a, b) == (192, 168) else 20 if a == 172 and 16 <= b < 32 else 0
+
+
+def _next_in_pool(number: int, bits: int, key: bytes) -> int:
+    """The number after this one on a circle of all numbers of an even count of bits, in keyed order.
+
+    The order is a permutation in four Feistel rounds, so that different numbers stay different however many of them occur.
+    """
+    half = bits // 2
+    mask = (1 << half) - 1
+
+    def mixed(value: int, turn: int) -> int:
+        return int.from_bytes(hmac.new(key, b"%d|%d|%d" % (bits, turn, value), hashlib.sha256).digest()[:4], "big") & mask
+
+    left, right = number >> half, number & mask
+    for turn in reversed(range(4)):
+        left, right = right ^ mixed(left, turn), left
+    place = ((left << half | right) + 1) & ((1 << bits) - 1)
+    left, right = place >> half, place & mask
+    for turn in range(4):
+        left, right = right, left ^ mixed(right, turn)
+    return left << half | right
+
+
+def _private(normal: str, key: bytes) -> str:
+    """The address of the same private network that stands for this one."""
+    bits = _private_bits(normal)
+    number = int.from_bytes(map(int, normal.split(".")), "big")
+    free = number & ((1 << bits) - 1)
+    return ".".join(map(str, (number - free + _next_in_pool(free, bits, key)).to_bytes(4, "big")))
+
+
+def _ipv6(draw: _Draw, normal: str) -> str:
+    """An address whose groups are as long as the given one's without leading zeros; zero stays zero."""
+    made = []
+    for group in normal.split(":"):
+        digits = group.lstrip("0")
+        number = "".join(draw.of("0123456789abcdef" if i else "123456789abcdef") for i in range(len(digits)))
+        made.append(number.rjust(4, "0"))
+    return ":".join(made)
+
+
+def _ipv6_written(mention: str, made: str) -> str:
+    """The address written the way the mention is: its double colon, its leading zeros."""
+    before, colons, after = mention.partition("::")
+    groups, tail = made.split(":"), after.split(":") if after else []
+    written = [g[-len(own) :] for own, g in zip(before.split(":"), groups)]
+    ending = [g[-len(own) :] for own, g in zip(tail, groups[8 - len(tail) :])]
+    return ":".join(written) + colons + ":".join(ending)
 
 
 def _card(draw: _Draw, normal: str) -> str:
@@ -270,9 +408,9 @@ def stand_in(kind: str, normal: str, key: bytes, attempt: int = 0) -> str:
         *labels, _, last = domain.split(".")
         # within the domains reserved for examples, which belong to nobody
         reserved = ["example", last if last in ("com", "net", "org") else "com"]
-        return f"{_same_classes(draw, local)}@" + ".".join([_same_classes(draw, x) for x in labels] + reserved)
+        return f"{_same_classes(draw, local + local[-1] * (attempt // 8))}@" + ".".join([_same_classes(draw, x) for x in labels] + reserved)
     if kind == "ipv4":
-        return _ipv4(draw, normal)
+        return _private(normal, key) if _private_bits(normal) else _ipv4(draw)
     if kind == "card":
         return _card(draw, normal)
     if kind == "iban":
@@ -283,7 +421,9 @@ def stand_in(kind: str, normal: str, key: bytes, attempt: int = 0) -> str:
     if kind == "ssn":
         return f"{1 + draw.below(665):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}"
     if kind == "ipv6":
-        return ":".join(_same_classes(draw, "0" * len(g)) if g else g for g in normal.split(":"))
+        return _ipv6(draw, normal)
+    if kind == "initial":
+        return _turned(next(line for line in INITIALS if normal.upper() in line), normal, key)
     if kind in ("surname", "given_m", "given_f"):
         script = script_of(normal)
         gender = kind.removeprefix("given_") if kind != "surname" else ""
@@ -291,10 +431,11 @@ def stand_in(kind: str, normal: str, key: bytes, attempt: int = 0) -> str:
         if normal in [n.lower() for n in names]:
             return _turned(names, normal, key)
         return _name(draw, script, gender, attempt)
-    return _same_classes(draw, normal)
+    # later attempts are longer, so that a format of few values does not run out
+    return _same_classes(draw, normal + normal[-1] * (attempt // 8))
 
 
-def _turned(names: list[str], normal: str, key: bytes) -> str:
+def _turned(names: list[str] | str, normal: str, key: bytes) -> str:
     """The next name on a circle in keyed order: different names stay different, none stays itself."""
     circle = sorted((hmac.new(key, n.lower().encode(), hashlib.sha256).digest(), n.lower()) for n in names)
     place = [n for _, n in circle].index(normal)
@@ -302,8 +443,10 @@ def _turned(names: list[str], normal: str, key: bytes) -> str:
 
 
 def listed(kind: str, normal: str) -> bool:
-    """Whether the stand-in comes from a closed list, where the circle keeps names apart."""
-    return kind.startswith("given_") and normal in {n.lower() for n in GIVEN.get((script_of(normal), kind[-1]), [])}
+    """Whether the stand-in comes from a closed pool, where a circle keeps entities apart."""
+    if kind == "ipv4":
+        return _private_bits(normal) > 0
+    return kind == "initial" or kind.startswith("given_") and normal in {n.lower() for n in GIVEN.get((script_of(normal), kind[-1]), [])}
 
 
 def rendered(mention: str, kind: str, made: str) -> str:
@@ -314,9 +457,11 @@ def rendered(mention: str, kind: str, made: str) -> str:
     if kind == "iban":
         letters = list(made)
         return "".join(c if c == " " else letters.pop(0) for c in mention)
+    if kind == "ipv6":
+        made = _ipv6_written(mention, made)
     if kind in ("email", "secret", "ipv6") and mention.upper() == mention:
         return made.upper()
-    if kind in ("surname", "given_m", "given_f"):
+    if kind in ("surname", "given_m", "given_f", "initial"):
         return made.upper() if mention.isupper() and len(mention) > 1 else made[0].upper() + made[1:]
     if kind == "email" and mention[0].isupper():
         return made[0].upper() + made[1:]

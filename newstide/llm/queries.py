@@ -102,8 +102,11 @@ def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def surrogate_key(spark: SparkSession) -> bytes:
-    """The key of stand-ins, a secret of the session; without one, a key for trials."""
-    return spark.conf.get("newstide.surrogate.key", "for trials only").encode()
+    """The key of stand-ins, a secret of the session; a key for trials is taken on a single machine only."""
+    key = spark.conf.get("newstide.surrogate.key", None)
+    if key is None and not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set newstide.surrogate.key: with a key that everybody knows, stand-ins could be traced back")
+    return (key or "for trials only").encode()
 
 
 def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
