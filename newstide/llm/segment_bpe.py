@@ -6,13 +6,16 @@ neighbour put together, and every inner node the least of its children, the left
 equals. The root thus names the next merge. A merge changes three leaves: that of the token
 that grew, that of the neighbour it swallowed and that of the token before it; each is a
 point update up the tree, so a piece of n bytes takes O(n log n) steps however long it is.
+
+Short pieces are merged together, a merge of each at a time: their trees are the rows of one array.
 """
 
 from __future__ import annotations
 
 import base64
 from array import array
-from itertools import islice
+from collections.abc import Iterable
+from itertools import accumulate, chain, islice, pairwise
 
 import numpy as np
 import regex
@@ -27,8 +30,10 @@ NO_PAIR = 1 << 62
 PACKED = 1 << 12
 #: pieces of at most so many bytes are remembered, so many in either half of the memory
 SHORT, REMEMBERED = 48, 250_000
-#: pieces of a text that are split at once
-SPLIT = 1 << 16
+#: pieces of a text that are split at once, and characters of texts whose pieces are learnt together
+SPLIT, TOGETHER = 1 << 16, 1 << 20
+#: bytes of a piece up to which pieces are merged together, so many at once, and how few are merged one by one
+SMALL, ROWS, FEW = 64, 4096, 64
 
 
 def merged(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
@@ -83,6 +88,82 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(ids)
 
 
+class Pairs:
+    """The rank that two tokens, by id, make together: sorted keys of all pairs that make one."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        #: an id that no token has, for the end of a piece
+        self.beyond = max(ranks.values(), default=0) + 1
+        made = [
+            (ranks[token[:k]] * (self.beyond + 1) + ranks[token[k:]], rank)
+            for token, rank in ranks.items()
+            for k in range(1, len(token))
+            if token[:k] in ranks and token[k:] in ranks
+        ]
+        made.append((1 << 62, 0))
+        self.keys, self.ranks = np.array(sorted(made), dtype=np.int64).T.copy()
+        self.bytes = np.array([ranks.get(bytes([b]), self.beyond) for b in range(256)], dtype=np.int64)
+
+    def leaves(self, left: np.ndarray, right: np.ndarray, at: np.ndarray, bits: int) -> np.ndarray:
+        """The leaves of pairs of tokens that begin at these positions."""
+        keys = left * (self.beyond + 1) + right
+        found = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[found] == keys, self.ranks[found] << bits | at, NO_PAIR)
+
+
+def merged_together(pieces: list[bytes], pairs: Pairs) -> list[bytes]:
+    """The ids of pieces, in 32 bits each, of pieces that need trees of about the same size.
+
+    As ``merged``; every round makes the next merge of each piece that has one left.
+    """
+    lengths = np.array([len(p) for p in pieces])
+    bits = int(lengths.max() - 1).bit_length()
+    size, width = 1 << bits, (1 << bits) + 1
+    places = np.arange(width)
+    padded = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), dtype=np.uint8).reshape(-1, width)
+    live = places < lengths[:, None]
+    tokens = np.where(live, pairs.bytes[padded], pairs.beyond)
+    end, start = np.tile(places + 1, len(pieces)), np.tile(places - 1, len(pieces))
+    nodes = np.full((len(pieces), 2 * size), NO_PAIR, dtype=np.int64)
+    nodes[:, size:] = pairs.leaves(tokens[:, :-1], tokens[:, 1:], places[:-1], bits)
+    low = size
+    while low > 1:
+        low >>= 1
+        np.minimum(nodes[:, 2 * low : 4 * low : 2], nodes[:, 2 * low + 1 : 4 * low : 2], out=nodes[:, low : 2 * low])
+    nodes, tokens, live = nodes.ravel(), tokens.ravel(), live.ravel()
+
+    def point(trees: np.ndarray, at: np.ndarray, least: np.ndarray | int) -> None:
+        node = at + size
+        nodes[trees + node] = least
+        for _ in range(bits):
+            least = np.minimum(nodes[trees + node], nodes[trees + (node ^ 1)])
+            node = node >> 1
+            nodes[trees + node] = least
+
+    rows = np.arange(len(pieces))
+    while True:
+        top = nodes[rows * (2 * size) + 1]
+        left = top != NO_PAIR
+        if not left.all():
+            rows, top = rows[left], top[left]
+        if not len(rows):
+            break
+        trees, first = rows * (2 * size), rows * width
+        at, rank = top & (size - 1), top >> bits
+        swallowed = end[first + at]
+        stop = end[first + swallowed]
+        end[first + at], start[first + stop], tokens[first + at], live[first + swallowed] = stop, at, rank, False
+        point(trees, swallowed, NO_PAIR)
+        point(trees, at, pairs.leaves(rank, tokens[first + stop], at, bits))
+        inner = at > 0
+        trees, first, at, rank = trees[inner], first[inner], at[inner], rank[inner]
+        before = start[first + at]
+        point(trees, before, pairs.leaves(tokens[first + before], rank, before, bits))
+    ids = tokens[live].astype(np.int32).tobytes()
+    counts = live.reshape(-1, width).sum(axis=1).tolist()
+    return [ids[4 * a : 4 * b] for a, b in pairwise(accumulate(counts, initial=0))]
+
+
 class Vocabulary(dict):
     """Ranks of a tiktoken file; as a mapping, the ids of pieces in 32 bits each, those of short ones remembered."""
 
@@ -93,6 +174,7 @@ class Vocabulary(dict):
         self.by_id = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self._older: dict[str, bytes] = {}
+        self.pairs = Pairs(self.ranks)
 
     def merged(self, piece: bytes) -> tuple[int, ...]:
         """The ids of a piece; one that is a token as it stands is that token."""
@@ -102,22 +184,53 @@ class Vocabulary(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self._older.get(piece) or array("i", self.merged(piece.encode())).tobytes()
         if len(piece) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self._older = dict(self)
-                self.clear()
-            self[piece] = ids
+            self.remember(piece, ids)
         return ids
 
+    def remember(self, piece: str, ids: bytes) -> None:
+        if len(self) >= REMEMBERED:
+            self._older = dict(self)
+            self.clear()
+        self[piece] = ids
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Remembers short pieces that are new, merged together; others are merged when they are asked for."""
+        by_size: dict[int, list[str]] = {}
+        # bytes that are no tokens, in a vocabulary of a user's own, are left to ``merged``
+        for piece in set(pieces) if (self.pairs.bytes < self.pairs.beyond).all() else ():
+            if piece not in self and piece not in self._older and len(piece) <= SHORT:
+                own = piece.encode()
+                if own not in self.ranks and len(own) <= SMALL:
+                    by_size.setdefault((len(own) - 1).bit_length(), []).append(piece)
+        for new in by_size.values():
+            for i in range(0, len(new) if len(new) >= FEW else 0, ROWS):
+                some = new[i : i + ROWS]
+                for piece, ids in zip(some, merged_together([p.encode() for p in some], self.pairs)):
+                    self.remember(piece, ids)
+
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, split a stretch at a time."""
-        if len(text) <= SPLIT:
-            found = b"".join(map(self.__getitem__, self.pattern.findall(text)))
-        else:
-            pieces, stretches = (m.group() for m in self.pattern.finditer(text)), []
-            while stretch := list(islice(pieces, SPLIT)):
-                stretches.append(b"".join(map(self.__getitem__, stretch)))
-            found = b"".join(stretches)
-        return np.frombuffer(found, dtype=np.int32)
+        pieces, stretches = (m.group() for m in self.pattern.finditer(text)), []
+        while stretch := list(islice(pieces, SPLIT)):
+            self.learn(stretch)
+            stretches.append(b"".join(map(self.__getitem__, stretch)))
+        return np.frombuffer(b"".join(stretches), dtype=np.int32)
+
+    def encode_all(self, given: list[str]) -> list[np.ndarray]:
+        """The ids of texts; the pieces of texts that are short together are learnt at once."""
+        found, waiting, length = [], [], 0
+        for text in [*given, None]:
+            if waiting and (text is None or length + len(text) > TOGETHER):
+                split = [self.pattern.findall(t) for t in waiting]
+                self.learn(chain.from_iterable(split))
+                found += [np.frombuffer(b"".join(map(self.__getitem__, s)), dtype=np.int32) for s in split]
+                waiting, length = [], 0
+            if text is not None and len(text) > TOGETHER:
+                found.append(self.encode(text))
+            elif text is not None:
+                waiting.append(text)
+                length += len(text)
+        return found
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.by_id.__getitem__, ids))
@@ -150,7 +263,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def work(batches):
         own = vocabulary(path, pattern)
         for batch in batches:
-            found = [own.encode(t) for t in texts(batch)]
+            found = own.encode_all(texts(batch))
             yield {"doc_id": batch.column("doc_id"), "n_tokens": [len(i) for i in found], "ids": found}
 
     return by_batch(docs.select(F.col("doc_id").cast("long"), "text"), ENCODED, work)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -82,3 +83,25 @@ def test_query(spark, sf_dir, library):
         want[doc_id] = (len(ids), sha(" ".join(map(str, ids)).encode()), sha(library.decode_bytes(ids)))
     rows = queries.op11_segment_bpe(spark, sf_dir).collect()
     assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows} == want and len(rows) == len(docs)
+
+
+def test_pieces_merged_together_equal_pieces_merged_one_by_one():
+    own = segment_bpe.Vocabulary(queries.BYTE_RANKS, public_tokenizers.PATTERN)
+    draw = random.Random(11)
+    letters = ["abcdefghijklmnopqrstuvwxyz", "aab", "éßñ日本😀", "etaoin shrdlu", "0123456789-_"]
+    for longest in (2, 3, 4, 5, 8, 9, 17, 64):
+        pieces = ["".join(draw.choice(draw.choice(letters)) for _ in range(draw.randint(1, longest))).encode()[:longest] for _ in range(300)]
+        ids = segment_bpe.merged_together(pieces, own.pairs)
+        assert [tuple(np.frombuffer(i, dtype=np.int32)) for i in ids] == [segment_bpe.merged(p, own.ranks) for p in pieces]
+
+
+def test_texts_together_equal_texts_alone(monkeypatch):
+    draw = random.Random(12)
+    given = [" ".join("".join(draw.choices("aeionrstlé", k=draw.randint(1, 70))) for _ in range(draw.randint(0, 80))) for _ in range(60)]
+    alone = [list(segment_bpe.Vocabulary(queries.BYTE_RANKS, public_tokenizers.PATTERN).encode(t)) for t in given[:3]]
+    for remembered, together in ((250_000, 1 << 20), (100, 3000), (5, 1)):
+        monkeypatch.setattr(segment_bpe, "REMEMBERED", remembered)
+        monkeypatch.setattr(segment_bpe, "TOGETHER", together)
+        own = segment_bpe.Vocabulary(queries.BYTE_RANKS, public_tokenizers.PATTERN)
+        found = [list(i) for i in own.encode_all(given)]
+        assert found[:3] == alone and found == [[r for p in own.pattern.findall(t) for r in own.merged(p.encode())] for t in given]
