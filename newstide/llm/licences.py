@@ -19,6 +19,7 @@ anchor, however many lines are sampled.
 
 from __future__ import annotations
 
+import json
 import math
 import random
 from dataclasses import dataclass
@@ -162,12 +163,11 @@ def _grams(own: Column) -> Column:
 
 
 def _local(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
-    """A small table of fixed rows, as literals of the plan."""
+    """A small table of fixed rows, as one literal of the plan."""
     fields = [part.rsplit(" ", 1) for part in ddl.split(", ")]
-    structs = [F.struct(*(F.lit(v).alias(n) for (n, _), v in zip(fields, row))) for row in rows]
-    return spark.range(0, 1, 1, 1).select(F.explode(F.array(*structs)).alias("r")).select(
-        *(F.col("r")[n].cast(t).alias(n) for n, t in fields)
-    )
+    given = json.dumps([dict(zip((name for name, _ in fields), row)) for row in rows])
+    kind = ",".join(f"{name}:{kind}" for name, kind in fields)
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(given), f"array<struct<{kind}>>")))
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -301,9 +301,7 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     likely = own.where(F.arrays_overlap(_grams(F.col("words")), F.lit(model.anchors)))
     weighted = F.filter(F.array_distinct(_grams(F.col("words"))), lambda gram: gram.isin(list(model.weights)))
     found = likely.select("*", F.explode(weighted).alias("gram"))
-    table = spark.range(0, 1, 1, 1).select(
-        F.explode(F.map_from_arrays(F.lit(list(model.weights)), F.lit(list(model.weights.values())))).alias("gram", "w")
-    )
+    table = _local(spark, list(model.weights.items()), "gram bigint, w array<double>")
     scored = found.join(F.broadcast(table), "gram")
     sums = [F.sum(F.col("w")[i]).alias(f"s{i}") for i in range(len(model.families))]
     totals = scored.groupBy("row", "line").agg(F.first("doc_id").alias("doc_id"), F.first("words").alias("words"), *sums)
