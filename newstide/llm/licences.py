@@ -29,6 +29,8 @@ from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newstide.functions.binding import bound
+
 UNKNOWN = "unknown"
 #: n-grams a model may weigh, and ordinary texts and lines it learns from, about
 VOCABULARY = 4096
@@ -144,11 +146,15 @@ def words(text: Column) -> Column:
 
 def _shingles(own: Column) -> Column:
     """Hashes of three words in a row; of all words of a shorter line."""
-    joined = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(own) - 2, F.lit(1))),
-        lambda i: F.xxhash64(F.array_join(F.slice(own, i, 3), " ")),
-    )
-    return F.when(F.size(own) > 0, F.array_distinct(joined)).otherwise(F.array().cast("array<bigint>"))
+
+    def made(own: Column) -> Column:
+        joined = F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size(own) - 2, F.lit(1))),
+            lambda i: F.xxhash64(F.array_join(F.slice(own, i, 3), " ")),
+        )
+        return F.when(F.size(own) > 0, F.array_distinct(joined)).otherwise(F.array().cast("array<bigint>"))
+
+    return bound(own, made)
 
 
 def _grams(own: Column) -> Column:
