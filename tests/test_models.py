@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newstide.operators import forecast, gated_cell, least_squares, naive_bayes, texts
+from newstide.plans import queries
 from newstide.schemas import FEATURES, TARGETS
 
 
@@ -135,3 +136,11 @@ def test_incomplete_rows_are_not_trained_on(spark, tmp_path, model):
         for n in "ab"
     )
     assert all(np.allclose(a[k], b[k]) and np.isfinite(a[k]).all() for k in a)
+
+
+def test_bag_of_words_keeps_a_row_per_document_and_term(spark, sf_dir):
+    """Rows of single terms, and not sums of a document's."""
+    rows = queries.bag_of_words(spark, sf_dir)
+    assert rows.columns == ["doc_id", "token", "n"]
+    counts = rows.agg(F.count("*"), F.countDistinct("doc_id", "token"), F.countDistinct("doc_id")).first()
+    assert counts[0] == counts[1] > 10 * counts[2]
