@@ -622,46 +622,50 @@ def corrected_text(spark, sf_dir):
     )
 
 
-def _labelled_terms(spark, sf_dir):
-    labelled = _documents(spark, sf_dir).join(fixtures.true_sentiment(spark, sf_dir), "doc_id")
-    return texts.with_terms(texts.with_stems(labelled))
+def _terms(spark, sf_dir):
+    """Terms of all documents with symbol and day, written once: the model and its use read them."""
+    articles = spread(fixtures.articles(spark, sf_dir).select("doc_id", "symbol", "pub_date", "text"))
+    return _written(texts.with_terms(texts.with_stems(articles)), "terms")
+
 
+def _labelled(spark, sf_dir, docs):
+    return docs.join(fixtures.true_sentiment(spark, sf_dir), "doc_id")
 
-def _sentiment_model(spark, sf_dir):
+
+def _sentiment_model(spark, labelled_terms):
     folder = work_folder(spark, "sentiment")
-    naive_bayes.train(_labelled_terms(spark, sf_dir), folder)
+    naive_bayes.train(labelled_terms, folder)
     return naive_bayes.load(spark, folder)
 
 
 @query
 def nb_model(spark, sf_dir):
     """Token log-likelihoods of both classes, from the labelled documents."""
-    return rounded(_sentiment_model(spark, sf_dir).token_logs(), "pos_log", "neg_log")
+    labelled = _labelled(spark, sf_dir, _documents(spark, sf_dir))
+    model = _sentiment_model(spark, texts.with_terms(texts.with_stems(labelled)))
+    return rounded(model.token_logs(), "pos_log", "neg_log")
 
 
 @query
 def bag_of_words(spark, sf_dir):
     """Term counts of all documents within the model's vocabulary."""
-    model = _sentiment_model(spark, sf_dir)
-    docs = texts.with_terms(texts.with_stems(_documents(spark, sf_dir)))
-    return texts.bag_of_words(docs, model.tokens).select("doc_id", "token", "n")
+    docs = _terms(spark, sf_dir)
+    return texts.bag_of_words(docs, _sentiment_model(spark, _labelled(spark, sf_dir, docs)).tokens).select("doc_id", "token", "n")
 
 
 @query
 def nb_predict(spark, sf_dir):
     """Sentiment of every document by the stored model."""
-    model = _sentiment_model(spark, sf_dir)
-    docs = texts.with_terms(texts.with_stems(_documents(spark, sf_dir)))
-    return rounded(naive_bayes.score(docs, model, "doc_id"), "margin", digits=4)
+    docs = _terms(spark, sf_dir)
+    scored = naive_bayes.score(docs, _sentiment_model(spark, _labelled(spark, sf_dir, docs)), "doc_id")
+    return rounded(scored, "margin", digits=4)
 
 
 @query
 def predicted_daily_sentiment(spark, sf_dir):
     """From texts to daily sentiment: clean, classify, count."""
-    model = _sentiment_model(spark, sf_dir)
-    articles = spread(fixtures.articles(spark, sf_dir).select("doc_id", "symbol", "pub_date", "text"))
-    docs = texts.with_terms(texts.with_stems(articles))
-    scored = naive_bayes.score(docs, model, "doc_id", "symbol", "pub_date")
+    docs = _terms(spark, sf_dir)
+    scored = naive_bayes.score(docs, _sentiment_model(spark, _labelled(spark, sf_dir, docs)), "doc_id", "symbol", "pub_date")
     return rounded(daily.daily_sentiment(scored), *BULLISH)
 
 

@@ -45,6 +45,14 @@ def test_texts_are_worked_through_once(spark):
     assert plan.count("regexp_extract_all") == 1
 
 
+@pytest.mark.parametrize("name", ["bag_of_words", "nb_predict", "predicted_daily_sentiment"])
+def test_a_model_and_its_use_clean_the_texts_once(spark, sf_dir, monkeypatch, name):
+    calls, own = [], texts.with_stems
+    monkeypatch.setattr(texts, "with_stems", lambda *given: calls.append(given) or own(*given))
+    frame = queries.QUERIES[name](spark, sf_dir)
+    assert len(calls) == 1 and "regexp_extract_all" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def sample(spark, n=60):
     rng = random.Random(5)
     rows = []

@@ -3,6 +3,7 @@ import random
 import time
 
 import duckdb
+import pyarrow as pa
 import pytest
 from porter_by_hand import stem as stem_by_hand
 from pyspark.sql import functions as F
@@ -98,6 +99,23 @@ def test_stem_equals_plain_rules_on_many_words(spark):
     assert wrong == []
 
 
+def test_stems_of_arrays_keep_nulls_order_and_repeats(spark):
+    rows = [(1, ["running", "cats", "running"]), (2, None), (3, []), (4, [None, "ponies", "é"]), (5, ["cats"])]
+    frame = spark.createDataFrame(rows * 3, "i int, w array<string>").coalesce(1)
+    got = frame.where("i <> 5").select("i", porter.stem_words(F.col("w")).alias("s"), F.get("w", F.lit(0))).collect()
+    want = {1: ["run", "cat", "run"], 2: None, 3: [], 4: [None, "poni", "é"]}
+    assert len(got) == 12 and all(r.s == want[r.i] for r in got)
+
+
+def test_each_word_of_a_batch_is_stemmed_once(monkeypatch):
+    calls, own = [], porter.stemmed
+    monkeypatch.setattr(porter, "stemmed", lambda w: calls.append(w) or own(w))
+    monkeypatch.setattr(porter, "_STEMS", porter._Stems())
+    words = pa.array([["falling", "cats"] * 50, ["falling"]] * 20)
+    assert porter.stem_words.func(words).to_pylist() == [["fall", "cat"] * 50, ["fall"]] * 20
+    assert sorted(calls) == ["cats", "falling"]
+
+
 def article(body):
     return f'<html><script>var t="</p><p>no";</script><div class="x caas-body y">{body}</div><p>out</p></html>'
 
