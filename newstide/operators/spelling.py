@@ -17,8 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from newstide.functions.binding import bound
 from newstide.operators.rows import exploded
@@ -28,6 +30,8 @@ CORRECTIONS = "token string, corrected string"
 
 #: letters beyond which words are joined by parts
 LONG = 16
+#: documents whose tokens a task holds as Python strings at once
+ROWS = 256
 
 
 def dictionary(tokens: DataFrame, min_count: float = 1) -> DataFrame:
@@ -172,21 +176,32 @@ def _best(tokens: DataFrame, words: DataFrame, n: int, check: Callable[..., Colu
     return fits.groupBy("token").agg(best.alias("corrected"))
 
 
+@F.arrow_udf(ArrayType(StringType()))
+def _replaced(tokens: pa.Array, old: pa.Array, new: pa.Array) -> pa.Array:
+    """Each row's tokens with its old ones replaced by new ones, in one pass however many they are."""
+
+    def some(start: int) -> pa.Array:
+        rows = zip(*(column.slice(start, ROWS).to_pylist() for column in (tokens, old, new)))
+        out = []
+        for words, before, after in rows:
+            change = dict(zip(before or (), after or ()))
+            out.append([change.get(w, w) for w in words] if words and change else words)
+        return pa.array(out, pa.list_(pa.string()))
+
+    return pa.concat_arrays([some(start) for start in range(0, max(len(tokens), 1), ROWS)])
+
+
 def corrected_tokens(docs: DataFrame, changes: DataFrame, key: str = "doc_id") -> DataFrame:
     """Replace changed tokens in the column ``tokens`` of arrays.
 
     Only distinct tokens per document travel to the join, and only the few changed ones
-    come back, as a map per document.
+    come back, as a list per document.
     """
     used = exploded(docs, key, token=F.array_distinct("tokens"))
-    maps = (
+    lists = (
         used.join(changes, "token")
         .groupBy(key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("token", "corrected"))).alias("changes"))
-    )
-    replaced = F.transform("tokens", lambda t: F.coalesce(F.try_element_at("changes", t), t))
-    return (
-        docs.join(maps, key, "left")
-        .withColumn("tokens", F.when(F.col("changes").isNull(), F.col("tokens")).otherwise(replaced))
-        .drop("changes")
+        .agg(F.collect_list(F.struct("token", "corrected")).alias("changes"))
     )
+    replaced = _replaced("tokens", F.col("changes.token"), F.col("changes.corrected"))
+    return docs.join(lists, key, "left").withColumn("tokens", replaced).drop("changes")

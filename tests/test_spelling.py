@@ -1,5 +1,6 @@
 import random
 import string
+import time
 
 from pyspark.sql import functions as F
 
@@ -101,3 +102,19 @@ def test_empty_dictionary_changes_nothing(spark):
     tokens = spark.createDataFrame([("abc",)], "token string")
     words = spark.createDataFrame([], "word string, freq bigint")
     assert spelling.corrections(tokens, words).collect() == []
+
+
+def test_many_corrections_of_a_document_take_linear_time(spark):
+    """Every token of a long text changes; one that is null or has nothing to change stays."""
+
+    def seconds(n):
+        words = [f"w{i}" for i in range(n)]
+        docs = spark.createDataFrame([(1, words), (2, None), (3, ["same"]), (4, [])], "doc_id bigint, tokens array<string>")
+        changes = spark.createDataFrame([(w, w + "x") for w in words], "token string, corrected string")
+        start = time.perf_counter()
+        got = {r.doc_id: r.tokens for r in spelling.corrected_tokens(docs, changes).collect()}
+        assert got == {1: [w + "x" for w in words], 2: None, 3: ["same"], 4: []}
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(60_000) < 3 * seconds(15_000) + 3
