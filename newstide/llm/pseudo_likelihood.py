@@ -7,9 +7,8 @@ buckets, and that of the word in the group. A text's score is the sum of log P(w
 sides) over all its words.
 
 The buckets are counted over the whole corpus; the counts are where the network's biases
-start. It is trained on positions drawn from all texts, ``1 / SHARE`` of them, and at least
-``LEAST`` as far as there are so many: their number grows with the corpus, and so does the
-number of trainers, tasks that each take about ``TRAINER`` positions from everywhere, go over
+start. It is trained on every position of all texts: the number of trainers grows with the
+corpus, tasks that each take texts of about ``TRAINER`` positions from everywhere, go over
 them from the same start, and hand on what they changed. The changes of a row are averaged
 over the trainers that touched it.
 """
@@ -19,11 +18,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newstide.llm.common import by_batch, crc_hash, texts, written
+from newstide.llm.common import by_batch, crc_hash, texts
 
 #: buckets at most, which bounds the network a worker holds; beyond, words share buckets
 MOST = 1 << 16
@@ -32,10 +32,10 @@ SIDE = 2
 #: width of a word's vector and of the hidden layer
 VECTOR, HIDDEN = 8, 16
 WIDTH = VECTOR + HIDDEN + 1
-#: positions to learn from: a share, a least number, and how many a trainer takes
-SHARE, LEAST, TRAINER = 32, 1 << 17, 1 << 18
-#: passes over them, steps at least, positions a step, and its size
-PASSES, STEPS, MINIBATCH, STEP = 1, 100, 2048, 0.15
+#: positions to learn from: one in so many (1: all), a least number, and how many a trainer takes
+SHARE, LEAST, TRAINER = 1, 1 << 17, 1 << 22
+#: passes over them, steps at least, positions a step at least and at most, and its size
+PASSES, STEPS, MINIBATCH, LARGE, STEP = 1, 100, 2048, 1 << 15, 0.15
 #: no parameter is larger, so that no probability overflows
 LARGEST = 5.0
 #: words whose buckets a worker remembers, words scored at once, and rows of scores at once
@@ -192,12 +192,21 @@ class Network:
         to_vectors, to_words, to_groups, to_inner = self.parts(slope)
 
         def softmax(hidden, rows, to_rows, target):
-            scores = np.exp(hidden @ rows[:, :-1].T + rows[:, -1])
-            error = scores / scores.sum(1, keepdims=True)
-            error[np.arange(len(target)), target] -= 1
-            to_rows[:, :-1] += error.T @ hidden
-            to_rows[:, -1] += error.sum(0)
-            return error @ rows[:, :-1]
+            """A block at a time and in place, as in ``logs``."""
+            weights, biases, ones = rows[:, :-1].copy(), rows[:, -1].copy(), np.ones(len(rows), dtype=rows.dtype)
+            back, added = np.empty_like(hidden), np.zeros_like(weights)
+            for start in range(0, len(target), BLOCK):
+                span = slice(start, start + BLOCK)
+                error = hidden[span] @ weights.T
+                error += biases
+                np.exp(error, out=error)
+                error /= (error @ ones)[:, None]
+                error[np.arange(len(error)), target[span]] -= 1
+                added += error.T @ hidden[span]
+                to_rows[:, -1] += ones[:1].repeat(len(error)) @ error
+                np.matmul(error, weights, out=back[span])
+            to_rows[:, :-1] += added
+            return back
 
         seen, hidden = self.hidden(sides)
         back = softmax(hidden, groups, to_groups, own // GROUP)
@@ -207,17 +216,21 @@ class Network:
         back *= 1 - hidden**2
         to_inner[:-1] += seen.T @ back
         to_inner[-1] += back.sum(0)
-        np.add.at(to_vectors, sides.ravel(), (back @ inner[:-1].T).reshape(-1, VECTOR))
+        at, slopes = sides.ravel(), (back @ inner[:-1].T).reshape(-1, VECTOR)
+        for k in range(VECTOR):
+            to_vectors[:, k] += np.bincount(at, slopes[:, k], len(slope))
         return slope
 
     def train(self, sides: np.ndarray, own: np.ndarray, seed: int = 4) -> None:
         """Steps by the positions in shuffled order, each parameter's scaled by its slopes so far."""
         draw, squares = np.random.default_rng(seed), np.zeros_like(self.own)
-        batches = -(-len(own) // MINIBATCH)
+        # a step's fixed cost is that of the whole network: more positions, larger steps
+        size = min(max(len(own) // STEPS, MINIBATCH), LARGE)
+        batches = -(-len(own) // size)
         for _ in range(max(PASSES, -(-STEPS // batches))):
             order = draw.permutation(len(own))
-            for at in range(0, len(order), MINIBATCH):
-                chosen = order[at : at + MINIBATCH]
+            for at in range(0, len(order), size):
+                chosen = order[at : at + size]
                 slope = self.slopes(sides[chosen], own[chosen])
                 squares += slope * slope
                 # a parameter without a slope so far stays as it is
@@ -231,7 +244,7 @@ POSITIONS = "place array<int>"
 
 
 def positions(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``place``, the ids on both sides and of the word itself, of drawn positions of all texts."""
+    """``place``, the ids on both sides and of the word itself, of all positions of all texts, or one in ``SHARE``."""
     total = int(vocabulary.counts.sum())
     share = min(1.0, max(1 / SHARE, LEAST / max(1, total)))
 
@@ -241,8 +254,10 @@ def positions(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             draw = np.random.default_rng((part, number))
             for group in _in_stretches([buckets(t) for t in texts(batch)]):
                 sides, own = vocabulary.contexts(group)
-                chosen = np.flatnonzero(draw.random(len(own)) < share)
-                yield {"place": list(np.column_stack([sides[chosen], own[chosen]]).astype(np.int32))}
+                places = np.column_stack([sides, own]).astype(np.int32, copy=False)
+                yield {"place": pa.FixedSizeListArray.from_arrays(
+                    (places if share >= 1 else places[draw.random(len(own)) < share]).ravel(), places.shape[1]
+                ).cast(pa.list_(pa.int32()))}
 
     return by_batch(docs.select("text"), POSITIONS, work)
 
@@ -257,7 +272,8 @@ def trained(docs: DataFrame, vocabulary: Vocabulary) -> Network:
     expected = min(total, max(total // SHARE, LEAST))
     if not total:
         return start
-    drawn = written(positions(docs, vocabulary), "positions")
+    # texts travel, being smaller than their positions; each trainer makes its own
+    given = docs.select("text").repartition(-(-expected // TRAINER))
 
     def work(batches):
         places = [b.column("place").values.to_numpy().reshape(-1, 2 * SIDE + 1) for b in batches if b.num_rows]
@@ -272,7 +288,7 @@ def trained(docs: DataFrame, vocabulary: Vocabulary) -> Network:
         rows = np.flatnonzero(touched.any(1))
         yield {"row": rows, "change": [c.tobytes() for c in change[rows]], "seen": touched[rows] @ np.array([1, 2])}
 
-    changes = by_batch(drawn.repartition(-(-expected // TRAINER)), "row int, change binary, seen int", work)
+    changes = by_batch(positions(given, vocabulary), "row int, change binary, seen int", work)
 
     def added(batches):
         total, seen = np.zeros_like(start.own), np.zeros((len(start.own), 2))

@@ -235,6 +235,15 @@ def test_positions_grow_with_the_corpus(spark, monkeypatch):
     assert pseudo_likelihood.positions(docs, vocabulary).count() == pytest.approx(words / 4, rel=0.2)
 
 
+def test_every_position_is_learnt_from(spark, monkeypatch):
+    """More words than any least number, and none is left out."""
+    monkeypatch.setattr(pseudo_likelihood, "LEAST", 10)
+    docs = documents(spark, [(i, " ".join(f"w{(i * k) % 97}" for k in range(200))) for i in range(60)])
+    vocabulary = pseudo_likelihood.Vocabulary.of(pseudo_likelihood.word_counts(docs))
+    found = np.bincount([r.place[-1] for r in pseudo_likelihood.positions(docs, vocabulary).collect()], minlength=len(vocabulary))
+    assert found.tolist() == vocabulary.counts.tolist() and found.sum() == 60 * 200
+
+
 def test_vocabulary():
     counts = np.zeros(pseudo_likelihood.MOST, dtype=np.int64)
     counts[[5, 300, 700, 261]] = [3, 9, 1, 4]
