@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterable
-from itertools import accumulate, chain, islice, pairwise
+from itertools import accumulate, chain, filterfalse, islice, pairwise
+from sys import byteorder
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,6 +177,10 @@ class Vocabulary(dict):
         self.pattern = regex.compile(pattern)
         self._older: dict[str, bytes] = {}
         self.pairs = Pairs(self.ranks)
+        #: whether every byte is a token
+        self.whole = bool((self.pairs.bytes < self.pairs.beyond).all())
+        #: tokens by id, null where no token has it
+        self.tokens = pa.array(map(self.by_id.get, range(self.pairs.beyond)), pa.binary())
 
     def merged(self, piece: bytes) -> tuple[int, ...]:
         """The ids of a piece; one that is a token as it stands is that token."""
@@ -193,14 +199,16 @@ class Vocabulary(dict):
             self.clear()
         self[piece] = ids
 
-    def learn(self, pieces: Iterable[str]) -> None:
+    def learn(self, pieces: set[str]) -> None:
         """Remembers short pieces that are new, merged together; others are merged when they are asked for."""
         by_size: dict[int, list[str]] = {}
         # bytes that are no tokens, in a vocabulary of a user's own, are left to ``merged``
-        for piece in set(pieces) if (self.pairs.bytes < self.pairs.beyond).all() else ():
-            if piece not in self and piece not in self._older and len(piece) <= SHORT:
+        for piece in filterfalse(self._older.__contains__, pieces) if self.whole else ():
+            if len(piece) <= SHORT:
                 own = piece.encode()
-                if own not in self.ranks and len(own) <= SMALL:
+                if (rank := self.ranks.get(own)) is not None:
+                    self.remember(piece, rank.to_bytes(4, byteorder))
+                elif len(own) <= SMALL:
                     by_size.setdefault((len(own) - 1).bit_length(), []).append(piece)
         for new in by_size.values():
             for i in range(0, len(new) if len(new) >= FEW else 0, ROWS):
@@ -208,12 +216,20 @@ class Vocabulary(dict):
                 for piece, ids in zip(some, merged_together([p.encode() for p in some], self.pairs)):
                     self.remember(piece, ids)
 
+    def looked_up(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces; those not remembered are learnt first, together."""
+        found = list(map(self.get, pieces))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        self.learn({pieces[i] for i in new})
+        for i in new:
+            found[i] = self[pieces[i]]
+        return found
+
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, split a stretch at a time."""
         pieces, stretches = (m.group() for m in self.pattern.finditer(text)), []
         while stretch := list(islice(pieces, SPLIT)):
-            self.learn(stretch)
-            stretches.append(b"".join(map(self.__getitem__, stretch)))
+            stretches.append(b"".join(self.looked_up(stretch)))
         return np.frombuffer(b"".join(stretches), dtype=np.int32)
 
     def encode_all(self, given: list[str]) -> list[np.ndarray]:
@@ -222,8 +238,8 @@ class Vocabulary(dict):
         for text in [*given, None]:
             if waiting and (text is None or length + len(text) > TOGETHER):
                 split = [self.pattern.findall(t) for t in waiting]
-                self.learn(chain.from_iterable(split))
-                found += [np.frombuffer(b"".join(map(self.__getitem__, s)), dtype=np.int32) for s in split]
+                ids = iter(self.looked_up(list(chain.from_iterable(split))))
+                found += [np.frombuffer(b"".join(islice(ids, len(s))), dtype=np.int32) for s in split]
                 waiting, length = [], 0
             if text is not None and len(text) > TOGETHER:
                 found.append(self.encode(text))
@@ -232,8 +248,13 @@ class Vocabulary(dict):
                 length += len(text)
         return found
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.by_id.__getitem__, ids))
+    def decode(self, ids: pa.Array) -> pa.Array:
+        """The bytes of lists of ids; a null list has none."""
+        tokens = self.tokens.take(ids.flatten())
+        if tokens.null_count:
+            raise KeyError("an id that no token has")
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False), dtype=np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(np.concatenate([np.zeros(1, np.int32), ends]), tokens), b"")
 
 
 _VOCABULARIES: dict[tuple[str, str], Vocabulary] = {}
@@ -275,7 +296,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     def work(batches):
         own = vocabulary(path, pattern)
         for batch in batches:
-            found = [own.decode(ids or []) for ids in batch.column("ids").to_pylist()]
-            yield {c: batch.column(c) for c in ("doc_id", "n_tokens", "ids")} | {"decoded": found}
+            found = {c: batch.column(c) for c in ("doc_id", "n_tokens", "ids")}
+            yield found | {"decoded": own.decode(found["ids"])}
 
     return by_batch(encoded.select("doc_id", "n_tokens", "ids"), ENCODED + ", decoded binary", work)

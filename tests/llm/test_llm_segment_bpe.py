@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from llm_cases import ROWS, documents, empty
@@ -105,3 +106,16 @@ def test_texts_together_equal_texts_alone(monkeypatch):
         own = segment_bpe.Vocabulary(queries.BYTE_RANKS, public_tokenizers.PATTERN)
         found = [list(i) for i in own.encode_all(given)]
         assert found[:3] == alone and found == [[r for p in own.pattern.findall(t) for r in own.merged(p.encode())] for t in given]
+
+
+def test_pieces_are_looked_up_once_and_decoded_in_columns():
+    """A piece that is remembered is asked for once; lists of ids become bytes without Python numbers."""
+    own, asked = segment_bpe.Vocabulary(*SPLIT), []
+    text = "one two three one two three zyxq"
+    want = own.encode(text).tolist()
+    own.get = lambda piece: asked.append(piece) or dict.get(own, piece)
+    assert own.encode_all([text, text])[1].tolist() == want and len(asked) == 2 * len(own.pattern.findall(text))
+    ids = pa.array([want, None, [], want], pa.list_(pa.int32()))
+    assert own.decode(ids.slice(1)).to_pylist() == [b"", b"", text.encode()]
+    with pytest.raises((KeyError, pa.ArrowInvalid, IndexError)):
+        own.decode(pa.array([[own.pairs.beyond]], pa.list_(pa.int32())))
