@@ -11,11 +11,14 @@ are among those of a shorter one, so that texts of any two lengths can be compar
 Near texts are found by banding: digits of sampled steps make a band key, texts that share
 a key are compared, and a pair counts when the likeness of the whole fingerprints is high
 enough. All of a key are compared with its leader first; where that does not connect them,
-every pair of the key that is not connected yet is compared too.
+every pair of the key that is not connected yet is compared too. Strangers share a key by
+chance, the more of them the more texts there are: a key has a digit more for each ``FOLD``
+times the texts, and there are as many more bands as find near texts equally often.
 """
 
 from __future__ import annotations
 
+import math
 from functools import cache
 
 import numpy as np
@@ -31,8 +34,14 @@ from newstide.llm.simhash import Forest
 
 SAMPLES = 128
 LEAST_SCALE = 4
+#: bands, and digits of a band's key, of a table of up to ``PLAIN`` different texts
 BANDS = 12
 DIGITS = 6
+PLAIN = 24_000
+#: the largest share of texts of likeness ``NEAR`` that share none of a larger table's keys; those bands miss 0.018 to 0.026
+MISSED = 0.01
+#: how many times as many texts have keys of a digit more, as strangers agree in about one digit of five
+FOLD = 5
 #: likeness from which texts are near
 NEAR = 0.8
 #: rows of the tables of shared random bits; steps use them in turn
@@ -198,15 +207,33 @@ def fingerprints(frame: DataFrame, of: dict[str, str], alike: dict[str, tuple[st
     return by_batch(frame.select(*dict.fromkeys([*keep, *of.values()])), ", ".join(ddl), work)
 
 
+def digits_for(number: int) -> int:
+    """The digits of a band key of a table of so many different texts."""
+    digits, most = DIGITS, PLAIN
+    while most < number:
+        digits, most = digits + 1, most * FOLD
+    return digits
+
+
+def bands_for(digits: int) -> int:
+    """The least number of bands that leave out no larger share of texts of likeness ``NEAR`` than ``MISSED``."""
+    return BANDS if digits <= DIGITS else math.ceil(math.log(MISSED) / math.log1p(-(NEAR**digits)))
+
+
 @cache
-def _picked(scale: int) -> np.ndarray:
-    """Which of a scale's samples make each band: from steps that a text of the scale reaches."""
-    early = int(np.searchsorted(steps(scale), 1 << scale))
-    return np.random.default_rng(scale).integers(0, max(1, early), (BANDS, DIGITS))
+def _picked(scale: int, digits: int = DIGITS) -> np.ndarray:
+    """Which of a scale's samples make each band: from steps that a text of the scale reaches.
+
+    A longer key has no sample twice, which would leave it as coarse as a shorter one.
+    """
+    early, draw = max(1, int(np.searchsorted(steps(scale), 1 << scale))), np.random.default_rng(scale)
+    if digits <= DIGITS or early < digits:
+        return draw.integers(0, early, (bands_for(digits), digits))
+    return np.stack([draw.permutation(early)[:digits] for _ in range(bands_for(digits))])
 
 
 @cache
-def _border(scale: int) -> tuple[int, int, np.ndarray]:
+def _border(scale: int, digits: int = DIGITS) -> tuple[int, int, np.ndarray]:
     """For texts about as long as a scale's shortest: how many live samples they have, and bands of those.
 
     The walk of a text of 2^(scale - 1) characters ends near step 2^scale. Of two near texts
@@ -216,10 +243,10 @@ def _border(scale: int) -> tuple[int, int, np.ndarray]:
     full = int(np.searchsorted(steps(scale), 1 << scale))
     least, most = int(0.7 * full), int(np.ceil(full / 0.7))
     draw = np.random.default_rng([scale, 1])
-    return least, most, np.stack([draw.permutation(max(DIGITS, least))[:DIGITS] for _ in range(BANDS)])
+    return least, most, np.stack([draw.permutation(max(digits, least))[:digits] for _ in range(bands_for(digits))])
 
 
-def band_keys(print_: str) -> list[str]:
+def band_keys(print_: str, digits: int = DIGITS) -> list[str]:
     """The band keys of a text at its own scale, and at a border of scales that it is near.
 
     A band that reaches past the text's end says little. At its own scale it is left out,
@@ -227,22 +254,28 @@ def band_keys(print_: str) -> list[str]:
     border, where all bands are of steps that the texts on both sides of it reach.
     """
     own, keys = int(print_[:2], 16), []
-    for band, digits in enumerate(digits_at(print_, own)[_picked(own)]):
-        if own == LEAST_SCALE or (digits != _PAST).all():
-            keys.append(f"{own}.{band}.{digits.tobytes().decode()}")
+    for band, read in enumerate(digits_at(print_, own)[_picked(own, digits)]):
+        if own == LEAST_SCALE or (read != _PAST).all():
+            keys.append(f"{own}.{band}.{read.tobytes().decode()}")
     for scale in (own, own + 1):
-        least, most, bands = _border(scale)
+        least, most, bands = _border(scale, digits)
         found = digits_at(print_, scale)
         if scale > LEAST_SCALE and least <= np.count_nonzero(found != _PAST) <= most:
-            keys += [f"{scale}-{band}.{digits.tobytes().decode()}" for band, digits in enumerate(found[bands])]
+            keys += [f"{scale}-{band}.{read.tobytes().decode()}" for band, read in enumerate(found[bands])]
     return keys
 
 
-def _bands(batches):
-    for batch in batches:
-        found = [band_keys(p) for p in batch.column("fingerprint").to_pylist()]
-        ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), [len(k) for k in found])
-        yield {"key": [k for own in found for k in own], "id": ids}
+def banded(classes: DataFrame, digits: int) -> DataFrame:
+    """``key`` and ``id``: a row for each band key of ``classes``, which have ``id`` and ``fingerprint``."""
+
+    def work(batches):
+        for batch in batches:
+            found = [band_keys(p, digits) for p in batch.column("fingerprint").to_pylist()]
+            ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), [len(k) for k in found])
+            yield {"key": [k for own in found for k in own], "id": ids}
+
+    rows = by_batch(classes.select("id", "fingerprint"), "key string, id bigint", work)
+    return rows.select(F.xxhash64("key").alias("key"), "id")
 
 
 def _by_digit(digits: np.ndarray) -> np.ndarray:
@@ -283,19 +316,23 @@ def _blocks(near: float):
     return work
 
 
-def _beyond_leaders(keyed: DataFrame, leaders: DataFrame, roots: DataFrame, own: DataFrame, near: float) -> DataFrame:
+def _beyond_leaders(shared: DataFrame, verified: DataFrame, roots: DataFrame, own: DataFrame, near: float) -> DataFrame:
     """Links (``a``, ``b``) between roots: pairs that share a key and are not connected by leaders.
 
     Of two members of a key in different groups, one at least is not in the leader's group:
     those are compared with all members of the key, in blocks, so that a crowded key is many
-    tasks. Keys whose members are all connected, or that have the leader and one other, are done.
+    tasks. Keys whose members are all like the leader, or all connected, or that have the
+    leader and one other, are done.
     """
-    crowded = leaders.where("members > 2").select("key", "leader")
+    crowded = shared.where("members > 2").select("key", "leader", "id")
+    unlike = verified.where("not near").select(F.col("a").alias("id"), F.col("b").alias("leader"))
+    doubtful = crowded.join(unlike, ["id", "leader"]).select("key").distinct()
     root = F.coalesce("root", "id").alias("root")
-    members = keyed.join(crowded, "key").join(roots, "id", "left").select("key", "leader", "id", root)
+    members = crowded.join(doubtful, "key", "left_semi").join(roots, "id", "left").select("key", "leader", "id", root)
     members = written(members, "members")
-    of_leader = members.where("id = leader").select("key", F.col("root").alias("leading"))
-    apart = members.join(of_leader, "key").withColumn("minor", F.col("root") != F.col("leading"))
+    leading = F.max(F.when(F.col("id") == F.col("leader"), F.col("root"))).alias("leading")
+    mixed = members.groupBy("key").agg(leading, F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    apart = members.join(mixed.select("key", "leading"), "key").withColumn("minor", F.col("root") != F.col("leading"))
     sizes = apart.groupBy("key").agg(F.count_if("minor").alias("minors"), F.count("*").alias("all")).where("minors > 0")
     blocks = [F.ceil(F.col(c) / BLOCK).cast("int").alias(f"n_{c}") for c in ("minors", "all")]
     # stored, so that their sizes are known when the joins with the fingerprints are planned
@@ -323,26 +360,29 @@ def near_groups(prints: DataFrame, near: float = NEAR) -> DataFrame:
     ``prints`` has ``doc_id`` and ``fingerprint``. Equal fingerprints are one class. A class
     goes under its band keys; whoever shares one is compared with the key's smallest class,
     and then every pair of a key that this has not connected. The work is linear in the size
-    of a key of near texts, and grows with the number of those unlike its leader.
+    of a key of near texts, and grows with the number of those unlike its leader, which longer
+    keys keep small in a larger table.
     """
     classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    classes = written(classes.withColumn("id", F.xxhash64("fingerprint")), "classes")
-    banded = by_batch(classes.select("id", "fingerprint"), "key string, id bigint", _bands)
-    keyed = written(banded.select(F.xxhash64("key").alias("key"), "id"), "bands")
-    sizes = F.min("id").alias("leader"), F.max("id").alias("most"), F.count("*").alias("members")
-    leaders = written(keyed.groupBy("key").agg(*sizes).where("leader < most").drop("most"), "leaders")
-    pairs = keyed.join(leaders.select("key", "leader"), "key").where("id <> leader").select("id", "leader").distinct()
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    # the only step that moves all keys, most of which have one member; two numbers a row, sorted
+    key = Window.partitionBy("key")
+    keyed = banded(classes, digits_for(classes.count()))
+    keyed = keyed.select("key", "id", F.min("id").over(key).alias("leader"), F.count("*").over(key).alias("members"))
+    shared = written(keyed.where("members > 1"), "shared")
+    pairs = shared.where("id <> leader").select("id", "leader").distinct()
     own = classes.select("id", "fingerprint")
     both = pairs.join(own, "id").join(own.select(F.col("id").alias("leader"), F.col("fingerprint").alias("other")), "leader")
 
     def verify(batches):
         for batch in batches:
             found = zip(*(batch.column(c).to_pylist() for c in ("id", "leader", "fingerprint", "other")))
-            links = [(a, b) for a, b, x, y in found if likeness(x, y) >= near]
-            yield {"a": [a for a, _ in links], "b": [b for _, b in links]}
+            links = [(a, b, likeness(x, y) >= near) for a, b, x, y in found]
+            yield {name: [link[i] for link in links] for i, name in enumerate(("a", "b", "near"))}
 
-    roots = components(by_batch(both, "a bigint, b bigint", verify)).withColumnRenamed("node", "id")
-    beyond = _beyond_leaders(keyed, leaders, roots, own, near)
+    verified = written(by_batch(both, "a bigint, b bigint, near boolean", verify), "verified")
+    roots = components(verified.where("near").select("a", "b")).withColumnRenamed("node", "id")
+    beyond = _beyond_leaders(shared, verified, roots, own, near)
     rooted = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     if not beyond.isEmpty():
         joined = components(beyond).select(F.col("node").alias("root"), F.col("root").alias("joint"))

@@ -132,6 +132,52 @@ def test_near_texts_meet_whatever_the_leader_of_their_key(spark, block, monkeypa
         assert edits.likeness(prints[family], prints[family + 1]) >= 0.8
 
 
+def test_a_larger_table_has_longer_keys_and_more_bands():
+    assert [edits.digits_for(n) for n in (0, edits.PLAIN, edits.PLAIN + 1, edits.PLAIN * edits.FOLD**3 + 1)] == [6, 6, 7, 10]
+    assert edits.bands_for(6) == edits.BANDS
+    for digits in range(7, 12):
+        assert (1 - edits.NEAR**digits) ** edits.bands_for(digits) <= edits.MISSED
+        for bands in (edits._picked(12, digits), edits._border(12, digits)[2]):
+            assert bands.shape == (edits.bands_for(digits), digits) and all(len(set(b)) == digits for b in bands.tolist())
+
+
+def test_near_texts_share_long_keys_and_strangers_do_not():
+    draw, shared, strangers, alike = random.Random(17), [], [], random.Random(18)
+    n = len(edits.steps(11))
+    written = lambda digits: "0b" + "".join(digits)
+    for _ in range(300):
+        # strangers agree in a fifth of their digits, near texts in 0.8 to 0.85
+        text = [draw.choice("123456789abcdef") for _ in range(n)]
+        near = [d if alike.random() < 0.81 else draw.choice("123456789abcdef") for d in text]
+        stranger = [d if alike.random() < 0.15 else draw.choice("123456789abcdef") for d in text]
+        if edits.likeness(written(text), written(near)) >= edits.NEAR:
+            shared.append([bool(set(edits.band_keys(written(text), d)) & set(edits.band_keys(written(near), d))) for d in (6, 9)])
+        strangers.append([len(set(edits.band_keys(written(text), d)) & set(edits.band_keys(written(stranger), d))) for d in (6, 9)])
+    assert len(shared) > 100 and np.mean(shared, axis=0).min() > 0.96
+    assert np.sum(strangers, axis=0)[1] <= 1
+
+
+def test_rows_compared_do_not_grow_with_the_square_of_strangers(spark, monkeypatch):
+    """Texts without a near one: 25 times as many share keys by chance about as often each."""
+    monkeypatch.setattr(edits, "PLAIN", 80)
+    compared, plain_written = {}, edits.written
+
+    def noted(frame, name):
+        result = plain_written(frame, name)
+        compared[name] = result.count()
+        return result
+
+    monkeypatch.setattr(edits, "written", noted)
+    draw, shared = random.Random(19), []
+    for number in (80, 2000):
+        # three digits only, so that strangers agree in a third
+        rows = [(i, "0b" + "".join(draw.choice("123") for _ in edits.steps(11))) for i in range(number)]
+        groups = edits.near_groups(spark.createDataFrame(rows, "doc_id bigint, fingerprint string")).collect()
+        assert sorted(r.group_id for r in groups) == list(range(number))
+        shared.append(compared["shared"] / number)
+    assert shared[1] < 5 * shared[0]
+
+
 def test_texts_near_the_threshold_meet_across_scales():
     draw, met = random.Random(13), []
     letters = lambda number: [draw.choice("abcdefgh ") for _ in range(number)]
