@@ -19,11 +19,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newstide.llm.common import by_batch, crc_hash, texts
+from newstide.llm.common import by_batch, crc_hash
 
 #: buckets at most, which bounds the network a worker holds; beyond, words share buckets
 MOST = 1 << 16
@@ -38,8 +39,12 @@ SHARE, LEAST, TRAINER = 1, 1 << 17, 1 << 22
 PASSES, STEPS, MINIBATCH, LARGE, STEP = 1, 100, 2048, 1 << 15, 0.15
 #: no parameter is larger, so that no probability overflows
 LARGEST = 5.0
+#: the column that holds a text's buckets, two bytes each, least first
+WORDS = "word_buckets"
+#: rows of the network changed at once, which keeps them near the processor
+ROWS = 4096
 #: words whose buckets a worker remembers, words scored at once, and rows of scores at once
-CACHE, SCORED, BLOCK = 250_000, 1 << 16, 1024
+CACHE, SCORED, BLOCK = 250_000, 1 << 16, 512
 
 
 class _Buckets(dict):
@@ -61,6 +66,41 @@ def buckets(text: str) -> np.ndarray:
     return np.fromiter(map(_BUCKETS.__getitem__, words), dtype=np.int64, count=len(words))
 
 
+def _all_buckets(given: pa.Array) -> list[np.ndarray]:
+    """The buckets of each text of a column, null as empty; each different word of it is hashed once."""
+    split = pc.utf8_split_whitespace(pc.fill_null(given.cast(pa.large_string()), ""))
+    if isinstance(split, pa.ChunkedArray):
+        split = split.combine_chunks()
+    words = split.flatten().dictionary_encode()
+    own = [_BUCKETS[w] if w else -1 for w in (str(w).lower() for w in words.dictionary.to_pylist())]
+    found = np.array(own, dtype=np.int64)[words.indices.to_numpy()] if own else np.empty(0, dtype=np.int64)
+    ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    # a space at either end leaves an empty piece there
+    return [x[x >= 0] for x in np.split(found, ends[:-1])] if len(ends) else []
+
+
+def worded(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and the buckets of ``text``, for all steps to read instead of the text."""
+
+    def work(batches):
+        for batch in batches:
+            found = _all_buckets(batch.column("text"))
+            yield {"doc_id": batch.column("doc_id"), WORDS: [x.astype("<u2").tobytes() for x in found]}
+
+    return by_batch(docs.select(F.col("doc_id").cast("long"), "text"), f"doc_id bigint, {WORDS} binary", work)
+
+
+def _given(docs: DataFrame) -> str:
+    return WORDS if WORDS in docs.columns else "text"
+
+
+def _found(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The buckets of a batch's texts, made before or here."""
+    if WORDS not in batch.schema.names:
+        return _all_buckets(batch.column("text"))
+    return [np.frombuffer(x or b"", dtype="<u2").astype(np.int64) for x in batch.column(WORDS).to_pylist()]
+
+
 def _in_stretches(found: list[np.ndarray], most: int = 1 << 18):
     """Texts in groups of about so many words; a longer text is a group of its own."""
     group, size = [], 0
@@ -80,12 +120,12 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     def work(batches):
         total = np.zeros(MOST, dtype=np.int64)
         for batch in batches:
-            for group in _in_stretches([buckets(t) for t in texts(batch)]):
+            for group in _in_stretches(_found(batch)):
                 total += np.bincount(np.concatenate(group), minlength=MOST)
         seen = np.flatnonzero(total)
         yield {"bucket": seen, "n": total[seen]}
 
-    rows = by_batch(docs.select("text"), "bucket bigint, n bigint", work)
+    rows = by_batch(docs.select(_given(docs)), "bucket bigint, n bigint", work)
     found = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(MOST, dtype=np.int64)
     counts[found["bucket"].to_numpy()] = found["n"].to_numpy()
@@ -151,68 +191,76 @@ class Network:
 
     def hidden(self, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         vectors, _, _, inner = self.parts(self.own)
-        seen = vectors[sides].reshape(len(sides), -1)
+        seen = vectors.copy()[sides].reshape(len(sides), -1)
         return seen, np.tanh(seen @ inner[:-1] + inner[-1])
 
     @staticmethod
-    def _in_groups(own: np.ndarray):
-        """Each group that occurs with the positions of its words."""
-        group = own // GROUP
+    def _by_group(own: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """The order that puts words of a group together, and each group that occurs with its stretch of that order."""
+        group = (own // GROUP).astype(np.int16)
         order = np.argsort(group, kind="stable")
         starts = np.flatnonzero(np.diff(group[order], prepend=-1))
-        for start, end in zip(starts, [*starts[1:], len(order)]):
-            yield group[order[start]], order[start:end]
+        return order, list(zip(group[order[starts]].tolist(), starts.tolist(), [*starts[1:].tolist(), len(order)]))
+
+    @staticmethod
+    def _with_ones(matrix: np.ndarray) -> np.ndarray:
+        """A column of ones beside a matrix: products with it add biases, or sum."""
+        return np.concatenate([matrix, np.ones((len(matrix), 1), dtype=matrix.dtype)], axis=1)
 
     def logs(self, sides: np.ndarray, own: np.ndarray) -> np.ndarray:
         """log P(word | both sides) of each word."""
         _, words, groups, _ = self.parts(self.own)
-        hidden = self.hidden(sides)[1]
+        order, stretches = self._by_group(own)
+        own, hidden = own[order], self._with_ones(self.hidden(sides[order])[1])
+        found = np.zeros(len(own), dtype=np.float32)
+
+        number = np.arange(BLOCK)
 
-        def chances(hidden, rows, target):
+        def chances(rows, stretches, target):
             """log softmax at the targets, in place and a block at a time, as memory is what takes time."""
-            weights, biases, ones = rows[:, :-1].T.copy(), rows[:, -1].copy(), np.ones(len(rows), dtype=np.float32)
-            logs = np.empty(len(target), dtype=np.float32)
-            for start in range(0, len(target), BLOCK):
-                span = slice(start, start + BLOCK)
-                scores = hidden[span] @ weights
-                scores += biases
-                logs[span] = scores[np.arange(len(scores)), target[span]]
-                logs[span] -= np.log(np.exp(scores, out=scores) @ ones)
-            return logs
-
-        found = chances(hidden, groups, own // GROUP)
-        for group, at in self._in_groups(own):
-            found[at] += chances(hidden[at], words[group * GROUP : (group + 1) * GROUP], own[at] - group * GROUP)
-        return found
+            ones = np.ones(rows.shape[1], dtype=np.float32)
+            for group, start, end in stretches:
+                for at in range(start, end, BLOCK):
+                    stop = min(at + BLOCK, end)
+                    scores = hidden[at:stop] @ rows[group].T
+                    found[at:stop] += scores[number[: stop - at], target[at:stop]]
+                    found[at:stop] -= np.log(np.exp(scores, out=scores) @ ones)
+
+        chances(groups[None], [(0, 0, len(own))], own // GROUP)
+        chances(words.reshape(self.groups, GROUP, -1), stretches, own % GROUP)
+        placed = np.empty_like(found)
+        placed[order] = found
+        return placed
 
     def slopes(self, sides: np.ndarray, own: np.ndarray) -> np.ndarray:
         """The slope of -sum(logs) in every parameter."""
         _, words, groups, inner = self.parts(self.own)
         slope = np.zeros_like(self.own)
         to_vectors, to_words, to_groups, to_inner = self.parts(slope)
-
-        def softmax(hidden, rows, to_rows, target):
-            """A block at a time and in place, as in ``logs``."""
-            weights, biases, ones = rows[:, :-1].copy(), rows[:, -1].copy(), np.ones(len(rows), dtype=rows.dtype)
-            back, added = np.empty_like(hidden), np.zeros_like(weights)
-            for start in range(0, len(target), BLOCK):
-                span = slice(start, start + BLOCK)
-                error = hidden[span] @ weights.T
-                error += biases
-                np.exp(error, out=error)
-                error /= (error @ ones)[:, None]
-                error[np.arange(len(error)), target[span]] -= 1
-                added += error.T @ hidden[span]
-                to_rows[:, -1] += ones[:1].repeat(len(error)) @ error
-                np.matmul(error, weights, out=back[span])
-            to_rows[:, :-1] += added
-            return back
-
+        order, stretches = self._by_group(own)
+        sides, own = sides[order], own[order]
         seen, hidden = self.hidden(sides)
-        back = softmax(hidden, groups, to_groups, own // GROUP)
-        for group, at in self._in_groups(own):
-            span = slice(group * GROUP, (group + 1) * GROUP)
-            back[at] += softmax(hidden[at], words[span], to_words[span], own[at] - group * GROUP)
+        given, back = self._with_ones(hidden), np.zeros_like(hidden)
+
+        number = np.arange(BLOCK)
+
+        def softmax(rows, to_rows, stretches, target):
+            """A block at a time and in place, as in ``logs``; sums are divided, not every chance."""
+            ones = np.ones(rows.shape[1], dtype=rows.dtype)
+            for group, start, end in stretches:
+                for at in range(start, end, BLOCK):
+                    stop = min(at + BLOCK, end)
+                    chance = given[at:stop] @ rows[group].T
+                    total = np.exp(chance, out=chance) @ ones
+                    back[at:stop] += chance @ rows[group, :, :-1] / total[:, None]
+                    chance[number[: stop - at], target[at:stop]] -= total
+                    to_rows[group] += chance.T @ (given[at:stop] / total[:, None])
+
+        softmax(groups[None], to_groups[None], [(0, 0, len(own))], own // GROUP)
+        in_groups = (self.groups, GROUP, -1)
+        softmax(words.reshape(in_groups), to_words.reshape(in_groups), stretches, own % GROUP)
+        back -= groups[own // GROUP, :-1]
+        back -= words[own, :-1]
         back *= 1 - hidden**2
         to_inner[:-1] += seen.T @ back
         to_inner[-1] += back.sum(0)
@@ -232,34 +280,48 @@ class Network:
             for at in range(0, len(order), size):
                 chosen = order[at : at + size]
                 slope = self.slopes(sides[chosen], own[chosen])
-                squares += slope * slope
-                # a parameter without a slope so far stays as it is
-                self.own -= STEP * slope / np.sqrt(squares + 1e-12)
-                biases = self.own[:, -1].copy()
-                np.clip(self.own, -LARGEST, LARGEST, out=self.own)
-                self.own[: self.layer, -1] = np.minimum(biases[: self.layer], LARGEST)
+                for row in range(0, len(slope), ROWS):
+                    self._change(slice(row, row + ROWS), slope, squares)
+
+    def _change(self, span: slice, slope: np.ndarray, squares: np.ndarray) -> None:
+        """A step of some rows; a parameter without a slope so far stays as it is."""
+        own, part, sums = self.own[span], slope[span], squares[span]
+        sums += part * part
+        own -= STEP * part / np.sqrt(sums + 1e-12)
+        biases = own[: max(0, self.layer - span.start), -1].copy()
+        np.clip(own, -LARGEST, LARGEST, out=own)
+        own[: len(biases), -1] = np.minimum(biases, LARGEST)
 
 
 POSITIONS = "place array<int>"
 
 
+def _share(vocabulary: Vocabulary) -> float:
+    return min(1.0, max(1 / SHARE, LEAST / max(1, int(vocabulary.counts.sum()))))
+
+
+def _places(batches, vocabulary: Vocabulary, share: float):
+    """The ids on both sides and of the word itself, a row for each position of all texts, or for a share of them."""
+    part = TaskContext.get().partitionId()
+    for number, batch in enumerate(batches):
+        draw = np.random.default_rng((part, number))
+        for group in _in_stretches(_found(batch)):
+            sides, own = vocabulary.contexts(group)
+            places = np.column_stack([sides, own]).astype(np.int32, copy=False)
+            yield places if share >= 1 else places[draw.random(len(own)) < share]
+
+
 def positions(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``place``, the ids on both sides and of the word itself, of all positions of all texts, or one in ``SHARE``."""
-    total = int(vocabulary.counts.sum())
-    share = min(1.0, max(1 / SHARE, LEAST / max(1, total)))
+    """``place``, what trainers of these texts learn from; they make it themselves and don't store it."""
+
+    share = _share(vocabulary)
 
     def work(batches):
-        part = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
-            draw = np.random.default_rng((part, number))
-            for group in _in_stretches([buckets(t) for t in texts(batch)]):
-                sides, own = vocabulary.contexts(group)
-                places = np.column_stack([sides, own]).astype(np.int32, copy=False)
-                yield {"place": pa.FixedSizeListArray.from_arrays(
-                    (places if share >= 1 else places[draw.random(len(own)) < share]).ravel(), places.shape[1]
-                ).cast(pa.list_(pa.int32()))}
+        for places in _places(batches, vocabulary, share):
+            rows = pa.FixedSizeListArray.from_arrays(places.ravel(), places.shape[1])
+            yield {"place": rows.cast(pa.list_(pa.int32()))}
 
-    return by_batch(docs.select("text"), POSITIONS, work)
+    return by_batch(docs.select(_given(docs)), POSITIONS, work)
 
 
 def trained(docs: DataFrame, vocabulary: Vocabulary) -> Network:
@@ -268,15 +330,15 @@ def trained(docs: DataFrame, vocabulary: Vocabulary) -> Network:
     What reaches the driver is one network, however many trainers there were.
     """
     start = Network(vocabulary.counts)
-    total = int(vocabulary.counts.sum())
+    total, share = int(vocabulary.counts.sum()), _share(vocabulary)
     expected = min(total, max(total // SHARE, LEAST))
     if not total:
         return start
-    # texts travel, being smaller than their positions; each trainer makes its own
-    given = docs.select("text").repartition(-(-expected // TRAINER))
+    # buckets or texts travel, being smaller than their positions; each trainer makes its own
+    given = docs.select(_given(docs)).repartition(-(-expected // TRAINER))
 
     def work(batches):
-        places = [b.column("place").values.to_numpy().reshape(-1, 2 * SIDE + 1) for b in batches if b.num_rows]
+        places = list(_places(batches, vocabulary, share))
         if not places:
             return
         places = np.concatenate(places)
@@ -288,7 +350,7 @@ def trained(docs: DataFrame, vocabulary: Vocabulary) -> Network:
         rows = np.flatnonzero(touched.any(1))
         yield {"row": rows, "change": [c.tobytes() for c in change[rows]], "seen": touched[rows] @ np.array([1, 2])}
 
-    changes = by_batch(positions(given, vocabulary), "row int, change binary, seen int", work)
+    changes = by_batch(given, "row int, change binary, seen int", work)
 
     def added(batches):
         total, seen = np.zeros_like(start.own), np.zeros((len(start.own), 2))
@@ -329,7 +391,7 @@ class Model:
 
 
 def learn(docs: DataFrame) -> Model:
-    """A model of ``docs``; null texts count as empty.
+    """A model of ``docs``, which have ``text`` or what ``worded`` made of it; null texts count as empty.
 
     Words of a bucket that the corpus lacks are scored as if seen half a time. A corpus without
     a word gives the untrained network.
@@ -341,14 +403,14 @@ def learn(docs: DataFrame) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``log_likelihood`` and its mean ``per_token`` of whole texts.
 
-    Needs ``doc_id`` and ``text``; others are not read. Null and empty texts have no token and
+    Needs ``doc_id`` and ``text``, or what ``worded`` made of it; others are not read. Null and empty texts have no token and
     score 0; repeated rows give repeated rows, a null id stays null, an empty table gives an
     empty result.
     """
 
     def work(batches):
         for batch in batches:
-            found = [buckets(t) for t in texts(batch)]
+            found = _found(batch)
             sums = np.concatenate([model.score(g) for g in _in_stretches(found)]) if found else np.empty(0)
             number = np.array([len(b) for b in found], dtype=np.int64)
             yield {
@@ -358,5 +420,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 "per_token": sums / np.maximum(number, 1),
             }
 
-    own = docs.select(F.col("doc_id").cast("long"), "text")
+    own = docs.select(F.col("doc_id").cast("long"), _given(docs))
     return by_batch(own, "doc_id bigint, n_tokens bigint, log_likelihood double, per_token double", work)

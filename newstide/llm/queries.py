@@ -62,7 +62,8 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    # words are found once, for counting, training and scoring
+    docs = written(pseudo_likelihood.worded(table(spark, sf_dir, "documents")), "words")
     return pseudo_likelihood.score(docs, pseudo_likelihood.learn(docs))
 
 

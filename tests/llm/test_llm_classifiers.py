@@ -244,6 +244,26 @@ def test_every_position_is_learnt_from(spark, monkeypatch):
     assert found.tolist() == vocabulary.counts.tolist() and found.sum() == 60 * 200
 
 
+def test_words_are_found_once_and_are_those_of_each_text(spark):
+    odd = ["", " ", " a  b ", "Σας ΣΑΣ ΟΔΟΣ a", "İstanbul I\x1cb\x1fc\x85d\u2028e\u3000f\u00a0g\u200bh\x0bi\x0cj\x1dk\x1el", "\n\tx\r\ny\n", "ẞ ǅ ﬁ \ud7ff", "a\x00b c"]
+    rows = [*ROWS[:7], *ROWS[8:], *enumerate(odd, 500), (600, None)]
+    docs = documents(spark, rows)
+    found = pseudo_likelihood.worded(docs)
+    got = sorted((r.doc_id or 0, np.frombuffer(r[pseudo_likelihood.WORDS], dtype="<u2").tolist()) for r in found.collect())
+    assert got == sorted((i or 0, pseudo_likelihood.buckets(t or "").tolist()) for i, t in rows)
+    model = pseudo_likelihood.learn(found)
+    scored = [{(r.doc_id, r.n_tokens): r.log_likelihood for r in pseudo_likelihood.score(d, model).collect()} for d in (docs, found)]
+    assert scored[0].keys() == scored[1].keys() and all(scored[1][k] == pytest.approx(v) for k, v in scored[0].items())
+    assert (pseudo_likelihood.word_counts(docs) == pseudo_likelihood.word_counts(found)).all()
+
+
+def test_the_query_splits_the_texts_once(spark, sf_dir, monkeypatch):
+    given, plain = [], pseudo_likelihood.learn
+    monkeypatch.setattr(pseudo_likelihood, "learn", lambda docs: given.append(docs.columns) or plain(docs))
+    rows = queries.op7_pseudo_likelihood(spark, sf_dir).select("n_tokens").collect()
+    assert given == [["doc_id", pseudo_likelihood.WORDS]] and len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
 def test_vocabulary():
     counts = np.zeros(pseudo_likelihood.MOST, dtype=np.int64)
     counts[[5, 300, 700, 261]] = [3, 9, 1, 4]
