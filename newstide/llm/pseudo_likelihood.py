@@ -44,7 +44,7 @@ WORDS = "word_buckets"
 #: rows of the network changed at once, which keeps them near the processor
 ROWS = 4096
 #: words whose buckets a worker remembers, words scored at once, and rows of scores at once
-CACHE, SCORED, BLOCK = 250_000, 1 << 16, 512
+CACHE, SCORED, BLOCK = 250_000, 1 << 16, 128
 
 
 class _Buckets(dict):
@@ -72,7 +72,7 @@ def _all_buckets(given: pa.Array) -> list[np.ndarray]:
     if isinstance(split, pa.ChunkedArray):
         split = split.combine_chunks()
     words = split.flatten().dictionary_encode()
-    own = [_BUCKETS[w] if w else -1 for w in (str(w).lower() for w in words.dictionary.to_pylist())]
+    own = [crc_hash(w.lower()) % MOST if w else -1 for w in words.dictionary.to_numpy(zero_copy_only=False)]
     found = np.array(own, dtype=np.int64)[words.indices.to_numpy()] if own else np.empty(0, dtype=np.int64)
     ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
     # a space at either end leaves an empty piece there
@@ -155,7 +155,7 @@ class Vocabulary:
         return len(self.places)
 
     def ids(self, found: np.ndarray) -> np.ndarray:
-        return self.places[found % len(self)]
+        return self.places[found & (len(self) - 1)]
 
     def contexts(self, found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """For texts as buckets: the ids on both sides of each word, and its own; ``len(self)`` is beyond an end."""
@@ -191,8 +191,10 @@ class Network:
 
     def hidden(self, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         vectors, _, _, inner = self.parts(self.own)
-        seen = vectors.copy()[sides].reshape(len(sides), -1)
-        return seen, np.tanh(seen @ inner[:-1] + inner[-1])
+        seen = vectors.copy().take(sides, axis=0).reshape(len(sides), -1)
+        hidden = seen @ inner[:-1]
+        hidden += inner[-1]
+        return seen, np.tanh(hidden, out=hidden)
 
     @staticmethod
     def _by_group(own: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -211,20 +213,22 @@ class Network:
         """log P(word | both sides) of each word."""
         _, words, groups, _ = self.parts(self.own)
         order, stretches = self._by_group(own)
-        own, hidden = own[order], self._with_ones(self.hidden(sides[order])[1])
-        found = np.zeros(len(own), dtype=np.float32)
-
+        own, given = own[order], self._with_ones(self.hidden(sides.take(order, axis=0))[1])
+        found, totals = np.zeros((2, len(own)), dtype=given.dtype)
         number = np.arange(BLOCK)
 
         def chances(rows, stretches, target):
-            """log softmax at the targets, in place and a block at a time, as memory is what takes time."""
-            ones = np.ones(rows.shape[1], dtype=np.float32)
+            """log softmax at the targets, a block at a time in the same scratch, which stays near the processor."""
+            scratch = np.empty((BLOCK, rows.shape[1]), dtype=rows.dtype)
+            ones = np.ones(rows.shape[1], dtype=rows.dtype)
             for group, start, end in stretches:
+                across = rows[group].T.copy()
                 for at in range(start, end, BLOCK):
                     stop = min(at + BLOCK, end)
-                    scores = hidden[at:stop] @ rows[group].T
+                    scores = np.matmul(given[at:stop], across, out=scratch[: stop - at])
                     found[at:stop] += scores[number[: stop - at], target[at:stop]]
-                    found[at:stop] -= np.log(np.exp(scores, out=scores) @ ones)
+                    np.matmul(np.exp(scores, out=scores), ones, out=totals[at:stop])
+            np.subtract(found, np.log(totals), out=found)
 
         chances(groups[None], [(0, 0, len(own))], own // GROUP)
         chances(words.reshape(self.groups, GROUP, -1), stretches, own % GROUP)
@@ -232,46 +236,55 @@ class Network:
         placed[order] = found
         return placed
 
-    def slopes(self, sides: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """The slope of -sum(logs) in every parameter."""
+    def slopes(self, sides: np.ndarray, own: np.ndarray, into: np.ndarray | None = None) -> np.ndarray:
+        """The slope of -sum(logs) in every parameter, put in a matrix like ``own`` that is given or else made."""
         _, words, groups, inner = self.parts(self.own)
-        slope = np.zeros_like(self.own)
+        slope = np.empty_like(self.own) if into is None else into
+        slope.fill(0)
         to_vectors, to_words, to_groups, to_inner = self.parts(slope)
         order, stretches = self._by_group(own)
-        sides, own = sides[order], own[order]
+        sides, own = sides.take(order, axis=0), own[order]
         seen, hidden = self.hidden(sides)
         given, back = self._with_ones(hidden), np.zeros_like(hidden)
-
-        number = np.arange(BLOCK)
+        sums = np.empty_like(given)
 
         def softmax(rows, to_rows, stretches, target):
-            """A block at a time and in place, as in ``logs``; sums are divided, not every chance."""
-            ones = np.ones(rows.shape[1], dtype=rows.dtype)
+            """A block at a time in the same scratch, as in ``logs``; sums are divided, not every chance."""
+            scratch = np.empty((BLOCK, rows.shape[1]), dtype=rows.dtype)
+            line, first = scratch.reshape(-1), np.arange(BLOCK) * rows.shape[1]
+            beside = np.empty(rows.shape[1:], dtype=rows.dtype)
+            across = np.empty(rows.shape[:0:-1], dtype=rows.dtype)
             for group, start, end in stretches:
+                beside[:] = rows[group]
+                across[:] = beside.T
+                # one product gives what goes back and, by a column of ones, the total
+                beside[:, -1] = 1
+                to_group = to_rows[group]
                 for at in range(start, end, BLOCK):
                     stop = min(at + BLOCK, end)
-                    chance = given[at:stop] @ rows[group].T
-                    total = np.exp(chance, out=chance) @ ones
-                    back[at:stop] += chance @ rows[group, :, :-1] / total[:, None]
-                    chance[number[: stop - at], target[at:stop]] -= total
-                    to_rows[group] += chance.T @ (given[at:stop] / total[:, None])
+                    chance = np.matmul(given[at:stop], across, out=scratch[: stop - at])
+                    np.exp(chance, out=chance)
+                    total = np.matmul(chance, beside, out=sums[at:stop])[:, -1:]
+                    line[first[: stop - at] + target[at:stop]] -= total[:, 0]
+                    to_group += chance.T @ (given[at:stop] / total)
+            np.add(back, sums[:, :-1] / sums[:, -1:], out=back)
 
         softmax(groups[None], to_groups[None], [(0, 0, len(own))], own // GROUP)
         in_groups = (self.groups, GROUP, -1)
         softmax(words.reshape(in_groups), to_words.reshape(in_groups), stretches, own % GROUP)
-        back -= groups[own // GROUP, :-1]
-        back -= words[own, :-1]
+        back -= groups[:, :-1].take(own // GROUP, axis=0)
+        back -= words[:, :-1].take(own, axis=0)
         back *= 1 - hidden**2
         to_inner[:-1] += seen.T @ back
         to_inner[-1] += back.sum(0)
-        at, slopes = sides.ravel(), (back @ inner[:-1].T).reshape(-1, VECTOR)
-        for k in range(VECTOR):
-            to_vectors[:, k] += np.bincount(at, slopes[:, k], len(slope))
+        at, slopes = sides.ravel().astype(np.intp), (back @ inner[:-1].T).reshape(-1, VECTOR)
+        summed = np.stack([np.bincount(at, slopes[:, k], self.words + 1) for k in range(VECTOR)], axis=1)
+        to_vectors[: self.words + 1] += summed
         return slope
 
     def train(self, sides: np.ndarray, own: np.ndarray, seed: int = 4) -> None:
         """Steps by the positions in shuffled order, each parameter's scaled by its slopes so far."""
-        draw, squares = np.random.default_rng(seed), np.zeros_like(self.own)
+        draw, squares, slope = np.random.default_rng(seed), np.zeros_like(self.own), np.empty_like(self.own)
         # a step's fixed cost is that of the whole network: more positions, larger steps
         size = min(max(len(own) // STEPS, MINIBATCH), LARGE)
         batches = -(-len(own) // size)
@@ -279,15 +292,18 @@ class Network:
             order = draw.permutation(len(own))
             for at in range(0, len(order), size):
                 chosen = order[at : at + size]
-                slope = self.slopes(sides[chosen], own[chosen])
+                self.slopes(sides.take(chosen, axis=0), own[chosen], slope)
                 for row in range(0, len(slope), ROWS):
                     self._change(slice(row, row + ROWS), slope, squares)
 
     def _change(self, span: slice, slope: np.ndarray, squares: np.ndarray) -> None:
-        """A step of some rows; a parameter without a slope so far stays as it is."""
+        """A step of some rows, which uses up their slopes; a parameter without a slope so far stays as it is."""
         own, part, sums = self.own[span], slope[span], squares[span]
         sums += part * part
-        own -= STEP * part / np.sqrt(sums + 1e-12)
+        scale = sums + 1e-12
+        np.sqrt(scale, out=scale)
+        part *= STEP
+        own -= np.divide(part, scale, out=part)
         biases = own[: max(0, self.layer - span.start), -1].copy()
         np.clip(own, -LARGEST, LARGEST, out=own)
         own[: len(biases), -1] = np.minimum(biases, LARGEST)
@@ -341,9 +357,9 @@ def trained(docs: DataFrame, vocabulary: Vocabulary) -> Network:
         places = list(_places(batches, vocabulary, share))
         if not places:
             return
-        places = np.concatenate(places)
+        sides, own_ids = np.concatenate([p[:, :-1] for p in places]), np.concatenate([p[:, -1] for p in places])
         own = Network(vocabulary.counts)
-        own.train(places[:, :-1], places[:, -1])
+        own.train(sides, own_ids)
         change = own.own - start.own
         # a vector is touched where its word stood beside another, weights in nearly every step
         touched = np.column_stack([change[:, :VECTOR].any(1), change[:, VECTOR:].any(1)])

@@ -332,3 +332,30 @@ def test_gradient_is_the_slope_of_the_loss():
             values.append(-total)
             network.own[at] -= step
         assert (values[0] - values[1]) / 2e-4 == pytest.approx(slope[at], abs=1e-3, rel=1e-3)
+
+
+def test_scores_reuse_one_small_block(monkeypatch):
+    """All chances of a softmax go through one block of at most 128 KB, however many positions a group has."""
+    draw, blocks, plain = np.random.default_rng(5), [], np.exp
+    network = pseudo_likelihood.Network(draw.integers(0, 50, 1024))
+    sides, own = draw.integers(0, 1025, (3000, 4)), np.minimum(draw.integers(0, 2000, 3000), 1023)
+    monkeypatch.setattr(np, "exp", lambda x, *rest, **named: blocks.append((x.ctypes.data, x.nbytes)) or plain(x, *rest, **named))
+    for work in (network.logs, network.slopes):
+        blocks.clear()
+        work(sides, own)
+        # a block for the groups and one for the words, each of 3,000 positions and 256 scores
+        assert len({at for at, _ in blocks}) <= 2 and max(size for _, size in blocks) <= 1 << 17
+        assert sum(size for _, size in blocks) == 3000 * 4 * (4 + pseudo_likelihood.GROUP)
+
+
+def test_slopes_are_put_in_a_used_matrix(monkeypatch):
+    """A trainer's steps share a matrix; what an earlier step left there does not count."""
+    draw = np.random.default_rng(6)
+    network = pseudo_likelihood.Network(draw.integers(0, 50, 512))
+    sides, own = draw.integers(0, 513, (2000, 4)).astype(np.int32), draw.integers(0, 512, 2000).astype(np.int32)
+    used = np.full_like(network.own, 7)
+    assert network.slopes(sides, own, used) is used and np.array_equal(used, network.slopes(sides, own))
+    given, plain = [], network.slopes
+    monkeypatch.setattr(network, "slopes", lambda *rest: given.append(rest[2]) or plain(*rest))
+    network.train(sides, own)
+    assert len(given) == pseudo_likelihood.STEPS and len({id(x) for x in given}) == 1
