@@ -16,6 +16,7 @@ over the trainers that touched it.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import prod
 
 import numpy as np
 import pyarrow as pa
@@ -166,6 +167,16 @@ class Vocabulary:
         return np.stack([line[own + offset] for offset in around], axis=1), line[own]
 
 
+class Room(dict):
+    """Arrays by name that one step after the other uses: memory taken anew costs time of its own."""
+
+    def __call__(self, name: str, shape: tuple[int, ...], dtype: np.dtype) -> np.ndarray:
+        size = prod(shape)
+        if name not in self or len(self[name]) < size or self[name].dtype != dtype:
+            self[name] = np.empty(size, dtype=dtype)
+        return self[name][:size].reshape(shape)
+
+
 class Network:
     """All parameters in one matrix: a row per word (vector, weights, bias), the end's vector,
     a row per group (weights, bias), then the hidden layer's."""
@@ -189,10 +200,15 @@ class Network:
         groups = matrix[self.words + 1 : self.layer, VECTOR:]
         return matrix[:, :VECTOR], matrix[: self.words, VECTOR:], groups, flat.reshape(-1, HIDDEN)
 
-    def hidden(self, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def hidden(self, sides: np.ndarray, room: Room | None = None) -> tuple[np.ndarray, np.ndarray]:
+        room = Room() if room is None else room
         vectors, _, _, inner = self.parts(self.own)
-        seen = vectors.copy().take(sides, axis=0).reshape(len(sides), -1)
-        hidden = seen @ inner[:-1]
+        table = room("table", vectors.shape, vectors.dtype)
+        table[:] = vectors
+        # ids are all in range; without "clip" there would be another copy
+        seen = table.take(sides, axis=0, out=room("seen", (*sides.shape, VECTOR), table.dtype), mode="clip")
+        seen = seen.reshape(len(sides), -1)
+        hidden = np.matmul(seen, inner[:-1], out=room("hidden", (len(seen), HIDDEN), table.dtype))
         hidden += inner[-1]
         return seen, np.tanh(hidden, out=hidden)
 
@@ -205,15 +221,18 @@ class Network:
         return order, list(zip(group[order[starts]].tolist(), starts.tolist(), [*starts[1:].tolist(), len(order)]))
 
     @staticmethod
-    def _with_ones(matrix: np.ndarray) -> np.ndarray:
+    def _with_ones(matrix: np.ndarray, room: Room) -> np.ndarray:
         """A column of ones beside a matrix: products with it add biases, or sum."""
-        return np.concatenate([matrix, np.ones((len(matrix), 1), dtype=matrix.dtype)], axis=1)
+        beside = room("with ones", (len(matrix), matrix.shape[1] + 1), matrix.dtype)
+        beside[:, :-1], beside[:, -1] = matrix, 1
+        return beside
 
-    def logs(self, sides: np.ndarray, own: np.ndarray) -> np.ndarray:
+    def logs(self, sides: np.ndarray, own: np.ndarray, room: Room | None = None) -> np.ndarray:
         """log P(word | both sides) of each word."""
+        room = Room() if room is None else room
         _, words, groups, _ = self.parts(self.own)
         order, stretches = self._by_group(own)
-        own, given = own[order], self._with_ones(self.hidden(sides.take(order, axis=0))[1])
+        own, given = own[order], self._with_ones(self.hidden(sides.take(order, axis=0), room)[1], room)
         found, totals = np.zeros((2, len(own)), dtype=given.dtype)
         number = np.arange(BLOCK)
 
@@ -236,17 +255,20 @@ class Network:
         placed[order] = found
         return placed
 
-    def slopes(self, sides: np.ndarray, own: np.ndarray, into: np.ndarray | None = None) -> np.ndarray:
-        """The slope of -sum(logs) in every parameter, put in a matrix like ``own`` that is given or else made."""
+    def slopes(self, sides: np.ndarray, own: np.ndarray, room: Room | None = None) -> np.ndarray:
+        """The slope of -sum(logs) in every parameter; it stands in ``room`` until that is used again."""
+        room = Room() if room is None else room
         _, words, groups, inner = self.parts(self.own)
-        slope = np.empty_like(self.own) if into is None else into
+        kind = self.own.dtype
+        slope = room("slope", self.own.shape, kind)
         slope.fill(0)
         to_vectors, to_words, to_groups, to_inner = self.parts(slope)
         order, stretches = self._by_group(own)
         sides, own = sides.take(order, axis=0), own[order]
-        seen, hidden = self.hidden(sides)
-        given, back = self._with_ones(hidden), np.zeros_like(hidden)
-        sums = np.empty_like(given)
+        seen, hidden = self.hidden(sides, room)
+        given, back = self._with_ones(hidden, room), room("back", hidden.shape, kind)
+        back.fill(0)
+        sums = room("sums", given.shape, kind)
 
         def softmax(rows, to_rows, stretches, target):
             """A block at a time in the same scratch, as in ``logs``; sums are divided, not every chance."""
@@ -267,24 +289,31 @@ class Network:
                     total = np.matmul(chance, beside, out=sums[at:stop])[:, -1:]
                     line[first[: stop - at] + target[at:stop]] -= total[:, 0]
                     to_group += chance.T @ (given[at:stop] / total)
-            np.add(back, sums[:, :-1] / sums[:, -1:], out=back)
+            for at in range(0, len(sums), ROWS):
+                back[at : at + ROWS] += sums[at : at + ROWS, :-1] / sums[at : at + ROWS, -1:]
 
         softmax(groups[None], to_groups[None], [(0, 0, len(own))], own // GROUP)
         in_groups = (self.groups, GROUP, -1)
         softmax(words.reshape(in_groups), to_words.reshape(in_groups), stretches, own % GROUP)
-        back -= groups[:, :-1].take(own // GROUP, axis=0)
-        back -= words[:, :-1].take(own, axis=0)
-        back *= 1 - hidden**2
+        for at in range(0, len(own), ROWS):
+            some, part = own[at : at + ROWS], back[at : at + ROWS]
+            part -= groups[some // GROUP, :-1]
+            part -= words[some, :-1]
+            part *= 1 - hidden[at : at + ROWS] ** 2
         to_inner[:-1] += seen.T @ back
         to_inner[-1] += back.sum(0)
-        at, slopes = sides.ravel().astype(np.intp), (back @ inner[:-1].T).reshape(-1, VECTOR)
-        summed = np.stack([np.bincount(at, slopes[:, k], self.words + 1) for k in range(VECTOR)], axis=1)
-        to_vectors[: self.words + 1] += summed
+        at = room("at", (sides.size,), np.dtype(np.intp))
+        at[:] = sides.ravel()
+        slopes = np.matmul(back, inner[:-1].T, out=room("to sides", seen.shape, kind)).reshape(-1, VECTOR)
+        summed = room("summed", (self.words + 1, VECTOR), np.dtype(np.float64))
+        for k in range(VECTOR):
+            summed[:, k] = np.bincount(at, slopes[:, k], len(summed))
+        to_vectors[: len(summed)] += summed
         return slope
 
     def train(self, sides: np.ndarray, own: np.ndarray, seed: int = 4) -> None:
         """Steps by the positions in shuffled order, each parameter's scaled by its slopes so far."""
-        draw, squares, slope = np.random.default_rng(seed), np.zeros_like(self.own), np.empty_like(self.own)
+        draw, squares, room = np.random.default_rng(seed), np.zeros_like(self.own), Room()
         # a step's fixed cost is that of the whole network: more positions, larger steps
         size = min(max(len(own) // STEPS, MINIBATCH), LARGE)
         batches = -(-len(own) // size)
@@ -292,7 +321,7 @@ class Network:
             order = draw.permutation(len(own))
             for at in range(0, len(order), size):
                 chosen = order[at : at + size]
-                self.slopes(sides.take(chosen, axis=0), own[chosen], slope)
+                slope = self.slopes(sides.take(chosen, axis=0), own[chosen], room)
                 for row in range(0, len(slope), ROWS):
                     self._change(slice(row, row + ROWS), slope, squares)
 
@@ -399,8 +428,8 @@ class Model:
         """The summed conditional log-probabilities of texts given as buckets."""
         if not found:
             return np.empty(0)
-        sides, own = self.vocabulary.contexts(found)
-        each = [self.network.logs(sides[i : i + SCORED], own[i : i + SCORED]) for i in range(0, len(own), SCORED)]
+        room, (sides, own) = Room(), self.vocabulary.contexts(found)
+        each = [self.network.logs(sides[i : i + SCORED], own[i : i + SCORED], room) for i in range(0, len(own), SCORED)]
         sums = np.concatenate([[0.0], np.cumsum(np.concatenate([np.empty(0), *each]), dtype=np.float64)])
         ends = np.cumsum([len(b) for b in found])
         return sums[ends] - sums[np.concatenate([[0], ends[:-1]])]

@@ -348,13 +348,14 @@ def test_scores_reuse_one_small_block(monkeypatch):
         assert sum(size for _, size in blocks) == 3000 * 4 * (4 + pseudo_likelihood.GROUP)
 
 
-def test_slopes_are_put_in_a_used_matrix(monkeypatch):
-    """A trainer's steps share a matrix; what an earlier step left there does not count."""
+def test_steps_use_the_same_memory(monkeypatch):
+    """What an earlier step, larger or smaller, left in the memory does not count."""
     draw = np.random.default_rng(6)
-    network = pseudo_likelihood.Network(draw.integers(0, 50, 512))
+    network, room = pseudo_likelihood.Network(draw.integers(0, 50, 512)), pseudo_likelihood.Room()
     sides, own = draw.integers(0, 513, (2000, 4)).astype(np.int32), draw.integers(0, 512, 2000).astype(np.int32)
-    used = np.full_like(network.own, 7)
-    assert network.slopes(sides, own, used) is used and np.array_equal(used, network.slopes(sides, own))
+    for end in (2000, 70, 1300, 1, 2000):
+        for work in (network.slopes, network.logs):
+            assert np.allclose(work(sides[:end], own[:end], room), work(sides[:end], own[:end]), rtol=1e-4, atol=1e-4)
     given, plain = [], network.slopes
     monkeypatch.setattr(network, "slopes", lambda *rest: given.append(rest[2]) or plain(*rest))
     network.train(sides, own)
