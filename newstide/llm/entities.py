@@ -13,6 +13,7 @@ import re
 from bisect import bisect_right
 from dataclasses import dataclass
 from ipaddress import AddressValueError, IPv6Address
+from math import prod
 
 # Titles by gender, and common given names by script and gender.
 TITLES = {
@@ -68,6 +69,10 @@ INITIALS = [
     "ЪЫЬ",
     "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
 ]
+#: signs that a secret without letters and digits is made of: none ends a quoted word
+SIGNS = "!#$%&*+-./:<=>?@^_~"
+#: the attempt of entities whose format has too few values to draw from
+CLOSED = -1
 _GENDER = {name: gender for (_, gender), names in GIVEN.items() for name in names}
 _TITLE = {title: gender for gender, titles in TITLES.items() for title in titles}
 
@@ -97,7 +102,8 @@ _DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Z
 #: characters of the part before an @, and how many there may be
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _LONGEST_LOCAL = 64
-_CAPITAL = "A-ZÀ-ÖØ-ÞΑ-ΩА-Я"
+# without U+03A2, which is no letter
+_CAPITAL = "A-ZÀ-ÖØ-ÞΑ-ΡΣ-ΩА-Я"
 _NAME = rf"[{_CAPITAL}][\w'’-]+"
 _ITEM = rf"(?:[{_CAPITAL}]\.|{_NAME})"
 _CAPITALS = re.compile(rf"(?<![\w'-])([^\W\d_][\w'-]*)(\.?) ({_ITEM}(?: {_ITEM}){{0,3}})")
@@ -143,7 +149,7 @@ def _normal(kind: str, text: str) -> str:
         return text.replace(" ", "")
     if kind == "ipv6":
         try:
-            return IPv6Address(text).exploded
+            return IPv6Address(text).packed.hex(":", 2)  # its own long form mixes notations
         except AddressValueError:
             return ""
     if kind == "secret" and re.fullmatch(r"[0-9A-Fa-f]+", text):
@@ -310,8 +316,19 @@ class _Draw:
         return choices[self.below(len(choices))]
 
 
+def _changes(c: str) -> bool:
+    return c.isdigit() or c.isupper() or c.isalpha()
+
+
+def _longer(text: str, attempt: int) -> str:
+    """With another character for every eight attempts, of which there are several: a format of few values does not run out."""
+    return text + next(filter(_changes, reversed(text)), text[-1]) * (attempt // 8)
+
+
 def _same_classes(draw: _Draw, text: str) -> str:
-    """A digit for a digit, a letter for a letter; hex digits stay hex."""
+    """A digit for a digit, a letter for a letter; hex digits stay hex. Signs are kept, unless there is nothing else."""
+    if text and not any(map(_changes, text)):
+        return "".join(draw.of(SIGNS) for _ in text)
     is_hex = re.fullmatch(r"[0-9]*[a-f][0-9a-f]*", text) is not None and any(c.isdigit() for c in text)
     upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
     if is_hex:
@@ -347,7 +364,7 @@ def _next_in_pool(number: int, bits: int, key: bytes) -> int:
     mask = (1 << half) - 1
 
     def mixed(value: int, turn: int) -> int:
-        return int.from_bytes(hmac.new(key, b"%d|%d|%d" % (bits, turn, value), hashlib.sha256).digest()[:4], "big") & mask
+        return int.from_bytes(hmac.new(key, b"%d|%d|%d" % (bits, turn, value), hashlib.sha256).digest()[: max(4, -(-half // 8))], "big") & mask
 
     left, right = number >> half, number & mask
     for turn in reversed(range(4)):
@@ -359,6 +376,59 @@ def _next_in_pool(number: int, bits: int, key: bytes) -> int:
     return left << half | right
 
 
+def pool(kind: str, normal: str) -> tuple[str, int] | None:
+    """The format of an entity, and how many values attempts draw from; None where these are more for later attempts, or beyond number."""
+    if kind == "phone":
+        return f"{normal[:_country(normal)]} {len(normal)}", 10 ** (len(normal) - _country(normal))
+    if kind == "ssn":
+        return "", 665 * 99 * 9999
+    if kind == "ipv4" and not _private_bits(normal):
+        return "", 220 << 24
+    if kind == "ipv6":
+        digits = [len(group.lstrip("0")) for group in normal.split(":")]
+        return " ".join(map(str, digits)), prod(15 << 4 * (n - 1) for n in digits if n)
+    return None
+
+
+def _next_of_format(kind: str, normal: str, key: bytes) -> str:
+    """The next one of all values of a format, on a circle in keyed order; the only one of its format stays itself."""
+    if kind in ("phone", "ssn"):
+        fixed = normal[: _country(normal)] if kind == "phone" else ""
+        free = len(normal) - len(fixed)
+        return fixed + f"{_next_below(int(normal[len(fixed) :]), 10**free, key):0{free}d}"
+    if kind == "ipv4":
+        while True:
+            number = _next_below(int.from_bytes(map(int, normal.split(".")), "big"), 1 << 32, key)
+            normal = ".".join(map(str, number.to_bytes(4, "big")))
+            if not _private_bits(normal):
+                return normal
+    # groups as numbers: a first digit of 15, the others of 16
+    groups = [group.lstrip("0") for group in normal.split(":")]
+    least = [16 ** (len(g) - 1) if g else 0 for g in groups]
+    number = 0
+    for group, low in zip(groups, least):
+        number = number * (15 * low or 1) + (int(group or "0", 16) - low)
+    number, made = _next_below(number, prod(15 * low or 1 for low in least), key), []
+    for low in reversed(least):
+        number, rest = divmod(number, 15 * low or 1)
+        made.append(f"{rest + low:04x}")
+    return ":".join(reversed(made))
+
+
+def _next_below(number: int, limit: int, key: bytes) -> int:
+    """The next number below a limit on the circle of all numbers of as many bits."""
+    bits = max(2, (limit - 1).bit_length() + 1 & ~1)
+    while True:
+        number = _next_in_pool(number, bits, key)
+        if number < limit:
+            return number
+
+
+def _country(phone: str) -> int:
+    """How many digits of a number are taken for its country's code."""
+    return 1 if phone[0] == "1" else 2
+
+
 def _private(normal: str, key: bytes) -> str:
     """The address of the same private network that stands for this one."""
     bits = _private_bits(normal)
@@ -401,14 +471,19 @@ def _iban(draw: _Draw, normal: str) -> str:
 
 
 def stand_in(kind: str, normal: str, key: bytes, attempt: int = 0) -> str:
-    """The normal form that replaces an entity: same key, entity and attempt, same result."""
+    """The normal form that replaces an entity: same key, entity and attempt, same result.
+
+    Attempt ``CLOSED``, for formats that have a ``pool``, takes the next value of the whole format instead of drawing one.
+    """
+    if attempt == CLOSED:
+        return _next_of_format(kind, normal, key)
     draw = _Draw(key, f"{kind}|{attempt}|{normal}")
     if kind == "email":
         local, _, domain = normal.partition("@")
         *labels, _, last = domain.split(".")
         # within the domains reserved for examples, which belong to nobody
         reserved = ["example", last if last in ("com", "net", "org") else "com"]
-        return f"{_same_classes(draw, local + local[-1] * (attempt // 8))}@" + ".".join([_same_classes(draw, x) for x in labels] + reserved)
+        return f"{_same_classes(draw, _longer(local, attempt))}@" + ".".join([_same_classes(draw, x) for x in labels] + reserved)
     if kind == "ipv4":
         return _private(normal, key) if _private_bits(normal) else _ipv4(draw)
     if kind == "card":
@@ -416,7 +491,7 @@ def stand_in(kind: str, normal: str, key: bytes, attempt: int = 0) -> str:
     if kind == "iban":
         return _iban(draw, normal)
     if kind == "phone":
-        country = 1 if normal[0] == "1" else 2  # the digits of a country's code
+        country = _country(normal)
         return normal[:country] + "".join(str(draw.below(10)) for _ in normal[country:])
     if kind == "ssn":
         return f"{1 + draw.below(665):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}"
@@ -431,8 +506,7 @@ def stand_in(kind: str, normal: str, key: bytes, attempt: int = 0) -> str:
         if normal in [n.lower() for n in names]:
             return _turned(names, normal, key)
         return _name(draw, script, gender, attempt)
-    # later attempts are longer, so that a format of few values does not run out
-    return _same_classes(draw, normal + normal[-1] * (attempt // 8))
+    return _same_classes(draw, _longer(normal, attempt))
 
 
 def _turned(names: list[str] | str, normal: str, key: bytes) -> str:

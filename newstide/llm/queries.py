@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import secrets
+from functools import cache
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,8 +113,22 @@ def surrogate_key(spark: SparkSession) -> bytes:
     return (key or "for trials only").encode()
 
 
+@cache
+def _key_of(application: str) -> bytes:
+    """A random key that leaves the application only with the tasks that use it."""
+    return secrets.token_bytes(32)
+
+
+def run_key(spark: SparkSession) -> bytes:
+    """The session's key; without one, a cluster's application makes its own, which nobody knows and no other run repeats."""
+    try:
+        return surrogate_key(spark)
+    except ValueError:
+        return _key_of(spark.sparkContext.applicationId)
+
+
 def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = surrogates.surrogates(table(spark, sf_dir, "documents"), surrogate_key(spark))
+    found = surrogates.surrogates(table(spark, sf_dir, "documents"), run_key(spark))
     entities = F.coalesce(F.size("_spans"), F.lit(0)).alias("n_entities")
     return found.select("doc_id", "text", entities, F.col("_spans").alias("entities"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newstide.llm.common import by_batch, fresh, texts, written
-from newstide.llm.entities import listed, mentions, rendered, stand_in
+from newstide.llm.entities import CLOSED, listed, mentions, pool, rendered, stand_in
 
 #: rounds after which names of a format are given up for lost
 ATTEMPTS = 60
@@ -46,16 +46,40 @@ def _made(named: DataFrame, key: bytes) -> DataFrame:
             rows = list(zip(*columns.values()))
             yield columns | {
                 "stand_in": [stand_in(k, n, key, a) for k, n, a in rows],
-                "listed": [listed(k, n) for k, n, _ in rows],
+                "listed": [a == CLOSED or listed(k, n) for k, n, a in rows],
             }
 
     return by_batch(named, "kind string, normal string, attempt int, stand_in string, listed boolean", work)
 
 
+def _formats(named: DataFrame) -> DataFrame:
+    """Entities with their format and its number of values, if that is a fixed one."""
+
+    def work(batches):
+        for batch in batches:
+            columns = {c: batch.column(c).to_pylist() for c in ("kind", "normal")}
+            pools = [pool(*row) or (None, None) for row in zip(*columns.values())]
+            yield columns | {"format": [f for f, _ in pools], "values": [None if n is None else float(n) for _, n in pools]}
+
+    return by_batch(named, "kind string, normal string, format string, values double", work)
+
+
+def _first(known: DataFrame) -> DataFrame:
+    """Entities with their first attempt: ``CLOSED`` where more than a third of a format's values occur, else 0.
+
+    In a fuller format too few values are left for each entity to draw a free one of its own.
+    """
+    formats = known.where("format is not null").groupBy("kind", "format")
+    full = formats.agg(F.count("*").alias("n"), F.max("values").alias("most")).where("3 * n > most")
+    # few rows: a format of many values takes many entities to fill
+    full = F.broadcast(full.select("kind", "format", F.lit(CLOSED).alias("attempt")))
+    return known.join(full, ["kind", "format"], "left").select("kind", "normal", F.coalesce("attempt", F.lit(0)).alias("attempt"))
+
+
 def assigned(found: DataFrame, key: bytes) -> DataFrame:
     """``kind``, ``normal``, ``attempt`` and ``stand_in`` of every entity, without clashes."""
-    known = written(found.select("kind", "normal").distinct(), "entities")
-    waiting, done = known.withColumn("attempt", F.lit(0)), None
+    known = written(_formats(found.select("kind", "normal").distinct()), "entities")
+    waiting, done = _first(known), None
     for _ in range(ATTEMPTS):
         made = written(_made(waiting, key), "stand-ins")
         taken = known.select("kind", F.col("normal").alias("stand_in"))
@@ -98,7 +122,7 @@ def surrogates(docs: DataFrame, key: bytes) -> DataFrame:
     table gives an empty result. A column of the input named ``_spans`` is replaced.
     """
     found = written(entities(docs), "mentions")
-    later = assigned(found, key).where("attempt > 0").select("kind", "normal", "attempt")
+    later = assigned(found, key).where("attempt != 0").select("kind", "normal", "attempt")
     affected = found.distinct().join(later, ["kind", "normal"])
     hashed, tried = fresh(docs, "_hash"), fresh(docs, "_later")
     retried = F.collect_list(F.struct("kind", "normal", "attempt")).alias(tried)
