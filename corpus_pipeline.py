@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newstide.llm import languages, quality, simhash, surrogates
 from newstide.llm.common import table, written
-from newstide.llm.queries import packed_digest, surrogate_key
+from newstide.llm.queries import packed_digest, run_key
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with stand-ins for personal data; the number of characters follows the text."""
-    replaced = surrogates.surrogates(docs, surrogate_key(spark))
+    replaced = surrogates.surrogates(docs, run_key(spark))
     length = F.when(F.size("_spans") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return replaced.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -2,7 +2,7 @@
 
 import public_tokenizers
 import pytest
-from llm_cases import documents, empty
+from llm_cases import ROWS, documents, empty
 from pyspark.sql import functions as F
 from test_llm_simhash import groups, plain
 
@@ -57,6 +57,21 @@ def test_stages_in_order(spark, sf_dir):
     assert sums == tokens
 
 
+def test_personal_data_on_a_cluster_and_with_full_formats(spark, sf_dir):
+    """Without a key of the session, and with an address that is the only one of its format and masks of many lengths."""
+    masks = [(i, 'password: "' + "*" * i + '" from 0000::') for i in range(6, 26)]
+    docs = documents(spark, [*ROWS, *masks])
+    master = spark.conf.get("spark.master")
+    spark.conf.set("spark.master", "spark://elsewhere:7077")
+    try:
+        result = corpus_pipeline.personal_data(spark, docs, sf_dir).collect()
+    finally:
+        spark.conf.set("spark.master", master)
+    made = {r.doc_id: r for r in result if r.text and "password" in r.text}
+    assert len(result) == docs.count() and len(made) == len(masks) == len({r.text for r in made.values()})
+    assert all(r.n_chars == len(r.text) and "***" not in r.text for r in made.values())
+
+
 def test_run_gives_the_last_stage(spark, sf_dir):
     result = corpus_pipeline.run(spark, sf_dir)
     assert result.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
